@@ -6,8 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long", "short", "byte"}
-# A decimal-looking integer text: optional sign, digits, optional dot, digits.
-_INT_TEXT = r"^[+-]?[0-9]*[.]?[0-9]*$"
 # Plain decimal / scientific numbers only; rejects '1d', '1f', 'NaN', 'Infinity'.
 _NUMERIC_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
@@ -16,20 +14,17 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _trim_control(c: Column) -> Column:
-    """Trim every character <= ' ' at both ends, as the legacy string-to-number cast does."""
-    return F.regexp_replace(c.cast("string"), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
+# One pass over the text: surrounding characters <= ' ' (trimmed by the legacy
+# cast), sign, digits, optional fraction. At least one digit or dot is needed.
+# The replacement keeps sign + '0' + integer digits, so '.5' -> '0', '-1.9' ->
+# '-01'; text that does not match is left as is and fails the cast.
+_INT_SHAPE = r"^[\x00-\x20]*(?<s>[+-]?)(?=[0-9.])(?<d>[0-9]*)(?:\.[0-9]*)?[\x00-\x20]*$"
 
 
 def lenient_int(c, type_name: str = "int") -> Column:
     """Integral cast with legacy truncation: '12.7' -> 12, '-1.9' -> -1, '.5' -> 0,
     '.' -> 0; '1e2', '1,000', '+', overflow -> NULL (trap T2)."""
-    t = _trim_control(_c(c))
-    shaped = t.rlike(_INT_TEXT) & t.rlike("[0-9.]")
-    sign = F.regexp_extract(t, r"^([+-]?)", 1)
-    digits = F.regexp_extract(t, r"^[+-]?([0-9]*)", 1)
-    whole = F.concat(sign, F.when(digits == "", F.lit("0")).otherwise(digits))
-    return F.when(shaped, whole.try_cast(type_name))
+    return F.regexp_replace(_c(c).cast("string"), _INT_SHAPE, "${s}0${d}").try_cast(type_name)
 
 
 def numeric_text_ok(c) -> Column:
@@ -38,8 +33,9 @@ def numeric_text_ok(c) -> Column:
 
 
 def lenient_double(c) -> Column:
-    t = F.trim(_c(c).cast("string"))
-    return F.when(t.rlike(_NUMERIC_TEXT), t.try_cast("double"))
+    """Plain-number text to double in one regex pass; anything else -> NULL."""
+    whole = "(" + _NUMERIC_TEXT[1:-1] + ")"
+    return F.regexp_extract(F.trim(_c(c).cast("string")), "^" + whole + "$", 1).try_cast("double")
 
 
 def parse_date(c, fmt: str = "yyyyMMdd") -> Column:

@@ -42,35 +42,35 @@ def lineage_columns(lineage: Lineage) -> list:
     ]
 
 
+def cleaned(raw: DataFrame) -> DataFrame:
+    """P1 + P3: standard names (collisions raise, trap T6) and blanks to NULL, as
+    one projection. Later casts read these columns instead of re-deriving them."""
+    names = standardized_names(raw.columns)
+    return raw.select([blank_to_null(F.col(f"`{o}`")).alias(n) for o, n in zip(raw.columns, names)])
+
+
 def refine(raw: DataFrame, contract: TableContract, lineage: Lineage | None = None) -> Refined:
     """Standardise headers, trim blanks to NULL, cast contract columns, add lineage."""
-    names = standardized_names(raw.columns)
-    warnings = contract_warnings(names, contract)
-    cols = []
-    for original, std in zip(raw.columns, names):
-        cleaned = blank_to_null(F.col(f"`{original}`"))
-        if std in contract.columns:
-            cleaned = lenient_cast(cleaned, contract.columns[std])
-        cols.append(cleaned.alias(std))
+    clean = cleaned(raw)
+    warnings = contract_warnings(clean.columns, contract)
+    cols = [lenient_cast(F.col(c), contract.columns[c]).alias(c) if c in contract.columns else F.col(c)
+            for c in clean.columns]
     if lineage is not None:
         cols.extend(lineage_columns(lineage))
-    return Refined(raw.select(cols), warnings)
+    return Refined(clean.select(cols), warnings)
 
 
 def cast_loss(raw: DataFrame, contract: TableContract) -> DataFrame:
     """Per contract column, rows whose cleaned text was non-NULL but whose
     cast is NULL. One aggregate over the raw scan; result is one row per column."""
-    names = standardized_names(raw.columns)
-    pairs = [(orig, std) for orig, std in zip(raw.columns, names) if std in contract.columns]
-    if not pairs:
+    clean = cleaned(raw)
+    present = [c for c in clean.columns if c in contract.columns]
+    if not present:
         return raw.sparkSession.createDataFrame([], "column_name string, cast_loss bigint")
-    aggs = []
-    for orig, std in pairs:
-        cleaned = blank_to_null(F.col(f"`{orig}`"))
-        typed = lenient_cast(cleaned, contract.columns[std])
-        aggs.append(F.count_if(cleaned.isNotNull() & typed.isNull()).alias(std))
-    wide = raw.agg(*aggs)
+    wide = clean.agg(*[
+        F.count_if(F.col(c).isNotNull() & lenient_cast(F.col(c), contract.columns[c]).isNull()).alias(c)
+        for c in present])
     return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(std).alias("column_name"), F.col(std).cast("bigint").alias("cast_loss"))
-        for _, std in pairs
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("cast_loss"))
+        for c in present
     ])))
