@@ -200,6 +200,9 @@ def run_validation(fact: DataFrame, ref: DataFrame, rules: ValidationRules, *, r
     scanned once for the writes plus once for its key aggregates."""
     from lakeq.sources.sinks import write_quarantine
 
+    for df, label in ((fact, rules.fact_label), (ref, rules.ref_label)):
+        if not df.take(1):  # G2: one-row probe, before any write
+            raise GateError(f"{label} dataset is empty")
     tf, tr = tag_fact(fact, ref, rules), tag_reference(ref, rules)
     obs_f, obs_r = Observation(f"{rules.fact_label}_counters"), Observation(f"{rules.ref_label}_counters")
     write_quarantine(quarantine_rows(tf.observe(obs_f, *_fact_counters(rules)), run_id, run_ts),
