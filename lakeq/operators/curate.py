@@ -43,6 +43,8 @@ def build_dimension(ref: DataFrame, fact: DataFrame, *, ref_key: str, dim_key: s
     ``keep_unreferenced=False`` keeps parity: reference keys without fact rows
     are dropped (J4 is an inner join there)."""
     ref_base = ref.withColumnRenamed(ref_key, dim_key) if ref_key != dim_key else ref
+    stamped = {"run_id", "curated_ts_utc", *flag_columns}  # replaced by this run's values
+    ref_base = ref_base.drop(*[c for c in stamped if c in ref_base.columns])
     ref_cols = [c for c in ref_base.columns if c != dim_key]
     ref_surv = survivor(ref_base, dim_key).withColumn("__lq_hit", F.lit(True))
 

@@ -51,7 +51,8 @@ def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str |
     """A catalog table over parquet; partitions are discovered with
     RECOVER PARTITIONS (the table reads 0 rows before, all rows after)."""
     cols = f"({schema_ddl})" if schema_ddl else ""
-    parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols else ""
+    # with no column list, the partition columns are inferred from the directory layout
+    parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols and schema_ddl else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {cols} USING parquet{parts} LOCATION '{path}'")
     if partition_cols:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
