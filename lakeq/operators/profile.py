@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeq.functions.casts import numeric_text_ok
+from lakeq.functions.text import profile_text
 
 NUMERIC_LIKE_ISSUE = "Possible numeric values stored as text"
 _NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -49,21 +50,48 @@ def _pct(num, total):
     return F.when(total == 0, F.lit(0.0)).otherwise(F.round(num * 100.0 / total, 2))
 
 
+def _distinct_counts(df: DataFrame, approx: bool, chunk: int) -> DataFrame:
+    """(column_name, distinct) for every column. Exact distinct counts plan an
+    Expand (one row copy per counted column), so columns are counted in chunks
+    of ``chunk`` per aggregate to bound that blow-up; ``approx`` uses HLL++
+    instead, one pass, no Expand."""
+    names = df.columns
+    frames = []
+    for start in range(0, len(names), chunk):
+        part = names[start:start + chunk]
+        fn = F.approx_count_distinct if approx else F.count_distinct
+        wide = df.agg(*[fn(F.col(f"`{c}`")).alias(f"d{start + i}") for i, c in enumerate(part)])
+        frames.append(wide.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"d{start + i}").cast("bigint").alias("distinct"))
+            for i, c in enumerate(part)]))))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def column_profile(df: DataFrame, table: str | None = None, missing_threshold: float = 0.2,
-                   numeric_like_threshold: float = 0.8, approx_distinct: bool = False) -> DataFrame:
+                   numeric_like_threshold: float = 0.8, approx_distinct: bool = False,
+                   distinct_chunk: int = 32) -> DataFrame:
     """A6-A10 + G5: one row per column.
 
-    Exact distinct counts plan one Expand over the rows (one copy per column);
-    ``approx_distinct=True`` swaps in HyperLogLog++ for very wide or huge tables."""
+    Counts and the numeric-text test are one aggregate; exact distinct counts
+    run in column chunks (see ``_distinct_counts``) and join back by column
+    name (both sides have one row per column)."""
     strings = set(string_columns(df))
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, f in enumerate(df.schema.fields):
         c = F.col(f"`{f.name}`")
         aggs.append(F.count(c).alias(f"nn{i}"))
-        distinct = F.approx_count_distinct(c) if approx_distinct else F.count_distinct(c)
-        aggs.append(distinct.alias(f"d{i}"))
         if f.name in strings:
             aggs.append(F.count_if(numeric_text_ok(c)).alias(f"num{i}"))
+    if len(df.columns) <= distinct_chunk:
+        # narrow table: distinct counts ride in the same aggregate
+        aggs.extend((F.approx_count_distinct(F.col(f"`{c}`")) if approx_distinct
+                     else F.count_distinct(F.col(f"`{c}`"))).alias(f"d{i}") for i, c in enumerate(df.columns))
+        distinct = None
+    else:
+        distinct = _distinct_counts(df, approx_distinct, distinct_chunk)
     wide = df.agg(*aggs)
     rows = []
     for i, f in enumerate(df.schema.fields):
@@ -74,6 +102,7 @@ def column_profile(df: DataFrame, table: str | None = None, missing_threshold: f
             issue = F.when((nn > 0) & (share >= numeric_like_threshold), F.lit(NUMERIC_LIKE_ISSUE))
         else:
             issue = F.lit(None)
+        d = F.col(f"d{i}") if distinct is None else F.lit(None).cast("bigint")
         rows.append(F.struct(
             F.lit(table).cast("string").alias("table_name"),
             F.lit(f.name).alias("column_name"),
@@ -83,14 +112,72 @@ def column_profile(df: DataFrame, table: str | None = None, missing_threshold: f
             missing.cast("bigint").alias("missing_count"),
             _pct(missing, n).alias("missing_pct"),
             _pct(nn, n).alias("completeness_pct"),
-            F.col(f"d{i}").cast("bigint").alias("unique_non_null_values"),
-            (F.col(f"d{i}") <= 1).alias("constant_column_flag"),
+            d.cast("bigint").alias("unique_non_null_values"),
             F.when(n == 0, F.lit(False)).otherwise(missing / n >= missing_threshold).alias("high_missing_flag"),
             F.coalesce(issue, F.lit("")).alias("possible_type_issue"),
         ))
+    prof = wide.select(F.inline(F.array(*rows)))
+    if distinct is not None:
+        prof = prof.drop("unique_non_null_values").join(
+            distinct.withColumnRenamed("distinct", "unique_non_null_values"), "column_name")
+    return prof.withColumn("constant_column_flag", F.col("unique_non_null_values") <= 1).select(
+        "table_name", "column_name", "dtype", "row_count", "non_null_count", "missing_count", "missing_pct",
+        "completeness_pct", "unique_non_null_values", "constant_column_flag", "high_missing_flag",
+        "possible_type_issue")
+
+
+def profile_read(df: DataFrame) -> DataFrame:
+    """The profiling reader's view of landed text: NA tokens (P15) and white
+    space only values (P16) become NULL in every string column."""
+    strings = set(string_columns(df))
+    return df.select([profile_text(F.col(f"`{c}`")).alias(c) if c in strings else F.col(f"`{c}`")
+                      for c in df.columns])
+
+
+_INT_TEXT = r"^[+-]?[0-9]{1,18}$"
+_BOOL_TOKENS = ("True", "False", "TRUE", "FALSE", "true", "false")
+
+
+def infer_types(df: DataFrame) -> DataFrame:
+    """The type a data-frame reader would give each text column, decided
+    from all its values in one aggregate: 'bigint' when every value is an
+    integer and none is missing (integers with gaps become 'double'), 'double'
+    when every present value is a number (or none is present), 'boolean' for
+    complete True/False columns, else 'string'. Non-text columns keep their type."""
+    fields = df.schema.fields
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, f in enumerate(fields):
+        c = F.col(f"`{f.name}`")
+        t = F.trim(c.cast("string"))
+        aggs += [F.count(c).alias(f"nn{i}"), F.count_if(t.rlike(_INT_TEXT)).alias(f"int{i}"),
+                 F.count_if(numeric_text_ok(c)).alias(f"num{i}"),
+                 F.count_if(t.isin(list(_BOOL_TOKENS))).alias(f"b{i}")]
+    wide = df.agg(*aggs)
+    rows = []
+    for i, f in enumerate(fields):
+        n, nn = F.col("__n"), F.col(f"nn{i}")
+        ints, nums, bools = F.col(f"int{i}"), F.col(f"num{i}"), F.col(f"b{i}")
+        if isinstance(f.dataType, T.StringType):
+            inferred = (F.when(nn == 0, F.lit("double"))
+                        .when((ints == nn) & (nn == n), F.lit("bigint"))
+                        .when(nums == nn, F.lit("double"))
+                        .when((bools == nn) & (nn == n), F.lit("boolean"))
+                        .otherwise(F.lit("string")))
+        else:
+            inferred = F.lit(f.dataType.simpleString())
+        rows.append(F.struct(F.lit(f.name).alias("column_name"), nn.cast("bigint").alias("non_null_count"),
+                             ints.cast("bigint").alias("integer_count"), nums.cast("bigint").alias("numeric_count"),
+                             inferred.alias("inferred_type")))
     return wide.select(F.inline(F.array(*rows)))
 
 
+def apply_inferred_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Cast text columns to the inferred types (a small dict collected from ``infer_types``)."""
+    from lakeq.functions.casts import lenient_cast
+    return df.select([lenient_cast(F.col(f"`{c}`"), types[c]).alias(c) if types.get(c, "string") != "string"
+                      else F.col(f"`{c}`") for c in df.columns])
+
+
 def missing_ranking(profile: DataFrame) -> DataFrame:
     """O1: columns by missing count, most missing first."""
     return profile.select("table_name", "column_name", "missing_count").orderBy(

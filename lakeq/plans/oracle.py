@@ -154,6 +154,53 @@ PART_TEXT = f"""p AS (
 HOURS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
+RAW_TEXT = f"""rawtext AS (
+  SELECT
+    CAST(l_orderkey AS VARCHAR) AS k1, CAST(l_partkey AS VARCHAR) AS k2, CAST(l_suppkey AS VARCHAR) AS k3,
+    CASE WHEN l_orderkey % 7 = 0 THEN CAST(l_linenumber AS VARCHAR) || '.7' ELSE CAST(l_linenumber AS VARCHAR) END
+      AS k4,
+    CASE WHEN l_partkey % 97 = 0 THEN '' WHEN l_partkey % 89 = 0 THEN '   ' ELSE {_money('l_quantity')} END AS k5,
+    CASE WHEN l_partkey % 83 = 0 THEN 'n/a' ELSE {_money('l_extendedprice')} END AS k6,
+    CASE WHEN l_partkey % 79 = 0 THEN '1,' || {_money('l_discount')} ELSE {_money('l_discount')} END AS k7,
+    CASE WHEN l_partkey % 73 = 0 THEN '123.4567' ELSE {_money('l_tax')} END AS k8,
+    CASE WHEN l_orderkey % 11 = 0 THEN ' ' ELSE l_returnflag END AS k9,
+    strftime(l_shipdate, '%Y%m%d') AS k10
+  FROM lineitem)"""
+RAW_TEXT_NAMES = {"k1": " L OrderKey ", "k2": "L-PartKey", "k3": "L_SuppKey ", "k4": "Line Number (#)",
+                  "k5": "Quantity", "k6": "Extended Price", "k7": "Discount", "k8": "Tax", "k9": "Return Flag",
+                  "k10": "Ship Date"}
+_TOKENS = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
+
+
+def _profile_read_cte() -> str:
+    cols = ",\n    ".join(f"CASE WHEN {k} IN ({_TOKENS}) OR regexp_matches({k}, '^\\s*$') THEN NULL ELSE {k} END AS {k}"
+                          for k in RAW_TEXT_NAMES)
+    return f"pr AS (\n  SELECT\n    {cols}\n  FROM rawtext)"
+
+
+def _inferred_types() -> str:
+    parts = []
+    for k, name in RAW_TEXT_NAMES.items():
+        ints = f"count(*) FILTER (WHERE regexp_matches(trim({k}), '^[+-]?[0-9]{{1,18}}$'))"
+        nums = f"count(*) FILTER (WHERE regexp_matches(trim({k}), '{NUMERIC_RX}'))"
+        bools = f"count(*) FILTER (WHERE trim({k}) IN ('True', 'False', 'TRUE', 'FALSE', 'true', 'false'))"
+        parts.append(f"""SELECT '{name}' AS column_name, count({k}) AS non_null_count, {ints} AS integer_count,
+  {nums} AS numeric_count,
+  CASE WHEN count({k}) = 0 THEN 'double'
+       WHEN {ints} = count({k}) AND count({k}) = count(*) THEN 'bigint'
+       WHEN {nums} = count({k}) THEN 'double'
+       WHEN {bools} = count({k}) AND count({k}) = count(*) THEN 'boolean'
+       ELSE 'string' END AS inferred_type
+FROM pr""")
+    return f"WITH {RAW_TEXT}, {_profile_read_cte()}\n" + "\nUNION ALL\n".join(parts)
+
+
+def _missing_ranking() -> str:
+    parts = [f"SELECT 'lineitem_raw' AS table_name, '{name}' AS column_name, count(*) - count({k}) AS missing_count "
+             f"FROM pr" for k, name in RAW_TEXT_NAMES.items()]
+    return f"WITH {RAW_TEXT}, {_profile_read_cte()}\n" + "\nUNION ALL\n".join(parts)
+
+
 def _refine_typed() -> str:
     return f"""WITH {RAW}, {TYPED}
 SELECT t_orderkey AS l_orderkey, t_partkey AS l_partkey, t_suppkey AS l_suppkey, t_line AS line_number,
@@ -371,6 +418,8 @@ SELECT 'documents.text' AS table_name, CAST(coalesce(sum(k), 0) AS BIGINT) AS ro
             ELSE round(CAST(sum(k - 1) AS DOUBLE) * 100.0 / sum(k), 2) END AS duplicate_row_pct
 FROM g""",
     "numeric_summary": _numeric_summary(),
+    "inferred_types": _inferred_types(),
+    "missing_ranking": _missing_ranking(),
     "iqr_outliers": _iqr_outliers(),
     "numeric_like_text": _numeric_like_text(),
     "range_violations": "SELECT * FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9000",

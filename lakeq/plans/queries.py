@@ -286,6 +286,15 @@ def profile_columns(spark, sf):
     return _union([profile.column_profile(load(spark, sf, t), t) for t in PROFILED])
 
 
+def inferred_types(spark, sf):
+    return profile.infer_types(profile.profile_read(lineitem_raw(spark, sf)))
+
+
+def missing_ranking(spark, sf):
+    prof = profile.column_profile(profile.profile_read(lineitem_raw(spark, sf)), "lineitem_raw")
+    return profile.missing_ranking(prof)
+
+
 def dataset_overview(spark, sf):
     return _union([profile.dataset_overview(load(spark, sf, t), t) for t in PROFILED])
 
@@ -355,6 +364,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "partition_roundtrip": partition_roundtrip,
     "profile_columns": profile_columns,
     "dataset_overview": dataset_overview,
+    "inferred_types": inferred_types,
+    "missing_ranking": missing_ranking,
     "duplicate_full_rows": duplicate_full_rows,
     "duplicate_text": duplicate_text,
     "numeric_summary": numeric_summary,

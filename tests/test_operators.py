@@ -168,3 +168,19 @@ def test_dashboard_single_key_column(spark, fact, ref):
     out = serve.dashboard(fact, dim, "provnum", {"in_hospital_flg": "provider_reference_gap_flag",
                                                    "overall_rating": "overall_rating"})
     assert out.columns.count("provnum") == 1 and out.count() == fact.count()
+
+
+def test_distinct_chunks_match_single_aggregate(spark):
+    df = spark.createDataFrame([(i % 3, i % 5, str(i % 7), None) for i in range(50)], "a int, b int, c string, d string")
+    one = {r.column_name: r.unique_non_null_values for r in profile.column_profile(df, "t").collect()}
+    chunked = {r.column_name: r.unique_non_null_values
+               for r in profile.column_profile(df, "t", distinct_chunk=2).collect()}
+    assert one == chunked == {"a": 3, "b": 5, "c": 7, "d": 0}
+
+
+def test_infer_types_like_a_csv_reader(spark):
+    rows = [("1", "1", "1.5", "True", "a", None), ("2", None, "2", "False", "1", None), (" 3 ", "3", "x" if False else "3e1", "true", "b", None)]
+    df = spark.createDataFrame(rows, "i string, i_gap string, f string, b string, s string, empty string")
+    got = {r.column_name: r.inferred_type for r in profile.infer_types(df).collect()}
+    assert got == {"i": "bigint", "i_gap": "double", "f": "double", "b": "boolean", "s": "string",
+                   "empty": "double"}
