@@ -8,26 +8,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeq.functions.casts import lenient_double
+from lakeq.operators.joins import DEFAULT_TARGET_ROWS, key_counts, salted_join
 
 
-def duplicate_key_rows(df: DataFrame, keys, null_safe: bool = True) -> DataFrame:
+def duplicate_key_rows(df: DataFrame, keys, null_safe: bool = True,
+                       target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Every row whose key repeats, all copies kept, with the copy count.
 
     ``null_safe=True`` treats NULL key parts as equal (the profiler's rule);
-    ``False`` uses SQL semantics (NULL keys never repeat, trap T7). The grouped
-    side combines map-side; the join back is left to AQE (broadcast when small,
-    skew-split shuffle join otherwise)."""
+    ``False`` uses SQL semantics (NULL keys never repeat, trap T7). Key counts
+    combine map-side; the join back is salted for keys above ``target_rows``
+    rows. For the null-safe rule each key part becomes two non-NULL columns
+    (text value, is-NULL flag), so a huge NULL group is spread like any key."""
     keys = list(keys)
-    src = df
     if not null_safe:
         src = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-    dups = (src.groupBy(*keys).agg(F.count(F.lit(1)).alias("dup_count"))
-            .where(F.col("dup_count") > 1))
-    if not null_safe:
-        return src.join(dups, keys, "inner")
-    d = dups.select(*[F.col(k).alias(f"__lq_k_{k}") for k in keys], "dup_count")
-    cond = reduce(lambda a, b: a & b, [df[k].eqNullSafe(d[f"__lq_k_{k}"]) for k in keys])
-    return df.join(d, cond, "inner").drop(*[f"__lq_k_{k}" for k in keys])
+        counts = key_counts(src, keys)
+        dups = counts.where(F.col("__lq_n") > 1).withColumnRenamed("__lq_n", "dup_count")
+        return salted_join(src, dups, keys, "inner", counts=counts, target_rows=target_rows)
+    sur = {}
+    for i, k in enumerate(keys):
+        sur[f"__lq_k{i}v"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+        sur[f"__lq_k{i}n"] = F.col(k).isNull()
+    src = df.withColumns(sur)
+    skeys = list(sur)
+    counts = key_counts(src, skeys)
+    dups = counts.where(F.col("__lq_n") > 1).withColumnRenamed("__lq_n", "dup_count")
+    return salted_join(src, dups, skeys, "inner", counts=counts, target_rows=target_rows).drop(*skeys)
 
 
 def key_report(df: DataFrame, keys, table: str) -> DataFrame:

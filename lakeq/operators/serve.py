@@ -13,6 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeq.operators.joins import DEFAULT_TARGET_ROWS, salted_join
+
 MEASURE_TYPE = "decimal(18,2)"
 
 
@@ -24,14 +26,17 @@ def _total(cols) -> Column:
     return reduce(lambda a, b: a + b, [F.coalesce(_dec(c), F.lit(0).cast(MEASURE_TYPE)) for c in cols])
 
 
-def dashboard(fact: DataFrame, dim: DataFrame, key: str, attrs: dict[str, str]) -> DataFrame:
+def dashboard(fact: DataFrame, dim: DataFrame, key: str, attrs: dict[str, str],
+              target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Fact rows with aliased dimension attributes (``alias -> column``).
 
-    A USING join keeps one key column (trap T14). The dimension side is left to
-    AQE: broadcast when its measured size is under the threshold, else a shuffle
-    join with skew splitting."""
+    A USING join keeps one key column (trap T14). AQE broadcasts the dimension
+    when its measured size is small; otherwise providers with more than
+    ``target_rows`` fact rows are salted (``target_rows=None``: plain join)."""
     side = dim.select(key, *[F.col(c).alias(a) for a, c in attrs.items()])
-    return fact.join(side, key, "left")
+    if target_rows is None:
+        return fact.join(side, key, "left")
+    return salted_join(fact, side, [key], "left", target_rows=target_rows)
 
 
 def hours_by_type(df: DataFrame, measures: dict[str, str]) -> DataFrame:
@@ -101,7 +106,9 @@ def perm_vs_contract(df: DataFrame, group_cols, emp_cols, ctr_cols, load_col: st
 
 def reference_gap(fact: DataFrame, fact_key: str, ref: DataFrame, ref_key: str) -> DataFrame:
     """Fact rows without a reference row, and how many distinct keys they carry."""
-    keys = ref.select(F.col(ref_key).alias("__lq_k")).distinct()
+    # no distinct before an anti join: it cannot multiply rows, and a plain
+    # shuffle on both inputs lets AQE split a hot fact key
+    keys = ref.select(F.col(ref_key).alias("__lq_k"))
     orphans = fact.join(keys, fact[fact_key] == keys["__lq_k"], "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("unmatched_rows"),
                        F.count_distinct(fact_key).alias("unmatched_keys"))

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lakeq.contracts import ContractError, GateError, ValidationRules
+from lakeq.operators.joins import DEFAULT_TARGET_ROWS, key_counts, salted_join
 
 _MISSING = "__lq_missing"
 _DUP = "__lq_dup_n"
@@ -44,23 +45,31 @@ def any_negative(df: DataFrame, columns) -> Column:
     return F.coalesce(reduce(lambda a, b: a | b, [F.col(c) < 0 for c in present]), F.lit(False))
 
 
-def with_duplicate_count(df: DataFrame, keys, name: str = _DUP) -> DataFrame:
+def with_duplicate_count(df: DataFrame, keys, name: str = _DUP, counts: DataFrame | None = None,
+                         target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """F3 + J1: attach the copy count of each row's key when the key repeats.
 
-    Keys with a NULL part never count (SQL semantics, trap T7). The grouped
-    side is combined map-side, so a hot key costs one row per map task."""
+    Keys with a NULL part never count (SQL semantics, trap T7). The per-key
+    counts combine map-side; the join back salts keys holding more than
+    ``target_rows`` rows, so one huge duplicate key is spread over many tasks."""
+    keys = list(keys)
+    counts = counts if counts is not None else key_counts(df, keys)
     complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    dups = (df.where(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-            .where(F.col(name) > 1))
-    return df.join(dups, on=list(keys), how="left")
+    dups = counts.where(complete & (F.col("__lq_n") > 1)).withColumnRenamed("__lq_n", name)
+    return salted_join(df, dups, keys, "left", counts=counts, target_rows=target_rows)
 
 
 def with_reference_match(df: DataFrame, fact_key: str, ref: DataFrame, ref_key: str,
-                         name: str = _UNMATCHED) -> DataFrame:
-    """Flag rows whose key has no reference row (a NULL key never matches)."""
-    keys = ref.select(F.col(ref_key).alias("__lq_ref_key")).distinct().withColumn("__lq_hit", F.lit(True))
-    joined = df.join(keys, df[fact_key] == keys["__lq_ref_key"], "left")
-    return joined.withColumn(name, F.col("__lq_hit").isNull()).drop("__lq_ref_key", "__lq_hit")
+                         name: str = _UNMATCHED, counts: DataFrame | None = None,
+                         target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Flag rows whose key has no reference row (a NULL key never matches).
+
+    The reference keys are made unique (so rows are not multiplied), and hot
+    fact keys are salted (see ``joins.salted_join``)."""
+    keys = (ref.select(F.col(ref_key).alias(fact_key)).where(F.col(fact_key).isNotNull()).distinct()
+            .withColumn("__lq_hit", F.lit(True)))
+    joined = salted_join(df, keys, [fact_key], "left", counts=counts, target_rows=target_rows)
+    return joined.withColumn(name, F.col("__lq_hit").isNull()).drop("__lq_hit")
 
 
 def _reasons(pairs) -> Column:
@@ -68,13 +77,25 @@ def _reasons(pairs) -> Column:
     return F.filter(arr, lambda x: x.isNotNull())
 
 
-def tag_fact(fact: DataFrame, ref: DataFrame, rules: ValidationRules) -> DataFrame:
-    """Fact rows + rule flags + ``quarantine_reasons`` (array, possibly empty)."""
+def tag_fact(fact: DataFrame, ref: DataFrame, rules: ValidationRules,
+             target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """Fact rows + rule flags + ``quarantine_reasons`` (array, possibly empty).
+
+    One map-side-combined aggregate of the fact keys serves both joins: it
+    gives the duplicate counts and, re-aggregated, the rows per reference key
+    used to salt hot keys."""
     require_columns(fact, rules.fact_keys, f"{rules.fact_label} data")
     negative = any_negative(fact, rules.nonnegative)
-    tagged = (with_duplicate_count(fact, rules.fact_keys)
+    keys = list(rules.fact_keys)
+    counts = key_counts(fact, keys)
+    if rules.fact_ref_key in keys:
+        ref_counts = counts.groupBy(rules.fact_ref_key).agg(F.sum("__lq_n").alias("__lq_n"))
+    else:
+        ref_counts = key_counts(fact, [rules.fact_ref_key])
+    tagged = (with_duplicate_count(fact, keys, counts=counts, target_rows=target_rows)
               .withColumns({_MISSING: any_null(rules.fact_keys), _NEG: negative}))
-    tagged = with_reference_match(tagged, rules.fact_ref_key, ref, rules.ref_key)
+    tagged = with_reference_match(tagged, rules.fact_ref_key, ref, rules.ref_key, counts=ref_counts,
+                                  target_rows=target_rows)
     tagged = tagged.withColumn(REASONS, _reasons([
         (F.col(_MISSING), rules.reason("fact_missing")),
         (F.col(_DUP).isNotNull(), rules.reason("fact_duplicate")),
@@ -84,9 +105,10 @@ def tag_fact(fact: DataFrame, ref: DataFrame, rules: ValidationRules) -> DataFra
     return tagged.select(*fact.columns, _MISSING, _DUP, _NEG, _UNMATCHED, REASONS)
 
 
-def tag_reference(ref: DataFrame, rules: ValidationRules) -> DataFrame:
+def tag_reference(ref: DataFrame, rules: ValidationRules, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     require_columns(ref, rules.ref_keys, f"{rules.ref_label} data")
-    tagged = with_duplicate_count(ref, rules.ref_keys).withColumn(_MISSING, any_null(rules.ref_keys))
+    tagged = with_duplicate_count(ref, rules.ref_keys, target_rows=target_rows).withColumn(
+        _MISSING, any_null(rules.ref_keys))
     tagged = tagged.withColumn(REASONS, _reasons([
         (F.col(_MISSING), rules.reason("ref_missing")),
         (F.col(_DUP).isNotNull(), rules.reason("ref_duplicate")),

@@ -131,13 +131,12 @@ def duplicate_key_rows_nullsafe(spark, sf):
 
 def unmatched_rows(spark, sf):
     docs, labels = load(spark, sf, "documents"), load(spark, sf, "labels")
-    keys = labels.select("doc_id").distinct()
-    return docs.join(keys, "doc_id", "left_anti")
+    return docs.join(labels.select("doc_id"), "doc_id", "left_anti")
 
 
 def unreferenced_keys(spark, sf):
     orders = _dated(load(spark, sf, "orders"))
-    keys = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+    keys = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
     return orders.join(keys, "o_orderkey", "left_anti")
 
 

@@ -82,4 +82,4 @@ def pending_files(manifest: DataFrame, processed: DataFrame) -> DataFrame:
     """Files of a new manifest not already processed, matched on
     (dataset, path, size) — a changed size counts as a new file."""
     keys = ["dataset", "path", "size_bytes"]
-    return manifest.join(processed.select(*keys).distinct(), keys, "left_anti")
+    return manifest.join(processed.select(*keys), keys, "left_anti")
