@@ -32,15 +32,26 @@ def na_to_null(c, tokens=NA_TOKENS) -> Column:
     return F.when(col.isin(list(tokens)), F.lit(None).cast("string")).otherwise(col)
 
 
+# The characters of the regex class \s: space, tab, newline, vertical tab, form feed, return.
+_WHITESPACE = " \t\n\u000b\f\r"
+
+
+def _blank_any(col: Column) -> Column:
+    """True when the value is empty or made only of \s characters (no regex)."""
+    return F.btrim(col, F.lit(_WHITESPACE)) == ""
+
+
 def whitespace_to_null(c) -> Column:
-    """A value made only of white space (any kind) becomes NULL."""
+    """A value made only of white space (regex \s, any mix) becomes NULL."""
     col = _c(c)
-    return F.when(col.rlike(r"^\s*$"), F.lit(None).cast("string")).otherwise(col)
+    return F.when(_blank_any(col), F.lit(None).cast("string")).otherwise(col)
 
 
 def profile_text(c) -> Column:
-    """Text as the profiling reader sees it: NA tokens, then white space, to NULL."""
-    return whitespace_to_null(na_to_null(c))
+    """Text as the profiling reader sees it: NA tokens and white-space-only
+    values become NULL (one test per value)."""
+    col = _c(c)
+    return F.when(col.isin(list(NA_TOKENS)) | _blank_any(col), F.lit(None).cast("string")).otherwise(col)
 
 
 def clean_file_name(c) -> Column:

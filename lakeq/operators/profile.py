@@ -178,8 +178,19 @@ def apply_inferred_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
                       else F.col(f"`{c}`") for c in df.columns])
 
 
+def missing_counts(df: DataFrame, table: str | None = None) -> DataFrame:
+    """Missing values per column from a single aggregate of non-NULL counts."""
+    wide = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(f"`{c}`")).alias(f"nn{i}")
+                                                     for i, c in enumerate(df.columns)])
+    return wide.select(F.inline(F.array(*[F.struct(
+        F.lit(table).cast("string").alias("table_name"), F.lit(c).alias("column_name"),
+        (F.col("__n") - F.col(f"nn{i}")).cast("bigint").alias("missing_count"))
+        for i, c in enumerate(df.columns)])))
+
+
 def missing_ranking(profile: DataFrame) -> DataFrame:
-    """O1: columns by missing count, most missing first."""
+    """O1: columns by missing count, most missing first (input: a column
+    profile or ``missing_counts``)."""
     return profile.select("table_name", "column_name", "missing_count").orderBy(
         F.desc("missing_count"), "column_name")
 

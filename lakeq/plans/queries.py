@@ -290,8 +290,8 @@ def inferred_types(spark, sf):
 
 
 def missing_ranking(spark, sf):
-    prof = profile.column_profile(profile.profile_read(lineitem_raw(spark, sf)), "lineitem_raw")
-    return profile.missing_ranking(prof)
+    counts = profile.missing_counts(profile.profile_read(lineitem_raw(spark, sf)), "lineitem_raw")
+    return profile.missing_ranking(counts)
 
 
 def dataset_overview(spark, sf):

@@ -22,9 +22,15 @@ def read_run(spark: SparkSession, base: str, run_id: str) -> DataFrame:
 
 
 def write_partitioned(df: DataFrame, path: str, partition_cols=("work_year", "work_month"),
-                      dynamic: bool = False) -> None:
+                      dynamic: bool = False, rebalance: bool = True) -> None:
     """Partitioned parquet. Static overwrite (parity) replaces the whole
-    table; ``dynamic=True`` replaces only the partitions present (trap T8)."""
+    table; ``dynamic=True`` replaces only the partitions present (trap T8).
+
+    ``rebalance`` shuffles rows by the partition columns with AQE allowed to
+    split a hot partition and merge small ones, so each directory gets a few
+    right-sized files instead of one file per input task per directory."""
+    if rebalance:
+        df = df.hint("rebalance", *partition_cols)
     (df.write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
      .partitionBy(*partition_cols).parquet(path))
