@@ -17,8 +17,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakeq.functions.casts import _NUMERIC_TEXT as _NUMERIC_RX
 from lakeq.functions.casts import numeric_text_ok
 from lakeq.functions.text import profile_text
+from lakeq.session import ensure_checkpoint_dir
 
 NUMERIC_LIKE_ISSUE = "Possible numeric values stored as text"
 _NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
@@ -50,20 +52,40 @@ def _pct(num, total):
     return F.when(total == 0, F.lit(0.0)).otherwise(F.round(num * 100.0 / total, 2))
 
 
+def _q(name: str) -> str:
+    """A column name quoted for a SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _stack(wide: DataFrame, rows: list[list[str]], names: list[str]) -> DataFrame:
+    """Unpivot a one-row aggregate: ``rows`` holds one list of SQL expressions
+    per output row (same arity as ``names``). One SQL expression instead of a
+    struct per column keeps plan construction cheap for wide tables."""
+    body = ", ".join(e for row in rows for e in row)
+    return wide.selectExpr(f"stack({len(rows)}, {body}) AS ({', '.join(names)})")
+
+
 def _distinct_counts(df: DataFrame, approx: bool, chunk: int) -> DataFrame:
-    """(column_name, distinct) for every column. Exact distinct counts plan an
-    Expand (one row copy per counted column), so columns are counted in chunks
-    of ``chunk`` per aggregate to bound that blow-up; ``approx`` uses HLL++
-    instead, one pass, no Expand."""
+    """(column_name, distinct) for every column.
+
+    Several exact distinct counts in one aggregate plan an Expand (one row copy
+    per counted column). Counting ``chunk`` columns per aggregate (default 4) bounds
+    that blow-up; each chunk's scan reads only its own columns, so the chunks
+    together read the table about once and run as independent stages
+    (``chunk=1`` gives plain two-phase single-distinct aggregations). ``approx``
+    uses HyperLogLog++ instead."""
     names = df.columns
     frames = []
+    fn = "approx_count_distinct({})" if approx else "count(DISTINCT {})"
     for start in range(0, len(names), chunk):
         part = names[start:start + chunk]
-        fn = F.approx_count_distinct if approx else F.count_distinct
-        wide = df.agg(*[fn(F.col(f"`{c}`")).alias(f"d{start + i}") for i, c in enumerate(part)])
-        frames.append(wide.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("column_name"), F.col(f"d{start + i}").cast("bigint").alias("distinct"))
-            for i, c in enumerate(part)]))))
+        wide = df.agg(*[F.expr(fn.format(_q(c))).alias(f"d{start + i}") for i, c in enumerate(part)])
+        frames.append(_stack(wide, [[_lit(c), f"CAST(d{start + i} AS BIGINT)"] for i, c in enumerate(part)],
+                             ["column_name", "distinct"]))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
@@ -72,58 +94,41 @@ def _distinct_counts(df: DataFrame, approx: bool, chunk: int) -> DataFrame:
 
 def column_profile(df: DataFrame, table: str | None = None, missing_threshold: float = 0.2,
                    numeric_like_threshold: float = 0.8, approx_distinct: bool = False,
-                   distinct_chunk: int = 32) -> DataFrame:
+                   distinct_chunk: int = 4) -> DataFrame:
     """A6-A10 + G5: one row per column.
 
-    Counts and the numeric-text test are one aggregate; exact distinct counts
-    run in column chunks (see ``_distinct_counts``) and join back by column
-    name (both sides have one row per column)."""
+    Counts and the numeric-text test are one aggregate, unpivoted with one
+    ``stack``; the per-column rules are then one row-wise projection. Distinct
+    counts come from ``_distinct_counts`` and join back by column name (both
+    sides hold one row per column)."""
     strings = set(string_columns(df))
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        aggs.append(F.count(c).alias(f"nn{i}"))
-        if f.name in strings:
-            aggs.append(F.count_if(numeric_text_ok(c)).alias(f"num{i}"))
-    if len(df.columns) <= distinct_chunk:
-        # narrow table: distinct counts ride in the same aggregate
-        aggs.extend((F.approx_count_distinct(F.col(f"`{c}`")) if approx_distinct
-                     else F.count_distinct(F.col(f"`{c}`"))).alias(f"d{i}") for i, c in enumerate(df.columns))
-        distinct = None
-    else:
-        distinct = _distinct_counts(df, approx_distinct, distinct_chunk)
-    wide = df.agg(*aggs)
-    rows = []
-    for i, f in enumerate(df.schema.fields):
-        n, nn = F.col("__n"), F.col(f"nn{i}")
-        missing = n - nn
-        if f.name in strings:
-            share = F.col(f"num{i}") / nn
-            issue = F.when((nn > 0) & (share >= numeric_like_threshold), F.lit(NUMERIC_LIKE_ISSUE))
-        else:
-            issue = F.lit(None)
-        d = F.col(f"d{i}") if distinct is None else F.lit(None).cast("bigint")
-        rows.append(F.struct(
-            F.lit(table).cast("string").alias("table_name"),
-            F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("dtype"),
-            n.cast("bigint").alias("row_count"),
-            nn.cast("bigint").alias("non_null_count"),
-            missing.cast("bigint").alias("missing_count"),
-            _pct(missing, n).alias("missing_pct"),
-            _pct(nn, n).alias("completeness_pct"),
-            d.cast("bigint").alias("unique_non_null_values"),
-            F.when(n == 0, F.lit(False)).otherwise(missing / n >= missing_threshold).alias("high_missing_flag"),
-            F.coalesce(issue, F.lit("")).alias("possible_type_issue"),
-        ))
-    prof = wide.select(F.inline(F.array(*rows)))
-    if distinct is not None:
-        prof = prof.drop("unique_non_null_values").join(
-            distinct.withColumnRenamed("distinct", "unique_non_null_values"), "column_name")
-    return prof.withColumn("constant_column_flag", F.col("unique_non_null_values") <= 1).select(
+    aggs = ["count(1) AS n"]
+    for i, c in enumerate(df.columns):
+        aggs.append(f"count({_q(c)}) AS nn{i}")
+        if c in strings:
+            aggs.append(f"count_if(trim(CAST({_q(c)} AS STRING)) RLIKE {_lit(_NUMERIC_RX)}) AS num{i}")
+    wide = df.agg(*[F.expr(a.rsplit(" AS ", 1)[0]).alias(a.rsplit(" AS ", 1)[1]) for a in aggs])
+    long = _stack(wide, [[_lit(f.name), _lit(f.dataType.simpleString()), "n", f"nn{i}",
+                          f"num{i}" if f.name in strings else "CAST(NULL AS BIGINT)",
+                          "true" if f.name in strings else "false"]
+                         for i, f in enumerate(df.schema.fields)],
+                  ["column_name", "dtype", "n", "nn", "num", "is_text"])
+    t = _lit(table) if table is not None else "CAST(NULL AS STRING)"
+    prof = long.selectExpr(
+        f"{t} AS table_name", "column_name", "dtype",
+        "CAST(n AS BIGINT) AS row_count", "CAST(nn AS BIGINT) AS non_null_count",
+        "CAST(n - nn AS BIGINT) AS missing_count",
+        "CASE WHEN n = 0 THEN 0.0D ELSE round(CAST(n - nn AS DOUBLE) * 100.0D / n, 2) END AS missing_pct",
+        "CASE WHEN n = 0 THEN 0.0D ELSE round(CAST(nn AS DOUBLE) * 100.0D / n, 2) END AS completeness_pct",
+        f"CASE WHEN n = 0 THEN false ELSE CAST(n - nn AS DOUBLE) / n >= {float(missing_threshold)}D END"
+        " AS high_missing_flag",
+        f"CASE WHEN is_text AND nn > 0 AND CAST(num AS DOUBLE) / nn >= {float(numeric_like_threshold)}D"
+        f" THEN {_lit(NUMERIC_LIKE_ISSUE)} ELSE '' END AS possible_type_issue")
+    distinct = _distinct_counts(df, approx_distinct, max(1, distinct_chunk))
+    return prof.join(distinct.withColumnRenamed("distinct", "unique_non_null_values"), "column_name").selectExpr(
         "table_name", "column_name", "dtype", "row_count", "non_null_count", "missing_count", "missing_pct",
-        "completeness_pct", "unique_non_null_values", "constant_column_flag", "high_missing_flag",
-        "possible_type_issue")
+        "completeness_pct", "unique_non_null_values", "unique_non_null_values <= 1 AS constant_column_flag",
+        "high_missing_flag", "possible_type_issue")
 
 
 def profile_read(df: DataFrame) -> DataFrame:
@@ -226,7 +231,8 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75), partitions: in
     """Exact linear-interpolated quantiles (the pandas / quantile_cont rule) of
     several columns, without gathering a column into one task.
 
-    1. count rows per (column, value) — combined map-side;
+    1. count rows per value, one aggregate per column (combined map-side;
+       each reads only its own column);
     2. range-partition those distinct values; running counts inside each
        partition plus per-partition offsets give every value's rank interval;
     3. a broadcast of the target ranks (columns x probs x 2 rows, bounded by
@@ -235,9 +241,21 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75), partitions: in
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = _long_values(df, cols).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    # one map-side-combined value count per column: each reads only its own
+    # column, and the per-column stages run side by side
+    per_col = [df.select(F.col(f"`{c}`").cast("double").alias("value")).where(F.col("value").isNotNull())
+               .groupBy("value").agg(F.count(F.lit(1)).alias("n"))
+               .select(F.lit(c).alias("column_name"), "value", "n") for c in cols]
+    counts = per_col[0]
+    for f in per_col[1:]:
+        counts = counts.unionByName(f)
     ranged = counts.repartitionByRange(partitions, "column_name", "value").withColumn(
         "pid", F.spark_partition_id())
+    if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
+        # both branches below must see the same range bounds; with exchange
+        # reuse on they share one exchange, otherwise materialise it once
+        ensure_checkpoint_dir(spark)
+        ranged = ranged.checkpoint()
     per_part = ranged.groupBy("column_name", "pid").agg(F.sum("n").alias("pn"))
     w_off = Window.partitionBy("column_name").orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     w_tot = Window.partitionBy("column_name")

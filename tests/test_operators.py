@@ -172,9 +172,10 @@ def test_dashboard_single_key_column(spark, fact, ref):
 
 def test_distinct_chunks_match_single_aggregate(spark):
     df = spark.createDataFrame([(i % 3, i % 5, str(i % 7), None) for i in range(50)], "a int, b int, c string, d string")
-    one = {r.column_name: r.unique_non_null_values for r in profile.column_profile(df, "t").collect()}
+    one = {r.column_name: r.unique_non_null_values
+           for r in profile.column_profile(df, "t", distinct_chunk=10).collect()}
     chunked = {r.column_name: r.unique_non_null_values
-               for r in profile.column_profile(df, "t", distinct_chunk=2).collect()}
+               for r in profile.column_profile(df, "t", distinct_chunk=1).collect()}
     assert one == chunked == {"a": 3, "b": 5, "c": 7, "d": 0}
 
 
@@ -184,3 +185,13 @@ def test_infer_types_like_a_csv_reader(spark):
     got = {r.column_name: r.inferred_type for r in profile.infer_types(df).collect()}
     assert got == {"i": "bigint", "i_gap": "double", "f": "double", "b": "boolean", "s": "string",
                    "empty": "double"}
+
+
+def test_exact_quantiles_without_exchange_reuse(spark):
+    df = spark.createDataFrame([(float(v),) for v in range(1, 102)], "x double")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        q = {r.prob: r.value for r in profile.exact_quantiles(df, ["x"], partitions=7).collect()}
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", "true")
+    assert q == {0.25: 26.0, 0.5: 51.0, 0.75: 76.0}
