@@ -165,3 +165,23 @@ def test_streaming_landing_processes_each_file_once(spark, tmp_dir):
     q = spark.read.parquet(kw["quarantine_path"])
     assert sorted(r.quarantine_reason for r in q.collect()) == [
         "missing_required_staffing_fields", "negative_staffing_hours"]
+
+
+def test_empty_dataset_fails_before_writes(spark, tmp_dir):
+    from lakeq.operators.validate import run_validation
+    fact = spark.createDataFrame([], "provnum string, workdate string, hrs_cna double")
+    ref = spark.createDataFrame([("1",)], "cms_certification_number_ccn string")
+    with pytest.raises(GateError):
+        run_validation(fact, ref, staffing.RULES, run_id="r1", run_ts=RUN_TS,
+                       quarantine_base=os.path.join(tmp_dir, "q"), summary_path=os.path.join(tmp_dir, "s"))
+    assert not os.path.exists(os.path.join(tmp_dir, "s"))
+
+
+def test_duplicate_csv_headers_are_renamed_by_the_reader(spark, tmp_dir):
+    from lakeq.functions.names import standardize_columns
+    from lakeq.sources.csv import read_csv_strings
+    path = os.path.join(tmp_dir, "dup.csv")
+    _write_csv(path, ["A B", "A B", "C"], [["1", "2", "3"]])
+    df = read_csv_strings(spark, path)
+    assert len(set(df.columns)) == 3 and all(c.startswith("A B") for c in df.columns[:2])
+    assert standardize_columns(df).columns[2] == "c"
