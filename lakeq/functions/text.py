@@ -37,12 +37,12 @@ _WHITESPACE = " \t\n\u000b\f\r"
 
 
 def _blank_any(col: Column) -> Column:
-    """True when the value is empty or made only of \s characters (no regex)."""
+    """True when the value is empty or made only of those characters (no regex)."""
     return F.btrim(col, F.lit(_WHITESPACE)) == ""
 
 
 def whitespace_to_null(c) -> Column:
-    """A value made only of white space (regex \s, any mix) becomes NULL."""
+    """A value made only of white space (any mix of the characters above) becomes NULL."""
     col = _c(c)
     return F.when(_blank_any(col), F.lit(None).cast("string")).otherwise(col)
 
