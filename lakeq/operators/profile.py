@@ -150,30 +150,29 @@ def infer_types(df: DataFrame) -> DataFrame:
     when every present value is a number (or none is present), 'boolean' for
     complete True/False columns, else 'string'. Non-text columns keep their type."""
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        t = F.trim(c.cast("string"))
-        aggs += [F.count(c).alias(f"nn{i}"), F.count_if(t.rlike(_INT_TEXT)).alias(f"int{i}"),
-                 F.count_if(numeric_text_ok(c)).alias(f"num{i}"),
-                 F.count_if(t.isin(list(_BOOL_TOKENS))).alias(f"b{i}")]
-    wide = df.agg(*aggs)
-    rows = []
+    bools = ", ".join(_lit(b) for b in _BOOL_TOKENS)
+    aggs = {"n": "count(1)"}
     for i, f in enumerate(fields):
-        n, nn = F.col("__n"), F.col(f"nn{i}")
-        ints, nums, bools = F.col(f"int{i}"), F.col(f"num{i}"), F.col(f"b{i}")
-        if isinstance(f.dataType, T.StringType):
-            inferred = (F.when(nn == 0, F.lit("double"))
-                        .when((ints == nn) & (nn == n), F.lit("bigint"))
-                        .when(nums == nn, F.lit("double"))
-                        .when((bools == nn) & (nn == n), F.lit("boolean"))
-                        .otherwise(F.lit("string")))
-        else:
-            inferred = F.lit(f.dataType.simpleString())
-        rows.append(F.struct(F.lit(f.name).alias("column_name"), nn.cast("bigint").alias("non_null_count"),
-                             ints.cast("bigint").alias("integer_count"), nums.cast("bigint").alias("numeric_count"),
-                             inferred.alias("inferred_type")))
-    return wide.select(F.inline(F.array(*rows)))
+        t = f"trim(CAST({_q(f.name)} AS STRING))"
+        aggs[f"nn{i}"] = f"count({_q(f.name)})"
+        aggs[f"num{i}"] = f"count_if({t} RLIKE {_lit(_NUMERIC_RX)})"
+        # an integer is a number without '.', 'e' or 'E' and of at most 18 digits
+        aggs[f"int{i}"] = f"count_if({t} RLIKE {_lit(_INT_TEXT)})"
+        aggs[f"b{i}"] = f"count_if({t} IN ({bools}))"
+    wide = df.agg(*[F.expr(e).alias(a) for a, e in aggs.items()])
+    long = _stack(wide, [[_lit(f.name), _lit(f.dataType.simpleString()),
+                          "true" if isinstance(f.dataType, T.StringType) else "false",
+                          "n", f"nn{i}", f"int{i}", f"num{i}", f"b{i}"] for i, f in enumerate(fields)],
+                  ["column_name", "dtype", "is_text", "n", "nn", "ints", "nums", "bools"])
+    return long.selectExpr(
+        "column_name", "CAST(nn AS BIGINT) AS non_null_count", "CAST(ints AS BIGINT) AS integer_count",
+        "CAST(nums AS BIGINT) AS numeric_count",
+        """CASE WHEN NOT is_text THEN dtype
+                WHEN nn = 0 THEN 'double'
+                WHEN ints = nn AND nn = n THEN 'bigint'
+                WHEN nums = nn THEN 'double'
+                WHEN bools = nn AND nn = n THEN 'boolean'
+                ELSE 'string' END AS inferred_type""")
 
 
 def apply_inferred_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
@@ -185,12 +184,11 @@ def apply_inferred_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
 
 def missing_counts(df: DataFrame, table: str | None = None) -> DataFrame:
     """Missing values per column from a single aggregate of non-NULL counts."""
-    wide = df.agg(F.count(F.lit(1)).alias("__n"), *[F.count(F.col(f"`{c}`")).alias(f"nn{i}")
-                                                     for i, c in enumerate(df.columns)])
-    return wide.select(F.inline(F.array(*[F.struct(
-        F.lit(table).cast("string").alias("table_name"), F.lit(c).alias("column_name"),
-        (F.col("__n") - F.col(f"nn{i}")).cast("bigint").alias("missing_count"))
-        for i, c in enumerate(df.columns)])))
+    wide = df.agg(F.count(F.lit(1)).alias("n"),
+                  *[F.expr(f"count({_q(c)})").alias(f"nn{i}") for i, c in enumerate(df.columns)])
+    t = _lit(table) if table is not None else "CAST(NULL AS STRING)"
+    return _stack(wide, [[t, _lit(c), f"CAST(n - nn{i} AS BIGINT)"] for i, c in enumerate(df.columns)],
+                  ["table_name", "column_name", "missing_count"])
 
 
 def missing_ranking(profile: DataFrame) -> DataFrame:
@@ -357,16 +355,17 @@ def numeric_like_text(df: DataFrame, cols=None, threshold: float = 0.8) -> DataF
     """A10 + P17: per text column, how many non-NULL trimmed values are plain
     numbers, their share, and the flag (share >= threshold; all-NULL -> false)."""
     cols = list(cols) if cols is not None else string_columns(df)
-    wide = df.agg(*[a for i, c in enumerate(cols) for a in (
-        F.count(F.col(c)).alias(f"nn{i}"), F.count_if(numeric_text_ok(F.col(c))).alias(f"ok{i}"))])
-    return wide.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("column_name"), F.col(f"nn{i}").cast("bigint").alias("non_null_count"),
-        F.col(f"ok{i}").cast("bigint").alias("numeric_count"),
-        F.when(F.col(f"nn{i}") == 0, F.lit(None).cast("double"))
-        .otherwise(F.round(F.col(f"ok{i}") / F.col(f"nn{i}"), 6)).alias("numeric_share"),
-        F.when(F.col(f"nn{i}") == 0, F.lit(False))
-        .otherwise(F.col(f"ok{i}") / F.col(f"nn{i}") >= threshold).alias("numeric_like"))
-        for i, c in enumerate(cols)])))
+    aggs = {}
+    for i, c in enumerate(cols):
+        aggs[f"nn{i}"] = f"count({_q(c)})"
+        aggs[f"ok{i}"] = f"count_if(trim(CAST({_q(c)} AS STRING)) RLIKE {_lit(_NUMERIC_RX)})"
+    wide = df.agg(*[F.expr(e).alias(a) for a, e in aggs.items()])
+    long = _stack(wide, [[_lit(c), f"nn{i}", f"ok{i}"] for i, c in enumerate(cols)],
+                  ["column_name", "nn", "ok"])
+    return long.selectExpr(
+        "column_name", "CAST(nn AS BIGINT) AS non_null_count", "CAST(ok AS BIGINT) AS numeric_count",
+        "CASE WHEN nn = 0 THEN CAST(NULL AS DOUBLE) ELSE round(CAST(ok AS DOUBLE) / nn, 6) END AS numeric_share",
+        f"CASE WHEN nn = 0 THEN false ELSE CAST(ok AS DOUBLE) / nn >= {float(threshold)}D END AS numeric_like")
 
 
 def profile(df: DataFrame, table: str, **kw) -> dict[str, DataFrame]:
