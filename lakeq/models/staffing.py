@@ -135,3 +135,31 @@ FACT_DROPS = ("workdate", "provname", "city", "state", "county_name", "county_fi
 # Serving: the dashboard's attribute projection of the dimension.
 DASHBOARD_ATTRS = {"num_beds": "number_of_certified_beds", "in_hospital_flg": "provider_resides_in_hospital",
                    "overall_rating": "overall_rating"}
+
+# The declared key of each profiled dataset (standardised column
+# names); the aggregate-performance file is a single row and has no key.
+DATASET_KEYS = {
+    "PBJ_Daily_Nurse_Staffing_Q2_2024": ("provnum", "workdate"),
+    "NH_ProviderInfo_Oct2024": ("cms_certification_number_ccn",),
+    "NH_CitationDescriptions_Oct2024": ("deficiency_prefix_and_number",),
+    "NH_CovidVaxAverages_20241027": ("state",),
+    "NH_CovidVaxProvider_20241027": ("cms_certification_number_ccn",),
+    "NH_DataCollectionIntervals_Oct2024": ("measure_code",),
+    "NH_FireSafetyCitations_Oct2024": ("cms_certification_number_ccn", "survey_date", "deficiency_tag_number"),
+    "NH_HealthCitations_Oct2024": ("cms_certification_number_ccn", "survey_date", "deficiency_tag_number"),
+    "NH_HlthInspecCutpointsState_Oct2024": ("state",),
+    "NH_Ownership_Oct2024": ("cms_certification_number_ccn", "role_played_by_owner_or_manager_in_facility",
+                             "owner_name"),
+    "NH_Penalties_Oct2024": ("cms_certification_number_ccn", "penalty_date", "fine_amount"),
+    "NH_QualityMsr_Claims_Oct2024": ("cms_certification_number_ccn", "measure_code"),
+    "NH_QualityMsr_MDS_Oct2024": ("cms_certification_number_ccn", "measure_code"),
+    "NH_StateUSAverages_Oct2024": ("state_or_nation",),
+    "NH_SurveyDates_Oct2024": ("cms_certification_number_ccn", "survey_date", "survey_type"),
+    "NH_SurveySummary_Oct2024": ("cms_certification_number_ccn", "inspection_cycle"),
+    "Skilled_Nursing_Facility_Quality_Reporting_Program_National_Data_Oct2024": ("measure_code",),
+    "Skilled_Nursing_Facility_Quality_Reporting_Program_Provider_Data_Oct2024": ("cms_certification_number_ccn",
+                                                                                 "measure_code"),
+    "Swing_Bed_SNF_data_Oct2024": ("cms_certification_number_ccn", "measure_code"),
+    "FY_2024_SNF_VBP_Aggregate_Performance": (),
+    "FY_2024_SNF_VBP_Facility_Performance": ("cms_certification_number_ccn",),
+}

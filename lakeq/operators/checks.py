@@ -38,12 +38,14 @@ def duplicate_key_rows(df: DataFrame, keys, null_safe: bool = True,
 
 
 def key_report(df: DataFrame, keys, table: str) -> DataFrame:
-    """Rows, distinct keys and duplicated rows for one declared key."""
+    """Rows, distinct keys and duplicated rows for one declared key. An
+    empty key declares a single-row table: every row beyond the first is a
+    duplicate."""
     keys = list(keys)
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__k"))
     return groups.agg(
         F.coalesce(F.sum("__k"), F.lit(0)).cast("bigint").alias("row_count"),
-        F.count(F.lit(1)).cast("bigint").alias("distinct_keys"),
+        F.count_if(F.col("__k") > 0).cast("bigint").alias("distinct_keys"),
         F.coalesce(F.sum(F.when(F.col("__k") > 1, F.col("__k"))), F.lit(0)).cast("bigint")
         .alias("duplicate_key_rows"),
     ).select(F.lit(table).alias("table_name"), F.lit(",".join(keys)).alias("key_columns"),

@@ -195,3 +195,17 @@ def test_exact_quantiles_without_exchange_reuse(spark):
     finally:
         spark.conf.set("spark.sql.exchange.reuse", "true")
     assert q == {0.25: 26.0, 0.5: 51.0, 0.75: 76.0}
+
+
+def test_key_report_declared_and_single_row(spark):
+    from lakeq.models.staffing import DATASET_KEYS
+    assert len(DATASET_KEYS) == 21
+    one = spark.createDataFrame([(1.5, 2.5)], "a double, b double")
+    two = one.unionByName(one)
+    empty = spark.createDataFrame([], "a double")
+    got = {r.table_name: r for r in checks.key_reports(
+        {"one": (one, []), "two": (two, []), "empty": (empty, []), "keyed": (two, ["a"])}).collect()}
+    assert got["one"].key_unique and got["one"].distinct_keys == 1
+    assert not got["two"].key_unique and got["two"].duplicate_key_rows == 2
+    assert got["empty"].row_count == 0 and got["empty"].distinct_keys == 0 and got["empty"].key_unique
+    assert got["keyed"].duplicate_key_rows == 2
