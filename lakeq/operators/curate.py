@@ -20,37 +20,47 @@ MATCH_FLAGS = {
 FLAG_COLUMNS = ("provider_match_status", "provider_reference_source", "provider_reference_gap_flag")
 
 
-def survivor(df: DataFrame, key: str, columns: list[str] | None = None, prefix: str = "") -> DataFrame:
+def survivor(df: DataFrame, key: str, columns: list[str] | None = None, prefix: str = "",
+             order_by: list | None = None) -> DataFrame:
     """A3 with a deterministic survivor (trap T13): per key, the row that is
-    smallest over the remaining columns in order. ``min`` of a struct combines
-    map-side, so a hot key never lands whole in one task."""
+    smallest over ``order_by`` (columns or expressions; use ``F.desc`` -like
+    negation for latest-first) and then over the remaining columns in order.
+    ``min`` of a struct combines map-side, so a hot key never lands whole in
+    one task."""
     cols = [c for c in (columns if columns is not None else df.columns) if c != key]
     if not cols:
         return df.select(key).distinct()
-    picked = df.groupBy(key).agg(F.min(F.struct(*[F.col(c) for c in cols])).alias("__lq_s"))
+    ranks = [(F.col(o) if isinstance(o, str) else o).alias(f"__lq_o{i}") for i, o in enumerate(order_by or [])]
+    picked = df.groupBy(key).agg(F.min(F.struct(*ranks, *[F.col(c) for c in cols])).alias("__lq_s"))
     return picked.select(key, *[F.col(f"__lq_s.{c}").alias(prefix + c) for c in cols])
 
 
 def build_dimension(ref: DataFrame, fact: DataFrame, *, ref_key: str, dim_key: str, fact_key: str,
                     inferred_attrs: dict[str, str], carried: dict[str, str], run_id: str, run_ts,
                     keep_unreferenced: bool = False, flag_columns=FLAG_COLUMNS,
-                    flag_values=MATCH_FLAGS) -> DataFrame:
+                    flag_values=MATCH_FLAGS, ref_order: list | None = None,
+                    fact_order: list | None = None) -> DataFrame:
     """Official rows (reference keys seen in the fact, plus ``carried`` fact
     attributes) union inferred rows (fact keys missing from the reference).
 
     ``inferred_attrs`` maps fact column -> dimension column filled on inferred
     rows; ``carried`` maps fact column -> dimension column on every row (J4).
     ``keep_unreferenced=False`` keeps parity: reference keys without fact rows
-    are dropped (J4 is an inner join there)."""
+    are dropped (J4 is an inner join there). ``ref_order`` / ``fact_order``
+    choose which row survives per key (default: smallest row)."""
     ref_base = ref.withColumnRenamed(ref_key, dim_key) if ref_key != dim_key else ref
     stamped = {"run_id", "curated_ts_utc", *flag_columns}  # replaced by this run's values
     ref_base = ref_base.drop(*[c for c in stamped if c in ref_base.columns])
     ref_cols = [c for c in ref_base.columns if c != dim_key]
-    ref_surv = survivor(ref_base, dim_key).withColumn("__lq_hit", F.lit(True))
+    ref_surv = survivor(ref_base, dim_key, order_by=ref_order).withColumn("__lq_hit", F.lit(True))
 
     fact_cols = list(dict.fromkeys([*inferred_attrs, *carried]))
-    fact_sel = fact.select(F.col(fact_key).alias(dim_key), *fact_cols)
-    fact_surv = survivor(fact_sel, dim_key, prefix="__lq_f_").withColumn("__lq_seen", F.lit(True))
+    fact_sel = fact.select(F.col(fact_key).alias(dim_key), *fact_cols,
+                           *[(F.col(o) if isinstance(o, str) else o).alias(f"__lq_fo{i}")
+                             for i, o in enumerate(fact_order or [])])
+    fact_surv = survivor(fact_sel, dim_key, columns=[dim_key, *fact_cols], prefix="__lq_f_",
+                         order_by=[f"__lq_fo{i}" for i in range(len(fact_order or []))]
+                         ).withColumn("__lq_seen", F.lit(True))
 
     joined = fact_surv.join(ref_surv, dim_key, "full" if keep_unreferenced else "left")
     hit = F.col("__lq_hit").isNotNull()

@@ -209,3 +209,24 @@ def test_key_report_declared_and_single_row(spark):
     assert not got["two"].key_unique and got["two"].duplicate_key_rows == 2
     assert got["empty"].row_count == 0 and got["empty"].distinct_keys == 0 and got["empty"].key_unique
     assert got["keyed"].duplicate_key_rows == 2
+
+
+def test_survivor_order(spark):
+    df = spark.createDataFrame([("k", 1, "old"), ("k", 3, "new"), ("k", 2, "mid")], "k string, v int, s string")
+    assert curate.survivor(df, "k").first().s == "old"
+    assert curate.survivor(df, "k", order_by=[-F.col("v")]).first().s == "new"
+
+
+def test_profile_composite(spark):
+    df = spark.createDataFrame([("1", 2.0), ("2", 4.0), ("2", 4.0), (None, 100.0)], "a string, v double")
+    out = profile.profile(df, "t")
+    assert set(out) == {"overview", "catalog", "duplicates", "columns", "missing_ranking", "numeric_summary",
+                        "outliers"}
+    assert out["overview"].first().row_count == 4
+    assert out["duplicates"].first().duplicate_row_count == 1
+    assert [r.column_name for r in out["missing_ranking"].collect()][0] == "a"
+    ns = out["numeric_summary"].first()
+    assert (ns["count"], ns["p50"], ns["max"]) == (4, 4.0, 100.0)
+    types = {r.column_name: r.inferred_type for r in profile.infer_types(df).collect()}
+    typed = profile.apply_inferred_types(df, types)
+    assert dict(typed.dtypes) == {"a": "double", "v": "double"}
