@@ -23,8 +23,13 @@ _INT_SHAPE = r"^[\x00-\x20]*(?<s>[+-]?)(?=[0-9.])(?<d>[0-9]*)(?:\.[0-9]*)?[\x00-
 
 def lenient_int(c, type_name: str = "int") -> Column:
     """Integral cast with legacy truncation: '12.7' -> 12, '-1.9' -> -1, '.5' -> 0,
-    '.' -> 0; '1e2', '1,000', '+', overflow -> NULL (trap T2)."""
-    return F.regexp_replace(_c(c).cast("string"), _INT_SHAPE, "${s}0${d}").try_cast(type_name)
+    '.' -> 0; '1e2', '1,000', '+', overflow -> NULL (trap T2).
+
+    Plain integer text takes the direct cast (same result); only text that
+    fails it goes through the regex."""
+    text = _c(c).cast("string")
+    return F.coalesce(text.try_cast(type_name),
+                      F.regexp_replace(text, _INT_SHAPE, "${s}0${d}").try_cast(type_name))
 
 
 def numeric_text_ok(c) -> Column:
