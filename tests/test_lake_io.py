@@ -185,3 +185,15 @@ def test_duplicate_csv_headers_are_renamed_by_the_reader(spark, tmp_dir):
     df = read_csv_strings(spark, path)
     assert len(set(df.columns)) == 3 and all(c.startswith("A B") for c in df.columns[:2])
     assert standardize_columns(df).columns[2] == "c"
+
+
+def test_manifest_last_entry_wins(spark, tmp_dir):
+    doc = {"run_id": "r9", "source": "drive", "timestamp": "t", "files": [
+        {"dataset": "staffing_hours", "file_id": "1", "file_name": "old.csv", "s3_path": "/x/old.csv", "size_bytes": 1},
+        {"dataset": "provider_reference", "file_id": "2", "file_name": "p.csv", "s3_path": "/x/p.csv", "size_bytes": 2},
+        {"dataset": "staffing_hours", "file_id": "3", "file_name": "new.csv", "s3_path": "/x/new.csv", "size_bytes": 3}]}
+    path = os.path.join(tmp_dir, "m.json")
+    with open(path, "w") as f:
+        json.dump(doc, f, indent=2)
+    rec = select_dataset_file(read_manifest_document(spark, path), "staffing_hours")
+    assert rec["file_name"] == "new.csv" and rec["path"] == "/x/new.csv"
