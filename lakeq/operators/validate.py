@@ -195,6 +195,14 @@ def gate(counter_rows: DataFrame, rules: ValidationRules) -> DataFrame:
     ).withColumn("passed", F.col("critical_total") == 0)
 
 
+def clean_rows(tagged_fact: DataFrame) -> DataFrame:
+    """T18 option ``mode='drop'``: the fact rows that break no critical rule
+    (rows carrying only the unmatched-reference warning stay), source columns only."""
+    source = [c for c in tagged_fact.columns if not c.startswith("__lq_") and c != REASONS]
+    ok = ~F.col(_MISSING) & F.col(_DUP).isNull() & ~F.col(_NEG)
+    return tagged_fact.where(ok).select(*source)
+
+
 def quarantine_rows(tagged: DataFrame, run_id: str, run_ts) -> DataFrame:
     """S10 content: one row per (source row, reason), source columns kept."""
     source = [c for c in tagged.columns if not c.startswith("__lq_") and c != REASONS]
