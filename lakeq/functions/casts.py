@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 _INTEGRAL = {"tinyint", "smallint", "int", "integer", "bigint", "long", "short", "byte"}
 # Plain decimal / scientific numbers only; rejects '1d', '1f', 'NaN', 'Infinity'.
-_NUMERIC_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+NUMERIC_TEXT_PATTERN = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
 def _c(c) -> Column:
@@ -34,12 +34,12 @@ def lenient_int(c, type_name: str = "int") -> Column:
 
 def numeric_text_ok(c) -> Column:
     """True when trimmed text is a plain number (trap T10); NULL stays NULL."""
-    return F.trim(_c(c).cast("string")).rlike(_NUMERIC_TEXT)
+    return F.trim(_c(c).cast("string")).rlike(NUMERIC_TEXT_PATTERN)
 
 
 def lenient_double(c) -> Column:
     """Plain-number text to double in one regex pass; anything else -> NULL."""
-    whole = "(" + _NUMERIC_TEXT[1:-1] + ")"
+    whole = "(" + NUMERIC_TEXT_PATTERN[1:-1] + ")"
     return F.regexp_extract(F.trim(_c(c).cast("string")), "^" + whole + "$", 1).try_cast("double")
 
 

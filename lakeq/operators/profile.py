@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeq.functions.casts import _NUMERIC_TEXT as _NUMERIC_RX
-from lakeq.functions.casts import numeric_text_ok
+from lakeq.functions.casts import NUMERIC_TEXT_PATTERN as _NUMERIC_RX
 from lakeq.functions.text import profile_text
 from lakeq.session import ensure_checkpoint_dir
 

@@ -3,7 +3,6 @@
 import contextlib
 import io
 import math
-import os
 import decimal
 import datetime as dt
 from collections import Counter

@@ -1,6 +1,5 @@
 """Properties from the survey's test strategy, over driver tables and generated rows."""
 
-import decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings

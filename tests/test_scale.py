@@ -5,7 +5,6 @@ fixture behaves like a large table: the hot partition must be split, and the
 results must stay exact (checked against DuckDB on the same derivation)."""
 
 import contextlib
-import io
 
 import pytest
 from pyspark.sql import functions as F
