@@ -332,6 +332,14 @@ WHERE NOT EXISTS (SELECT 1 FROM done d WHERE d.dataset = a.dataset AND d.path =
                   AND d.size_bytes = a.size_bytes)"""
 
 
+_QUARANTINE = f"""WITH {TAGGED}
+SELECT {STG_COLS.replace('s.', '')}, 'missing_required_lineitem_fields' AS quarantine_reason
+FROM tagged WHERE is_missing
+UNION ALL SELECT {STG_COLS.replace('s.', '')}, 'duplicate_lineitem_keys' FROM tagged WHERE is_dup
+UNION ALL SELECT {STG_COLS.replace('s.', '')}, 'negative_lineitem_amounts' FROM tagged WHERE is_neg
+UNION ALL SELECT {STG_COLS.replace('s.', '')}, 'unmatched_orders_reference_warning'
+FROM tagged WHERE is_unmatched"""
+
 ORACLE: dict[str, str] = {
     "refine_typed": _refine_typed(),
     "cast_loss": _cast_loss(),
@@ -404,6 +412,9 @@ FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""",
        l_discount, l_tax, l_returnflag, l_linestatus, CAST(l_shipdate AS DATE) AS ship_date,
        CAST(year(l_shipdate) AS INTEGER) AS ship_year, CAST(month(l_shipdate) AS INTEGER) AS ship_month
 FROM lineitem""",
+    "refined_run_roundtrip": _refine_typed(),
+    "quarantine_roundtrip": _QUARANTINE,
+    "dimension_roundtrip": f"WITH {DOC_DIM}\nSELECT * FROM dim",
     "profile_columns": _profile_columns(),
     "dataset_overview": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count, {len(cols)} AS column_count FROM {t}"

@@ -259,6 +259,32 @@ def partition_roundtrip(spark, sf):
     return spark.read.schema(li.schema).parquet(path)
 
 
+def refined_run_roundtrip(spark, sf):
+    """S7 + S3: refined rows written to a run directory and read back by run."""
+    from lakeq.sources.sinks import read_run, write_run
+    base = scratch_path(spark, "refined")
+    write_run(refine_typed(spark, sf), base, RUN_ID)
+    return read_run(spark, base, RUN_ID)
+
+
+def quarantine_roundtrip(spark, sf):
+    """Quarantined fact rows written partitioned by reason and read back;
+    the reason comes from the directory, as text (trap T15)."""
+    from lakeq.sources.sinks import write_quarantine
+    tf, _ = _tagged(spark, sf)
+    base = scratch_path(spark, "quarantine")
+    path = write_quarantine(validate.quarantine_rows(tf, RUN_ID, RUN_TS), base, "lineitem", RUN_ID)
+    return spark.read.parquet(path).drop("quarantine_ts_utc")
+
+
+def dimension_roundtrip(spark, sf):
+    """The curated dimension written unpartitioned and read back."""
+    from lakeq.sources.sinks import write_table
+    path = scratch_path(spark, "dimension")
+    write_table(_doc_dimension(spark, sf), path)
+    return spark.read.parquet(path).drop("curated_ts_utc")
+
+
 def _page_manifest(pages: DataFrame, run_id: str) -> DataFrame:
     host = F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#:]+)", 1)
     url_path = F.regexp_extract("url", r"^[a-zA-Z]+://[^/?#]*(/[^?#]*)?", 1)
@@ -361,6 +387,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "fact_daily": fact_daily,
     "dashboard_join": dashboard_join,
     "partition_roundtrip": partition_roundtrip,
+    "refined_run_roundtrip": refined_run_roundtrip,
+    "quarantine_roundtrip": quarantine_roundtrip,
+    "dimension_roundtrip": dimension_roundtrip,
     "profile_columns": profile_columns,
     "dataset_overview": dataset_overview,
     "inferred_types": inferred_types,
