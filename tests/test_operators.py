@@ -230,3 +230,13 @@ def test_profile_composite(spark):
     types = {r.column_name: r.inferred_type for r in profile.infer_types(df).collect()}
     typed = profile.apply_inferred_types(df, types)
     assert dict(typed.dtypes) == {"a": "double", "v": "double"}
+
+
+def test_approximate_options_close_to_exact(spark):
+    df = spark.createDataFrame([(float(i % 97), str(i % 13)) for i in range(2000)], "x double, s string")
+    exact = profile.numeric_summary(df, ["x"], "t").first()
+    approx = profile.numeric_summary(df, ["x"], "t", exact=False).first()
+    for q in ("p25", "p50", "p75"):
+        assert abs(exact[q] - approx[q]) <= 1.0
+    d = {r.column_name: r.unique_non_null_values for r in profile.column_profile(df, "t", approx_distinct=True).collect()}
+    assert abs(d["x"] - 97) <= 10 and abs(d["s"] - 13) <= 2  # HLL++ default relative error 5%
