@@ -84,8 +84,7 @@ def curate_stage(spark: SparkSession, layout: Layout, run_id: str, run_ts: dt.da
     if publish:
         for name, path, parts in (("dim_provider", dim_path, ()),
                                   ("fact_staffing_daily", fact_path, ("work_year", "work_month"))):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-            sinks.register_table(spark, name, path, partition_cols=parts)
+            sinks.publish(spark, name, path, run_id, partition_cols=parts)
     return {"dim_provider": dim_path, "fact_staffing_daily": fact_path}
 
 

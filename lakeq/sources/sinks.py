@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -62,3 +64,15 @@ def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str |
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {cols} USING parquet{parts} LOCATION '{path}'")
     if partition_cols:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+
+
+def publish(spark: SparkSession, name: str, path: str, run_id: str, schema_ddl: str | None = None,
+            partition_cols=()) -> str:
+    """Publish one run's table: register it under a run-specific name, then
+    point the stable name (a view) at it. Replacing a view is one catalog
+    update, so readers see the old run or the new one, never neither (trap T19).
+    Returns the run-specific table name."""
+    run_table = f"{name}__{re.sub(r'[^0-9A-Za-z_]', '_', run_id)}"
+    register_table(spark, run_table, path, schema_ddl, partition_cols)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {run_table}")
+    return run_table

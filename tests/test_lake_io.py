@@ -222,3 +222,14 @@ def test_stream_equals_batch_on_same_files(spark, tmp_dir):
     assert sorted(streamed.columns) == cols
     rows = lambda df: sorted(repr(tuple(r)) for r in df.select(cols).collect())
     assert rows(streamed) == rows(batch) and len(rows(batch)) == 2
+
+
+def test_publish_switches_view_between_runs(spark, tmp_dir):
+    df1 = spark.createDataFrame([(1,)], "v int")
+    df2 = spark.createDataFrame([(2,), (3,)], "v int")
+    for run, df in (("r-1", df1), ("r-2", df2)):
+        path = os.path.join(tmp_dir, run)
+        sinks.write_table(df, path)
+        sinks.publish(spark, "t_pub", path, run)
+        assert spark.table("t_pub").count() == df.count()
+    assert spark.table("t_pub__r_1").count() == 1
