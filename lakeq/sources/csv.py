@@ -32,7 +32,8 @@ def _has_replacement_char(df: DataFrame) -> bool:
 def read_csv_with_fallback(spark: SparkSession, path, encodings=DEFAULT_ENCODINGS) -> tuple[DataFrame, str]:
     """Try each encoding; Spark does not raise on bad bytes, it decodes them
     to U+FFFD, so a probe for that character decides (trap T9). windows-1252
-    needs ``spark.sql.legacy.javaCharsets``; without it that step is skipped.
+    needs ``spark.sql.legacy.javaCharsets``; without it that step is skipped,
+    and with it the flag must stay on while the returned (lazy) frame is used.
     Returns (frame, encoding used); raises ValueError when all fail."""
     legacy = spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() == "true"
     last = None

@@ -233,3 +233,17 @@ def test_publish_switches_view_between_runs(spark, tmp_dir):
         sinks.publish(spark, "t_pub", path, run)
         assert spark.table("t_pub").count() == df.count()
     assert spark.table("t_pub__r_1").count() == 1
+
+
+def test_encoding_fallback_uses_cp1252_when_enabled(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "euro.csv")
+    with open(path, "wb") as f:
+        f.write(b"price\n5 \x80\n")
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    try:  # the frame is lazy: the flag must stay on while it is used
+        df, enc = read_csv_with_fallback(spark, path)
+        assert enc == "cp1252" and df.first().price == "5 €"
+    finally:
+        spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+    df, enc = read_csv_with_fallback(spark, path)
+    assert enc == "latin1"
