@@ -163,3 +163,28 @@ DATASET_KEYS = {
     "FY_2024_SNF_VBP_Aggregate_Performance": (),
     "FY_2024_SNF_VBP_Facility_Performance": ("cms_certification_number_ccn",),
 }
+
+# Serving contracts (the declared views), derived by rule from the contracts above.
+DIM_FLAGS = ("provider_match_status", "provider_reference_source", "provider_reference_gap_flag")
+
+
+def dim_view_columns() -> list[tuple[str, str]]:
+    """Declared dimension view: provider columns in file order with the key
+    named ``provnum``, ``county_fips`` after ``county_parish``, then the
+    provenance flags and run stamps (lineage columns are not served, D3)."""
+    cols = []
+    for c, t in PROVIDER.columns.items():
+        cols.append(("provnum" if c == "cms_certification_number_ccn" else c, t))
+        if c == "county_parish":
+            cols.append(("county_fips", "string"))
+    return cols + [(f, "string") for f in DIM_FLAGS] + [("run_id", "string"), ("curated_ts_utc", "timestamp")]
+
+
+def fact_view_columns() -> list[tuple[str, str]]:
+    """Declared fact view: mdscensus served as decimal(10,2) (D1), the match
+    flags joined from the dimension (D2), partition columns last."""
+    return ([("provnum", "string"), ("cy_qtr", "string"), ("work_date", "date"), ("work_day", "int"),
+             ("mdscensus", D10)] + [(c, D10) for c in HOUR_COLUMNS]
+            + [("dataset_name", "string"), ("source_file_name", "string"), ("ingest_ts_utc", "timestamp")]
+            + [(f, "string") for f in DIM_FLAGS]
+            + [("run_id", "string"), ("curated_ts_utc", "timestamp"), ("work_year", "int"), ("work_month", "int")])

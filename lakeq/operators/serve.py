@@ -112,3 +112,24 @@ def reference_gap(fact: DataFrame, fact_key: str, ref: DataFrame, ref_key: str)
     orphans = fact.join(keys, fact[fact_key] == keys["__lq_k"], "left_anti")
     return orphans.agg(F.count(F.lit(1)).alias("unmatched_rows"),
                        F.count_distinct(fact_key).alias("unmatched_keys"))
+
+
+def contract_view(df: DataFrame, columns: list[tuple[str, str]]) -> DataFrame:
+    """Serve a table under its declared contract: columns resolved by name, in
+    declared order (D4), cast to the declared type (D1); declared columns the
+    table lacks become typed NULLs (P10); undeclared ones are not served (D3)."""
+    have = set(df.columns)
+    return df.select([(F.col(c).cast(t) if c in have else F.lit(None).cast(t)).alias(c) for c, t in columns])
+
+
+def fact_view(fact: DataFrame, dim: DataFrame, key: str, flag_columns, columns: list[tuple[str, str]],
+              parity: bool = False, target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """The declared fact view. The provider-match flags are joined from the
+    dimension (hot keys salted); ``parity=True`` serves them as NULL, as the
+    source pipeline's fact table did."""
+    if not parity:
+        side = dim.select(key, *flag_columns)
+        fact = (fact.drop(*[f for f in flag_columns if f in fact.columns])
+                .transform(lambda f: f.join(side, key, "left") if target_rows is None
+                           else salted_join(f, side, [key], "left", target_rows=target_rows)))
+    return contract_view(fact, columns)

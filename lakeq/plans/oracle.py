@@ -443,6 +443,10 @@ SELECT missing_date FROM cal WHERE NOT EXISTS (SELECT 1 FROM obs WHERE obs.d = c
     "date_range": """SELECT min(CAST(o_orderdate AS DATE)) AS min_date, max(CAST(o_orderdate AS DATE)) AS max_date
 FROM orders""",
     "key_uniqueness_report": _key_report(),
+    "fact_view_flags": f"""WITH {DOC_DIM}
+SELECT d.doc_id, d.lang, CAST(d.n_chars AS DECIMAL(10,2)) AS n_chars, m.match_status, m.reference_source,
+       m.reference_gap_flag, 'r1' AS run_id
+FROM documents d LEFT JOIN dim m ON d.doc_id = m.doc_id""",
     "hours_by_type": "\nUNION ALL\n".join(
         f"SELECT '{t}' AS measure_type, CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) AS total_hours FROM lineitem"
         for t, c in (("quantity", "l_quantity"), ("extended_price", "l_extendedprice"),

@@ -200,6 +200,18 @@ def dashboard_join(spark, sf):
                             "cust_balance": "c_acctbal"})
 
 
+DOC_FACT_VIEW = [("doc_id", "bigint"), ("lang", "string"), ("n_chars", "decimal(10,2)"),
+                 ("match_status", "string"), ("reference_source", "string"), ("reference_gap_flag", "string"),
+                 ("run_id", "string")]
+
+
+def fact_view_flags(spark, sf):
+    """Documents served under a declared view, with the match flags of
+    the curated dimension joined in and n_chars served as a decimal."""
+    docs = load(spark, sf, "documents").withColumn("run_id", F.lit(RUN_ID))
+    return serve.fact_view(docs, _doc_dimension(spark, sf), "doc_id", GENERIC_FLAGS, DOC_FACT_VIEW)
+
+
 def hours_by_type(spark, sf):
     return serve.hours_by_type(load(spark, sf, "lineitem"), HOURS)
 
@@ -403,6 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "missing_dates": missing_dates,
     "date_range": date_range,
     "key_uniqueness_report": key_uniqueness_report,
+    "fact_view_flags": fact_view_flags,
     "hours_by_type": hours_by_type,
     "emp_vs_ctr": emp_vs_ctr,
     "rating_in_out": rating_in_out,

@@ -68,6 +68,17 @@ def test_stages_end_to_end(spark, tmp_dir):
     assert fact.where("work_year = 2024 AND work_month = 4").count() == 3
     refined = sinks.read_run(spark, layout.refined("staffing_hours"), "r1")
     assert dict(refined.dtypes)["hrs_cna"] == "decimal(10,2)" and dict(refined.dtypes)["mdscensus"] == "int"
+    # serving views
+    from lakeq.operators import serve
+    dim_view = serve.contract_view(dim, staffing.dim_view_columns())
+    assert len(dim_view.columns) == 109 and dim_view.columns[9] == "county_fips"
+    assert "ingest_ts_utc" not in dim_view.columns
+    fv = serve.fact_view(fact, dim, "provnum", staffing.DIM_FLAGS, staffing.fact_view_columns())
+    assert len(fv.columns) == 39 and dict(fv.dtypes)["mdscensus"] == "decimal(10,2)"
+    flags = {r.provnum: r.provider_reference_gap_flag for r in fv.select("provnum", "provider_reference_gap_flag").collect()}
+    assert flags == {"015009": "N", "999999": "Y"}
+    parity = serve.fact_view(fact, dim, "provnum", staffing.DIM_FLAGS, staffing.fact_view_columns(), parity=True)
+    assert parity.where("provider_match_status IS NOT NULL").count() == 0
     assert refined.select("provnum").distinct().where("provnum = '015009'").count() == 1
 
 
