@@ -96,3 +96,29 @@ def run_stages(spark: SparkSession, manifest_path: str, layout: Layout, run_id:
     outcome = validate_stage(spark, layout, run_id, run_ts)
     tables = curate_stage(spark, layout, run_id, run_ts)
     return {"warnings": warnings, "validation": outcome.counters, "tables": tables}
+
+
+def dashboard_metrics(spark: SparkSession, fact_table: str = "fact_staffing_daily",
+                      dim_table: str = "dim_provider", k: int = 10) -> dict:
+    """The dashboard's metrics (M1-M8, M10) over the published tables, as DataFrames."""
+    from pyspark.sql import functions as F
+
+    from lakeq.operators import serve
+
+    fact, dim = spark.table(fact_table), spark.table(dim_table)
+    by_type = {t[4:]: t for t in staffing.TOTAL_HOUR_COLUMNS}
+    joined = serve.dashboard(fact, dim, "provnum", {**staffing.DASHBOARD_ATTRS, "state": "state"})
+    ratios = serve.load_ratio(fact, "provnum", staffing.TOTAL_HOUR_COLUMNS, F.sum("mdscensus"))
+    return {
+        "hours_by_type": serve.hours_by_type(fact, by_type),                                           # M1
+        "emp_vs_ctr": serve.emp_vs_contract(fact, [], staffing.EMP_HOUR_COLUMNS,
+                                            staffing.CTR_HOUR_COLUMNS),                                # M2
+        "rating_in_out": serve.rating_by_flag(dim, "provnum", "provider_resides_in_hospital",
+                                              "overall_rating"),                                       # M3 M4
+        "total_by_provider": serve.total_by(fact, ["provnum"], staffing.TOTAL_HOUR_COLUMNS),           # M5
+        "total_by_provider_state_month": serve.total_by(
+            joined, ["provnum", "state", "work_year", "work_month"], staffing.TOTAL_HOUR_COLUMNS),    # M6
+        "lowest_staffed": serve.bottom_k(ratios, "ratio", ["provnum"], k),                             # M7 M8
+        "perm_vs_contract": serve.perm_vs_contract(fact, ["provnum"], staffing.EMP_HOUR_COLUMNS,
+                                                   staffing.CTR_HOUR_COLUMNS, "mdscensus"),           # M10
+    }

@@ -79,6 +79,14 @@ def test_stages_end_to_end(spark, tmp_dir):
     assert flags == {"015009": "N", "999999": "Y"}
     parity = serve.fact_view(fact, dim, "provnum", staffing.DIM_FLAGS, staffing.fact_view_columns(), parity=True)
     assert parity.where("provider_match_status IS NOT NULL").count() == 0
+    # dashboard metrics over the published tables: 3 rows x 8.5 hours per type
+    from lakeq.plans.stages import dashboard_metrics
+    m = dashboard_metrics(spark)
+    assert {r.measure_type: r.total_hours for r in m["hours_by_type"].collect()} == {
+        t: 25.5 for t in ("rndon", "rnadmin", "rn", "lpnadmin", "lpn", "cna", "natrn", "medaide")}
+    assert m["emp_vs_ctr"].first().emp_hours == 8 * 25.5
+    assert {r.provnum for r in m["lowest_staffed"].collect()} == {"015009", "999999"}
+    assert m["total_by_provider_state_month"].count() == 2
     assert refined.select("provnum").distinct().where("provnum = '015009'").count() == 1
 
 
