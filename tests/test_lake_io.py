@@ -266,3 +266,19 @@ def test_encoding_fallback_uses_cp1252_when_enabled(spark, tmp_dir):
         spark.conf.set("spark.sql.legacy.javaCharsets", "false")
     df, enc = read_csv_with_fallback(spark, path)
     assert enc == "latin1"
+
+
+def test_manifest_write_read_roundtrip(spark, tmp_dir):
+    from lakeq.sources.manifest import write_manifest, write_manifest_document
+    mpath = _land(tmp_dir, [_staff_row("1", "20240401")], [["1", "P", "T", "S", "1", "N", "3"]])
+    listing = manifest_from_files(spark, os.path.join(tmp_dir, "raw", "*.csv"), run_id="r5", dataset="landing")
+    doc_dir = os.path.join(tmp_dir, "doc")
+    write_manifest_document(listing, doc_dir, "2024-07-01T00:00:00+00:00")
+    back = read_manifest_document(spark, doc_dir)
+    assert sorted((r.file_name, r.size_bytes) for r in back.collect()) == sorted(
+        (r.file_name, r.size_bytes) for r in listing.collect())
+    table_dir = os.path.join(tmp_dir, "table")
+    write_manifest(listing, table_dir)
+    write_manifest(listing.withColumn("run_id", F.lit("r6")), table_dir)
+    runs = spark.read.json(table_dir).groupBy("run_id").count().collect()
+    assert {r.run_id: r["count"] for r in runs} == {"r5": 2, "r6": 2}
