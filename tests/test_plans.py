@@ -86,3 +86,14 @@ def test_matches_oracle(spark, duck, name):
     idx = sorted(range(len(ocols)), key=lambda i: ocols[i])
     want = Counter(tuple(_norm(r[i]) for i in idx) for r in res.fetchall())
     assert got == want
+
+
+def test_refine_has_no_shuffle(spark):
+    plan = _plan(queries()["refine_typed"](spark, SF))
+    assert "Exchange" not in plan
+
+
+def test_range_filter_pushed_to_scan(spark):
+    plan = _plan(queries()["range_violations"](spark, SF))
+    pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
+    assert pushed and any("c_acctbal" in line for line in pushed)
