@@ -282,3 +282,20 @@ def test_manifest_write_read_roundtrip(spark, tmp_dir):
     write_manifest(listing.withColumn("run_id", F.lit("r6")), table_dir)
     runs = spark.read.json(table_dir).groupBy("run_id").count().collect()
     assert {r.run_id: r["count"] for r in runs} == {"r5": 2, "r6": 2}
+
+
+def test_profile_file_like_the_notebooks(spark, tmp_dir):
+    from lakeq.plans.discovery import profile_file
+    path = os.path.join(tmp_dir, "p.csv")
+    rows = [["015009", "20240401", "10", "N/A"], ["015009", "20240402", "12.5", "ok"],
+            ["015010", "20240405", " ", "ok"], ["015010", "20240405", "100", "x"]]
+    _write_csv(path, ["PROVNUM", "WorkDate", "Hours", "Note"], rows)
+    out = profile_file(spark, path, key=["PROVNUM", "WorkDate"], date_column="WorkDate")
+    assert out["encoding"] == "utf-8"
+    assert out["types"] == {"PROVNUM": "bigint", "WorkDate": "bigint", "Hours": "double", "Note": "string"}
+    assert out["overview"].first().row_count == 4
+    cols = {r.column_name: r for r in out["columns"].collect()}
+    assert cols["Hours"].missing_count == 1 and cols["Note"].missing_count == 1
+    assert out["duplicate_keys"].count() == 2
+    assert sorted(str(r.missing_date) for r in out["missing_dates"].collect()) == ["2024-04-03", "2024-04-04"]
+    assert {r.column_name for r in out["numeric_summary"].collect()} == {"PROVNUM", "WorkDate", "Hours"}
