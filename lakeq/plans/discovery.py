@@ -35,3 +35,17 @@ def profile_file(spark: SparkSession, path: str, name: str | None = None, key: l
         day = parse_date(F.col(date_column).cast("bigint").cast("string"), date_format)
         out["missing_dates"] = checks.missing_dates(df.select(day.alias("d")), "d")
     return out
+
+
+def key_report_files(spark: SparkSession, paths: dict[str, str], keys: dict[str, tuple] | None = None):
+    """A19 over landed files: each dataset read as text, headers standardised,
+    then rows / distinct keys / duplicated rows of its declared key (one row
+    per dataset). ``keys`` defaults to the staffing model's declared keys."""
+    from lakeq.functions.names import standardize_columns
+    from lakeq.models.staffing import DATASET_KEYS
+    from lakeq.sources.csv import read_csv_strings
+
+    keys = keys or DATASET_KEYS
+    frames = {name: (standardize_columns(read_csv_strings(spark, path)), list(keys[name]))
+              for name, path in paths.items()}
+    return checks.key_reports(frames)

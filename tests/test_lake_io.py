@@ -299,3 +299,14 @@ def test_profile_file_like_the_notebooks(spark, tmp_dir):
     assert out["duplicate_keys"].count() == 2
     assert sorted(str(r.missing_date) for r in out["missing_dates"].collect()) == ["2024-04-03", "2024-04-04"]
     assert {r.column_name for r in out["numeric_summary"].collect()} == {"PROVNUM", "WorkDate", "Hours"}
+
+
+def test_key_report_files_with_declared_keys(spark, tmp_dir):
+    from lakeq.plans.discovery import key_report_files
+    a, b = os.path.join(tmp_dir, "a.csv"), os.path.join(tmp_dir, "b.csv")
+    _write_csv(a, ["State", "5 Stars"], [["AK", "1"], ["AL", "2"], ["AK", "3"]])
+    _write_csv(b, ["Baseline Period: FY 2019 National Average Readmission Rate"], [["0.2"]])
+    got = {r.table_name: r for r in key_report_files(spark, {
+        "NH_HlthInspecCutpointsState_Oct2024": a, "FY_2024_SNF_VBP_Aggregate_Performance": b}).collect()}
+    assert got["NH_HlthInspecCutpointsState_Oct2024"].duplicate_key_rows == 2
+    assert got["FY_2024_SNF_VBP_Aggregate_Performance"].key_unique
