@@ -1,4 +1,4 @@
-"""The nurse-staffing configuration: the two column contracts, the rules and
+"""The staffing-hours configuration: the two column contracts, the rules and
 the curation mapping, as data.
 
 Fixed values: the standardised column names and types of the staffing file
@@ -15,7 +15,7 @@ D10 = "decimal(10,2)"
 D97 = "decimal(9,7)"
 
 _HOUR_TYPES = ("rndon", "rnadmin", "rn", "lpnadmin", "lpn", "cna", "natrn", "medaide")
-# Hour columns: for each nurse type, total, employee and contractor hours.
+# Hour columns: for each staff type, total, employee and contractor hours.
 HOUR_COLUMNS = tuple(f"hrs_{t}{s}" for t in _HOUR_TYPES for s in ("", "_emp", "_ctr"))
 TOTAL_HOUR_COLUMNS = tuple(f"hrs_{t}" for t in _HOUR_TYPES)
 EMP_HOUR_COLUMNS = tuple(f"hrs_{t}_emp" for t in _HOUR_TYPES)
