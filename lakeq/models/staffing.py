@@ -14,12 +14,21 @@ from lakeq.contracts import TableContract, ValidationRules
 D10 = "decimal(10,2)"
 D97 = "decimal(9,7)"
 
-_HOUR_TYPES = ("rndon", "rnadmin", "rn", "lpnadmin", "lpn", "cna", "natrn", "medaide")
-# Hour columns: for each staff type, total, employee and contractor hours.
-HOUR_COLUMNS = tuple(f"hrs_{t}{s}" for t in _HOUR_TYPES for s in ("", "_emp", "_ctr"))
-TOTAL_HOUR_COLUMNS = tuple(f"hrs_{t}" for t in _HOUR_TYPES)
-EMP_HOUR_COLUMNS = tuple(f"hrs_{t}_emp" for t in _HOUR_TYPES)
-CTR_HOUR_COLUMNS = tuple(f"hrs_{t}_ctr" for t in _HOUR_TYPES)
+# The 24 hour columns of the staffing file, in file order.
+HOUR_COLUMNS = (
+    "hrs_rndon", "hrs_rndon_emp", "hrs_rndon_ctr",
+    "hrs_rnadmin", "hrs_rnadmin_emp", "hrs_rnadmin_ctr",
+    "hrs_rn", "hrs_rn_emp", "hrs_rn_ctr",
+    "hrs_lpnadmin", "hrs_lpnadmin_emp", "hrs_lpnadmin_ctr",
+    "hrs_lpn", "hrs_lpn_emp", "hrs_lpn_ctr",
+    "hrs_cna", "hrs_cna_emp", "hrs_cna_ctr",
+    "hrs_natrn", "hrs_natrn_emp", "hrs_natrn_ctr",
+    "hrs_medaide", "hrs_medaide_emp", "hrs_medaide_ctr",
+)
+# Totals per staff type, and the employee / contractor parts (never added to the totals).
+TOTAL_HOUR_COLUMNS = tuple(c for c in HOUR_COLUMNS if not c.endswith(("_emp", "_ctr")))
+EMP_HOUR_COLUMNS = tuple(c for c in HOUR_COLUMNS if c.endswith("_emp"))
+CTR_HOUR_COLUMNS = tuple(c for c in HOUR_COLUMNS if c.endswith("_ctr"))
 
 STAFFING = TableContract(
     name="staffing_hours",

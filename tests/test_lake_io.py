@@ -17,9 +17,14 @@ from lakeq.sources.manifest import (manifest_from_files, pending_files, read_man
 from lakeq.streaming import land_incrementally
 
 RUN_TS = dt.datetime(2024, 7, 1)
-STAFF_HEADER = ["PROVNUM", "PROVNAME", "CITY", "STATE", "COUNTY_NAME", "COUNTY_FIPS", "CY_Qtr", "WorkDate",
-                "MDScensus"] + [f"Hrs_{t}{s}" for t in ("RNDON", "RNadmin", "RN", "LPNadmin", "LPN", "CNA",
-                                                         "NAtrn", "MedAide") for s in ("", "_emp", "_ctr")]
+# The staffing file header (33 columns, file order).
+STAFF_HEADER = [
+    "PROVNUM", "PROVNAME", "CITY", "STATE", "COUNTY_NAME", "COUNTY_FIPS", "CY_Qtr", "WorkDate", "MDScensus",
+    "Hrs_RNDON", "Hrs_RNDON_emp", "Hrs_RNDON_ctr", "Hrs_RNadmin", "Hrs_RNadmin_emp", "Hrs_RNadmin_ctr",
+    "Hrs_RN", "Hrs_RN_emp", "Hrs_RN_ctr", "Hrs_LPNadmin", "Hrs_LPNadmin_emp", "Hrs_LPNadmin_ctr",
+    "Hrs_LPN", "Hrs_LPN_emp", "Hrs_LPN_ctr", "Hrs_CNA", "Hrs_CNA_emp", "Hrs_CNA_ctr",
+    "Hrs_NAtrn", "Hrs_NAtrn_emp", "Hrs_NAtrn_ctr", "Hrs_MedAide", "Hrs_MedAide_emp", "Hrs_MedAide_ctr",
+]
 
 
 def _staff_row(prov, day, hours="8.5", name="A"):
