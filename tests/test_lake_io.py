@@ -315,3 +315,13 @@ def test_key_report_files_with_declared_keys(spark, tmp_dir):
         "NH_HlthInspecCutpointsState_Oct2024": a, "FY_2024_SNF_VBP_Aggregate_Performance": b}).collect()}
     assert got["NH_HlthInspecCutpointsState_Oct2024"].duplicate_key_rows == 2
     assert got["FY_2024_SNF_VBP_Aggregate_Performance"].key_unique
+
+
+def test_run_stages_stops_at_failed_gate(spark, tmp_dir):
+    staff = [_staff_row("015009", "20240401", hours="-3")]
+    mpath = _land(tmp_dir, staff, [["015009", "Prov A", "Town", "ST", "120", "N", "4"]])
+    layout = Layout(os.path.join(tmp_dir, "lake"))
+    with pytest.raises(GateError):
+        run_stages(spark, mpath, layout, "r7", RUN_TS)
+    assert os.path.exists(layout.summary("r7"))                       # evidence written first
+    assert not os.path.exists(layout.curated("dim_provider", "r7"))   # curation never ran
