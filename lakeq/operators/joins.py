@@ -22,6 +22,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_TARGET_ROWS = 2_000_000
 _SALT, _S, _N = "__lq_salt", "__lq_s", "__lq_n"
@@ -53,7 +54,9 @@ def salted_join(big: DataFrame, side: DataFrame, keys, how: str = "left", counts
     if null_spread is None:
         null_spread = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    # any column subset works for spreading; map columns cannot be hashed
+    hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, T.MapType)] or keys
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
     left = big.join(hot, keys, "left").withColumn(
         _SALT,
         F.when(any_null, F.pmod(row_hash, F.lit(null_spread)))

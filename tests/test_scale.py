@@ -91,3 +91,11 @@ def test_hot_key_dimension_and_nullsafe_duplicates(spark):
         hot_rows = fact.where("l_orderkey IS NULL").groupBy("l_linenumber").count().where("count > 1")
         expected_hot = hot_rows.agg(F.sum("count")).first()[0]
         assert dups.where("l_orderkey IS NULL").count() == expected_hot
+
+
+def test_salted_join_with_map_column(spark):
+    from lakeq.operators.joins import salted_join
+    big = spark.createDataFrame([("k", {"a": i}) for i in range(50)] + [("j", {"b": 1})], "k string, m map<string,int>")
+    side = spark.createDataFrame([("k", 1)], "k string, v int")
+    out = salted_join(big, side, ["k"], "left", target_rows=10)
+    assert out.count() == 51 and out.where("v = 1").count() == 50
