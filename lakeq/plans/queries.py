@@ -20,6 +20,7 @@ from lakeq.plans.tables import (customer_tokens, lineitem_raw, lineitem_staged,
                                 settled_orders)
 from lakeq.session import scratch_path
 from lakeq.sources.manifest import manifest_records, pending_files
+from lakeq.sources.sinks import read_run, write_partitioned, write_quarantine, write_run, write_table
 
 RUN_ID = "r1"
 RUN_TS = "2024-07-01 00:00:00"
@@ -266,14 +267,12 @@ def partition_roundtrip(spark, sf):
     li = _dated(load(spark, sf, "lineitem")).withColumnRenamed("l_shipdate", "ship_date")
     li = li.withColumns({"ship_year": F.year("ship_date"), "ship_month": F.month("ship_date")})
     path = scratch_path(spark, "partition_roundtrip")
-    from lakeq.sources.sinks import write_partitioned
     write_partitioned(li, path, ("ship_year", "ship_month"))
     return spark.read.schema(li.schema).parquet(path)
 
 
 def refined_run_roundtrip(spark, sf):
     """S7 + S3: refined rows written to a run directory and read back by run."""
-    from lakeq.sources.sinks import read_run, write_run
     base = scratch_path(spark, "refined")
     write_run(refine_typed(spark, sf), base, RUN_ID)
     return read_run(spark, base, RUN_ID)
@@ -282,7 +281,6 @@ def refined_run_roundtrip(spark, sf):
 def quarantine_roundtrip(spark, sf):
     """Quarantined fact rows written partitioned by reason and read back;
     the reason comes from the directory, as text (trap T15)."""
-    from lakeq.sources.sinks import write_quarantine
     tf, _ = _tagged(spark, sf)
     base = scratch_path(spark, "quarantine")
     path = write_quarantine(validate.quarantine_rows(tf, RUN_ID, RUN_TS), base, "lineitem", RUN_ID)
@@ -291,7 +289,6 @@ def quarantine_roundtrip(spark, sf):
 
 def dimension_roundtrip(spark, sf):
     """The curated dimension written unpartitioned and read back."""
-    from lakeq.sources.sinks import write_table
     path = scratch_path(spark, "dimension")
     write_table(_doc_dimension(spark, sf), path)
     return spark.read.parquet(path).drop("curated_ts_utc")
