@@ -218,16 +218,22 @@ class ValidationOutcome:
     counters: dict
     critical_total: int
     passed: bool
+    clean: DataFrame | None = None  # mode='drop': fact rows that break no critical rule
 
 
 def run_validation(fact: DataFrame, ref: DataFrame, rules: ValidationRules, *, run_id: str,
                    run_ts, quarantine_base: str, summary_path: str,
-                   raise_on_failure: bool = True) -> ValidationOutcome:
+                   raise_on_failure: bool = True, mode: str = "fail") -> ValidationOutcome:
     """C2 with its writes: quarantine (per table, partitioned by reason, the run's
     directory always overwritten — trap T16), then the summary, then the gate.
 
     Counters are observed during the quarantine writes, so each table is
-    scanned once for the writes plus once for its key aggregates."""
+    scanned once for the writes plus once for its key aggregates.
+
+    ``mode='fail'`` (parity) raises on critical issues; ``mode='drop'`` (trap
+    T18) writes the same evidence and returns the clean fact rows instead."""
+    if mode not in ("fail", "drop"):
+        raise ValueError("mode must be 'fail' or 'drop'")
     from lakeq.sources.sinks import write_quarantine
 
     for df, label in ((fact, rules.fact_label), (ref, rules.ref_label)):
@@ -245,8 +251,9 @@ def run_validation(fact: DataFrame, ref: DataFrame, rules: ValidationRules, *, r
     summary_df = spark.createDataFrame(rows, "metric_name string, metric_value bigint, severity string")
     summary_df.coalesce(1).write.mode("overwrite").parquet(summary_path)
     critical = sum(v for _, v, s in rows if s == "critical")
-    outcome = ValidationOutcome(summary_df, values, critical, critical == 0)
-    if critical > 0 and raise_on_failure:
+    outcome = ValidationOutcome(summary_df, values, critical, critical == 0,
+                                clean_rows(tf) if mode == "drop" else None)
+    if critical > 0 and raise_on_failure and mode == "fail":
         raise GateError(f"validation failed: critical issue count = {critical}; "
                         f"see {quarantine_base} and {summary_path}")
     return outcome

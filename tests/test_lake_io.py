@@ -325,3 +325,14 @@ def test_run_stages_stops_at_failed_gate(spark, tmp_dir):
         run_stages(spark, mpath, layout, "r7", RUN_TS)
     assert os.path.exists(layout.summary("r7"))                       # evidence written first
     assert not os.path.exists(layout.curated("dim_provider", "r7"))   # curation never ran
+
+
+def test_validation_drop_mode_passes_clean_rows_on(spark, tmp_dir):
+    from lakeq.operators.validate import run_validation
+    fact = spark.createDataFrame([("1", "d1", 1.0), ("1", "d1", 2.0), ("2", "d2", -1.0), ("3", "d3", 4.0)],
+                                 "provnum string, workdate string, hrs_cna double")
+    ref = spark.createDataFrame([("1",), ("2",)], "cms_certification_number_ccn string")
+    out = run_validation(fact, ref, staffing.RULES, run_id="r1", run_ts=RUN_TS, mode="drop",
+                         quarantine_base=os.path.join(tmp_dir, "q"), summary_path=os.path.join(tmp_dir, "s"))
+    assert not out.passed and out.critical_total == 3
+    assert sorted(r.provnum for r in out.clean.collect()) == ["3"]   # unmatched is only a warning
