@@ -240,3 +240,10 @@ def test_approximate_options_close_to_exact(spark):
         assert abs(exact[q] - approx[q]) <= 1.0
     d = {r.column_name: r.unique_non_null_values for r in profile.column_profile(df, "t", approx_distinct=True).collect()}
     assert abs(d["x"] - 97) <= 10 and abs(d["s"] - 13) <= 2  # HLL++ default relative error 5%
+
+
+def test_missing_dates_per_group(spark):
+    rows = [("a", dt.date(2024, 4, d)) for d in (1, 3)] + [("b", dt.date(2024, 4, d)) for d in (2, 3, 6)]
+    df = spark.createDataFrame(rows, "k string, d date")
+    got = sorted((r.k, r.missing_date.day) for r in checks.missing_dates(df, "d", by=["k"]).collect())
+    assert got == [("a", 2), ("b", 4), ("b", 5)]
