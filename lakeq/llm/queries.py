@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeq.llm import mixing, packing, url_filter
+from lakeq.llm import langid, learn, mixing, packing, quality, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,27 @@ def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, seed=MIX_SEED)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score and decision of every document; labels of the held-out fold
+    (crc32 of the id modulo 5 = 0) are not learned from."""
+    docs = _table(spark, sf_dir, "documents")
+    labels = _table(spark, sf_dir, "labels").where(learn.fold("doc_id", 5) != 0)
+    model = quality.train(docs, labels)
+    thin = docs.select("doc_id", "text", (learn.fold("doc_id", 5) == 0).alias("held_out"))
+    return quality.score(thin, model).select(
+        "doc_id", "held_out", "score",
+        F.when(F.col("score") >= quality.KEEP_FROM, 1).otherwise(0).alias("predicted"))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; the held-out fold (crc32 of the id modulo 4 = 2)
+    is not learned from."""
+    docs = _table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(learn.fold("doc_id", 4) != 2))
+    thin = docs.select("doc_id", "text", (learn.fold("doc_id", 4) == 2).alias("held_out"))
+    return langid.identify(thin, model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     globs = [*URL_RULES, *(url_filter.host_word(w, "block") for w in BLOCKED_HOST_WORDS)]
@@ -46,7 +68,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
-QUERIES = {f.__name__: f for f in (op3_best_fit_packing, op5_poisson_mixing, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (
+    op3_best_fit_packing, op5_poisson_mixing, op7_quality_classifier, op9_url_filter, op10_language_id)}
 
 _WEIGHT_CASES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in SOURCE_WEIGHTS.items())
 _RULE_CASES = " ".join(

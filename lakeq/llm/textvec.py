@@ -149,3 +149,32 @@ def shingles(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np
         has = length > j
         out += np.where(has, h[np.minimum(word + j, len(h) - 1)] * MIX[j], _U(0))
     return mix(out), to
+
+
+def ngrams(data: np.ndarray, n: int, bits: int) -> np.ndarray:
+    """Hashed bucket (of 2**bits) of the n bytes from each position, n <= 7."""
+    size = len(data) - n + 1
+    if size <= 0:
+        return np.zeros(0, np.int64)
+    code = np.full(size, n << 56, np.uint64)
+    for j in range(n):
+        code += data[j:j + size].astype(np.uint64) << _U(8 * j)
+    return ((code * MIX[61]) >> _U(64 - bits)).astype(np.int64)
+
+
+def row_sums(values: np.ndarray, offs: np.ndarray, n: int = 1) -> np.ndarray:
+    """Per row, the sum of the values of the n-byte windows inside it. ``values``
+    (1-d or 2-d, by window start) is changed: windows across rows become 0."""
+    out = np.zeros((len(offs) - 1, *values.shape[1:]))
+    for j in range(1, n):
+        cross = offs[1:-1] - j
+        values[cross[(cross >= 0) & (cross < len(values))]] = 0
+    some = np.flatnonzero((offs[1:] > offs[:-1]) & (offs[:-1] < len(values)))
+    if len(some):
+        out[some] = np.add.reduceat(values, offs[:-1][some], axis=0, dtype=np.float64)
+    return out
+
+
+def row_values(values: np.ndarray, offs: np.ndarray, n: int, row: int) -> np.ndarray:
+    """The values of the n-byte windows inside one row."""
+    return values[offs[row]:max(offs[row], offs[row + 1] - n + 1)]
