@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeq.llm import langid, learn, mixing, packing, quality, url_filter
+from lakeq.llm import jaccard, langid, learn, mixing, packing, quality, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +40,12 @@ def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, seed=MIX_SEED)
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under Jaccard >= 0.85 of 4-word shingles."""
+    docs = _table(spark, sf_dir, "documents")
+    return jaccard.join_documents(docs, k=4, percent=85).documents.select("doc_id", "n_shingles", "component_id")
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score and decision of every document; labels of the held-out fold
     (crc32 of the id modulo 5 = 0) are not learned from."""
@@ -69,7 +75,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_best_fit_packing, op5_poisson_mixing, op7_quality_classifier, op9_url_filter, op10_language_id)}
+    op3_best_fit_packing, op5_poisson_mixing, op6_ngram_jaccard_join, op7_quality_classifier, op9_url_filter,
+    op10_language_id)}
 
 _WEIGHT_CASES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in SOURCE_WEIGHTS.items())
 _RULE_CASES = " ".join(

@@ -178,3 +178,12 @@ def row_sums(values: np.ndarray, offs: np.ndarray, n: int = 1) -> np.ndarray:
 def row_values(values: np.ndarray, offs: np.ndarray, n: int, row: int) -> np.ndarray:
     """The values of the n-byte windows inside one row."""
     return values[offs[row]:max(offs[row], offs[row + 1] - n + 1)]
+
+
+def row_sums_u64(values: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Per row, the wrapping 64-bit sum of its values."""
+    out = np.zeros(len(offs) - 1, np.uint64)
+    some = np.flatnonzero(offs[1:] > offs[:-1])
+    if len(some):
+        out[some] = np.add.reduceat(values, offs[:-1][some])
+    return out
