@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeq.llm import jaccard, langid, learn, mixing, packing, quality, url_filter
+from lakeq.llm import jaccard, langid, learn, line_dedup, mixing, packing, quality, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +30,12 @@ URL_RULES = (
 BLOCKED_HOST_WORDS = ("adult", "ads-track", "casino", "cheap-pills", "free-bets", "spam-farm")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of later copies of runs of 50 words or more."""
+    return line_dedup.drop_copied_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", "n_lines", "n_removed")
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their bins."""
     return packing.pack(_table(spark, sf_dir, "documents"), CAPACITIES)
@@ -75,7 +81,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_best_fit_packing, op5_poisson_mixing, op6_ngram_jaccard_join, op7_quality_classifier, op9_url_filter,
+    op1_line_dedup, op3_best_fit_packing, op5_poisson_mixing, op6_ngram_jaccard_join, op7_quality_classifier, op9_url_filter,
     op10_language_id)}
 
 _WEIGHT_CASES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in SOURCE_WEIGHTS.items())
