@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeq.llm import jaccard, langid, learn, line_dedup, mixing, packing, quality, url_filter
+from lakeq.llm import jaccard, langid, learn, line_dedup, mixing, near_vectors, packing, quality, topk, url_filter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents"), CAPACITIES)
 
 
+def op4_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 highest integer inner products for every 50th vector, over all vectors."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
 def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every copy of every document in the mix."""
     return mixing.mix_sources(_table(spark, sf_dir, "documents"), SOURCE_WEIGHTS, seed=MIX_SEED)
@@ -73,6 +79,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(thin, model).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors with one label at cosine >= 0.93."""
+    return near_vectors.near_vectors(_table(spark, sf_dir, "embeddings"), 0.93)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, rule and verdict of every page."""
     globs = [*URL_RULES, *(url_filter.host_word(w, "block") for w in BLOCKED_HOST_WORDS)]
@@ -81,8 +92,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op3_best_fit_packing, op5_poisson_mixing, op6_ngram_jaccard_join, op7_quality_classifier, op9_url_filter,
-    op10_language_id)}
+    op1_line_dedup, op3_best_fit_packing, op4_exact_topk, op5_poisson_mixing, op6_ngram_jaccard_join,
+    op7_quality_classifier, op8_embedding_near_dedup, op9_url_filter, op10_language_id)}
 
 _WEIGHT_CASES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in SOURCE_WEIGHTS.items())
 _RULE_CASES = " ".join(
@@ -90,7 +101,51 @@ _RULE_CASES = " ".join(
     for host, path in (("www.example.com", "/en/"), ("example.com", "/en/"), ("net", "/es/"), ("net", "/fr/"),
                        ("com", "/")))
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
 ORACLE = {
+    "op4_exact_topk": f"""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+           FROM embeddings WHERE {_FINITE}),
+pairs AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM pairs)
+SELECT query_id, r::INTEGER AS rank, vec_id, score FROM ranked WHERE r <= 5
+""",
+    "op6_ngram_jaccard_join": r"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN w IS NULL OR len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+                 ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) END AS s FROM cut),
+sizes AS (SELECT doc_id, len(s)::BIGINT AS n FROM sets),
+tokens AS (SELECT doc_id, unnest(s) AS t FROM sets),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM tokens a JOIN tokens b ON a.t = b.t AND a.doc_id < b.doc_id
+  GROUP BY 1, 2),
+linked AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM linked UNION SELECT b, a FROM linked),
+reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON r.b = l.a)
+SELECT s.doc_id, s.n AS n_shingles, least(s.doc_id, coalesce(min(r.b), s.doc_id)) AS component_id
+FROM sizes s LEFT JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id, s.n
+""",
+    "op8_embedding_near_dedup": f"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE {_FINITE} AND label IS NOT NULL AND list_inner_product(embedding, embedding) > 0),
+linked AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.label = y.label AND x.vec_id <> y.vec_id
+           WHERE list_cosine_similarity(x.e, y.e) >= 0.93),
+degree AS (SELECT a, count(*) AS n FROM linked GROUP BY a),
+reach AS (SELECT a, b FROM linked UNION SELECT r.a, l.b FROM reach r JOIN linked l ON r.b = l.a),
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(b, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(b, vec_id)) AS kept
+FROM embeddings LEFT JOIN degree d ON d.a = vec_id LEFT JOIN least_of l ON l.a = vec_id
+""",
     "op5_poisson_mixing": f"""
 WITH RECURSIVE held AS (
   SELECT source, coalesce(sum(length(text)), 0) AS chars,
