@@ -39,7 +39,8 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeq.llm import textvec
@@ -56,7 +57,7 @@ _U = np.uint64
 
 
 class Joined(NamedTuple):
-    documents: DataFrame  # doc_id, n_shingles, set_key (null: empty), component_id
+    documents: DataFrame  # doc_id, text_key, n_shingles, set_key (null: empty), component_key, component_id
     links: DataFrame      # a, b (set keys), n_a, n_b, n_shared of the verified links
 
 
@@ -132,6 +133,11 @@ def _rest(values: np.ndarray, ranges: int) -> bytes:
     return (values >> _U(32 - (ranges.bit_length() - 1))).astype(np.uint32).tobytes()
 
 
+def text_key(col: str) -> Column:
+    """Tells rows that share an id but not their text apart."""
+    return F.xxhash64(F.col(col))
+
+
 class _Seen:
     """Sets a task has met, so that equal sets are handled once."""
 
@@ -146,7 +152,7 @@ class _Seen:
 
 
 def _profile(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, set_key) of every document."""
+    """(doc_id, text_key, n_shingles, set_key) of every document."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,10 +163,11 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
                 keys.append(set_keys(tokens, to))
             n = np.concatenate(n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n), pa.array(np.concatenate(keys), mask=n == 0)],
-                names=["doc_id", "n_shingles", "set_key"])
+                [b.column(0), b.column(2), pa.array(n), pa.array(np.concatenate(keys), mask=n == 0)],
+                names=["doc_id", "text_key", "n_shingles", "set_key"])
 
-    return docs.mapInArrow(run, f"doc_id {id_type}, n_shingles long, set_key long")
+    return docs.withColumn("text_key", text_key("text")).mapInArrow(
+        run, f"doc_id {id_type}, text_key long, n_shingles long, set_key long")
 
 
 def _frequent_tokens(docs: DataFrame, k: int, ranges: int) -> np.ndarray:
@@ -393,9 +400,26 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
         links = found.union(more)
     part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
     root = scratch.table(profile.join(part.withColumnRenamed("node", "set_key"), "set_key", "left").select(
-        "doc_id", "n_shingles", "set_key", F.coalesce("component", "set_key").alias("root")), "root")
-    least = scratch.table(root.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id")), "ids")
-    documents = root.join(least, "root", "left").select(
-        "doc_id", "n_shingles", "set_key",
+        "doc_id", "text_key", "n_shingles", "set_key", F.coalesce("component", "set_key").alias("component_key")), "root")
+    least = scratch.table(root.where("component_key is not null").groupBy("component_key")
+                          .agg(F.min("doc_id").alias("component_id")), "ids")
+    documents = root.join(least, "component_key", "left").select(
+        "doc_id", "text_key", "n_shingles", "set_key", "component_key",
         F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     return Joined(documents, links)
+
+
+def first_of_components(docs: DataFrame, joined: Joined, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay: one of each component, the one with the least
+    id (a null id comes last, of equal ids the least text key), and every row
+    without words."""
+    rows = joined.documents
+    order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
+    stays = (rows.where("set_key is not null").groupBy("component_key").agg(F.min(order).alias("o"))
+             .select(F.col("o.doc_id").alias("__id"), F.col("o.text_key").alias("__key"), F.lit(False).alias("__empty"))
+             .unionByName(rows.where("set_key is null").select(
+                 F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.lit(True).alias("__empty")).distinct()))
+    found = docs.withColumn("__own", text_key(text_col)).join(
+        stays, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")))
+    nth = F.row_number().over(W.partitionBy("__id", "__key").orderBy("__own"))
+    return found.withColumn("__nth", nth).where("__empty or __nth = 1").select(*[f"`{c}`" for c in docs.columns])

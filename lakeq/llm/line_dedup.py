@@ -194,9 +194,9 @@ def copied_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
 
 
 def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                      text_col: str = "text") -> DataFrame:
-    """``docs`` without the lines of later copies, plus n_lines (before) and
-    n_removed; columns of these names are replaced.
+                      text_col: str = "text", counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """``docs`` without the lines of later copies, plus the numbers of lines before
+    and of removed lines, named by ``counts``; columns of these names are replaced.
 
     Lines are what newlines separate, compared byte by byte. Edge cases: a null
     text stays null with 0 lines; an empty text is one empty line; a text of
@@ -208,7 +208,7 @@ def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     runs = copied_runs(docs, min_words, id_col, text_col)
     spans = runs.groupBy(F.col("doc_id").alias("__id"), F.col("seq").alias("__seq")).agg(
         F.collect_list(F.struct("from_line", "to_line")).alias("__runs"))  # at most the lines of a text
-    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    kept = [c for c in docs.columns if c not in counts]
     few = spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     joined = (docs.select(*[f"`{c}`" for c in kept]).withColumn("__own", _sequence_id(id_col, text_col))
               .join(F.broadcast(spans) if few else spans,
@@ -219,4 +219,4 @@ def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts))
     n_stay = F.when(F.col("__runs").isNull(), n).otherwise(F.size(stay))
     return joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept],
-                         n.alias("n_lines"), (n - n_stay).alias("n_removed"))
+                         n.alias(counts[0]), (n - n_stay).alias(counts[1]))

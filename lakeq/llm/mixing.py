@@ -59,9 +59,10 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float], default_weight:
 
 
 def mix_sources(docs: DataFrame, weights: Mapping[str, float], default_weight: float = 1.0,
-                budget: float = 1.0, seed: int = 0, id_col: str = "doc_id") -> DataFrame:
-    """Return every column of ``docs`` plus ``copy`` (from 1) and ``n_copies``, one
-    row per copy, globally shuffled.
+                budget: float = 1.0, seed: int = 0, id_col: str = "doc_id",
+                made: tuple[str, str] = ("copy", "n_copies")) -> DataFrame:
+    """Return every column of ``docs`` plus the number of the copy (from 1) and of
+    all copies, named by ``made``, one row per copy, globally shuffled.
 
     ``weights`` maps a source to its weight in the mix (others, NULL included:
     ``default_weight``); ``budget`` is the size of the mix in multiples of the
@@ -69,8 +70,8 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float], default_weight: f
 
     Edge cases: rows that repeat an id share its draw; a null id draws as the
     text 'null'; null and empty texts count no characters and are copied at
-    their source's rate; columns of ``docs`` named ``copy`` or ``n_copies`` are
-    replaced; an empty table gives an empty result.
+    their source's rate; columns of ``docs`` with the names in ``made`` are replaced;
+    an empty table gives an empty result.
     """
     scratch = Scratch(docs.sparkSession, "mix")
     rates = source_rates(docs.select("source", "text"), weights, default_weight, budget, scratch)
@@ -81,13 +82,13 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float], default_weight: f
 
     table = scratch.table(rates.mapInPandas(with_cdf, "mix_source string, mix_cdf array<double>"), "copies")
     few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    kept = [c for c in docs.columns if c not in ("copy", "n_copies")]
+    kept = [f"`{c}`" for c in docs.columns if c not in made]
     joined = docs.select(*kept).join(F.broadcast(table) if few else table, F.col("source").eqNullSafe(F.col("mix_source")))
     u = F.col("mix_u")
     counted = joined.withColumn("mix_u", uniform(seed, id_col)).withColumn(
-        "n_copies", F.size(F.filter("mix_cdf", lambda c: c <= u)).cast("int"))
-    copies = counted.where(F.col("n_copies") > 0).select(
-        *kept, "n_copies", F.explode(F.sequence(F.lit(1), F.col("n_copies"))).alias("copy"))
-    deal = F.xxhash64(F.lit(seed), F.col(id_col), F.col("copy"))
+        "mix_n", F.size(F.filter("mix_cdf", lambda c: c <= u)).cast("int"))
+    copies = counted.where(F.col("mix_n") > 0).select(
+        *kept, F.col("mix_n").alias(made[1]), F.explode(F.sequence(F.lit(1), F.col("mix_n"))).alias(made[0]))
+    deal = F.xxhash64(F.lit(seed), F.col(id_col), F.col(f"`{made[0]}`"))
     return (copies.withColumn("mix_order", deal).repartition("mix_order")
             .sortWithinPartitions("mix_order").drop("mix_order"))

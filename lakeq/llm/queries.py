@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeq.llm import jaccard, langid, learn, line_dedup, mixing, near_vectors, packing, quality, topk, url_filter
+from lakeq.llm import (
+    html_text,
+    jaccard,
+    langid,
+    learn,
+    line_dedup,
+    mixing,
+    near_vectors,
+    packing,
+    quality,
+    topk,
+    url_filter,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,6 +48,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "text", "n_lines", "n_removed")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces with their bins."""
     return packing.pack(_table(spark, sf_dir, "documents"), CAPACITIES)
@@ -92,8 +109,8 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op3_best_fit_packing, op4_exact_topk, op5_poisson_mixing, op6_ngram_jaccard_join,
-    op7_quality_classifier, op8_embedding_near_dedup, op9_url_filter, op10_language_id)}
+    op1_line_dedup, op2_html_extraction, op3_best_fit_packing, op4_exact_topk, op5_poisson_mixing,
+    op6_ngram_jaccard_join, op7_quality_classifier, op8_embedding_near_dedup, op9_url_filter, op10_language_id)}
 
 _WEIGHT_CASES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in SOURCE_WEIGHTS.items())
 _RULE_CASES = " ".join(
