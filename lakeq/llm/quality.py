@@ -24,7 +24,8 @@ from lakeq.llm import learn, textvec
 BITS = 18            # hashed features
 DIM = 8              # length of a feature's vector
 SIZES = (3, 4, 5)    # characters (bytes) of the n-grams
-EPOCHS = 4
+EPOCHS = 4           # rounds over the sample, more of them for a small one:
+MIN_STEPS = 8000     # steps at least
 RATE = 1.0           # first step length, falling linearly to 0
 MAX_LABELLED = 2500  # documents per class that training sees
 KEEP_FROM = 0.3      # score from which a document is predicted good
@@ -64,8 +65,8 @@ class Model:
 
 
 def fit(targets: list, texts: pa.ChunkedArray) -> Model:
-    """Stochastic gradient descent, one document a step; every class has the same
-    total weight. Without both classes the model scores every text alike."""
+    """Stochastic gradient descent, one document a step. Without both classes the
+    model scores every text alike."""
     y = np.array(targets, np.int64)
     share = y.mean() if len(y) else 0.5
     if share in (0, 1) or not len(y):
@@ -81,8 +82,9 @@ def fit(targets: list, texts: pa.ChunkedArray) -> Model:
     rng = np.random.Generator(np.random.PCG64(1))
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)
-    step, steps = 0, EPOCHS * len(docs)
-    for _ in range(EPOCHS):
+    epochs = max(EPOCHS, -(-MIN_STEPS // len(docs)))
+    step, steps = 0, epochs * len(docs)
+    for _ in range(epochs):
         for i in rng.permutation(len(docs)):
             ids, share_of = docs[i]
             rate = RATE * (1 - step / steps)
