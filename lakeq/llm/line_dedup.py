@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeq.llm import textvec
-from lakeq.llm.common import BROADCAST_ROWS, Scratch
+from lakeq.llm.common import Scratch
 
 MIN_WORDS = 50
 
@@ -209,10 +209,9 @@ def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     spans = runs.groupBy(F.col("doc_id").alias("__id"), F.col("seq").alias("__seq")).agg(
         F.collect_list(F.struct("from_line", "to_line")).alias("__runs"))  # at most the lines of a text
     kept = [c for c in docs.columns if c not in counts]
-    few = spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    # The runs grow with the corpus: one plan at every size, a merge join that AQE can split.
     joined = (docs.select(*[f"`{c}`" for c in kept]).withColumn("__own", _sequence_id(id_col, text_col))
-              .join(F.broadcast(spans) if few else spans,
-                    (F.col(id_col).eqNullSafe(F.col("__id"))) & (F.col("__own") == F.col("__seq")), "left"))
+              .join(spans.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__seq")), "left"))
     parts = F.split(F.col(text_col), "\n", -1)
     stay = F.filter(parts, lambda line, i: ~F.exists("__runs", lambda r: (i >= r["from_line"]) & (i < r["to_line"])))
     text = F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))
