@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeq.functions.casts import lenient_double
-from lakeq.operators.joins import DEFAULT_TARGET_ROWS, key_counts, salted_join
+from lakeq.functions.casts import lenient_double, parse_date
+from lakeq.operators.joins import DEFAULT_TARGET_ROWS, key_counts, split_join
 
 
 def duplicate_key_rows(df: DataFrame, keys, null_safe: bool = True,
@@ -17,24 +17,13 @@ def duplicate_key_rows(df: DataFrame, keys, null_safe: bool = True,
 
     ``null_safe=True`` treats NULL key parts as equal (the profiler's rule);
     ``False`` uses SQL semantics (NULL keys never repeat, trap T7). Key counts
-    combine map-side; the join back is salted for keys above ``target_rows``
-    rows. For the null-safe rule each key part becomes two non-NULL columns
-    (text value, is-NULL flag), so a huge NULL group is spread like any key."""
+    combine map-side; rows of keys above ``target_rows`` rows, a huge NULL group
+    included, stay out of the shuffle of the join back."""
     keys = list(keys)
-    if not null_safe:
-        src = df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
-        counts = key_counts(src, keys)
-        dups = counts.where(F.col("__lq_n") > 1).withColumnRenamed("__lq_n", "dup_count")
-        return salted_join(src, dups, keys, "inner", counts=counts, target_rows=target_rows)
-    sur = {}
-    for i, k in enumerate(keys):
-        sur[f"__lq_k{i}v"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
-        sur[f"__lq_k{i}n"] = F.col(k).isNull()
-    src = df.withColumns(sur)
-    skeys = list(sur)
-    counts = key_counts(src, skeys)
+    src = df if null_safe else df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    counts = key_counts(src, keys)
     dups = counts.where(F.col("__lq_n") > 1).withColumnRenamed("__lq_n", "dup_count")
-    return salted_join(src, dups, skeys, "inner", counts=counts, target_rows=target_rows).drop(*skeys)
+    return split_join(src, dups, keys, "inner", counts=counts, target_rows=target_rows)
 
 
 def key_report(df: DataFrame, keys, table: str) -> DataFrame:
@@ -59,20 +48,29 @@ def key_reports(tables: dict[str, tuple[DataFrame, list[str]]]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def date_bounds(df: DataFrame, date_col) -> DataFrame:
+def _day(df: DataFrame, date_col, fmt: str) -> Column:
+    """A day from a date, timestamp or text column (bad text: NULL) or an expression."""
+    if not isinstance(date_col, str):
+        return date_col
+    if dict(df.dtypes)[date_col] == "string":
+        return parse_date(F.col(date_col), fmt)
+    return F.to_date(F.col(date_col))
+
+
+def date_bounds(df: DataFrame, date_col, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """First and last day."""
-    d = F.to_date(F.col(date_col)) if isinstance(date_col, str) else date_col
+    d = _day(df, date_col, fmt)
     return df.agg(F.min(d).alias("min_date"), F.max(d).alias("max_date"))
 
 
-def missing_dates(df: DataFrame, date_col, by: list[str] | None = None) -> DataFrame:
+def missing_dates(df: DataFrame, date_col, by: list[str] | None = None, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Calendar days between the first and last observed day with no row.
 
     Observed days are reduced map-side to distinct (group, day); the calendar
     is generated from the bounds, so its size is the date range, not the data.
     ``by`` gives a per-group calendar (each group's own first..last day)."""
     by = list(by or [])
-    d = F.to_date(F.col(date_col)) if isinstance(date_col, str) else date_col
+    d = _day(df, date_col, fmt)
     observed = df.select(*by, d.alias("day")).where(F.col("day").isNotNull()).distinct()
     bounds = observed.groupBy(*by).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     calendar = bounds.select(*by, F.explode(F.sequence("lo", "hi", F.expr("interval 1 day")))
@@ -83,9 +81,11 @@ def missing_dates(df: DataFrame, date_col, by: list[str] | None = None) -> DataF
 
 def range_violations(df: DataFrame, column: str, min_value=0, max_value=None) -> DataFrame:
     """rows whose value (numbers parsed leniently from text) is below
-    ``min_value`` or above ``max_value``; unparseable values never violate."""
-    v = lenient_double(F.col(column)) if dict(df.dtypes)[column] == "string" else F.col(column).cast("double")
+    ``min_value`` or above ``max_value``; unparseable values and NaN never violate."""
+    kind = dict(df.dtypes)[column]
+    v = lenient_double(F.col(column)) if kind == "string" else F.col(column).cast("double")
     bad = v < F.lit(min_value)
     if max_value is not None:
-        bad = bad | (v > F.lit(max_value))
+        over = v > F.lit(max_value)
+        bad = bad | (over & ~F.isnan(v) if kind in ("float", "double") else over)  # NaN sorts above all numbers
     return df.where(bad)

@@ -2,18 +2,16 @@
 
 AQE splits a skewed partition only when both join inputs are plain shuffle
 stages; a join against an aggregated key set (distinct keys, duplicate-key
-counts) is not split. ``salted_join`` handles that case explicitly:
+counts) is not split. ``split_join`` keeps the rows of hot keys out of the
+shuffle instead:
 
 1. per-key row counts of the big side (combined map-side, so cheap);
-2. keys above ``target_rows`` get ``ceil(count / target_rows)`` salts —
-   that table has at most total_rows / target_rows entries, a proven bound,
-   so it is broadcast;
-3. a hot key's rows take a salt from a hash of the row; the other side's rows
-   for that key are repeated once per salt; all other keys use salt 0;
-4. rows with a NULL key part can never match, so they are spread over
-   ``null_spread`` salts and the other side is not repeated for them.
-
-The result equals the plain join; no row is dropped or sampled.
+2. the keys above ``target_rows`` rows, at most ``MAX_HOT`` of them, with their
+   rows of the other side, form a table of fixed size, which is broadcast;
+3. rows with a hot key, identical copies and NULL keys included, meet that table
+   where they are; all other rows go through the shuffle join.
+
+Each row takes exactly one of the two ways, so the result equals the plain join.
 """
 
 from __future__ import annotations
@@ -22,10 +20,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_TARGET_ROWS = 2_000_000
-_SALT, _S, _N = "__lq_salt", "__lq_s", "__lq_n"
+MAX_HOT = 1000
+_N = "__lq_n"
 
 
 def key_counts(df: DataFrame, keys) -> DataFrame:
@@ -34,35 +32,33 @@ def key_counts(df: DataFrame, keys) -> DataFrame:
 
 
 def hot_keys(counts: DataFrame, keys, target_rows: int) -> DataFrame:
-    """Keys with more than ``target_rows`` rows and their salt count."""
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return (counts.where(complete & (F.col(_N) > target_rows))
-            .select(*keys, F.ceil(F.col(_N) / F.lit(target_rows)).cast("int").alias(_S)))
+    """The most frequent keys above ``target_rows`` rows, MAX_HOT at most."""
+    return counts.where(F.col(_N) > target_rows).orderBy(F.desc(_N), *keys).limit(MAX_HOT).select(*keys)
+
+
+def _renamed(df: DataFrame, keys, prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(f"{prefix}{keys.index(c)}") if c in keys else F.col(c) for c in df.columns])
+
+
+def _equal(left, right):
+    return reduce(lambda a, b: a & b, [F.col(x).eqNullSafe(F.col(y)) for x, y in zip(left, right)])
 
 
-def salted_join(big: DataFrame, side: DataFrame, keys, how: str = "left", counts: DataFrame | None = None,
-                target_rows: int = DEFAULT_TARGET_ROWS, null_spread: int | None = None) -> DataFrame:
-    """``big.join(side, keys, how)`` for how in {left, inner}, with hot keys salted.
+def split_join(big: DataFrame, side: DataFrame, keys, how: str = "left", counts: DataFrame | None = None,
+               target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
+    """``big`` joined with ``side`` on null-safe equal keys, for how in {left, inner}.
 
-    ``counts`` (keys..., __lq_n) may be passed when the caller already has the
-    per-key counts of ``big`` (e.g. from a duplicate check)."""
+    ``side`` has at most one row per key (leave NULL keys out of it where NULL
+    must not match). ``counts`` (keys..., __lq_n) may be passed when the caller
+    already has the per-key counts of ``big``."""
     keys = list(keys)
     if how not in ("left", "inner"):
-        raise ValueError("salted_join supports 'left' and 'inner'")
-    counts = counts if counts is not None else key_counts(big, keys)
-    hot = F.broadcast(hot_keys(counts, keys, target_rows))
-    if null_spread is None:
-        null_spread = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    # any column subset works for spreading; map columns cannot be hashed
-    hashable = [f.name for f in big.schema.fields if not isinstance(f.dataType, T.MapType)] or keys
-    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in hashable])
-    left = big.join(hot, keys, "left").withColumn(
-        _SALT,
-        F.when(any_null, F.pmod(row_hash, F.lit(null_spread)))
-        .when(F.col(_S).isNotNull(), F.pmod(row_hash, F.col(_S)))
-        .otherwise(F.lit(0)).cast("int")).drop(_S)
-    right = side.join(hot, keys, "left").withColumn(
-        _SALT, F.explode(F.when(F.col(_S).isNotNull(), F.sequence(F.lit(0), F.col(_S) - 1))
-                         .otherwise(F.array(F.lit(0))))).drop(_S)
-    return left.join(right, [*keys, _SALT], how).drop(_SALT)
+        raise ValueError("split_join supports 'left' and 'inner'")
+    out = [*big.columns, *[c for c in side.columns if c not in keys]]
+    s, h = [f"__lq_s{i}" for i in range(len(keys))], [f"__lq_h{i}" for i in range(len(keys))]
+    hot = _renamed(hot_keys(counts if counts is not None else key_counts(big, keys), keys, target_rows), keys, "__lq_h")
+    side = _renamed(side, keys, "__lq_s")
+    hot_side = side.join(F.broadcast(hot), _equal(s, h), "left_semi")  # MAX_HOT rows at most
+    cold = big.join(F.broadcast(hot), _equal(keys, h), "left_anti").join(side, _equal(keys, s), how)
+    rest = big.join(F.broadcast(hot), _equal(keys, h), "left_semi").join(F.broadcast(hot_side), _equal(keys, s), how)
+    return cold.select(*out).unionByName(rest.select(*out))

@@ -1,11 +1,10 @@
 """C2 validate: key, duplicate, range and reference rules in one pass.
 
-Plan shape (per table): one partial aggregate on the key columns finds the
-duplicated keys, one aggregate finds the distinct reference keys, and the rows
-are tagged by two left joins. Both joins are skew-safe: the aggregates combine
-map-side, AQE broadcasts a small side after measuring it at run time, and
-splits a hot key's partition when the join stays a shuffle join. All counters
-come from one aggregate of the tagged rows (the reference job ran 15-21 actions).
+Plan shape: one map-side-combined aggregate of the fact's keys gives the copies
+of each key; whether its reference key exists is looked up once per key, on that
+thin table; then the rows are tagged by one join, so the wide fact is shuffled
+once. Rows of hot keys stay out of that shuffle (``joins.split_join``). All
+counters come from one aggregate of the tagged rows.
 """
 
 from __future__ import annotations
@@ -13,11 +12,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeq.contracts import ContractError, GateError, ValidationRules
-from lakeq.operators.joins import DEFAULT_TARGET_ROWS, key_counts, salted_join
+from lakeq.operators.joins import DEFAULT_TARGET_ROWS, key_counts, split_join
 
 _MISSING = "__lq_missing"
 _DUP = "__lq_dup_n"
@@ -26,11 +25,13 @@ _UNMATCHED = "__lq_unmatched"
 REASONS = "quarantine_reasons"
 
 
-def require_columns(df: DataFrame, required, label: str) -> None:
-    """G1: schema-only check, before any Spark job."""
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ContractError(f"{label} is missing required columns: {missing}")
+def check_contract(tables: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> None:
+    """G1: schema-only check of {label: (frame, required columns)}, before any job.
+    All that is missing, from all tables, is reported together."""
+    gaps = {label: sorted(set(required) - set(df.columns)) for label, (df, required) in tables.items()}
+    gaps = {label: names for label, names in gaps.items() if names}
+    if gaps:
+        raise ContractError("contract not met: " + "; ".join(f"{label} lacks {', '.join(n)}" for label, n in gaps.items()))
 
 
 def any_null(keys) -> Column:
@@ -45,30 +46,28 @@ def any_negative(df: DataFrame, columns) -> Column:
     return F.coalesce(reduce(lambda a, b: a | b, [F.col(c) < 0 for c in present]), F.lit(False))
 
 
-def with_duplicate_count(df: DataFrame, keys, name: str = _DUP, counts: DataFrame | None = None,
+def complete(keys) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def with_duplicate_count(df: DataFrame, keys, name: str = _DUP,
                          target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """F3 + J1: attach the copy count of each row's key when the key repeats.
 
-    Keys with a NULL part never count (SQL semantics, trap T7). The per-key
-    counts combine map-side; the join back salts keys holding more than
-    ``target_rows`` rows, so one huge duplicate key is spread over many tasks."""
-    keys = list(keys)
-    counts = counts if counts is not None else key_counts(df, keys)
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    dups = counts.where(complete & (F.col("__lq_n") > 1)).withColumnRenamed("__lq_n", name)
-    return salted_join(df, dups, keys, "left", counts=counts, target_rows=target_rows)
+    Keys with a NULL part never count (SQL semantics, trap T7)."""
+    counts = key_counts(df, keys)
+    dups = counts.where(complete(keys) & (F.col("__lq_n") > 1)).withColumnRenamed("__lq_n", name)
+    return split_join(df, dups, keys, "left", counts=counts, target_rows=target_rows)
 
 
 def with_reference_match(df: DataFrame, fact_key: str, ref: DataFrame, ref_key: str,
                          name: str = _UNMATCHED, counts: DataFrame | None = None,
                          target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Flag rows whose key has no reference row (a NULL key never matches).
-
-    The reference keys are made unique (so rows are not multiplied), and hot
-    fact keys are salted (see ``joins.salted_join``)."""
+    The reference keys are made unique, so rows are not multiplied."""
     keys = (ref.select(F.col(ref_key).alias(fact_key)).where(F.col(fact_key).isNotNull()).distinct()
             .withColumn("__lq_hit", F.lit(True)))
-    joined = salted_join(df, keys, [fact_key], "left", counts=counts, target_rows=target_rows)
+    joined = split_join(df, keys, [fact_key], "left", counts=counts, target_rows=target_rows)
     return joined.withColumn(name, F.col("__lq_hit").isNull()).drop("__lq_hit")
 
 
@@ -79,24 +78,21 @@ def _reasons(pairs) -> Column:
 
 def tag_fact(fact: DataFrame, ref: DataFrame, rules: ValidationRules,
              target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    """Fact rows + rule flags + ``quarantine_reasons`` (array, possibly empty).
-
-    One map-side-combined aggregate of the fact keys serves both joins: it
-    gives the duplicate counts and, re-aggregated, the rows per reference key
-    used to salt hot keys."""
-    require_columns(fact, rules.fact_keys, f"{rules.fact_label} data")
+    """Fact rows + rule flags + ``quarantine_reasons`` (array, possibly empty)."""
+    check_contract({f"{rules.fact_label} data": (fact, rules.fact_keys), f"{rules.ref_label} data": (ref, rules.ref_keys)})
     negative = any_negative(fact, rules.nonnegative)
     keys = list(rules.fact_keys)
     counts = key_counts(fact, keys)
+    copies = F.when(complete(keys) & (F.col("__lq_n") > 1), F.col("__lq_n"))
     if rules.fact_ref_key in keys:
-        ref_counts = counts.groupBy(rules.fact_ref_key).agg(F.sum("__lq_n").alias("__lq_n"))
+        # the reference is looked up once per key, and the rows are joined once
+        per_key = with_reference_match(counts, rules.fact_ref_key, ref, rules.ref_key, target_rows=target_rows)
+        tagged = split_join(fact, per_key.withColumn(_DUP, copies).drop("__lq_n"), keys, "left", counts=counts,
+                            target_rows=target_rows)
     else:
-        ref_counts = key_counts(fact, [rules.fact_ref_key])
-    tagged = (with_duplicate_count(fact, keys, counts=counts, target_rows=target_rows)
-              .withColumns({_MISSING: any_null(rules.fact_keys), _NEG: negative}))
-    tagged = with_reference_match(tagged, rules.fact_ref_key, ref, rules.ref_key, counts=ref_counts,
-                                  target_rows=target_rows)
-    tagged = tagged.withColumn(REASONS, _reasons([
+        tagged = with_duplicate_count(fact, keys, target_rows=target_rows)
+        tagged = with_reference_match(tagged, rules.fact_ref_key, ref, rules.ref_key, target_rows=target_rows)
+    tagged = tagged.withColumns({_MISSING: any_null(keys), _NEG: negative}).withColumn(REASONS, _reasons([
         (F.col(_MISSING), rules.reason("fact_missing")),
         (F.col(_DUP).isNotNull(), rules.reason("fact_duplicate")),
         (F.col(_NEG), rules.reason("negative")),
@@ -106,7 +102,7 @@ def tag_fact(fact: DataFrame, ref: DataFrame, rules: ValidationRules,
 
 
 def tag_reference(ref: DataFrame, rules: ValidationRules, target_rows: int = DEFAULT_TARGET_ROWS) -> DataFrame:
-    require_columns(ref, rules.ref_keys, f"{rules.ref_label} data")
+    check_contract({f"{rules.ref_label} data": (ref, rules.ref_keys)})
     tagged = with_duplicate_count(ref, rules.ref_keys, target_rows=target_rows).withColumn(
         _MISSING, any_null(rules.ref_keys))
     tagged = tagged.withColumn(REASONS, _reasons([
@@ -140,7 +136,8 @@ def _ref_counters(rules: ValidationRules):
 
 
 def summary_layout(rules: ValidationRules) -> list[tuple[str, str]]:
-    """The eight summary metrics, in order, with their severity."""
+    """The eight summary metrics, in order, with their severity.
+    Fixed values: metric names and severities."""
     fl, rl = rules.fact_label, rules.ref_label
     return [
         (f"{fl}_row_count", "info"),
@@ -227,8 +224,8 @@ def run_validation(fact: DataFrame, ref: DataFrame, rules: ValidationRules, *, r
     """C2 with its writes: quarantine (per table, partitioned by reason, the run's
     directory always overwritten — trap T16), then the summary, then the gate.
 
-    Counters are observed during the quarantine writes, so each table is
-    scanned once for the writes plus once for its key aggregates.
+    Counters are an aggregate of their own: counters observed in the writes would
+    sit before the shuffle that sizes the files, where a repeated task counts twice.
 
     ``mode='fail'`` (parity) raises on critical issues; ``mode='drop'`` (trap
     T18) writes the same evidence and returns the clean fact rows instead."""
@@ -238,14 +235,11 @@ def run_validation(fact: DataFrame, ref: DataFrame, rules: ValidationRules, *, r
 
     for df, label in ((fact, rules.fact_label), (ref, rules.ref_label)):
         if not df.take(1):  # G2: one-row probe, before any write
-            raise GateError(f"{label} dataset is empty")
+            raise GateError(f"table {label} has no rows, nothing to validate")
     tf, tr = tag_fact(fact, ref, rules), tag_reference(ref, rules)
-    obs_f, obs_r = Observation(f"{rules.fact_label}_counters"), Observation(f"{rules.ref_label}_counters")
-    write_quarantine(quarantine_rows(tf.observe(obs_f, *_fact_counters(rules)), run_id, run_ts),
-                     quarantine_base, rules.fact_label, run_id)
-    write_quarantine(quarantine_rows(tr.observe(obs_r, *_ref_counters(rules)), run_id, run_ts),
-                     quarantine_base, rules.ref_label, run_id)
-    values = {**obs_f.get, **obs_r.get}
+    write_quarantine(quarantine_rows(tf, run_id, run_ts), quarantine_base, rules.fact_label, run_id)
+    write_quarantine(quarantine_rows(tr, run_id, run_ts), quarantine_base, rules.ref_label, run_id)
+    values = {r.metric_name: r.metric_value for r in counters(tf, tr, rules).collect()}
     spark = fact.sparkSession
     rows = [(m, int(values[m]), s) for m, s in summary_layout(rules)]
     summary_df = spark.createDataFrame(rows, "metric_name string, metric_value bigint, severity string")
@@ -254,6 +248,6 @@ def run_validation(fact: DataFrame, ref: DataFrame, rules: ValidationRules, *, r
     outcome = ValidationOutcome(summary_df, values, critical, critical == 0,
                                 clean_rows(tf) if mode == "drop" else None)
     if critical > 0 and raise_on_failure and mode == "fail":
-        raise GateError(f"validation failed: critical issue count = {critical}; "
-                        f"see {quarantine_base} and {summary_path}")
+        raise GateError(f"run {run_id}: {critical} critical findings in {rules.fact_label} and {rules.ref_label}; "
+                        f"rows in {quarantine_base}, counts in {summary_path}")
     return outcome
