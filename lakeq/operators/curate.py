@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeq.functions.casts import parse_date
 
+# Provenance flags of official and inferred rows.
 MATCH_FLAGS = {
     "official": ("matched", "provider_file", "N"),
     "inferred": ("inferred_from_staffing", "staffing_file", "Y"),
@@ -25,13 +26,20 @@ def survivor(df: DataFrame, key: str, columns: list[str] | None = None, prefix:
     """A3 with a deterministic survivor (trap T13): per key, the row that is
     smallest over ``order_by`` (columns or expressions; use ``F.desc`` -like
     negation for latest-first) and then over the remaining columns in order.
-    ``min`` of a struct combines map-side, so a hot key never lands whole in
-    one task."""
+
+    Equal rows are first collapsed to one with a count, by a hash aggregate over
+    the scan; only the collapsed rows are sorted for the minimum. The count is
+    summed and tested, or the optimizer would drop that first step as redundant."""
     cols = [c for c in (columns if columns is not None else df.columns) if c != key]
     if not cols:
         return df.select(key).distinct()
     ranks = [(F.col(o) if isinstance(o, str) else o).alias(f"__lq_o{i}") for i, o in enumerate(order_by or [])]
-    picked = df.groupBy(key).agg(F.min(F.struct(*ranks, *[F.col(c) for c in cols])).alias("__lq_s"))
+    rank_names = [f"__lq_o{i}" for i in range(len(ranks))]
+    collapsed = (df.select(key, *cols, *ranks).groupBy(key, *cols, *rank_names)
+                 .agg(F.count(F.lit(1)).alias("__lq_rows")))
+    picked = (collapsed.groupBy(key).agg(F.min(F.struct(*rank_names, *cols)).alias("__lq_s"),
+                                         F.sum("__lq_rows").alias("__lq_rows"))
+              .where(F.col("__lq_rows") > 0))
     return picked.select(key, *[F.col(f"__lq_s.{c}").alias(prefix + c) for c in cols])
 
 
@@ -64,7 +72,9 @@ def build_dimension(ref: DataFrame, fact: DataFrame, *, ref_key: str, dim_key: s
 
     joined = fact_surv.join(ref_surv, dim_key, "full" if keep_unreferenced else "left")
     hit = F.col("__lq_hit").isNotNull()
-    by_dim = {v: k for k, v in inferred_attrs.items()}
+    # A carried column that the reference also has keeps the reference's value on
+    # official rows; inferred rows have only the fact to take it from.
+    by_dim = {v: k for k, v in {**carried, **inferred_attrs}.items()}
     out = [F.col(dim_key)]
     for c in ref_cols:
         if c in by_dim:
