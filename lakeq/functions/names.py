@@ -12,14 +12,15 @@ from pyspark.sql import functions as F
 
 from lakeq.contracts import ContractError
 
-_NON_ALNUM = re.compile(r"[^a-z0-9]+")
-_REPEATED_UNDERSCORE = re.compile(r"_+")
+
+def quoted(name: str) -> str:
+    """A column name as SQL and ``F.col`` take it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
 
 
 def standardize_name(name: str) -> str:
-    """Strip, lower-case, turn every non [a-z0-9] run into '_', collapse, strip '_'."""
-    out = _NON_ALNUM.sub("_", name.strip().lower())
-    return _REPEATED_UNDERSCORE.sub("_", out).strip("_")
+    """The runs of a-z and 0-9 in the lower-cased name, joined by '_'."""
+    return "_".join(re.findall("[a-z0-9]+", name.lower()))
 
 
 def standardized_names(columns: list[str]) -> list[str]:
@@ -38,4 +39,4 @@ def standardized_names(columns: list[str]) -> list[str]:
 
 def standardize_columns(df: DataFrame) -> DataFrame:
     names = standardized_names(df.columns)
-    return df.select([F.col(f"`{c}`").alias(n) for c, n in zip(df.columns, names)])
+    return df.select([F.col(quoted(c)).alias(n) for c, n in zip(df.columns, names)])

@@ -5,27 +5,41 @@ Distributed replacements for a single-process data-frame profiler:
 - quartiles are exact without holding a column in one task: values are
   counted per (column, value), range-partitioned, and ranks are found from
   per-partition running counts (see ``exact_quantiles``);
-- outliers are one more aggregate with the bounds as literals (a few numbers
-  per column are collected, never rows).
+- outliers are counted on the same per-value counts, joined with the fences of
+  their column (one row per column).
+
+NaN counts as missing throughout, as data-frame readers treat it. Results are not
+rounded unless the caller asks for it.
 """
 
 from __future__ import annotations
 
-import math
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeq.functions.casts import NUMERIC_TEXT_PATTERN as _NUMERIC_RX
+from lakeq.functions.names import quoted as _q
 from lakeq.functions.text import profile_text
 from lakeq.session import ensure_checkpoint_dir
 
+# Fixed value: the type-issue text of the profile.
 NUMERIC_LIKE_ISSUE = "Possible numeric values stored as text"
 _NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
                   T.DecimalType)
 
 
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN of float and double columns as NULL."""
+    floats = (T.FloatType, T.DoubleType)
+    if not any(isinstance(f.dataType, floats) for f in df.schema.fields):
+        return df
+    return df.select([F.when(~F.isnan(F.col(_q(f.name))), F.col(_q(f.name))).alias(f.name)
+                      if isinstance(f.dataType, floats) else F.col(_q(f.name)) for f in df.schema.fields])
+
+
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, _NUMERIC_TYPES)]
 
@@ -51,11 +65,6 @@ def _pct(num, total):
     return F.when(total == 0, F.lit(0.0)).otherwise(F.round(num * 100.0 / total, 2))
 
 
-def _q(name: str) -> str:
-    """A column name quoted for a SQL expression."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -73,9 +82,9 @@ def _distinct_counts(df: DataFrame, approx: bool, chunk: int) -> DataFrame:
 
     Several exact distinct counts in one aggregate plan an Expand (one row copy
     per counted column). Counting ``chunk`` columns per aggregate (default 4) bounds
-    that blow-up; each chunk's scan reads only its own columns, so the chunks
-    together read the table about once and run as independent stages
-    (``chunk=1`` gives plain two-phase single-distinct aggregations). ``approx``
+    that blow-up; over a columnar table each chunk's scan reads only its own
+    columns (a CSV file is parsed again for each: write it as a table first).
+    ``chunk=1`` gives plain two-phase single-distinct aggregations; ``approx``
     uses HyperLogLog++ instead."""
     names = df.columns
     frames = []
@@ -100,6 +109,7 @@ def column_profile(df: DataFrame, table: str | None = None, missing_threshold: f
     ``stack``; the per-column rules are then one row-wise projection. Distinct
     counts come from ``_distinct_counts`` and join back by column name (both
     sides hold one row per column)."""
+    df = without_nan(df)
     strings = set(string_columns(df))
     aggs = ["count(1) AS n"]
     for i, c in enumerate(df.columns):
@@ -134,42 +144,54 @@ def profile_read(df: DataFrame) -> DataFrame:
     """The profiling reader's view of landed text: NA tokens (P15) and white
     space only values (P16) become NULL in every string column."""
     strings = set(string_columns(df))
-    return df.select([profile_text(F.col(f"`{c}`")).alias(c) if c in strings else F.col(f"`{c}`")
+    return df.select([profile_text(F.col(_q(c))).alias(c) if c in strings else F.col(_q(c))
                       for c in df.columns])
 
 
-_INT_TEXT = r"^[+-]?[0-9]{1,18}$"
+_INT_TEXT = r"^[+-]?[0-9]+$"
 _BOOL_TOKENS = ("True", "False", "TRUE", "FALSE", "true", "false")
 
 
+def _text_class(c: str) -> str:
+    """What one text value looks like: integer, long integer (beyond bigint),
+    number, boolean or other. Integers take the cast, only the rest a pattern."""
+    t = f"trim(CAST({_q(c)} AS STRING))"
+    bools = ", ".join(_lit(b) for b in _BOOL_TOKENS)
+    return (f"CASE WHEN {_q(c)} IS NULL THEN NULL WHEN try_cast({t} AS BIGINT) IS NOT NULL THEN 'i' "
+            f"WHEN {t} RLIKE {_lit(_INT_TEXT)} THEN 'l' WHEN {t} RLIKE {_lit(_NUMERIC_RX)} THEN 'n' "
+            f"WHEN {t} IN ({bools}) THEN 'b' ELSE 'o' END")
+
+
 def infer_types(df: DataFrame) -> DataFrame:
     """The type a data-frame reader would give each text column, decided
     from all its values in one aggregate: 'bigint' when every value is an
     integer and none is missing (integers with gaps become 'double'), 'double'
     when every present value is a number (or none is present), 'boolean' for
-    complete True/False columns, else 'string'. Non-text columns keep their type."""
-    fields = df.schema.fields
-    bools = ", ".join(_lit(b) for b in _BOOL_TOKENS)
+    complete True/False columns, else 'string'. Integers that bigint cannot hold
+    stay text, so that no digit is lost. Non-text columns keep their type."""
+    fields = without_nan(df).schema.fields
+    text = {f.name for f in fields if isinstance(f.dataType, T.StringType)}
+    classes = without_nan(df).selectExpr(*[
+        f"{_text_class(f.name) if f.name in text else _q(f.name) + ' IS NOT NULL'} AS k{i}" for i, f in enumerate(fields)])
     aggs = {"n": "count(1)"}
     for i, f in enumerate(fields):
-        t = f"trim(CAST({_q(f.name)} AS STRING))"
-        aggs[f"nn{i}"] = f"count({_q(f.name)})"
-        aggs[f"num{i}"] = f"count_if({t} RLIKE {_lit(_NUMERIC_RX)})"
-        # an integer is a number without '.', 'e' or 'E' and of at most 18 digits
-        aggs[f"int{i}"] = f"count_if({t} RLIKE {_lit(_INT_TEXT)})"
-        aggs[f"b{i}"] = f"count_if({t} IN ({bools}))"
-    wide = df.agg(*[F.expr(e).alias(a) for a, e in aggs.items()])
-    long = _stack(wide, [[_lit(f.name), _lit(f.dataType.simpleString()),
-                          "true" if isinstance(f.dataType, T.StringType) else "false",
-                          "n", f"nn{i}", f"int{i}", f"num{i}", f"b{i}"] for i, f in enumerate(fields)],
-                  ["column_name", "dtype", "is_text", "n", "nn", "ints", "nums", "bools"])
+        if f.name in text:
+            aggs |= {f"nn{i}": f"count(k{i})"} | {f"{x}{i}": f"count_if(k{i} = '{x}')" for x in "ilnb"}
+        else:
+            aggs |= {f"nn{i}": f"count_if(k{i})"}
+    wide = classes.agg(*[F.expr(e).alias(a) for a, e in aggs.items()])
+    long = _stack(wide, [[_lit(f.name), _lit(f.dataType.simpleString()), "n", f"nn{i}"]
+                         + ([f"i{i}", f"l{i}", f"n{i}", f"b{i}"] if f.name in text else ["CAST(NULL AS BIGINT)"] * 4)
+                         for i, f in enumerate(fields)],
+                  ["column_name", "dtype", "n", "nn", "ints", "longs", "nums", "bools"])
     return long.selectExpr(
         "column_name", "CAST(nn AS BIGINT) AS non_null_count", "CAST(ints AS BIGINT) AS integer_count",
-        "CAST(nums AS BIGINT) AS numeric_count",
-        """CASE WHEN NOT is_text THEN dtype
+        "CAST(ints + longs + nums AS BIGINT) AS numeric_count",
+        """CASE WHEN ints IS NULL THEN dtype
                 WHEN nn = 0 THEN 'double'
+                WHEN longs > 0 THEN 'string'
                 WHEN ints = nn AND nn = n THEN 'bigint'
-                WHEN nums = nn THEN 'double'
+                WHEN ints + nums = nn THEN 'double'
                 WHEN bools = nn AND nn = n THEN 'boolean'
                 ELSE 'string' END AS inferred_type""")
 
@@ -177,12 +199,13 @@ def infer_types(df: DataFrame) -> DataFrame:
 def apply_inferred_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Cast text columns to the inferred types (a small dict collected from ``infer_types``)."""
     from lakeq.functions.casts import lenient_cast
-    return df.select([lenient_cast(F.col(f"`{c}`"), types[c]).alias(c) if types.get(c, "string") != "string"
-                      else F.col(f"`{c}`") for c in df.columns])
+    return df.select([lenient_cast(F.col(_q(c)), types[c]).alias(c) if types.get(c, "string") != "string"
+                      else F.col(_q(c)) for c in df.columns])
 
 
 def missing_counts(df: DataFrame, table: str | None = None) -> DataFrame:
     """Missing values per column from a single aggregate of non-NULL counts."""
+    df = without_nan(df)
     wide = df.agg(F.count(F.lit(1)).alias("n"),
                   *[F.expr(f"count({_q(c)})").alias(f"nn{i}") for i, c in enumerate(df.columns)])
     t = _lit(table) if table is not None else "CAST(NULL AS STRING)"
@@ -200,8 +223,13 @@ def missing_ranking(profile: DataFrame) -> DataFrame:
 def duplicate_rows(df: DataFrame, table: str | None = None) -> DataFrame:
     """A5: copies beyond the first of whole rows (NULLs equal), and their share.
 
-    Grouping on all columns combines map-side, so heavy repeats stay cheap."""
-    groups = df.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("__k"))
+    Grouping combines map-side, so heavy repeats stay cheap. Text columns are
+    grouped by length and SHA-256, so no long text is a shuffle key."""
+    keys = []
+    for f in df.schema.fields:
+        c = F.col(_q(f.name))
+        keys += [F.length(c), F.sha2(c, 256)] if isinstance(f.dataType, T.StringType) else [c]
+    groups = df.groupBy(*[k.alias(f"__g{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__k"))
     agg = groups.agg(F.sum("__k").alias("n"), F.sum(F.col("__k") - 1).alias("d"))
     n, d = F.coalesce(F.col("n"), F.lit(0)), F.coalesce(F.col("d"), F.lit(0))
     return agg.select(F.lit(table).cast("string").alias("table_name"),
@@ -212,40 +240,43 @@ def duplicate_rows(df: DataFrame, table: str | None = None) -> DataFrame:
 
 def duplicate_groups(df: DataFrame, cols) -> DataFrame:
     """A5 per group: each repeated value combination with its row count."""
-    return (df.groupBy(*cols).agg(F.count(F.lit(1)).alias("row_count"))
+    return (df.groupBy(*[F.col(_q(c)) for c in cols]).agg(F.count(F.lit(1)).alias("row_count"))
             .where(F.col("row_count") > 1)
             .withColumn("extra_copies", F.col("row_count") - 1))
 
 
 def _long_values(df: DataFrame, cols) -> DataFrame:
     return df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value"))
+        F.struct(F.lit(c).alias("column_name"), F.col(_q(c)).cast("double").alias("value"))
         for c in cols
     ]))).where(F.col("value").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75), partitions: int | None = None) -> DataFrame:
+def value_counts(df: DataFrame, cols) -> DataFrame:
+    """(column_name, value, n): rows per value of each numeric column, missing ones
+    under NULL. One map-side-combined aggregate per column: each reads only its
+    own column, and the per-column stages run side by side."""
+    df = without_nan(df)
+    return reduce(lambda a, b: a.unionByName(b), [
+        df.groupBy(F.col(_q(c)).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit(c).alias("column_name"), "value", "n") for c in cols])
+
+
+def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75), partitions: int | None = None,
+                    counts: DataFrame | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles (the pandas / quantile_cont rule) of
     several columns, without gathering a column into one task.
 
-    1. count rows per value, one aggregate per column (combined map-side;
-       each reads only its own column);
+    1. count rows per value (``value_counts``, or ``counts`` made by it);
     2. range-partition those distinct values; running counts inside each
        partition plus per-partition offsets give every value's rank interval;
-    3. a broadcast of the target ranks (columns x probs x 2 rows, bounded by
-       construction) picks the two neighbours and interpolates.
+    3. the target ranks (columns x probs x 2 rows) pick the two neighbours and
+       interpolate.
     Returns (column_name, prob, value)."""
     spark = df.sparkSession
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # one map-side-combined value count per column: each reads only its own
-    # column, and the per-column stages run side by side
-    per_col = [df.select(F.col(f"`{c}`").cast("double").alias("value")).where(F.col("value").isNotNull())
-               .groupBy("value").agg(F.count(F.lit(1)).alias("n"))
-               .select(F.lit(c).alias("column_name"), "value", "n") for c in cols]
-    counts = per_col[0]
-    for f in per_col[1:]:
-        counts = counts.unionByName(f)
+    counts = (counts if counts is not None else value_counts(df, cols)).where(F.col("value").isNotNull())
     ranged = counts.repartitionByRange(partitions, "column_name", "value").withColumn(
         "pid", F.spark_partition_id())
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
@@ -262,7 +293,7 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75), partitions: in
         F.sum("pn").over(w_tot).alias("total"))
     w_in = Window.partitionBy("column_name", "pid").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     ranked = (ranged.withColumn("upto", F.sum("n").over(w_in))
-              .join(F.broadcast(offsets), ["column_name", "pid"])
+              .join(offsets, ["column_name", "pid"])  # columns x partitions rows: broadcast if they measure small
               .select("column_name", "value", "total",
                       (F.col("offset") + F.col("upto") - F.col("n")).alias("r_start"),
                       (F.col("offset") + F.col("upto")).alias("r_end")))
@@ -287,19 +318,20 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.25, 0.5, 0.75), partitions: in
 
 
 def numeric_summary(df: DataFrame, cols=None, table: str | None = None, exact: bool = True,
-                    digits: int = 6) -> DataFrame:
-    """Count, mean, sample std, min, 25/50/75 %, max — one row per column."""
+                    digits: int | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Count, mean, sample std, min, 25/50/75 %, max — one row per column.
+    ``digits`` rounds the output; ``counts`` as in ``exact_quantiles``."""
+    df = without_nan(df)
     cols = list(cols) if cols is not None else numeric_columns(df)
-    wide = df.agg(*[a for c in cols for a in (
-        F.count(F.col(c)).alias(f"{c}__count"), F.avg(F.col(c).cast("double")).alias(f"{c}__mean"),
-        F.stddev_samp(F.col(c).cast("double")).alias(f"{c}__std"),
-        F.min(F.col(c).cast("double")).alias(f"{c}__min"), F.max(F.col(c).cast("double")).alias(f"{c}__max"))])
+    v = [F.col(_q(c)).cast("double") for c in cols]
+    wide = df.agg(*[a for i, x in enumerate(v) for a in (
+        F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"std{i}"),
+        F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}"))])
     basic = wide.select(F.inline(F.array(*[F.struct(
-        F.lit(c).alias("column_name"), F.col(f"{c}__count").cast("bigint").alias("count"),
-        F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-        F.col(f"{c}__min").alias("min"), F.col(f"{c}__max").alias("max")) for c in cols])))
+        F.lit(c).alias("column_name"), F.col(f"n{i}").cast("bigint").alias("count"),
+        *[F.col(f"{a}{i}").alias(a) for a in ("mean", "std", "min", "max")]) for i, c in enumerate(cols)])))
     if exact:
-        q = exact_quantiles(df, cols)
+        q = exact_quantiles(df, cols, counts=counts)
     else:
         q = _long_values(df, cols).groupBy("column_name").agg(
             F.percentile_approx("value", [0.25, 0.5, 0.75], 10000).alias("qs")).select(
@@ -310,44 +342,31 @@ def numeric_summary(df: DataFrame, cols=None, table: str | None = None, exact: b
         F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("p25"),
         F.max(F.when(F.col("prob") == 0.5, F.col("value"))).alias("p50"),
         F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("p75"))
-    r = lambda c: F.round(F.col(c), digits).alias(c)
+    r = lambda c: F.col(c) if digits is None else F.round(F.col(c), digits).alias(c)
     return basic.join(quart, "column_name", "left").select(
         F.lit(table).cast("string").alias("table_name"), "column_name", "count",
         r("mean"), r("std"), r("min"), r("p25"), r("p50"), r("p75"), r("max"))
 
 
-def iqr_bounds(df: DataFrame, cols) -> dict[str, tuple[float, float]]:
-    """Quartile fences per column; collects (column, q1, q3) — 3 numbers per column."""
-    q = exact_quantiles(df, cols, probs=(0.25, 0.75))
-    got: dict[str, dict[float, float]] = {}
-    for row in q.collect():
-        got.setdefault(row["column_name"], {})[row["prob"]] = row["value"]
-    out = {}
-    for c, qs in got.items():
-        q1, q3 = qs[0.25], qs[0.75]
-        iqr = q3 - q1
-        out[c] = (q1 - 1.5 * iqr, q3 + 1.5 * iqr)
-    return out
-
-
-def iqr_outliers(df: DataFrame, cols=None, table: str | None = None) -> DataFrame:
+def iqr_outliers(df: DataFrame, cols=None, table: str | None = None, counts: DataFrame | None = None) -> DataFrame:
     """A12 + F5: values strictly outside [q1 - 1.5 IQR, q3 + 1.5 IQR]; the
-    percentage is over all rows, NULL included."""
+    percentage is over all rows, missing ones included. The rows are counted on
+    the per-value counts the quartiles come from, so the table is not read again."""
     cols = list(cols) if cols is not None else numeric_columns(df)
-    bounds = iqr_bounds(df, cols)
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    for i, c in enumerate(cols):
-        if c in bounds and not any(math.isnan(b) for b in bounds[c]):
-            lo, hi = bounds[c]
-            v = F.col(c).cast("double")
-            aggs.append(F.count_if((v < F.lit(lo)) | (v > F.lit(hi))).alias(f"o{i}"))
-        else:
-            aggs.append(F.lit(0).alias(f"o{i}"))
-    wide = df.agg(*aggs)
-    return wide.select(F.inline(F.array(*[F.struct(
-        F.lit(table).cast("string").alias("table_name"), F.lit(c).alias("column_name"),
-        F.col(f"o{i}").cast("bigint").alias("outlier_count"),
-        _pct(F.col(f"o{i}"), F.col("__n")).alias("outlier_pct")) for i, c in enumerate(cols)])))
+    counts = counts if counts is not None else value_counts(df, cols)
+    q = exact_quantiles(df, cols, probs=(0.25, 0.75), counts=counts).groupBy("column_name").agg(
+        F.max(F.when(F.col("prob") == 0.25, F.col("value"))).alias("q1"),
+        F.max(F.when(F.col("prob") == 0.75, F.col("value"))).alias("q3"))
+    fences = q.select("column_name", (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("lo"),
+                      (F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))).alias("hi"))
+    out = (F.col("value") < F.col("lo")) | (F.col("value") > F.col("hi"))
+    found = counts.join(F.broadcast(fences), "column_name", "left").groupBy("column_name").agg(  # a row per column
+        F.sum("n").alias("total"), F.sum(F.when(out, F.col("n")).otherwise(0)).alias("o"))
+    named = df.sparkSession.createDataFrame([(c,) for c in cols], "column_name string")
+    n, o = F.coalesce("total", F.lit(0)), F.coalesce("o", F.lit(0))
+    return named.join(found, "column_name", "left").select(
+        F.lit(table).cast("string").alias("table_name"), "column_name", o.cast("bigint").alias("outlier_count"),
+        _pct(o, n).alias("outlier_pct"))
 
 
 def numeric_like_text(df: DataFrame, cols=None, threshold: float = 0.8) -> DataFrame:
@@ -368,17 +387,18 @@ def numeric_like_text(df: DataFrame, cols=None, threshold: float = 0.8) -> DataF
 
 
 def profile(df: DataFrame, table: str, **kw) -> dict[str, DataFrame]:
-    """Everything the profiler reports, as DataFrames."""
-    prof = column_profile(df, table, **kw)
+    """Everything the profiler reports, as DataFrames. Each reads ``df`` when it
+    runs, so give it a written table, not a CSV scan (``discovery.profile_file``)."""
     nums = numeric_columns(df)
     out = {
         "overview": dataset_overview(df, table),
         "catalog": column_catalog(df, table),
         "duplicates": duplicate_rows(df, table),
-        "columns": prof,
-        "missing_ranking": missing_ranking(prof),
+        "columns": column_profile(df, table, **kw),
+        "missing_ranking": missing_ranking(missing_counts(df, table)),
     }
     if nums:
-        out["numeric_summary"] = numeric_summary(df, nums, table)
-        out["outliers"] = iqr_outliers(df, nums, table)
+        counts = value_counts(df, nums)
+        out["numeric_summary"] = numeric_summary(df, nums, table, counts=counts)
+        out["outliers"] = iqr_outliers(df, nums, table, counts=counts)
     return out

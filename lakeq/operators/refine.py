@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lakeq.contracts import Lineage, TableContract
 from lakeq.functions.casts import lenient_cast
-from lakeq.functions.names import standardized_names
+from lakeq.functions.names import quoted, standardized_names
 from lakeq.functions.text import blank_to_null
 
 LINEAGE_COLUMNS = ("run_id", "dataset_name", "source_file_name", "ingest_ts_utc")
@@ -28,7 +28,7 @@ class Refined:
 def contract_warnings(columns: list[str], contract: TableContract) -> list[str]:
     """P5: contract columns absent from the data are reported, not fatal."""
     have = set(columns)
-    return [f"column {c!r} not found in {contract.name}; cast skipped"
+    return [f"{contract.name}: no column {c!r} in the data, so it is not cast"
             for c in contract.columns if c not in have]
 
 
@@ -46,7 +46,7 @@ def cleaned(raw: DataFrame) -> DataFrame:
     """P1 + P3: standard names (collisions raise, trap T6) and blanks to NULL, as
     one projection. Later casts read these columns instead of re-deriving them."""
     names = standardized_names(raw.columns)
-    return raw.select([blank_to_null(F.col(f"`{o}`")).alias(n) for o, n in zip(raw.columns, names)])
+    return raw.select([blank_to_null(F.col(quoted(o))).alias(n) for o, n in zip(raw.columns, names)])
 
 
 def refine(raw: DataFrame, contract: TableContract, lineage: Lineage | None = None) -> Refined:
