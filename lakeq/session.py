@@ -46,13 +46,16 @@ def get_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint directory, creating a local one only if unset."""
+    """The shared checkpoint directory. A local one is made only where none is set
+    and all tasks run in this process; on a cluster it must be configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="lakeq-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

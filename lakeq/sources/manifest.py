@@ -18,8 +18,9 @@ MANIFEST_COLUMNS = ("run_id", "source", "dataset", "file_id", "file_name", "path
 
 
 def manifest_records(df: DataFrame, *, run_id, dataset, file_id, file_name, path, size_bytes,
-                     source: str = "landing") -> DataFrame:
-    """S5 + S6: normalise any listing into manifest rows; names are cleaned."""
+                     source: str = "landing", pos=None) -> DataFrame:
+    """S5 + S6: normalise any listing into manifest rows; names are cleaned.
+    ``pos`` is the entry's number in its run, which "the last entry wins" goes by."""
     def as_col(x):
         return x if not isinstance(x, str) else F.col(x)
     return df.select(
@@ -29,7 +30,8 @@ def manifest_records(df: DataFrame, *, run_id, dataset, file_id, file_name, path
         as_col(file_id).cast("string").alias("file_id"),
         clean_file_name(as_col(file_name)).alias("file_name"),
         as_col(path).cast("string").alias("path"),
-        as_col(size_bytes).cast("bigint").alias("size_bytes"))
+        as_col(size_bytes).cast("bigint").alias("size_bytes"),
+        *([] if pos is None else [as_col(pos).cast("bigint").alias("pos")]))
 
 
 def manifest_from_files(spark: SparkSession, pattern: str, *, run_id: str, dataset=None) -> DataFrame:
@@ -43,8 +45,10 @@ def manifest_from_files(spark: SparkSession, pattern: str, *, run_id: str, datas
 
 
 def write_manifest(manifest: DataFrame, base: str) -> None:
-    """Append a run's rows to the manifest table (partitioned by run)."""
-    manifest.write.mode("append").partitionBy("run_id").json(base)
+    """Put a run's rows into the manifest table (partitioned by run). A run that is
+    written again replaces its own rows and no others."""
+    (manifest.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run_id").json(base))
 
 
 def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:
@@ -58,23 +62,29 @@ def read_manifest_document(spark: SparkSession, path: str) -> DataFrame:
 
 def write_manifest_document(manifest: DataFrame, path: str, timestamp: str) -> None:
     """The nested per-run document. Each run becomes one record, so use this
-    only for runs with a bounded number of files (a run lists its landed files)."""
-    files = F.collect_list(F.struct("dataset", "file_id", "file_name", F.col("path").alias("s3_path"),
-                                    "size_bytes"))
-    (manifest.groupBy("run_id", "source").agg(files.alias("files"))
+    only for runs with a bounded number of files (a run lists its landed files).
+    Entries keep the order of ``pos`` (without it: of path)."""
+    order = F.col("pos") if "pos" in manifest.columns else F.col("path")
+    entry = F.struct("dataset", "file_id", "file_name", F.col("path").alias("s3_path"), "size_bytes")
+    files = F.array_sort(F.collect_list(F.struct(order.alias("o"), entry.alias("e"))))
+    (manifest.groupBy("run_id", "source").agg(F.transform(files, lambda x: x["e"]).alias("files"))
      .withColumn("timestamp", F.lit(timestamp))
      .write.mode("overwrite").json(path))
 
 
+def last_entries(manifest: DataFrame) -> DataFrame:
+    """Of each dataset's entries the one with the largest ``pos``."""
+    if "pos" not in manifest.columns:
+        raise ValueError("the manifest has no entry numbers (pos), so its last entries are not known")
+    return manifest.groupBy("dataset").agg(F.max_by(F.struct(*manifest.columns), "pos").alias("r")).select("r.*")
+
+
 def select_dataset_file(manifest: DataFrame, dataset: str) -> dict:
     """The record for one dataset; the last entry wins; error when absent.
     Collects one row (bounded)."""
-    order = F.col("pos") if "pos" in manifest.columns else F.lit(0)
-    rows = (manifest.where(F.col("dataset") == dataset)
-            .agg(F.max_by(F.struct(*[c for c in manifest.columns]), order).alias("r"))
-            .select("r.*").where(F.col("dataset").isNotNull()).collect())
+    rows = last_entries(manifest.where(F.col("dataset") == dataset)).collect()
     if not rows:
-        raise ValueError(f"could not find {dataset} file in manifest")
+        raise ValueError(f"dataset {dataset!r} has no entry in the manifest")
     return rows[0].asDict()
 
 

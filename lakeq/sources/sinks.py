@@ -50,29 +50,34 @@ def write_quarantine(rows: DataFrame, base: str, table: str, run_id: str) -> str
     row cannot outlive a clean rerun (trap T16); reason and run live in the path
     only (trap T15)."""
     path = f"{base.rstrip('/')}/{table}/run_id={run_id}"
-    rows.drop("run_id").write.mode("overwrite").partitionBy("quarantine_reason").parquet(path)
+    # rebalanced like S8: a few right-sized files per reason, not one per task and reason
+    (rows.drop("run_id").hint("rebalance", "quarantine_reason")
+     .write.mode("overwrite").partitionBy("quarantine_reason").parquet(path))
     return path
 
 
 def register_table(spark: SparkSession, name: str, path: str, schema_ddl: str | None = None,
                    partition_cols=()) -> None:
-    """A catalog table over parquet; partitions are discovered with
-    RECOVER PARTITIONS (the table reads 0 rows before, all rows after)."""
+    """A catalog table over parquet at a path that is not written again.
+    The entry is made anew, so it has the schema of the files; partitions are
+    synchronised with the directories, gone ones included."""
     cols = f"({schema_ddl})" if schema_ddl else ""
     # with no column list, the partition columns are inferred from the directory layout
     parts = f" PARTITIONED BY ({', '.join(partition_cols)})" if partition_cols and schema_ddl else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} {cols} USING parquet{parts} LOCATION '{path}'")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
+    spark.sql(f"CREATE TABLE {name} {cols} USING parquet{parts} LOCATION '{path}'")
     if partition_cols:
-        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def publish(spark: SparkSession, name: str, path: str, run_id: str, schema_ddl: str | None = None,
-            partition_cols=()) -> str:
-    """Publish one run's table: register it under a run-specific name, then
-    point the stable name (a view) at it. Replacing a view is one catalog
-    update, so readers see the old run or the new one, never neither (trap T19).
-    Returns the run-specific table name."""
-    run_table = f"{name}__{re.sub(r'[^0-9A-Za-z_]', '_', run_id)}"
-    register_table(spark, run_table, path, schema_ddl, partition_cols)
-    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {run_table}")
-    return run_table
+            partition_cols=(), attempt: str = "1") -> str:
+    """Publish one attempt of a run: register its table under a name of its own,
+    then point the stable name (a view) at it. An attempt has a fresh directory, so
+    tables that readers use are never written to, and replacing a view is one
+    catalog update: readers see the old attempt or the new one (trap T19). Views of
+    several tables still move one after the other. Returns the attempt's table name."""
+    table = f"{name}__{re.sub(r'[^0-9A-Za-z_]', '_', run_id)}__{re.sub(r'[^0-9A-Za-z_]', '_', attempt)}"
+    register_table(spark, table, path, schema_ddl, partition_cols)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {table}")
+    return table

@@ -33,7 +33,9 @@ def land_incrementally(spark: SparkSession, landing_dir: str, *, contract: Table
                        checkpoint: str, run_id: str, dataset: str, run_ts: dt.datetime,
                        header: list[str] | None = None, max_files_per_trigger: int | None = None):
     """Process every CSV file not yet seen under ``landing_dir`` and stop."""
-    reader = spark.readStream.schema(_string_schema(spark, landing_dir, header)).option("header", True)
+    # a file whose header differs fails instead of being taken by position
+    reader = (spark.readStream.schema(_string_schema(spark, landing_dir, header)).option("header", True)
+              .option("enforceSchema", False).option("quote", '"').option("escape", '"'))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landing_dir).withColumn("lq_source_file", F.col("_metadata.file_name"))
