@@ -5,7 +5,9 @@ inferred from the data — then the distributed profile and checks."""
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
+from lakeq.functions.casts import parse_date
 from lakeq.operators import checks, profile
 from lakeq.sources.csv import read_csv_with_fallback
 
@@ -20,19 +22,25 @@ def read_for_profiling(spark: SparkSession, path: str):
 
 
 def profile_file(spark: SparkSession, path: str, name: str | None = None, key: list[str] | None = None,
-                 date_column: str | None = None, date_format: str = "yyyyMMdd") -> dict:
+                 date_column: str | None = None, date_format: str = "yyyyMMdd",
+                 work_dir: str | None = None) -> dict:
     """Everything the file profiler reports, as DataFrames, plus the optional
-    key check (A14, null-safe) and calendar-gap check (U2)."""
+    key check (A14, null-safe) and calendar-gap check (U2). With ``work_dir`` (a
+    shared directory) the typed table is written there once, and the outputs read
+    its columns instead of parsing the CSV file again for each."""
     df, encoding, types = read_for_profiling(spark, path)
+    if work_dir:
+        df.write.mode("overwrite").parquet(f"{work_dir.rstrip('/')}/typed")
+        df = spark.read.schema(df.schema).parquet(f"{work_dir.rstrip('/')}/typed")
     out = profile.profile(df, name or path.rsplit("/", 1)[-1])
     out["encoding"], out["types"] = encoding, types
     if key:
         out["duplicate_keys"] = checks.duplicate_key_rows(df, key, null_safe=True)
     if date_column:
-        from pyspark.sql import functions as F
-
-        from lakeq.functions.casts import parse_date
-        day = parse_date(F.col(date_column).cast("bigint").cast("string"), date_format)
+        text = F.col(date_column)
+        if types.get(date_column) != "string":  # numbers, perhaps read as double for their gaps
+            text = text.try_cast("bigint").cast("string")
+        day = parse_date(text, date_format)
         out["missing_dates"] = checks.missing_dates(df.select(day.alias("d")), "d")
     return out
 

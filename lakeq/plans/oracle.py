@@ -49,7 +49,20 @@ def _clean_name(x: str) -> str:
 
 
 def _dec_sum(cols) -> str:
-    return " + ".join(f"coalesce(CAST({c} AS DECIMAL(18,2)), 0)" for c in cols)
+    return " + ".join(f"coalesce({c}, 0)" for c in cols)
+
+
+def _scaled(c: str, factor: str) -> str:
+    return f"CAST({c} AS DECIMAL(12,2)) * CAST({factor} AS DECIMAL(5,4)) AS {c}"
+
+
+MEASURES = f"""m AS (
+  SELECT l_orderkey, l_suppkey, l_returnflag, l_linestatus, l_shipdate, CAST(l_quantity AS DECIMAL(12,2)) AS l_quantity,
+    {_scaled('l_extendedprice', '0.0137')}, {_scaled('l_discount', '0.0013')}, {_scaled('l_tax', '0.0007')}
+  FROM lineitem)"""
+EVENTS_GAPS = """(SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 13 <> 0 THEN value END AS value,
+  CASE WHEN event_id % 3 <> 0 THEN props END AS props, 'web' AS channel, CAST(user_id AS VARCHAR) AS user_text
+  FROM events)"""
 
 
 RAW = f"""raw AS (
@@ -83,7 +96,8 @@ TYPED = f"""typed AS (
 
 STAGED = """stg AS (
   SELECT
-    CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE l_orderkey END AS l_orderkey,
+    CASE WHEN l_partkey % 101 = 0 THEN NULL WHEN l_partkey % 113 = 0 THEN l_orderkey + 1000000000000
+         ELSE l_orderkey END AS l_orderkey,
     l_partkey, l_suppkey,
     CASE WHEN l_partkey % 103 = 0 THEN NULL ELSE l_linenumber END AS l_linenumber,
     l_quantity, l_extendedprice,
@@ -96,7 +110,9 @@ STG_COLS = ("s.l_orderkey, s.l_partkey, s.l_suppkey, s.l_linenumber, s.l_quantit
             "s.l_discount, s.l_tax, s.l_returnflag, s.l_linestatus, s.ship_date")
 
 TAGGED = f"""{STAGED},
-ref AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
+one AS (SELECT CASE WHEN o_custkey % 211 <> 0 THEN o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, o_totalprice,
+               CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority FROM orders),
+ref AS (SELECT * FROM one UNION ALL SELECT * FROM one WHERE o_custkey % 97 = 0),
 dupk AS (
   SELECT l_orderkey, l_linenumber, count(*) AS n FROM stg
   WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL
@@ -110,7 +126,7 @@ tagged AS (
   FROM stg s LEFT JOIN dupk d ON s.l_orderkey = d.l_orderkey AND s.l_linenumber = d.l_linenumber),
 ref_dupk AS (SELECT o_orderkey FROM ref WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1),
 ref_tagged AS (
-  SELECT r.o_orderkey IS NULL AS is_missing,
+  SELECT r.*, r.o_orderkey IS NULL AS is_missing,
          r.o_orderkey IN (SELECT o_orderkey FROM ref_dupk) AS is_dup
   FROM ref r),
 metrics AS (
@@ -128,12 +144,12 @@ DOC_DIM = """f AS (
   SELECT doc_id, lang, source FROM (
     SELECT doc_id, lang, source,
            row_number() OVER (PARTITION BY doc_id ORDER BY lang NULLS FIRST, source NULLS FIRST) AS rn
-    FROM documents) WHERE rn = 1),
+    FROM (SELECT doc_id - doc_id % 2 AS doc_id, lang, source FROM documents)) WHERE rn = 1),
 r AS (
   SELECT doc_id, quality, toxic FROM (
     SELECT doc_id, quality, toxic,
            row_number() OVER (PARTITION BY doc_id ORDER BY quality NULLS FIRST, toxic NULLS FIRST) AS rn
-    FROM labels) WHERE rn = 1),
+    FROM (SELECT doc_id - doc_id % 2 AS doc_id, quality, toxic FROM labels)) WHERE rn = 1),
 dim AS (
   SELECT f.doc_id, r.quality, r.toxic, f.lang, f.source,
     CASE WHEN r.doc_id IS NOT NULL THEN 'matched' ELSE 'inferred_from_fact' END AS match_status,
@@ -181,7 +197,8 @@ def _profile_read_cte() -> str:
 def _inferred_types() -> str:
     parts = []
     for k, name in RAW_TEXT_NAMES.items():
-        ints = f"count(*) FILTER (WHERE regexp_matches(trim({k}), '^[+-]?[0-9]{{1,18}}$'))"
+        ints = (f"count(*) FILTER (WHERE regexp_matches(trim({k}), '^[+-]?[0-9]+$') "
+                f"AND TRY_CAST(trim({k}) AS BIGINT) IS NOT NULL)")
         nums = f"count(*) FILTER (WHERE regexp_matches(trim({k}), '{NUMERIC_RX}'))"
         bools = f"count(*) FILTER (WHERE trim({k}) IN ('True', 'False', 'TRUE', 'FALSE', 'true', 'false'))"
         parts.append(f"""SELECT '{name}' AS column_name, count({k}) AS non_null_count, {ints} AS integer_count,
@@ -239,7 +256,7 @@ FROM c"""
 
 def _profile_columns() -> str:
     parts = []
-    for t, cols in SCHEMAS.items():
+    for t, cols in {**SCHEMAS, "events": [*SCHEMAS["events"], ("channel", "string"), ("user_text", "string")]}.items():
         for c, dtype in cols:
             if dtype == "string":
                 issue = (f"CASE WHEN count({c}) > 0 AND CAST(count(*) FILTER (WHERE regexp_matches(trim({c}), "
@@ -257,35 +274,58 @@ def _profile_columns() -> str:
   CASE WHEN count(*) = 0 THEN false ELSE CAST(count(*) - count({c}) AS DOUBLE) / count(*) >= 0.2 END
     AS high_missing_flag,
   {issue} AS possible_type_issue
-FROM {t}""")
+FROM {EVENTS_GAPS if t == 'events' else t}""")
     return "\nUNION ALL\n".join(parts)
 
 
+NUMBERS = [("events", "value")] + [("lineitem", c) for c in (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")]
+
+
+def _source(t: str) -> str:
+    return EVENTS_GAPS if t == "events" else t
+
+
 def _numeric_summary() -> str:
-    parts = [f"""SELECT 'lineitem' AS table_name, '{c}' AS column_name, count({c}) AS count,
-  round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(min({c}), 6) AS min,
-  round(quantile_cont({c}, 0.25), 6) AS p25, round(quantile_cont({c}, 0.5), 6) AS p50,
-  round(quantile_cont({c}, 0.75), 6) AS p75, round(max({c}), 6) AS max
-FROM lineitem""" for c in HOURS]
+    parts = [f"""SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS count,
+  round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, round(min(CAST({c} AS DOUBLE)), 6) AS min,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.25), 6) AS p25, round(quantile_cont(CAST({c} AS DOUBLE), 0.5), 6) AS p50,
+  round(quantile_cont(CAST({c} AS DOUBLE), 0.75), 6) AS p75, round(max(CAST({c} AS DOUBLE)), 6) AS max
+FROM {_source(t)}""" for t, c in NUMBERS]
     return "\nUNION ALL\n".join(parts)
 
 
 def _iqr_outliers() -> str:
-    spec = [("events", "value")] + [("lineitem", c) for c in (
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax")]
     parts = []
-    for t, c in spec:
+    for t, c in NUMBERS:
         x = f"CAST({c} AS DOUBLE)"
         out = f"({x} < b.q1 - 1.5 * (b.q3 - b.q1) OR {x} > b.q3 + 1.5 * (b.q3 - b.q1))"
         parts.append(f"""SELECT '{t}' AS table_name, '{c}' AS column_name,
   count(*) FILTER (WHERE {out}) AS outlier_count,
   CASE WHEN count(*) = 0 THEN 0.0 ELSE round(CAST(count(*) FILTER (WHERE {out}) AS DOUBLE) * 100.0 / count(*), 2)
   END AS outlier_pct
-FROM {t}, (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3 FROM {t}) b""")
+FROM {_source(t)} x, (SELECT quantile_cont({x}, 0.25) AS q1, quantile_cont({x}, 0.75) AS q3 FROM {_source(t)}) b""")
     return "\nUNION ALL\n".join(parts)
 
 
+def _fact_daily() -> str:
+    return """WITH e AS (
+  SELECT *, CASE WHEN event_id % 17 <> 0 THEN CAST(ts AS DATE) END AS work_date FROM events)
+SELECT event_id, user_id, event_type, value, work_date,
+       CAST(year(work_date) AS INTEGER) AS work_year, CAST(month(work_date) AS INTEGER) AS work_month,
+       CAST(day(work_date) AS INTEGER) AS work_day, 'r1' AS run_id
+FROM e"""
+
+
+def _csv_profile() -> str:
+    kinds = []
+    for k, name in RAW_TEXT_NAMES.items():
+        kinds.append(f"SELECT 'lineitem' AS table_name, '{name}' AS column_name, count(*) - count({k}) AS missing_count FROM pr")
+    counts = "\nUNION ALL\n".join(kinds)
+    return (f"WITH t AS ({_inferred_types()}), c AS (WITH {RAW_TEXT}, {_profile_read_cte()}\n{counts})\n"
+            "SELECT c.table_name, c.column_name, c.missing_count, t.inferred_type FROM c JOIN t USING (column_name)")
+
+
 def _numeric_like_text() -> str:
     spec = [("part", "p", c) for c in ("p_name", "p_brand", "p_size_text", "p_retailprice_text")] + \
            [("events", "events", c) for c in ("event_type", "props")]
@@ -398,12 +438,38 @@ SELECT f.customer_key, r.c_name, r.c_nationkey, r.c_acctbal, r.c_mktsegment, f.f
   CASE WHEN r.customer_key IS NOT NULL THEN 'N' ELSE 'Y' END AS reference_gap_flag,
   'r1' AS run_id
 FROM f LEFT JOIN r ON f.customer_key = r.customer_key""",
-    "fact_daily": """WITH e AS (
-  SELECT *, CAST(try_strptime(strftime(ts, '%Y%m%d'), '%Y%m%d') AS DATE) AS work_date FROM events)
-SELECT event_id, user_id, event_type, value, work_date,
-       CAST(year(work_date) AS INTEGER) AS work_year, CAST(month(work_date) AS INTEGER) AS work_month,
-       CAST(day(work_date) AS INTEGER) AS work_day, 'r1' AS run_id
-FROM e""",
+    "fact_daily": _fact_daily(),
+    "published_fact": _fact_daily(),
+    "bad_dates": f"SELECT count(*) AS bad_workdate_count FROM ({_fact_daily()}) WHERE work_date IS NULL",
+    "csv_roundtrip": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
+       p_name || [' "a ""b"', chr(10) || 'next, line', '; é€Ω', ',', ''][p_partkey % 5 + 1] AS p_name
+FROM part""",
+    "csv_profile": _csv_profile(),
+    "column_catalog": "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS dtype" for t, cols in SCHEMAS.items() for c, k in cols),
+    "inferred_long_keys": """SELECT CAST('1234567890' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS BIGINT) AS key19,
+       '999999999999' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS key21 FROM orders""",
+    "typed_numbers": f"""WITH {PART_TEXT}
+SELECT p_partkey,
+       CASE WHEN regexp_matches(trim(p_size_text), '{NUMERIC_RX}') THEN CAST(trim(p_size_text) AS DOUBLE) END AS p_size,
+       CASE WHEN regexp_matches(trim(p_retailprice_text), '{NUMERIC_RX}') THEN CAST(trim(p_retailprice_text) AS DOUBLE) END
+         AS p_retailprice
+FROM p""",
+    "manifest_last_entries": f"""WITH m AS (
+  SELECT page_id, url, html, regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1) AS host,
+         regexp_extract(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*(/[^?#]*)?', 1), '([^/]*)$', 1) AS nm,
+         row_number() OVER (PARTITION BY regexp_extract(url, '^[a-zA-Z]+://([^/?#:]+)', 1) ORDER BY page_id DESC) AS rn
+  FROM pages)
+SELECT host AS dataset, CAST(page_id AS VARCHAR) AS file_id, {_clean_name('nm')} AS file_name, url AS path,
+       CAST(strlen(html) AS BIGINT) AS size_bytes, page_id AS pos
+FROM m WHERE rn = 1""",
+    "validation_run": f"WITH {TAGGED}\nSELECT metric_name, CAST(metric_value AS BIGINT) AS metric_value, "
+                      f"severity FROM metrics",
+    "quarantine_reference_roundtrip": f"""WITH {TAGGED}
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       'missing_required_orders_key' AS quarantine_reason FROM ref_tagged WHERE is_missing
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+       'duplicate_orders_keys' FROM ref_tagged WHERE coalesce(is_dup, false)""",
     "dashboard_join": """SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice,
        CAST(o.o_orderdate AS DATE) AS o_orderdate, o.o_orderpriority,
        c.c_nationkey AS cust_nation, c.c_mktsegment AS cust_segment, c.c_acctbal AS cust_balance
@@ -433,7 +499,7 @@ FROM g""",
     "missing_ranking": _missing_ranking(),
     "iqr_outliers": _iqr_outliers(),
     "numeric_like_text": _numeric_like_text(),
-    "range_violations": "SELECT * FROM customer WHERE c_acctbal < 0 OR c_acctbal > 9000",
+    "range_violations": "SELECT * FROM customer WHERE (c_acctbal < 0 OR c_acctbal > 9000) AND c_custkey % 29 <> 0",
     "missing_dates": """WITH obs AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL),
 cal AS (
   SELECT CAST(generate_series AS DATE) AS missing_date
@@ -447,40 +513,51 @@ FROM orders""",
 SELECT d.doc_id, d.lang, CAST(d.n_chars AS DECIMAL(10,2)) AS n_chars, m.match_status, m.reference_source,
        m.reference_gap_flag, 'r1' AS run_id
 FROM documents d LEFT JOIN dim m ON d.doc_id = m.doc_id""",
-    "hours_by_type": "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS measure_type, CAST(sum(CAST({c} AS DECIMAL(18,2))) AS DOUBLE) AS total_hours FROM lineitem"
+    "hours_by_type": f"WITH {MEASURES}\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS measure_type, CAST(sum({c}) AS DOUBLE) AS total_hours FROM m"
         for t, c in (("quantity", "l_quantity"), ("extended_price", "l_extendedprice"),
                      ("discount", "l_discount"), ("tax", "l_tax"))),
-    "emp_vs_ctr": f"""SELECT l_returnflag,
+    "emp_vs_ctr": f"""WITH {MEASURES}
+SELECT l_returnflag,
        CAST(sum({_dec_sum(['l_quantity', 'l_extendedprice'])}) AS DOUBLE) AS emp_hours,
        CAST(sum({_dec_sum(['l_discount', 'l_tax'])}) AS DOUBLE) AS ctr_hours
-FROM lineitem GROUP BY l_returnflag""",
+FROM m GROUP BY l_returnflag""",
     "rating_in_out": f"""WITH {DOC_DIM}
 SELECT toxic AS flag, round(avg(TRY_CAST(quality AS INTEGER)), 6) AS avg_rating,
        count(DISTINCT doc_id) AS provider_count
 FROM dim GROUP BY toxic""",
-    "total_by_provider": f"""SELECT l_suppkey, CAST(sum({_dec_sum(HOURS)}) AS DOUBLE) AS total_hours
-FROM lineitem GROUP BY l_suppkey""",
-    "total_by_provider_state_month": f"""SELECT l.l_suppkey, n.n_name AS state,
+    "total_by_provider": f"""WITH {MEASURES}
+SELECT l_suppkey, CAST(sum({_dec_sum(HOURS)}) AS DOUBLE) AS total_hours
+FROM m GROUP BY l_suppkey""",
+    "total_by_provider_state_month": f"""WITH {MEASURES}
+SELECT l.l_suppkey, n.n_name AS state,
        CAST(year(l.l_shipdate) AS INTEGER) AS work_year, CAST(month(l.l_shipdate) AS INTEGER) AS work_month,
        CAST(sum({_dec_sum(['l.' + c for c in HOURS])}) AS DOUBLE) AS total_hours
-FROM lineitem l JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey
+FROM m l JOIN supplier s ON s.s_suppkey = l.l_suppkey JOIN nation n ON n.n_nationkey = s.s_nationkey
 GROUP BY l.l_suppkey, n.n_name, year(l.l_shipdate), month(l.l_shipdate)""",
-    "load_ratio_bottom_k": f"""WITH g AS (
-  SELECT l_suppkey, CAST(sum({_dec_sum(['l_quantity'])}) AS DOUBLE) AS total_hours,
+    "load_ratio_bottom_k": f"""WITH {MEASURES}, g AS (
+  SELECT l_suppkey, CAST(sum(l_discount) AS DOUBLE) AS total_hours,
          CAST(count(DISTINCT l_orderkey) AS DOUBLE) AS load
-  FROM lineitem GROUP BY l_suppkey)
-SELECT l_suppkey, total_hours, load, round(total_hours / NULLIF(load, 0), 6) AS ratio
-FROM g ORDER BY ratio ASC NULLS LAST, l_suppkey LIMIT 10""",
-    "corr_measures": f"""WITH t AS (
-  SELECT l_suppkey, CAST(sum({_dec_sum(['l_quantity'])}) AS DOUBLE) AS total_hours
-  FROM lineitem GROUP BY l_suppkey)
+  FROM m GROUP BY l_suppkey)
+SELECT l_suppkey, total_hours, load, round(ratio, 12) AS ratio
+FROM (SELECT *, total_hours / NULLIF(load, 0) AS ratio FROM g ORDER BY ratio ASC NULLS LAST, l_suppkey LIMIT 10)""",
+    "occupancy_by_provider": f"""WITH {MEASURES}, g AS (
+  SELECT l_suppkey, CAST(avg(l_quantity) AS DOUBLE) AS avg_census FROM m GROUP BY l_suppkey)
+SELECT g.l_suppkey, round(avg_census, 6) AS avg_census, CAST(s_nationkey AS DOUBLE) AS beds,
+       round(avg_census / NULLIF(CAST(s_nationkey AS DOUBLE), 0), 6) AS occupancy
+FROM g LEFT JOIN supplier ON s_suppkey = g.l_suppkey""",
+    "corr_measures": f"""WITH {MEASURES}, t AS (
+  SELECT l_suppkey, CAST(sum(l_quantity) AS DOUBLE) AS total_hours FROM m GROUP BY l_suppkey)
 SELECT round(corr(t.total_hours, s.s_acctbal), 9) AS correlation, count(*) AS n_pairs
 FROM t JOIN supplier s ON s.s_suppkey = t.l_suppkey""",
-    "perm_vs_contract": f"""WITH g AS (
-  SELECT l_linestatus, sum({_dec_sum(['l_extendedprice'])}) AS e, sum({_dec_sum(['l_discount'])}) AS c,
-         sum(CAST(l_quantity AS DECIMAL(18,2))) AS l
-  FROM lineitem GROUP BY l_linestatus)
+    "corr_load_ratio": f"""WITH {MEASURES}, t AS (
+  SELECT l_suppkey, CAST(sum(l_discount) AS DOUBLE) / NULLIF(CAST(count(DISTINCT l_orderkey) AS DOUBLE), 0) AS ratio
+  FROM m GROUP BY l_suppkey)
+SELECT round(corr(t.ratio, s.s_acctbal), 9) AS correlation, count(*) AS n_pairs
+FROM t JOIN supplier s ON s.s_suppkey = t.l_suppkey""",
+    "perm_vs_contract": f"""WITH {MEASURES}, g AS (
+  SELECT l_linestatus, sum(l_extendedprice) AS e, sum(l_discount) AS c, sum(l_quantity) AS l
+  FROM m GROUP BY l_linestatus)
 SELECT l_linestatus, CAST(e AS DOUBLE) AS emp_hours, CAST(c AS DOUBLE) AS ctr_hours,
        round(CAST(e AS DOUBLE) / NULLIF(CAST(c AS DOUBLE), 0), 6) AS emp_ctr_ratio,
        round(CAST(e AS DOUBLE) / NULLIF(CAST(l AS DOUBLE), 0), 6) AS emp_per_load,

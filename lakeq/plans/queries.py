@@ -14,13 +14,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeq.contracts import Lineage, TableContract, ValidationRules
+from lakeq.functions.casts import lenient_double
 from lakeq.functions.text import blank_to_null, clean_file_name, na_to_null, whitespace_to_null
 from lakeq.operators import checks, curate, profile, refine, serve, validate
-from lakeq.plans.tables import (customer_tokens, lineitem_raw, lineitem_staged, load, part_text,
-                                settled_orders)
+from lakeq.plans.discovery import read_for_profiling
+from lakeq.plans.tables import (
+    customer_gaps,
+    customer_tokens,
+    events_gaps,
+    lineitem_measures,
+    lineitem_raw,
+    lineitem_staged,
+    load,
+    orders_long_keys,
+    orders_reference,
+    part_odd_text,
+    part_text,
+)
 from lakeq.session import scratch_path
-from lakeq.sources.manifest import manifest_records, pending_files
-from lakeq.sources.sinks import read_run, write_partitioned, write_quarantine, write_run, write_table
+from lakeq.sources.csv import read_csv_with_fallback
+from lakeq.sources.manifest import last_entries, manifest_records, pending_files
+from lakeq.sources.sinks import publish, read_run, write_partitioned, write_quarantine, write_run, write_table
 
 RUN_ID = "r1"
 RUN_TS = "2024-07-01 00:00:00"
@@ -142,7 +156,7 @@ def unreferenced_keys(spark, sf):
 
 
 def _tagged(spark, sf):
-    fact, ref = lineitem_staged(spark, sf), settled_orders(spark, sf)
+    fact, ref = lineitem_staged(spark, sf), orders_reference(spark, sf)
     return validate.tag_fact(fact, ref, LINEITEM_RULES), validate.tag_reference(ref, LINEITEM_RULES)
 
 
@@ -161,11 +175,22 @@ def quarantine_rows(spark, sf):
     return validate.quarantine_rows(tf, RUN_ID, RUN_TS).drop("quarantine_ts_utc")
 
 
+def validation_run(spark, sf):
+    """S10 + S11 + G3: the writing validation, whose summary is read back."""
+    base = scratch_path(spark, "validation")
+    validate.run_validation(lineitem_staged(spark, sf), orders_reference(spark, sf), LINEITEM_RULES, run_id=RUN_ID,
+                            run_ts=RUN_TS, quarantine_base=f"{base}/quarantine", summary_path=f"{base}/summary",
+                            raise_on_failure=False)
+    return spark.read.parquet(f"{base}/summary")
+
+
 # ---- curate ---------------------------------------------------------------
 
 def _doc_dimension(spark, sf):
+    # Every second key repeats, in the reference and in the fact.
+    even = {"doc_id": F.col("doc_id") - F.col("doc_id") % 2}
     return curate.build_dimension(
-        load(spark, sf, "labels"), load(spark, sf, "documents"),
+        load(spark, sf, "labels").withColumns(even), load(spark, sf, "documents").withColumns(even),
         ref_key="doc_id", dim_key="doc_id", fact_key="doc_id",
         inferred_attrs={}, carried={"lang": "lang", "source": "source"},
         run_id=RUN_ID, run_ts=RUN_TS, flag_columns=GENERIC_FLAGS, flag_values=GENERIC_FLAG_VALUES)
@@ -184,13 +209,32 @@ def dim_drops_unreferenced(spark, sf):
     return dim.drop("curated_ts_utc")
 
 
-def fact_daily(spark, sf):
-    ev = load(spark, sf, "events").withColumn("workdate", F.date_format("ts", "yyyyMMdd"))
+def _fact_daily(spark, sf):
+    """Events by day; some days are no dates."""
+    ev = load(spark, sf, "events").withColumn("workdate", F.when(F.col("event_id") % 17 == 0, F.lit("20241399"))
+                                              .otherwise(F.date_format("ts", "yyyyMMdd")))
     out = curate.build_fact(ev, date_col="workdate", drop=("workdate", "ts", "props"),
                             run_id=RUN_ID, run_ts=RUN_TS)
     return out.drop("curated_ts_utc")
 
 
+def fact_daily(spark, sf):
+    return _fact_daily(spark, sf)
+
+
+def bad_dates(spark, sf):
+    return curate.bad_date_count(_fact_daily(spark, sf))
+
+
+def published_fact(spark, sf):
+    """S8 + S12 + S13: the fact written by month, published, and read by its name."""
+    path = scratch_path(spark, "published")
+    write_partitioned(_fact_daily(spark, sf), path, ("work_year", "work_month"))
+    table = publish(spark, "lakeq_fact_daily", path, RUN_ID, partition_cols=("work_year", "work_month"),
+                    attempt=path.rsplit("-", 1)[-1])
+    return spark.table(table).withColumns({c: F.col(c).cast("int") for c in ("work_year", "work_month")})
+
+
 # ---- serve ----------------------------------------------------------------
 
 def dashboard_join(spark, sf):
@@ -213,48 +257,70 @@ def fact_view_flags(spark, sf):
     return serve.fact_view(docs, _doc_dimension(spark, sf), "doc_id", GENERIC_FLAGS, DOC_FACT_VIEW)
 
 
+def _rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, digits) for c in cols})
+
+
 def hours_by_type(spark, sf):
-    return serve.hours_by_type(load(spark, sf, "lineitem"), HOURS)
+    return serve.hours_by_type(lineitem_measures(spark, sf), HOURS)
 
 
 def emp_vs_ctr(spark, sf):
-    return serve.emp_vs_contract(load(spark, sf, "lineitem"), ["l_returnflag"],
+    return serve.emp_vs_contract(lineitem_measures(spark, sf), ["l_returnflag"],
                                  ["l_quantity", "l_extendedprice"], ["l_discount", "l_tax"])
 
 
 def rating_in_out(spark, sf):
-    return serve.rating_by_flag(_doc_dimension(spark, sf), "doc_id", "toxic", "quality")
+    return _rounded(serve.rating_by_flag(_doc_dimension(spark, sf), "doc_id", "toxic", "quality"), 6, "avg_rating")
 
 
 def total_by_provider(spark, sf):
-    return serve.total_by(load(spark, sf, "lineitem"), ["l_suppkey"], list(HOURS.values()))
+    return serve.total_by(lineitem_measures(spark, sf), ["l_suppkey"], list(HOURS.values()))
 
 
 def total_by_provider_state_month(spark, sf):
-    li = load(spark, sf, "lineitem")
+    li = lineitem_measures(spark, sf).withColumns({"work_year": F.year("l_shipdate"), "work_month": F.month("l_shipdate")})
     sup = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     nat = load(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"),
                                             F.col("n_name").alias("state"))
-    joined = (li.join(sup, "l_suppkey").join(nat, "s_nationkey")
-              .withColumns({"work_year": F.year("l_shipdate"), "work_month": F.month("l_shipdate")}))
-    return serve.total_by(joined, ["l_suppkey", "state", "work_year", "work_month"], list(HOURS.values()))
+    # the provider is the join key, so totals by provider come first and the join sees those only
+    totals = serve.total_by(li, ["l_suppkey", "work_year", "work_month"], list(HOURS.values()))
+    return totals.join(sup, "l_suppkey").join(nat, "s_nationkey").drop("s_nationkey")
+
+
+def _load_ratios(spark, sf):
+    return serve.load_ratio(lineitem_measures(spark, sf), "l_suppkey", ["l_discount"], F.count_distinct("l_orderkey"))
 
 
 def load_ratio_bottom_k(spark, sf):
-    ratios = serve.load_ratio(load(spark, sf, "lineitem"), "l_suppkey", ["l_quantity"],
-                              F.count_distinct("l_orderkey"))
-    return serve.bottom_k(ratios, "ratio", ["l_suppkey"], 10)
+    """Ratios of a few hundred-thousandths, which differ in the seventh decimal."""
+    return _rounded(serve.bottom_k(_load_ratios(spark, sf), "ratio", ["l_suppkey"], 10), 12, "ratio")
+
+
+def occupancy_by_provider(spark, sf):
+    beds = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+    out = serve.occupancy(lineitem_measures(spark, sf), "l_suppkey", "l_quantity", beds, "s_nationkey")
+    return _rounded(out, 6, "avg_census", "occupancy")
+
+
+def _with_balance(spark, sf, df):
+    return df.join(load(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_acctbal"), "l_suppkey")
 
 
 def corr_measures(spark, sf):
-    totals = serve.total_by(load(spark, sf, "lineitem"), ["l_suppkey"], ["l_quantity"])
-    sup = load(spark, sf, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_acctbal")
-    return serve.correlation(totals.join(sup, "l_suppkey"), "total_hours", "s_acctbal")
+    totals = serve.total_by(lineitem_measures(spark, sf), ["l_suppkey"], ["l_quantity"])
+    return _rounded(serve.correlation(_with_balance(spark, sf, totals), "total_hours", "s_acctbal"), 9, "correlation")
+
+
+def corr_load_ratio(spark, sf):
+    pairs = _with_balance(spark, sf, _load_ratios(spark, sf))
+    return _rounded(serve.correlation(pairs, "ratio", "s_acctbal"), 9, "correlation")
 
 
 def perm_vs_contract(spark, sf):
-    return serve.perm_vs_contract(load(spark, sf, "lineitem"), ["l_linestatus"],
-                                  ["l_extendedprice"], ["l_discount"], "l_quantity")
+    out = serve.perm_vs_contract(lineitem_measures(spark, sf), ["l_linestatus"],
+                                 ["l_extendedprice"], ["l_discount"], "l_quantity")
+    return _rounded(out, 6, "emp_ctr_ratio", "emp_per_load", "ctr_per_load")
 
 
 def reference_gap(spark, sf):
@@ -287,6 +353,33 @@ def quarantine_roundtrip(spark, sf):
     return spark.read.parquet(path).drop("quarantine_ts_utc")
 
 
+def quarantine_reference_roundtrip(spark, sf):
+    """The reference's quarantined rows, written and read back."""
+    _, tr = _tagged(spark, sf)
+    path = write_quarantine(validate.quarantine_rows(tr, RUN_ID, RUN_TS), scratch_path(spark, "quarantine"), "orders",
+                            RUN_ID)
+    return spark.read.parquet(path).drop("quarantine_ts_utc")
+
+
+def _written_csv(spark, df, name):
+    path = scratch_path(spark, name)
+    (df.write.option("header", True).option("quoteAll", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+def csv_roundtrip(spark, sf):
+    """S1 + S2: a table with quotes, line breaks and non-ASCII text, as CSV and back."""
+    return read_csv_with_fallback(spark, _written_csv(spark, part_odd_text(spark, sf), "parts"), multi_line=True)[0]
+
+
+def csv_profile(spark, sf):
+    """S2 + P15 + P16 + P22 over a CSV file: missing values of each typed column."""
+    typed, _, types = read_for_profiling(spark, _written_csv(spark, lineitem_raw(spark, sf), "lineitem"))
+    kinds = spark.createDataFrame(sorted(types.items()), "column_name string, inferred_type string")
+    return profile.missing_counts(typed, "lineitem").join(kinds, "column_name")
+
+
 def dimension_roundtrip(spark, sf):
     """The curated dimension written unpartitioned and read back."""
     path = scratch_path(spark, "dimension")
@@ -294,12 +387,12 @@ def dimension_roundtrip(spark, sf):
     return spark.read.parquet(path).drop("curated_ts_utc")
 
 
-def _page_manifest(pages: DataFrame, run_id: str) -> DataFrame:
+def _page_manifest(pages: DataFrame, run_id: str, pos: str | None = None) -> DataFrame:
     host = F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#:]+)", 1)
     url_path = F.regexp_extract("url", r"^[a-zA-Z]+://[^/?#]*(/[^?#]*)?", 1)
     name = F.regexp_extract(url_path, r"([^/]*)$", 1)
     return manifest_records(pages, run_id=run_id, dataset=host, file_id="page_id", file_name=name,
-                            path="url", size_bytes=F.octet_length("html"), source="web")
+                            path="url", size_bytes=F.octet_length("html"), source="web", pos=pos)
 
 
 def manifest_pending(spark, sf):
@@ -308,6 +401,12 @@ def manifest_pending(spark, sf):
     return pending_files(_page_manifest(pages, "r2"), processed)
 
 
+def manifest_last_entries(spark, sf):
+    """Of each host's entries, the last one."""
+    entries = _page_manifest(load(spark, sf, "pages"), "r2", pos="page_id")
+    return last_entries(entries).select("dataset", "file_id", "file_name", "path", "size_bytes", "pos")
+
+
 def clean_file_names(spark, sf):
     p = load(spark, sf, "part")
     raw = F.concat(F.lit(" "), F.col("p_brand"), F.lit("/"), F.col("p_name"), F.lit("\\x "))
@@ -317,7 +416,25 @@ def clean_file_names(spark, sf):
 # ---- profile / checks ---------------------------------------------------------
 
 def profile_columns(spark, sf):
-    return _union([profile.column_profile(load(spark, sf, t), t) for t in PROFILED])
+    return _union([profile.column_profile(events_gaps(spark, sf) if t == "events" else load(spark, sf, t), t)
+                   for t in PROFILED])
+
+
+def column_catalog(spark, sf):
+    return _union([profile.column_catalog(load(spark, sf, t), t) for t in PROFILED])
+
+
+def inferred_long_keys(spark, sf):
+    """Keys of 19 and 21 digits keep every digit when the types are applied."""
+    text = orders_long_keys(spark, sf)
+    types = {r.column_name: r.inferred_type for r in profile.infer_types(text).collect()}
+    return profile.apply_inferred_types(text, types)
+
+
+def typed_numbers(spark, sf):
+    p = part_text(spark, sf)
+    return p.select("p_partkey", lenient_double("p_size_text").alias("p_size"),
+                    lenient_double("p_retailprice_text").alias("p_retailprice"))
 
 
 def inferred_types(spark, sf):
@@ -342,16 +459,18 @@ def duplicate_text(spark, sf):
     return profile.duplicate_rows(load(spark, sf, "documents").select("text"), "documents.text")
 
 
+LINEITEM_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                    "l_discount", "l_tax"]
+
+
 def numeric_summary(spark, sf):
-    return profile.numeric_summary(load(spark, sf, "lineitem"),
-                                   ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "lineitem")
+    return profile.numeric_summary(load(spark, sf, "lineitem"), LINEITEM_NUMBERS, "lineitem", digits=6).unionByName(
+        profile.numeric_summary(events_gaps(spark, sf), ["value"], "events", digits=6))
 
 
 def iqr_outliers(spark, sf):
-    li_cols = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-               "l_discount", "l_tax"]
-    return profile.iqr_outliers(load(spark, sf, "events"), ["value"], "events").unionByName(
-        profile.iqr_outliers(load(spark, sf, "lineitem"), li_cols, "lineitem"))
+    return profile.iqr_outliers(events_gaps(spark, sf), ["value"], "events").unionByName(
+        profile.iqr_outliers(load(spark, sf, "lineitem"), LINEITEM_NUMBERS, "lineitem"))
 
 
 def numeric_like_text(spark, sf):
@@ -363,7 +482,7 @@ def numeric_like_text(spark, sf):
 
 
 def range_violations(spark, sf):
-    return checks.range_violations(load(spark, sf, "customer"), "c_acctbal", 0, 9000)
+    return checks.range_violations(customer_gaps(spark, sf), "c_acctbal", 0, 9000)
 
 
 def missing_dates(spark, sf):
@@ -420,6 +539,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "total_by_provider_state_month": total_by_provider_state_month,
     "load_ratio_bottom_k": load_ratio_bottom_k,
     "corr_measures": corr_measures,
+    "corr_load_ratio": corr_load_ratio,
+    "occupancy_by_provider": occupancy_by_provider,
+    "validation_run": validation_run,
+    "quarantine_reference_roundtrip": quarantine_reference_roundtrip,
+    "bad_dates": bad_dates,
+    "published_fact": published_fact,
+    "csv_roundtrip": csv_roundtrip,
+    "csv_profile": csv_profile,
+    "column_catalog": column_catalog,
+    "inferred_long_keys": inferred_long_keys,
+    "typed_numbers": typed_numbers,
+    "manifest_last_entries": manifest_last_entries,
     "perm_vs_contract": perm_vs_contract,
     "reference_gap": reference_gap,
     "manifest_pending": manifest_pending,

@@ -9,16 +9,18 @@ source workflow is the scheduler's job, not this library's).
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeq.contracts import GateError, Lineage
 from lakeq.models import staffing
-from lakeq.operators import curate, refine, validate
+from lakeq.operators import curate, refine, serve, validate
 from lakeq.sources import sinks
 from lakeq.sources.csv import read_csv_strings
-from lakeq.sources.manifest import read_manifest_document, select_dataset_file
+from lakeq.sources.manifest import pending_files, read_manifest_document, select_dataset_file, write_manifest
 
 
 @dataclass(frozen=True)
@@ -37,8 +39,12 @@ class Layout:
     def summary(self, run_id: str) -> str:
         return f"{self.base}/validation_results/run_id={run_id}"
 
-    def curated(self, table: str, run_id: str) -> str:
-        return f"{self.base}/curated/{table}/run_id={run_id}"
+    def curated(self, table: str, run_id: str, attempt: str) -> str:
+        return f"{self.base}/curated/{table}/run_id={run_id}/attempt={attempt}"
+
+    @property
+    def processed(self) -> str:
+        return f"{self.base}/processed_files"
 
 
 def refine_stage(spark: SparkSession, manifest_path: str, layout: Layout, run_id: str,
@@ -66,8 +72,9 @@ def validate_stage(spark: SparkSession, layout: Layout, run_id: str, run_ts: dt.
 
 def curate_stage(spark: SparkSession, layout: Layout, run_id: str, run_ts: dt.datetime,
                  keep_unreferenced: bool = False, publish: bool = True) -> dict[str, str]:
-    """C3 + C4 with G4 before any write; both tables are written to run
-    directories and only then published as catalog tables (trap T19)."""
+    """C3 + C4 with G4 before any write; both tables are written to the fresh
+    directories of this attempt and only then published (trap T19)."""
+    attempt = uuid.uuid4().hex[:12]
     fact = sinks.read_run(spark, layout.refined("staffing_hours"), run_id)
     ref = sinks.read_run(spark, layout.refined("provider_reference"), run_id)
     dim = curate.build_dimension(ref, fact, ref_key="cms_certification_number_ccn", dim_key="provnum",
@@ -77,39 +84,64 @@ def curate_stage(spark: SparkSession, layout: Layout, run_id: str, run_ts: dt.da
     fact_out = curate.build_fact(fact, date_col="workdate", drop=staffing.FACT_DROPS, run_id=run_id, run_ts=run_ts)
     bad = curate.bad_date_count(fact_out).first()["bad_workdate_count"]
     if bad:
-        raise GateError(f"work_date parsing failed for {bad} rows")
-    dim_path, fact_path = layout.curated("dim_provider", run_id), layout.curated("fact_staffing_daily", run_id)
+        raise GateError(f"run {run_id}: {bad} rows of fact_staffing_daily have a work day that is no date")
+    dim_path = layout.curated("dim_provider", run_id, attempt)
+    fact_path = layout.curated("fact_staffing_daily", run_id, attempt)
     sinks.write_table(dim, dim_path)
     sinks.write_partitioned(fact_out, fact_path, ("work_year", "work_month"))
     if publish:
         for name, path, parts in (("dim_provider", dim_path, ()),
                                   ("fact_staffing_daily", fact_path, ("work_year", "work_month"))):
-            sinks.publish(spark, name, path, run_id, partition_cols=parts)
+            sinks.publish(spark, name, path, run_id, partition_cols=parts, attempt=attempt)
     return {"dim_provider": dim_path, "fact_staffing_daily": fact_path}
 
 
+def _processed(spark: SparkSession, layout: Layout) -> DataFrame | None:
+    """The files that earlier runs have processed; None before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(layout.processed)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    return spark.read.schema("dataset string, path string, size_bytes bigint, run_id string").json(layout.processed)
+
+
 def run_stages(spark: SparkSession, manifest_path: str, layout: Layout, run_id: str,
                run_ts: dt.datetime | None = None) -> dict:
-    """Refine -> validate -> curate; a failed gate stops the run and is raised."""
+    """Refine -> validate -> curate; a failed gate stops the run and is raised.
+
+    S14: when earlier runs have processed every file of the manifest (same dataset,
+    path and size), nothing is done; the result then says ``skipped``. The files
+    of a run count as processed once its tables are published; the same run may
+    be repeated."""
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    manifest, processed = read_manifest_document(spark, manifest_path), _processed(spark, layout)
+    if processed is not None:
+        others = processed.where(F.col("run_id") != run_id)
+        if not manifest.isEmpty() and pending_files(manifest, others).isEmpty():
+            return {"skipped": True}
     warnings = refine_stage(spark, manifest_path, layout, run_id, run_ts)
     outcome = validate_stage(spark, layout, run_id, run_ts)
     tables = curate_stage(spark, layout, run_id, run_ts)
-    return {"warnings": warnings, "validation": outcome.counters, "tables": tables}
+    write_manifest(manifest.select("dataset", "path", "size_bytes").withColumn("run_id", F.lit(run_id)), layout.processed)
+    return {"skipped": False, "warnings": warnings, "validation": outcome.counters, "tables": tables}
 
 
 def dashboard_metrics(spark: SparkSession, fact_table: str = "fact_staffing_daily",
-                      dim_table: str = "dim_provider", k: int = 10) -> dict:
-    """The dashboard's metrics (M1-M8, M10) over the published tables, as DataFrames."""
-    from pyspark.sql import functions as F
-
-    from lakeq.operators import serve
+                      dim_table: str = "dim_provider", k: int = 10, readmissions: DataFrame | None = None,
+                      rate_col: str = "readmission_rate") -> dict:
+    """The dashboard's metrics (M1-M11) over the published tables, as DataFrames.
 
+    ``readmissions`` (provnum, a rate) is a further table for M9: hours per
+    resident day against that rate; without it M9 is left out."""
     fact, dim = spark.table(fact_table), spark.table(dim_table)
     by_type = {t[4:]: t for t in staffing.TOTAL_HOUR_COLUMNS}
     joined = serve.dashboard(fact, dim, "provnum", {**staffing.DASHBOARD_ATTRS, "state": "state"})
     ratios = serve.load_ratio(fact, "provnum", staffing.TOTAL_HOUR_COLUMNS, F.sum("mdscensus"))
-    return {
+    official = dim.where(F.col("provider_match_status") == "matched")
+    m9 = {} if readmissions is None else {"load_vs_readmission": serve.correlation(  # J6, M9
+        ratios.join(readmissions.select("provnum", rate_col), "provnum"), "ratio", rate_col)}
+    return m9 | {
+        "occupancy": serve.occupancy(fact, "provnum", "mdscensus", dim, "number_of_certified_beds"),         # M7
+        "reference_gap": serve.reference_gap(fact, "provnum", official, "provnum"),                   # M11
         "hours_by_type": serve.hours_by_type(fact, by_type),                                           # M1
         "emp_vs_ctr": serve.emp_vs_contract(fact, [], staffing.EMP_HOUR_COLUMNS,
                                             staffing.CTR_HOUR_COLUMNS),                                # M2
@@ -118,7 +150,7 @@ def dashboard_metrics(spark: SparkSession, fact_table: str = "fact_staffing_dail
         "total_by_provider": serve.total_by(fact, ["provnum"], staffing.TOTAL_HOUR_COLUMNS),           # M5
         "total_by_provider_state_month": serve.total_by(
             joined, ["provnum", "state", "work_year", "work_month"], staffing.TOTAL_HOUR_COLUMNS),    # M6
-        "lowest_staffed": serve.bottom_k(ratios, "ratio", ["provnum"], k),                             # M7 M8
+        "lowest_staffed": serve.bottom_k(ratios, "ratio", ["provnum"], k),                             # M8
         "perm_vs_contract": serve.perm_vs_contract(fact, ["provnum"], staffing.EMP_HOUR_COLUMNS,
                                                    staffing.CTR_HOUR_COLUMNS, "mdscensus"),           # M10
     }

@@ -50,10 +50,12 @@ def lineitem_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lineitem with NULL keys and negative amounts (input of validation checks)."""
+    """Lineitem with NULL keys, keys without an order and negative amounts (input of
+    validation checks)."""
     li = load(spark, sf_dir, "lineitem")
     return li.select(
-        F.when(_m("l_partkey", 101), F.lit(None)).otherwise(F.col("l_orderkey")).alias("l_orderkey"),
+        F.when(_m("l_partkey", 101), F.lit(None)).when(_m("l_partkey", 113), F.col("l_orderkey") + 10**12)
+        .otherwise(F.col("l_orderkey")).alias("l_orderkey"),
         "l_partkey", "l_suppkey",
         F.when(_m("l_partkey", 103), F.lit(None)).otherwise(F.col("l_linenumber")).alias("l_linenumber"),
         "l_quantity", "l_extendedprice",
@@ -64,12 +66,56 @@ def lineitem_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def settled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reference for validation: orders that are not pending (status F or O)."""
-    o = load(spark, sf_dir, "orders")
-    return o.where(F.col("o_orderstatus") != "P").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority")
+def orders_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reference for validation: all orders, some without a key, some twice."""
+    o = load(spark, sf_dir, "orders").select(
+        F.when(_m("o_custkey", 211), F.lit(None)).otherwise(F.col("o_orderkey")).alias("o_orderkey"),
+        "o_custkey", "o_orderstatus", "o_totalprice", F.to_date("o_orderdate").alias("o_orderdate"), "o_orderpriority")
+    return o.unionByName(o.where(_m("o_custkey", 97)))
+
+
+def lineitem_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lineitem with exact measures of different scales; price, discount and tax
+    have six decimals."""
+    li = load(spark, sf_dir, "lineitem")
+
+    def scaled(c: str, factor: str) -> Column:
+        return F.col(c).cast("decimal(12,2)") * F.lit(factor).cast("decimal(5,4)")
+    return li.withColumns({
+        "l_quantity": F.col("l_quantity").cast("decimal(12,2)"),
+        "l_extendedprice": scaled("l_extendedprice", "0.0137"),
+        "l_discount": scaled("l_discount", "0.0013"), "l_tax": scaled("l_tax", "0.0007")})
+
+
+def events_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with NaN values, missing text, a constant and numbers as text."""
+    ev = load(spark, sf_dir, "events")
+    return ev.withColumns({
+        "value": F.when(_m("event_id", 13), F.lit(float("nan"))).otherwise(F.col("value")),
+        "props": F.when(~_m("event_id", 3), F.col("props")),
+        "channel": F.lit("web"), "user_text": F.col("user_id").cast("string")})
+
+
+def customer_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of whom some have NaN as balance."""
+    return load(spark, sf_dir, "customer").withColumn(
+        "c_acctbal", F.when(_m("c_custkey", 29), F.lit(float("nan"))).otherwise(F.col("c_acctbal")))
+
+
+def orders_long_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order keys as text of 19 digits, which bigint holds but double does not, and
+    of 21 digits, which neither holds."""
+    key = F.lpad(F.col("o_orderkey").cast("string"), 9, "0")
+    return load(spark, sf_dir, "orders").select(
+        F.concat(F.lit("1234567890"), key).alias("key19"), F.concat(F.lit("999999999999"), key).alias("key21"))
+
+
+def part_odd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names with quotes, line breaks, separators and non-ASCII characters."""
+    odd = F.array(*[F.lit(x) for x in (' "a ""b"', "\nnext, line", "; \u00e9\u20ac\u03a9", ",", "")])
+    return load(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("p_partkey"),
+        F.concat(F.col("p_name"), F.element_at(odd, (F.col("p_partkey") % 5 + 1).cast("int"))).alias("p_name"))
 
 
 def part_text(spark: SparkSession, sf_dir: str) -> DataFrame:
