@@ -92,7 +92,15 @@ def test_stages_end_to_end(spark, tmp_dir):
     assert m["emp_vs_ctr"].first().emp_hours == 8 * 25.5
     assert {r.provnum for r in m["lowest_staffed"].collect()} == {"015009", "999999"}
     assert m["total_by_provider_state_month"].count() == 2
+    census = {r.provnum: r.avg_census for r in m["occupancy"].collect()}
+    assert {r.provnum: r.occupancy for r in m["occupancy"].collect()} == {"015009": census["015009"] / 120, "999999": None}
+    assert m["reference_gap"].first().unmatched_keys == 1 and "load_vs_readmission" not in m
+    rate = spark.createDataFrame([("015009", 0.2), ("999999", 0.1)], "provnum string, readmission_rate double")
+    assert dashboard_metrics(spark, readmissions=rate)["load_vs_readmission"].first().n_pairs == 2
     assert refined.select("provnum").distinct().where("provnum = '015009'").count() == 1
+    # Another run over the same files has nothing to do, the same run may be repeated
+    assert run_stages(spark, mpath, layout, "r2", RUN_TS) == {"skipped": True}
+    assert not run_stages(spark, mpath, layout, "r1", RUN_TS)["skipped"] and spark.table("fact_staffing_daily").count() == 3
 
 
 def test_gate_fails_after_evidence_and_rerun_clears_quarantine(spark, tmp_dir):
@@ -131,7 +139,7 @@ def test_bad_dates_stop_curation(spark, tmp_dir):
     refine_stage(spark, mpath, layout, "r1", RUN_TS)
     with pytest.raises(GateError):
         curate_stage(spark, layout, "r1", RUN_TS, publish=False)
-    assert not os.path.exists(layout.curated("dim_provider", "r1"))
+    assert not os.path.exists(f"{layout.base}/curated")
 
 
 def test_manifest_select_and_pending(spark, tmp_dir):
@@ -150,7 +158,17 @@ def test_encoding_fallback(spark, tmp_dir):
     with open(path, "wb") as f:
         f.write(b"name,city\ncaf\xe9,Paris\n")
     df, enc = read_csv_with_fallback(spark, path)
-    assert enc == "latin1" and df.first().name == "café"
+    assert enc == "cp1252" and df.first().name == "café"
+    with open(path, "wb") as f:
+        f.write(b"name,city\ncaf\xe9 \x81,Paris\n")
+    df, enc = read_csv_with_fallback(spark, path)
+    assert enc == "latin1" and df.first().name == "café \x81"
+    with open(path, "wb") as f:
+        f.write("näme,city\ncafé \ufffd,Paris\n".encode())
+    df, enc = read_csv_with_fallback(spark, path)
+    assert enc == "utf-8" and df.columns == ["näme", "city"] and df.first()[0] == "café \ufffd"
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_csv_with_fallback(spark, os.path.join(tmp_dir, "no such file.csv"))
 
 
 def test_partition_overwrite_modes(spark, tmp_dir):
@@ -256,21 +274,62 @@ def test_publish_switches_view_between_runs(spark, tmp_dir):
         sinks.write_table(df, path)
         sinks.publish(spark, "t_pub", path, run)
         assert spark.table("t_pub").count() == df.count()
-    assert spark.table("t_pub__r_1").count() == 1
+    assert spark.table("t_pub__r_1__1").count() == 1
 
 
-def test_encoding_fallback_uses_cp1252_when_enabled(spark, tmp_dir):
+def test_encoding_fallback_uses_cp1252(spark, tmp_dir):
     path = os.path.join(tmp_dir, "euro.csv")
     with open(path, "wb") as f:
-        f.write(b"price\n5 \x80\n")
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    try:  # the frame is lazy: the flag must stay on while it is used
-        df, enc = read_csv_with_fallback(spark, path)
-        assert enc == "cp1252" and df.first().price == "5 €"
-    finally:
-        spark.conf.set("spark.sql.legacy.javaCharsets", "false")
+        f.write(b"price \x80\n5 \x80 \x93x\x94\n")
     df, enc = read_csv_with_fallback(spark, path)
-    assert enc == "latin1"
+    assert enc == "cp1252" and df.columns == ["price €"] and df.first()[0] == "5 € “x”"
+
+
+def test_csv_quoting(spark, tmp_dir):
+    from lakeq.sources.csv import read_csv_strings
+    path = os.path.join(tmp_dir, "q.csv")
+    with open(path, "w") as f:
+        f.write('a,b\n"p ""q"" r","x\ny"\n')
+    df = read_csv_strings(spark, path, multi_line=True)
+    assert [tuple(r) for r in df.collect()] == [('p "q" r', "x\ny")]
+
+
+def test_reordered_headers_fail(spark, tmp_dir):
+    from lakeq.sources.csv import read_csv_strings
+    landing = os.path.join(tmp_dir, "mixed")
+    os.makedirs(landing)
+    _write_csv(f"{landing}/a.csv", ["A", "B"], [["a1", "b1"]])
+    _write_csv(f"{landing}/b.csv", ["B", "A"], [["b2", "a2"]])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_strings(spark, landing).collect()
+    _write_csv(f"{landing}/b.csv", ["A", "B"], [["a2", "b2"]])
+    assert read_csv_strings(spark, landing).count() == 2
+
+
+def test_replayed_manifest_adds_no_rows(spark, tmp_dir):
+    from lakeq.sources.manifest import last_entries, write_manifest
+    rows = spark.createDataFrame([("r1", "d", "/a", 1, 0), ("r1", "d", "/b", 2, 1)],
+                                 "run_id string, dataset string, path string, size_bytes long, pos long")
+    base = os.path.join(tmp_dir, "m")
+    write_manifest(rows, base)
+    write_manifest(rows.withColumn("run_id", F.lit("r2")), base)
+    write_manifest(rows, base)
+    assert spark.read.json(base).count() == 4
+    assert [r.path for r in last_entries(rows.repartition(2)).collect()] == ["/b"]
+    with pytest.raises(ValueError, match="pos"):
+        last_entries(rows.drop("pos"))
+
+
+def test_rerun_with_new_column_and_dropped_partition(spark, tmp_dir):
+    df = spark.createDataFrame([(1, 4), (2, 5)], "v int, work_month int")
+    a, b = os.path.join(tmp_dir, "one"), os.path.join(tmp_dir, "two")
+    sinks.write_partitioned(df, a, ("work_month",))
+    first = sinks.publish(spark, "t_rerun", a, "r1", partition_cols=("work_month",), attempt="a")
+    sinks.write_partitioned(df.where("v = 1").withColumn("extra", F.lit("x")), b, ("work_month",))
+    sinks.publish(spark, "t_rerun", b, "r1", partition_cols=("work_month",), attempt="b")
+    assert [r.asDict() for r in spark.table("t_rerun").collect()] == [{"v": 1, "extra": "x", "work_month": "4"}] or [
+        int(r.work_month) for r in spark.table("t_rerun").collect()] == [4]
+    assert "extra" in spark.table("t_rerun").columns and spark.table(first).count() == 2
 
 
 def test_manifest_write_read_roundtrip(spark, tmp_dir):
@@ -324,7 +383,7 @@ def test_run_stages_stops_at_failed_gate(spark, tmp_dir):
     with pytest.raises(GateError):
         run_stages(spark, mpath, layout, "r7", RUN_TS)
     assert os.path.exists(layout.summary("r7"))                       # evidence written first
-    assert not os.path.exists(layout.curated("dim_provider", "r7"))   # curation never ran
+    assert not os.path.exists(f"{layout.base}/curated")   # curation never ran
 
 
 def test_validation_drop_mode_passes_clean_rows_on(spark, tmp_dir):

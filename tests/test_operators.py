@@ -247,3 +247,59 @@ def test_missing_dates_per_group(spark):
     df = spark.createDataFrame(rows, "k string, d date")
     got = sorted((r.k, r.missing_date.day) for r in checks.missing_dates(df, "d", by=["k"]).collect())
     assert got == [("a", 2), ("b", 4), ("b", 5)]
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4, 5)] + [(float("nan"),), (None,)], "x double")
+    col = profile.column_profile(df, "t").first()
+    assert (col.non_null_count, col.missing_count, col.unique_non_null_values) == (5, 2, 5)
+    num = profile.numeric_summary(df, ["x"], "t").first()
+    assert (num["count"], num["mean"], num["max"], num["p50"]) == (5, 3.0, 5.0, 3.0) and round(num["std"], 2) == 1.58
+    assert profile.iqr_outliers(df, ["x"], "t").first().outlier_count == 0
+    assert profile.missing_counts(df, "t").first().missing_count == 2
+    assert checks.range_violations(df, "x", 0, 4).count() == 1
+
+
+def test_measures_keep_their_digits(spark):
+    small = spark.range(1000).selectExpr("CAST(0.004 AS DECIMAL(10,3)) AS x", "0.004D AS y", "1 AS g")
+    assert serve.total_by(small, ["g"], ["x"]).first().total_hours == 4.0
+    assert abs(serve.total_by(small, ["g"], ["y"]).first().total_hours - 4.0) < 1e-9
+    near = spark.createDataFrame([(1, 0.02, 10**8), (2, 0.01, 10**8)], "k int, h double, n long")
+    ratios = serve.load_ratio(near, "k", ["h"], F.sum("n"))
+    assert [r.k for r in serve.bottom_k(ratios, "ratio", ["k"], 1).collect()] == [2]
+
+
+def test_long_integers_keep_their_digits(spark):
+    df = spark.createDataFrame([("1234567890123456789", "9" * 25), ("1234567890123456788", "7")], "a string, b string")
+    types = {r.column_name: r.inferred_type for r in profile.infer_types(df).collect()}
+    assert types == {"a": "bigint", "b": "string"}
+    assert {r.a for r in profile.apply_inferred_types(df, types).collect()} == {1234567890123456789, 1234567890123456788}
+
+
+def test_carried_column_of_the_reference_name(spark):
+    ref = spark.createDataFrame([(1, 10)], "k int, v int")
+    fact = spark.createDataFrame([(1, 5), (2, 777)], "k int, v int")
+    dim = curate.build_dimension(ref, fact, ref_key="k", dim_key="k", fact_key="k", inferred_attrs={}, carried={"v": "v"},
+                                 run_id="r", run_ts="2024-07-01 00:00:00")
+    assert sorted((r.k, r.v) for r in dim.collect()) == [(1, 10), (2, 777)]
+
+
+def test_odd_column_names(spark):
+    df = spark.createDataFrame([(1.0, "x"), (2.0, "y")], "`a.b` double, `c``d` string")
+    assert profile.numeric_summary(df, ["a.b"], "t").first()["mean"] == 1.5
+    assert profile.iqr_outliers(df, ["a.b"], "t").count() == 1 and profile.column_profile(df, "t").count() == 2
+    from lakeq.functions.names import standardize_columns
+    assert standardize_columns(df).columns == ["a_b", "c_d"]
+
+
+def test_text_dates_with_a_bad_value(spark):
+    df = spark.createDataFrame([("2024-04-01",), ("2024-04-03",), ("no date",)], "d string")
+    assert [str(r[0]) for r in checks.missing_dates(df, "d").collect()] == ["2024-04-02"]
+    assert str(checks.date_bounds(df, "d").first().max_date) == "2024-04-03"
+
+
+def test_occupancy(spark):
+    fact = spark.createDataFrame([("a", 10), ("a", 20), ("b", 5), ("c", 1)], "k string, census int")
+    dim = spark.createDataFrame([("a", 30), ("b", 0)], "k string, beds int")
+    got = {r.k: r.occupancy for r in serve.occupancy(fact, "k", "census", dim, "beds").collect()}
+    assert got == {"a": 0.5, "b": None, "c": None}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from __spark_entry__ import queries
 from lakeq.operators import refine, validate
 from lakeq.plans.queries import LINEITEM_CONTRACT, LINEITEM_RULES
-from lakeq.plans.tables import lineitem_raw, lineitem_staged, settled_orders
+from lakeq.plans.tables import lineitem_raw, lineitem_staged, orders_reference
 
 SF = "/root/testdata/sf0.001"
 
@@ -22,10 +22,10 @@ def test_refine_is_idempotent(spark):
 
 
 def test_every_row_is_clean_or_quarantined(spark):
-    tf = validate.tag_fact(lineitem_staged(spark, SF), settled_orders(spark, SF), LINEITEM_RULES)
+    tf = validate.tag_fact(lineitem_staged(spark, SF), orders_reference(spark, SF), LINEITEM_RULES)
     total = tf.count()
     clean = validate.clean_rows(tf).count()
-    gate = validate.gate(validate.counters(tf, validate.tag_reference(settled_orders(spark, SF), LINEITEM_RULES),
+    gate = validate.gate(validate.counters(tf, validate.tag_reference(orders_reference(spark, SF), LINEITEM_RULES),
                                            LINEITEM_RULES), LINEITEM_RULES).first()
     bad_fact_rows = tf.where(F.col("__lq_missing") | F.col("__lq_dup_n").isNotNull() | F.col("__lq_negative")).count()
     assert clean + bad_fact_rows == total
