@@ -49,6 +49,7 @@ class ValidationRules:
     def reason(self, kind: str) -> str:
         if kind in self.reasons:
             return self.reasons[kind]
+        # Quarantine reasons.
         defaults = {
             "fact_missing": f"missing_required_{self.fact_label}_fields",
             "ref_missing": f"missing_required_{self.ref_label}_key",

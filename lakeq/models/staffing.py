@@ -134,7 +134,7 @@ RULES = ValidationRules(
     measure_label="hours",
 )
 
-# Curation: staffing attributes that fill inferred provider rows, and the one
+# Fixed values. Curation: staffing attributes that fill inferred provider rows, and the one
 # attribute carried onto every dimension row.
 INFERRED_ATTRS = {"provname": "provider_name", "city": "city_town", "state": "state",
                   "county_name": "county_parish"}

@@ -92,8 +92,7 @@ def build_dimension(ref: DataFrame, fact: DataFrame, *, ref_key: str, dim_key: s
     return joined.select(out)
 
 
-def build_fact(fact: DataFrame, *, date_col: str = "workdate", fmt: str = "yyyyMMdd",
-               drop=("workdate", "provname", "city", "state", "county_name", "county_fips"),
+def build_fact(fact: DataFrame, *, date_col: str = "workdate", fmt: str = "yyyyMMdd", drop=(),
                run_id: str, run_ts) -> DataFrame:
     """C4: parse the day (bad text -> NULL, counted by ``bad_date_count``), add
     date parts and run stamps, drop the descriptive columns kept in the dimension."""
