@@ -35,6 +35,7 @@ between sets whose components then still differ are all other pairs compared.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -44,7 +45,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeq.llm import textvec
-from lakeq.llm.common import Scratch, parallelism
+from lakeq.llm.common import THIN_ROWS, Scratch, at_most, parallelism, text_batches
 from lakeq.llm.components import components
 
 FREQUENT_FROM = 16
@@ -151,23 +152,44 @@ class _Seen:
         return True
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    """Marks of tokens by their low bits, in the next power of two of their number."""
+    size = max(64, 1 << (len(tokens) - 1).bit_length())
+    bits = np.zeros(size, np.uint8)
+    bits[(tokens & _U(size - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def may_link(x: bytes, y: bytes, n_x: int, n_y: int, percent: int) -> bool:
+    """False only if the bitmaps prove that the sets are no link."""
+    while len(x) > len(y):  # fewer bits: the halves on top of each other
+        half = len(x) // 2
+        x = (int.from_bytes(x[:half], "little") | int.from_bytes(x[half:], "little")).to_bytes(half, "little")
+    while len(y) > len(x):
+        half = len(y) // 2
+        y = (int.from_bytes(y[:half], "little") | int.from_bytes(y[half:], "little")).to_bytes(half, "little")
+    shared = -(-percent * (n_x + n_y) // (100 + percent))
+    return (int.from_bytes(x, "little") ^ int.from_bytes(y, "little")).bit_count() <= n_x + n_y - 2 * shared
+
+
 def _profile(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, text_key, n_shingles, set_key) of every document."""
+    """(doc_id, text_key, n_shingles, set_key, bits) of every document."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            n, keys, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
             for _, _, tokens, to in token_sets(b.column(1), k):
                 n.append(np.diff(to))
                 keys.append(set_keys(tokens, to))
+                bits += [bitmap(tokens[i:j]) if j > i else None for i, j in zip(to[:-1], to[1:])]
             n = np.concatenate(n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(n), pa.array(np.concatenate(keys), mask=n == 0)],
-                names=["doc_id", "text_key", "n_shingles", "set_key"])
+                [b.column(0), b.column(2), pa.array(n), pa.array(np.concatenate(keys), mask=n == 0),
+                 pa.array(bits, pa.binary())], names=["doc_id", "text_key", "n_shingles", "set_key", "bits"])
 
     return docs.withColumn("text_key", text_key("text")).mapInArrow(
-        run, f"doc_id {id_type}, text_key long, n_shingles long, set_key long")
+        run, f"doc_id {id_type}, text_key long, n_shingles long, set_key long, bits binary")
 
 
 def _frequent_tokens(docs: DataFrame, k: int, ranges: int) -> np.ndarray:
@@ -293,6 +315,21 @@ def _indexed(docs: DataFrame, k: int, percent: int, ranges: int, tokens_sent, sh
             .groupBy("range").applyInArrow(meet, "sig long, key long, n int, first long, first_n int"))
 
 
+def _possible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that their bitmaps do not rule out."""
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cols = [b.column(i).to_pylist() for i in range(2, 6)]
+            keep = pa.array([may_link(x, y, n_x, n_y, percent) for x, y, n_x, n_y in zip(*cols)], pa.bool_())
+            yield b.select([0, 1]).filter(keep)
+
+    left, right = (marks.select(F.col("key").alias(k), F.col("bits").alias(f"bits_{k}"), F.col("n").alias(f"n_{k}"))
+                   for k in ("a", "b"))
+    return (pairs.join(left, "a").join(right, "b").select("a", "b", "bits_a", "bits_b", "n_a", "n_b")
+            .mapInArrow(test, "a long, b long"))
+
+
 def _wanted_sets(docs: DataFrame, keys: DataFrame, k: int) -> DataFrame:
     """(key, tokens) of the sets in ``keys``. A filter of fixed size keeps most
     other documents out of the shuffle; what it lets through is harmless."""
@@ -367,26 +404,35 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
     results.
     """
     spark = docs.sparkSession
+    text_batches(spark)
     scratch = Scratch(spark, "jaccard")
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     profile = scratch.table(_profile(thin, k), "profile")
+    marks = scratch.table(profile.where("set_key is not null").groupBy(F.col("set_key").alias("key")).agg(
+        F.first("n_shingles").alias("n"), F.first("bits").alias("bits")), "marks")
     total = profile.agg(F.sum("n_shingles")).first()[0] or 0
     ranges = 1 << max(int(total // RANGE).bit_length(), (2 * parallelism(spark)).bit_length())
     frequent, shift = _frequent_tokens(thin, k, ranges)
     sent = spark.sparkContext.broadcast(frequent)
     shared = scratch.table(_indexed(thin, k, percent, ranges, sent, shift), "shared")
-    sets = scratch.table(_wanted_sets(thin, shared.select("key").distinct(), k), "sets")
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        possible = scratch.table(_possible(pairs, marks, percent), f"{name}-possible")
+        keys = possible.select(F.col("a").alias("key")).union(possible.select("b")).distinct()
+        sets = scratch.table(_wanted_sets(thin, keys, k), f"{name}-sets")
+        out = scratch.table(_verified(possible, sets, percent), name)
+        scratch.drop(possible, sets)
+        return out
 
     (a, b), close = _pair("key", "first", percent, "n", "first_n")
     if every_link:
         x, y = shared.select("sig", "key", "n").distinct(), shared.select(
             "sig", F.col("key").alias("first"), F.col("n").alias("first_n")).distinct()
-        pairs = scratch.table(x.join(y, "sig").where(F.col("key") < F.col("first")).where(close).select(a, b).distinct(), "pairs")
-        links = scratch.table(_verified(pairs, sets, percent), "links")
+        found = [verified(x.join(y, "sig").where(F.col("key") < F.col("first")).where(close).select(a, b).distinct(), "links")]
     else:
         pairs = scratch.table(shared.where("key <> first").where(close).select(a, b).distinct(), "pairs")
-        found = scratch.table(_verified(pairs, sets, percent), "found")
-        part = scratch.table(components(found.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch), "part")
+        found = [verified(pairs, "found")]
+        part = scratch.table(components(found[0].select(F.col("a").alias("u"), F.col("b").alias("v")), scratch), "part")
         members = (shared.select("sig", "key", "n").distinct().join(part.withColumnRenamed("node", "key"), "key", "left")
                    .withColumn("component", F.coalesce("component", "key")))
         mixed = scratch.table(members.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -396,8 +442,8 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
                              F.col("component").alias("other"))
         rest = (open_.join(other, "sig").where(F.col("component") < F.col("other")).where(close).select(a, b).distinct()
                 .join(pairs, ["a", "b"], "left_anti"))
-        more = scratch.table(_verified(rest, sets, percent), "more")
-        links = found.union(more)
+        found.append(verified(rest, "more"))
+    links = reduce(DataFrame.union, found)
     part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
     root = scratch.table(profile.join(part.withColumnRenamed("node", "set_key"), "set_key", "left").select(
         "doc_id", "text_key", "n_shingles", "set_key", F.coalesce("component", "set_key").alias("component_key")), "root")
@@ -406,20 +452,32 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
     documents = root.join(least, "component_key", "left").select(
         "doc_id", "text_key", "n_shingles", "set_key", "component_key",
         F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    scratch.finish(root, least, *found)
     return Joined(documents, links)
 
 
 def first_of_components(docs: DataFrame, joined: Joined, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one of each component, the one with the least
     id (a null id comes last, of equal ids the least text key), and every row
-    without words."""
-    rows = joined.documents
+    without words.
+
+    Rows are told by id and text. The texts that go, and those of which equal rows
+    exist, are listed; the list is sent to every task while a count shows that it is
+    short, so that the texts are not shuffled, else the join is a merge join."""
+    scratch = Scratch(docs.sparkSession, "first")
+    rows = joined.documents.where("set_key is not null")
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
-    stays = (rows.where("set_key is not null").groupBy("component_key").agg(F.min(order).alias("o"))
-             .select(F.col("o.doc_id").alias("__id"), F.col("o.text_key").alias("__key"), F.lit(False).alias("__empty"))
-             .unionByName(rows.where("set_key is null").select(
-                 F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.lit(True).alias("__empty")).distinct()))
+    first = rows.groupBy("component_key").agg(F.min(order).alias("first"))
+    listed = scratch.table(
+        rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.first("component_key").alias("component_key"))
+        .join(first, "component_key").withColumn("stays", (F.col("first.doc_id").eqNullSafe(F.col("doc_id")))
+                                                 & (F.col("first.text_key") == F.col("text_key")))
+        .where("not stays or n > 1").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "stays"), "listed")
+    side = F.broadcast(listed) if at_most(listed, THIN_ROWS) else listed.hint("merge")
+    names = [f"`{c}`" for c in docs.columns]
     found = docs.withColumn("__own", text_key(text_col)).join(
-        stays, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")))
+        side, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left")
+    single = found.where(F.col("stays").isNull()).select(*names)
     nth = F.row_number().over(W.partitionBy("__id", "__key").orderBy("__own"))
-    return found.withColumn("__nth", nth).where("__empty or __nth = 1").select(*[f"`{c}`" for c in docs.columns])
+    repeated = found.where("stays").withColumn("__nth", nth).where("__nth = 1").select(*names)
+    return single.unionByName(repeated)

@@ -64,10 +64,17 @@ def test_linked_sets_share_a_signature():
             continue
         signed = [jaccard.signatures(s, textvec.mix(s) % np.uint64(1000) < np.uint64(share), percent) for s in (x, y)]
         assert len(np.intersect1d(*signed))
+        assert jaccard.may_link(jaccard.bitmap(x), jaccard.bitmap(y), len(x), len(y), percent)
         met += 1
     assert met > 1000
 
 
+def test_bitmaps_rule_out_unlike_sets():
+    rng = np.random.default_rng(1)
+    x, y = (np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)) for n in (520, 500))
+    assert not jaccard.may_link(jaccard.bitmap(x), jaccard.bitmap(y), len(x), len(y), 80)
+
+
 def test_large_group_of_near_copies(spark, monkeypatch):
     """A third of the rows are near copies of one text: one component, few comparisons."""
     monkeypatch.setattr(jaccard, "FREQUENT_FROM", 16)
