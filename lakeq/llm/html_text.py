@@ -28,6 +28,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lakeq.llm.common import text_batches
+
 # The HTML standard's element sets.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template".split())
@@ -240,6 +242,7 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     markup never fails; repeated rows are extracted alike; other columns are not
     read; an empty table gives an empty result.
     """
+    text_batches(pages.sparkSession)
     thin = pages.select(id_col, url_col, html_col)
     types = {f.name: f.dataType.simpleString() for f in thin.schema.fields}
 

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeq.llm import learn, textvec
+from lakeq.llm.common import text_batches
 
 BITS = 16
 SIZES = (1, 2, 3)
@@ -97,15 +98,14 @@ def fit(targets: list, texts: pa.ChunkedArray) -> Model:
     codes = codewords(len(langs))
     width = codes.shape[1] if langs else 1
     weight, bias = np.zeros((1 << BITS, width), np.float32), np.zeros(width, np.float32)
-    docs = []
+    docs = learn.Bags()
     for chunk in texts.chunks:
         for at, end, data, offs in textvec.slices(chunk):
             flat, to = squeezed(data, offs)
             found = [(textvec.ngrams(flat, n, BITS), n) for n in SIZES]
             for r in range(end - at):
-                got = np.concatenate([textvec.row_values(b, to, n, r) for b, n in found])
-                ids, count = np.unique(got, return_counts=True)
-                docs.append((ids, (count / max(1, len(got))).astype(np.float32)))
+                docs.add(np.concatenate([textvec.row_values(b, to, n, r) for b, n in found]))
+    docs.done()
     sign = codes[[langs.index(t) for t in targets]] if langs else codes
     rng = np.random.Generator(np.random.PCG64(2))
     step, steps = 0, max(1, EPOCHS * len(docs))
@@ -138,6 +138,7 @@ def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     saw no language get ``und``, score 0 and are ambiguous; repeated rows get
     equal results; an empty table stays empty.
     """
+    text_batches(df.sparkSession)
     made = ("lang_pred", "score", "ambiguous")
     keep = [c for c in df.columns if c not in made]
     sent = df.sparkSession.sparkContext.broadcast(model)  # 2**BITS rows of a few numbers

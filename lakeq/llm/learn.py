@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -14,6 +15,9 @@ from pyspark.sql import functions as F
 from lakeq.llm.common import BROADCAST_ROWS
 
 
+SALTS = 64
+
+
 def fold(id_col: str, k: int) -> Column:
     """crc32 of the id's text modulo k; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % k
@@ -21,11 +25,14 @@ def fold(id_col: str, k: int) -> Column:
 
 def sample_ids(labelled: DataFrame, per_target: int) -> DataFrame:
     """Of (doc_id, target), the ``per_target`` ids of each target that come first
-    in hash order. The rank limit is applied before the shuffle, so a frequent
-    target is never gathered."""
-    w = W.partitionBy("target").orderBy(F.xxhash64("doc_id"), "doc_id")
-    return (labelled.where("doc_id is not null and target is not null")
-            .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_target).drop("rank"))
+    in hash order. The rank limit is applied before each shuffle, and first by target
+    and salt, so a frequent target is never gathered."""
+    out = labelled.where("doc_id is not null and target is not null").withColumn(
+        "salt", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(SALTS)))
+    for keys in (["target", "salt"], ["target"]):
+        w = W.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id")
+        out = out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= per_target).drop("rank")
+    return out.drop("salt")
 
 
 def with_text(ids: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -53,5 +60,30 @@ def train(sample: DataFrame, fit: Callable[[list, pa.ChunkedArray], object]) ->
     return pickle.loads(rows[0]["model"]) if rows else fit([], pa.chunked_array([], pa.string()))
 
 
+class Bags:
+    """Feature buckets and their shares of every sampled document, in two buffers
+    that grow in place (many small arrays would stay with the worker)."""
+
+    def __init__(self):
+        self.ids, self.shares, self.ends = array("i"), array("f"), [0]
+
+    def add(self, buckets: np.ndarray) -> None:
+        ids, count = np.unique(buckets, return_counts=True)
+        self.ids.frombytes(ids.astype(np.int32).tobytes())
+        self.shares.frombytes((count / max(1, len(buckets))).astype(np.float32).tobytes())
+        self.ends.append(len(self.ids))
+
+    def done(self) -> Bags:
+        self.ids, self.shares = np.frombuffer(self.ids, np.int32), np.frombuffer(self.shares, np.float32)
+        return self
+
+    def __len__(self) -> int:
+        return len(self.ends) - 1
+
+    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(self.ends[i], self.ends[i + 1])
+        return self.ids[at], self.shares[at]
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -50, 50)))

@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeq.llm import textvec
-from lakeq.llm.common import Scratch
+from lakeq.llm.common import THIN_ROWS, Scratch, at_most, text_batches
 
 MIN_WORDS = 50
 
@@ -173,6 +173,7 @@ def longest(members: DataFrame, seekers: DataFrame, levels: list[DataFrame], scr
 def copied_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, seq, from_line, to_line) of the maximal later copies; ``seq`` tells
     rows with one id but different texts apart."""
+    text_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "lines")
     texts = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc_id"), _sequence_id(id_col, text_col).alias("seq"), F.col(text_col).alias("text"))
@@ -188,9 +189,11 @@ def copied_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     seekers = ends.where("room > 0").drop("from_line")
     groups = members.join(seekers.select("node").distinct(), "node").drop("room", "later")
     reached = longest(groups, seekers, levels, scratch).withColumnRenamed("reach", "further")
-    return scratch.table(
+    runs = scratch.table(
         ends.join(reached, ["doc_id", "seq", "pos"], "left").select(
             "doc_id", "seq", "from_line", (F.col("pos") + F.coalesce("further", "reach")).alias("to_line")), "runs")
+    scratch.finish(runs)
+    return runs
 
 
 def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
@@ -206,12 +209,14 @@ def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     through; an empty table stays empty.
     """
     runs = copied_runs(docs, min_words, id_col, text_col)
-    spans = runs.groupBy(F.col("doc_id").alias("__id"), F.col("seq").alias("__seq")).agg(
-        F.collect_list(F.struct("from_line", "to_line")).alias("__runs"))  # at most the lines of a text
+    spans = runs.select(F.col("doc_id").alias("__id"), F.col("seq").alias("__seq"), "from_line", "to_line").groupBy(
+        "__id", "__seq").agg(F.collect_list(F.struct("from_line", "to_line")).alias("__runs"))  # at most a text's lines
     kept = [c for c in docs.columns if c not in counts]
-    # The runs grow with the corpus: one plan at every size, a merge join that AQE can split.
+    # Few documents lose lines: their runs are sent to every task while a count shows
+    # that they are few, and the texts stay where they are; else a merge join.
+    side = F.broadcast(spans) if at_most(spans, THIN_ROWS) else spans.hint("merge")
     joined = (docs.select(*[f"`{c}`" for c in kept]).withColumn("__own", _sequence_id(id_col, text_col))
-              .join(spans.hint("merge"), F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__seq")), "left"))
+              .join(side, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__seq")), "left"))
     parts = F.split(F.col(text_col), "\n", -1)
     stay = F.filter(parts, lambda line, i: ~F.exists("__runs", lambda r: (i >= r["from_line"]) & (i < r["to_line"])))
     text = F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))

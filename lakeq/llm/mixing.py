@@ -81,6 +81,7 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float], default_weight: f
             yield pd.DataFrame({"mix_source": p["source"], "mix_cdf": [poisson_cdf(m) for m in p["rate"]]})
 
     table = scratch.table(rates.mapInPandas(with_cdf, "mix_source string, mix_cdf array<double>"), "copies")
+    scratch.finish(table)
     few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     kept = [f"`{c}`" for c in docs.columns if c not in made]
     joined = docs.select(*kept).join(F.broadcast(table) if few else table, F.col("source").eqNullSafe(F.col("mix_source")))

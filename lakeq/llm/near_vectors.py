@@ -179,6 +179,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id",
         .join(part.withColumnRenamed("node", "id"), "id", "left").select(
             "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
             F.coalesce("component", "id").alias("component_id")), "result")
+    scratch.finish(result)
     thin = rows.select("vec_id", *[F.when(F.col("in"), h).alias(c) for h, c in zip(same, ("h1", "h2"))])
     return thin.join(result, ["h1", "h2"], "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

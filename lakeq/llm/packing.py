@@ -26,7 +26,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeq.llm import textvec
-from lakeq.llm.common import Scratch, parallelism
+from lakeq.llm.common import Scratch, parallelism, text_batches
 
 
 def sequence_cost(capacity: int) -> float:
@@ -146,6 +146,7 @@ def pack(docs: DataFrame, capacities: Sequence[int] = (512, 1024, 2048, 4096),
     other columns are not read; an empty table gives an empty result.
     """
     spark, largest = docs.sparkSession, max(capacities)
+    text_batches(spark)
     scratch = Scratch(spark, "pack")
     items = scratch.table(pieces(docs, largest, id_col, text_col), "pieces")
     # At most `largest` rows: lengths are bounded by the capacity.

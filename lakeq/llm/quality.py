@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeq.llm import learn, textvec
+from lakeq.llm.common import text_batches
 
 BITS = 18            # hashed features
 DIM = 8              # length of a feature's vector
@@ -27,7 +28,7 @@ SIZES = (3, 4, 5)    # characters (bytes) of the n-grams
 EPOCHS = 4           # rounds over the sample, more of them for a small one:
 MIN_STEPS = 8000     # steps at least
 RATE = 1.0           # first step length, falling linearly to 0
-MAX_LABELLED = 2500  # documents per class that training sees
+MAX_LABELLED = 1500  # documents per class that training sees
 KEEP_FROM = 0.3      # score from which a document is predicted good
 
 _SPACE = np.where(textvec.SPACE, 32, np.arange(256)).astype(np.uint8)
@@ -71,14 +72,13 @@ def fit(targets: list, texts: pa.ChunkedArray) -> Model:
     share = y.mean() if len(y) else 0.5
     if share in (0, 1) or not len(y):
         return Model(np.zeros(1 << BITS, np.float32), float(np.clip(share * 20 - 10, -3, 3)))
-    docs = []
+    docs = learn.Bags()
     for chunk in texts.chunks:
         for at, end, data, offs in textvec.slices(chunk):
             found = list(features(data, offs))
             for r in range(end - at):
-                got = np.concatenate([textvec.row_values(b, to, n, r) for b, to, n in found])
-                ids, count = np.unique(got, return_counts=True)
-                docs.append((ids, (count / max(1, len(got))).astype(np.float32)))
+                docs.add(np.concatenate([textvec.row_values(b, to, n, r) for b, to, n in found]))
+    docs.done()
     rng = np.random.Generator(np.random.PCG64(1))
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     out, bias = np.zeros((2, DIM), np.float32), np.zeros(2, np.float32)
@@ -117,6 +117,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "score
     repeated rows get equal scores; an empty table stays empty; other columns
     pass through unread.
     """
+    text_batches(df.sparkSession)
     keep = [c for c in df.columns if c != out]
     fields = [df.schema[c] for c in keep]
     sent = df.sparkSession.sparkContext.broadcast(model)  # 2**BITS numbers

@@ -173,7 +173,8 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = index.withColumn("slab", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1)))).groupBy("dim", "block", "slab")
     right = packed.withColumn("block", every).groupBy("dim", "block", "slab")
-    found = left.cogroup(right).applyInArrow(search, "query_id long, vec_id long, score long")
+    found = scratch.table(left.cogroup(right).applyInArrow(search, "query_id long, vec_id long, score long"), "found")
+    scratch.finish(found)
     best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")
