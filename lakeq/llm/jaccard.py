@@ -28,8 +28,9 @@ that share a signature only the first goes to the signature's range, the others
 are written with it, so no signature gathers more entries than there are map
 blocks. Candidate pairs are verified on the whole sets.
 
-For components, each signature's sets are first compared with one of them; only
-between sets whose components then still differ are all other pairs compared.
+For components, each signature's sets are first compared with one of them, then one
+set of each component with one of another; only between sets whose components then
+still differ are all other pairs compared.
 """
 
 from __future__ import annotations
@@ -432,17 +433,39 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
     else:
         pairs = scratch.table(shared.where("key <> first").where(close).select(a, b).distinct(), "pairs")
         found = [verified(pairs, "found")]
-        part = scratch.table(components(found[0].select(F.col("a").alias("u"), F.col("b").alias("v")), scratch), "part")
-        members = (shared.select("sig", "key", "n").distinct().join(part.withColumnRenamed("node", "key"), "key", "left")
-                   .withColumn("component", F.coalesce("component", "key")))
-        mixed = scratch.table(members.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                              .where("lo <> hi").select("sig"), "mixed")
-        open_ = scratch.table(members.join(mixed, "sig"), "open")
+        tested = [pairs]
+
+        def untested(new: DataFrame) -> DataFrame:
+            return reduce(lambda left, old: left.join(old, ["a", "b"], "left_anti"), tested, new)
+
+        def unjoined(name: str) -> DataFrame:
+            """The sets of signatures whose sets are not all in one component yet."""
+            links = reduce(DataFrame.union, found)
+            part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
+            members = scratch.table(
+                shared.select("sig", "key", "n").distinct().join(part.withColumnRenamed("node", "key"), "key", "left")
+                .withColumn("component", F.coalesce("component", "key")), f"{name}-members")
+            mixed = (members.groupBy("sig").agg(F.min("component").alias("least"), F.max("component").alias("most"))
+                     .where("least <> most").select("sig", "least"))
+            return scratch.table(members.join(mixed, "sig"), name)
+
+        # One set of each component, by a hash that differs between signatures, with one
+        # of the least component: a set of a large group meets as many of its members
+        # as it has signatures.
+        open_ = unjoined("open1")
+        one = open_.groupBy("sig", "component", "least").agg(
+            F.min(F.struct(F.xxhash64("sig", "key").alias("h"), "key", "n")).alias("one"))
+        one = scratch.table(one.select("sig", "component", "least", "one.key", "one.n"), "one")
+        center = one.where("component = least").select("sig", F.col("key").alias("first"), F.col("n").alias("first_n"))
+        met = one.where("component <> least").join(center, "sig").where(close).select(a, b).distinct()
+        tested.append(scratch.table(untested(met), "met"))
+        found.append(verified(tested[-1], "found1"))
+        # What is left: all pairs between components that share a signature.
+        open_ = unjoined("open2")
         other = open_.select("sig", F.col("key").alias("first"), F.col("n").alias("first_n"),
                              F.col("component").alias("other"))
-        rest = (open_.join(other, "sig").where(F.col("component") < F.col("other")).where(close).select(a, b).distinct()
-                .join(pairs, ["a", "b"], "left_anti"))
-        found.append(verified(rest, "more"))
+        rest = open_.join(other, "sig").where(F.col("component") < F.col("other")).where(close).select(a, b).distinct()
+        found.append(verified(untested(rest), "found2"))
     links = reduce(DataFrame.union, found)
     part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
     root = scratch.table(profile.join(part.withColumnRenamed("node", "set_key"), "set_key", "left").select(
