@@ -87,5 +87,6 @@ def range_violations(df: DataFrame, column: str, min_value=0, max_value=None) ->
     bad = v < F.lit(min_value)
     if max_value is not None:
         over = v > F.lit(max_value)
-        bad = bad | (over & ~F.isnan(v) if kind in ("float", "double") else over)  # NaN sorts above all numbers
+        # NaN sorts above all numbers, infinity included; comparisons reach the scan
+        bad = bad | (over & (v <= F.lit(float("inf"))) if kind in ("float", "double") else over)
     return df.where(bad)

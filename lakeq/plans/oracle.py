@@ -278,7 +278,7 @@ FROM {EVENTS_GAPS if t == 'events' else t}""")
     return "\nUNION ALL\n".join(parts)
 
 
-NUMBERS = [("events", "value")] + [("lineitem", c) for c in (
+NUMBERS = [("events", "value"), ("events", "user_id")] + [("lineitem", c) for c in (
     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")]
 
 

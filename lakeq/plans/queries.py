@@ -465,11 +465,11 @@ LINEITEM_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_q
 
 def numeric_summary(spark, sf):
     return profile.numeric_summary(load(spark, sf, "lineitem"), LINEITEM_NUMBERS, "lineitem", digits=6).unionByName(
-        profile.numeric_summary(events_gaps(spark, sf), ["value"], "events", digits=6))
+        profile.numeric_summary(events_gaps(spark, sf), ["value", "user_id"], "events", digits=6))
 
 
 def iqr_outliers(spark, sf):
-    return profile.iqr_outliers(events_gaps(spark, sf), ["value"], "events").unionByName(
+    return profile.iqr_outliers(events_gaps(spark, sf), ["value", "user_id"], "events").unionByName(
         profile.iqr_outliers(load(spark, sf, "lineitem"), LINEITEM_NUMBERS, "lineitem"))
 
 
