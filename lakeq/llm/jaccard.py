@@ -279,7 +279,8 @@ def _indexed(docs: DataFrame, k: int, percent: int, ranges: int, tokens_sent, sh
                     often = known[np.minimum(at, len(known) - 1)] == short
                 for r, key in enumerate(set_keys(tokens, to).tolist()):
                     lo, hi = to[r], to[r + 1]
-                    if hi - lo >= smallest and seen.new(key):
+                    # The nearest set that is not equal has one more token.
+                    if 100 * (hi - lo) >= percent * (hi - lo + 1) and seen.new(key):
                         held.append((signatures(tokens[lo:hi], often[lo:hi], percent), key, hi - lo))
                         n += len(held[-1][0])
                         if n > BLOCK:
@@ -310,8 +311,6 @@ def _indexed(docs: DataFrame, k: int, percent: int, ranges: int, tokens_sent, sh
         return pa.table({"sig": sig[several].astype(np.int64) + (part << 32), "key": key[several], "n": n[several],
                          "first": key[first], "first_n": n[first]})
 
-    # Smaller sets link with equal sets only: one different token is too much for them.
-    smallest = next(n for n in range(1, 10_000) if n - least_overlap(np.int64(n), percent) >= 1)
     return (docs.mapInArrow(collect, "range int, sig binary, key binary, n binary, first binary, first_n binary")
             .groupBy("range").applyInArrow(meet, "sig long, key long, n int, first long, first_n int"))
 

@@ -50,6 +50,22 @@ def test_components_equal_all_pairs(spark, monkeypatch, frequent_from, k, percen
     assert every.links.count() == n_links
 
 
+@pytest.mark.parametrize("frequent_from,k,percent", [(1, 4, 85), (10_000, 4, 85), (1, 5, 80), (10_000, 5, 80)])
+def test_set_within_a_set_one_token_larger(spark, monkeypatch, frequent_from, k, percent):
+    monkeypatch.setattr(jaccard, "FREQUENT_FROM", frequent_from)
+    rows = []
+    for n in range(1, 22):
+        for side in range(2):
+            w = [f"n{n}s{side}w{i}" for i in range(n + k - 1)]
+            rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(["more", *w] if side else [*w, "more"]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want, pairs, _ = expected(rows, k, percent)
+    assert len(pairs) == 2 * len([n for n in range(1, 22) if 100 * n >= percent * (n + 1)])
+    got = jaccard.join_documents(df, k, percent)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.documents.collect()) == want
+    assert jaccard.join_documents(df, k, percent, every_link=True).links.count() == len(pairs)
+
+
 def test_linked_sets_share_a_signature():
     rng = np.random.default_rng(0)
     met = 0
