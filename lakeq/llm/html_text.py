@@ -8,12 +8,20 @@ characters and LT link tags below it, the composite density is
 (nLC: characters outside links; LCb, Cb: those of the body; counts of zero are
 taken as one). Text that is long per tag and free of links scores high, menus low.
 The densities of a node's block children, and that of text directly in it, add up
-to its density sum, and the subtree with the largest sum is selected: as the whole
-``article`` or ``main`` it lies in, else with those neighbours along its path that
-reach the threshold, the least density on the path from the body. Subtrees whose
-tag, role or class says that they are no part of an article (menus, headers,
-footers, sidebars, notices, adverts, forms, scripts, comments) are left out of the
-counts and of the text.
+to its density sum, and the subtree with the largest sum is selected. The threshold
+is the least density on its path from the body.
+
+* In a ``main`` of several articles, the whole ``main`` is taken.
+* In an ``article``, that is taken; without ``main``, with what reaches the threshold
+  of the page's other articles.
+* In a ``main`` without an article around the subtree, the whole ``main`` is taken.
+* Else the subtree is taken with what reaches the threshold beside its path, up to and
+  with the children of the body: whole blocks, of blocks below the threshold the
+  blocks in them, and the text between blocks.
+
+Subtrees whose tag, role or class says that they are no part of an article (menus,
+headers, footers, sidebars, notices, adverts, forms, scripts, comments) are left out
+of the counts and of the text.
 
 Pages are independent, so this is one map over the whole table, without a shuffle.
 """
@@ -146,8 +154,29 @@ def _close(root: Node, here: Node, names: set[str] | frozenset[str], stop: set[s
         node = node.parent
 
 
+def _add(node: Node) -> None:
+    """Characters and tags of a node whose children have theirs."""
+    for c in node.children:
+        if isinstance(c, str):
+            node.chars += sum(map(len, c.split()))
+        elif not c.skip:
+            node.chars += c.chars
+            node.tags += c.tags + 1
+            node.link_chars += c.chars if c.tag == "a" else c.link_chars
+            node.link_tags += c.link_tags + (c.tag == "a")
+
+
+def _weigh(node: Node, root: Node) -> None:
+    """Composite density of a counted node."""
+    if node.chars:
+        body_links, body_chars = max(root.link_chars, 1), max(root.chars, 1)
+        c, t, lc, lt = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
+        base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + body_links / body_chars * c + math.e)
+        node.density = c / t * max(math.log(c / lc * t / lt) / math.log(max(base, 1.0001)), 0.0)
+
+
 def _count(root: Node) -> list[Node]:
-    """Characters and tags of every node, children before parents."""
+    """Counts, density and density sum of every node, children before parents."""
     order, stack = [], [root]
     while stack:
         node = stack.pop()
@@ -155,20 +184,9 @@ def _count(root: Node) -> list[Node]:
         stack += [c for c in node.children if isinstance(c, Node) and not c.skip]
     order.reverse()
     for node in order:
-        for c in node.children:
-            if isinstance(c, str):
-                node.chars += sum(map(len, c.split()))
-            elif not c.skip:
-                node.chars += c.chars
-                node.tags += c.tags + 1
-                node.link_chars += c.chars if c.tag == "a" else c.link_chars
-                node.link_tags += c.link_tags + (c.tag == "a")
-    body_links, body_chars = max(root.link_chars, 1), max(root.chars, 1)
+        _add(node)
     for node in order:
-        if node.chars:
-            c, t, lc, lt = node.chars, max(node.tags, 1), max(node.link_chars, 1), max(node.link_tags, 1)
-            base = math.log(c / max(c - node.link_chars, 1) * node.link_chars + body_links / body_chars * c + math.e)
-            node.density = c / t * max(math.log(c / lc * t / lt) / math.log(max(base, 1.0001)), 0.0)
+        _weigh(node, root)
         own = sum(sum(map(len, c.split())) for c in node.children if isinstance(c, str))
         node.sum = float(own) if node.tag in INLINE else 0.0
         for c in node.children:
@@ -179,10 +197,50 @@ def _count(root: Node) -> list[Node]:
     return order
 
 
+def _parts(children: list[Node | str], root: Node) -> list[Node]:
+    """The blocks among ``children``, and each run of text and inline elements between
+    them as a node without a name."""
+    parts = []
+    for c in children:
+        if isinstance(c, str) or c.tag in INLINE:
+            if not parts or parts[-1].tag:
+                parts.append(Node("", None, False))
+            parts[-1].children.append(c)
+        elif not c.skip:
+            parts.append(c)
+    for node in parts:
+        if not node.tag:
+            _add(node)
+            _weigh(node, root)
+    return parts
+
+
+def _reaching(parts: list[Node], threshold: float, root: Node) -> list[Node]:
+    """What reaches the threshold in ``parts``, in page order: of blocks below it, parts of them."""
+    found, stack = [], parts[::-1]
+    while stack:
+        node = stack.pop()
+        if node.density >= threshold:
+            found.append(node)
+        elif node.tag:
+            stack += _parts(node.children, root)[::-1]
+    return found
+
+
+def _articles(node: Node) -> list[Node]:
+    """The outermost articles below a node, in page order."""
+    found, stack = [], [node]
+    while stack:
+        n = stack.pop()
+        if n.tag == "article":
+            found.append(n)
+        else:
+            stack += [c for c in reversed(n.children) if isinstance(c, Node) and not c.skip]
+    return found
+
+
 def content(root: Node) -> list[Node]:
-    """The subtrees that hold the main text, in page order: the one of the largest
-    density sum, as the whole article if it lies in one, and its neighbours along
-    the path to the body that reach the threshold within the same article."""
+    """The subtrees that hold the main text, in page order (see the module)."""
     order = _count(root)
     # Children come before parents in `order`: of equal sums the outermost counts.
     best = root
@@ -192,18 +250,21 @@ def content(root: Node) -> list[Node]:
     path = [best]
     while path[-1] is not root:
         path.append(path[-1].parent)
-    for name in ("article", "main"):
-        inside = [n for n in path if n.tag == name]
-        if inside:
-            return [inside[-1]]
     threshold = min(n.density for n in path)
-    chosen = [best]
+    main = next((n for n in reversed(path) if n.tag == "main"), None)
+    article = next((n for n in reversed(path) if n.tag == "article"), None)
+    if main and (not article or len(_articles(main)) > 1):
+        return [main]
+    if article:
+        return [article] if main else [n for a in _articles(root)
+                                       for n in ([a] if a is article else _reaching([a], threshold, root)) if n.chars]
+    before, after = [], []
     for above, below in zip(path[1:], path):
-        if above is not root:
-            chosen += [c for c in above.children if isinstance(c, Node) and not c.skip and c is not below
-                       and c.tag not in INLINE and c.density >= threshold and c.link_chars == 0]
-    position = {id(n): i for i, n in enumerate(order)}
-    return sorted((n for n in chosen if n.chars), key=lambda n: position[id(n)])
+        at = above.children.index(below)
+        before.append(_reaching(_parts(above.children[:at], root), threshold, root))
+        after += _reaching(_parts(above.children[at + 1:], root), threshold, root)
+    chosen = [n for found in reversed(before) for n in found] + [best] + after
+    return [n for n in chosen if n.chars]
 
 
 def blocks(node: Node) -> list[str]:

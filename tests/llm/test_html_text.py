@@ -45,6 +45,40 @@ def test_density_finds_the_text_without_semantic_tags():
     assert got.count("This paragraph") == 9 and "Entry" not in got and got.startswith("Heading")
 
 
+def paragraphs(n, name):
+    return "".join(f"<p>{name}{i} {LONG}</p>" for i in range(n))
+
+
+def named(text):
+    return re.findall(r"\b[a-z]+\d+\b", text)
+
+
+LINKS = "<div><ul>" + "".join(f'<li><a href="/{i}">Menu entry number {i}</a></li>' for i in range(40)) + "</ul></div>"
+
+
+@pytest.mark.parametrize("page,names", [
+    # several blocks directly below the body, with a title and text between them
+    (f"<body><h1>title0 of it</h1><div>{paragraphs(6, 'a')}</div>loose0 {LONG}<div>{paragraphs(3, 'b')}</div></body>",
+     ["title0", *(f"a{i}" for i in range(6)), "loose0", "b0", "b1", "b2"]),
+    (f"<body><div>{paragraphs(2, 'a')}</div><div><div>{paragraphs(6, 'b')}</div></div><p>c0 {LONG}</p></body>",
+     ["a0", "a1", *(f"b{i}" for i in range(6)), "c0"]),
+    # a section with a link
+    (f"<div><section>{paragraphs(8, 'a')}</section><section>{paragraphs(5, 'b')}<p>b5 <a href='/x'>see</a> {LONG}</p></section></div>",
+     [*(f"a{i}" for i in range(8)), *(f"b{i}" for i in range(6))]),
+    # a block that links keep below the threshold: the paragraphs in it that reach it
+    (f"<body><div>{paragraphs(8, 'a')}</div><div>{paragraphs(2, 'b')}{LINKS}</div></body>",
+     [*(f"a{i}" for i in range(8)), "b0", "b1"]),
+    # two articles, in main and without
+    (f"<body>{LINKS}<main><article>{paragraphs(6, 'a')}</article><article>{paragraphs(2, 'b')}</article></main></body>",
+     [*(f"a{i}" for i in range(6)), "b0", "b1"]),
+    (f"<body><article>{paragraphs(2, 'a')}</article>{LINKS}<div><article>{paragraphs(6, 'b')}</article></div></body>",
+     ["a0", "a1", *(f"b{i}" for i in range(6))]),
+])
+def test_all_blocks_that_reach_the_threshold(page, names):
+    got = html_text.main_text(page)
+    assert named(got) == names and "Menu entry" not in got
+
+
 def test_deep_and_broken_markup():
     assert html_text.main_text("<div>" * 5000 + "deep" + "</div>" * 4000) == "deep"
     assert html_text.main_text("<p " + "a" * 10_000) == ""
