@@ -57,11 +57,15 @@ NOT_TEXT = frozenset(
     "head script style noscript template iframe object embed svg canvas audio video nav footer aside form button "
     "select option input textarea dialog menu".split())
 NOT_ROLE = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar".split())
-NOT_CLASS = re.compile(
-    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|nav|navbar|"
-    r"navigation|menu|breadcrumb|breadcrumbs|sidebar|side|aside|widget|footer|masthead|comment|comments|commentlist|"
-    r"disqus|reply|replies|respond|cookie|cookies|consent|notice|notices|alert|popup|modal|newsletter|subscribe|signup|"
-    r"share|sharing|social|related|recommended|pagination|pager|toolbar|login|search)(?:$|[\s_-])")
+_NOT_WORD = (
+    "ad|ads|advert|adverts|advertisement|advertising|sponsor|sponsored|promo|banner|nav|navbar|"
+    "navigation|menu|breadcrumb|breadcrumbs|sidebar|side|aside|widget|footer|masthead|comment|comments|commentlist|"
+    "disqus|reply|replies|respond|cookie|cookies|consent|notice|notices|alert|popup|modal|newsletter|subscribe|signup|"
+    "share|sharing|social|related|recommended|pagination|pager|toolbar|login|search")
+NOT_CLASS = re.compile(rf"(?:^|[\s_-])(?:{_NOT_WORD})(?:$|[\s_-])")
+# Within an article ids are often made of its headings: only a whole id counts, none of these elements.
+NOT_ID = re.compile(rf"\s*(?:{_NOT_WORD})\s*")
+NAMED = frozenset("h1 h2 h3 h4 h5 h6 hgroup section".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|$)", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
@@ -86,7 +90,10 @@ def _excluded(tag: str, attributes: str, in_article: bool) -> bool:
                 return True
             if name == "role" and value in NOT_ROLE:
                 return True
-            if name in ("class", "id") and tag not in ("html", "body", "article", "main") and NOT_CLASS.search(value):
+            if name == "id" and in_article:
+                if tag not in NAMED and tag not in ("article", "main") and NOT_ID.fullmatch(value):
+                    return True
+            elif name in ("class", "id") and tag not in ("html", "body", "article", "main") and NOT_CLASS.search(value):
                 return True
     return False
 

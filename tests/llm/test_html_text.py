@@ -79,6 +79,14 @@ def test_all_blocks_that_reach_the_threshold(page, names):
     assert named(got) == names and "Menu entry" not in got
 
 
+def test_slug_ids_in_the_article():
+    inner = ('<h2 id="related-work">Related work</h2><section id="search-and-rescue"><p>a rescue</p></section>'
+             '<p id="notice-1">a notice</p><h3 id="comments">Comments</h3>')
+    for tag in ("article", "main"):
+        page = f'<{tag}>{inner}<div id="comments">no</div><div class="related-posts">no</div></{tag}><div id="search-box">no</div>'
+        assert html_text.main_text(page) == "Related work\n\na rescue\n\na notice\n\nComments"
+
+
 def test_deep_and_broken_markup():
     assert html_text.main_text("<div>" * 5000 + "deep" + "</div>" * 4000) == "deep"
     assert html_text.main_text("<p " + "a" * 10_000) == ""
