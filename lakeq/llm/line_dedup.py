@@ -175,8 +175,10 @@ def copied_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     rows with one id but different texts apart."""
     text_batches(docs.sparkSession)
     scratch = Scratch(docs.sparkSession, "lines")
+    # Within a struct, because null ids are equal there: joins would lose them.
     texts = docs.where(F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), _sequence_id(id_col, text_col).alias("seq"), F.col(text_col).alias("text"))
+        F.struct(F.col(id_col).alias("id")).alias("doc_id"), _sequence_id(id_col, text_col).alias("seq"),
+        F.col(text_col).alias("text"))
     cut = scratch.table(lines(texts, min_words).distinct(), "lines")  # repeated rows are one document
     levels = doubling(cut, scratch)
     members = copied_starts(cut, levels, scratch)
@@ -191,7 +193,8 @@ def copied_runs(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     reached = longest(groups, seekers, levels, scratch).withColumnRenamed("reach", "further")
     runs = scratch.table(
         ends.join(reached, ["doc_id", "seq", "pos"], "left").select(
-            "doc_id", "seq", "from_line", (F.col("pos") + F.coalesce("further", "reach")).alias("to_line")), "runs")
+            F.col("doc_id.id").alias("doc_id"), "seq", "from_line",
+            (F.col("pos") + F.coalesce("further", "reach")).alias("to_line")), "runs")
     scratch.finish(runs)
     return runs
 
@@ -205,7 +208,7 @@ def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     text stays null with 0 lines; an empty text is one empty line; a text of
     which nothing stays becomes empty; runs may overlap themselves and lie in one
     document; rows that repeat both id and text count as one document and are all
-    changed alike; texts with a null id come first and stay whole; other columns pass
+    changed alike; texts with a null id come first and lose copied runs too; other columns pass
     through; an empty table stays empty.
     """
     runs = copied_runs(docs, min_words, id_col, text_col)

@@ -65,3 +65,13 @@ def test_null_ids_and_empty_table(spark):
     assert (None, line) in got and (9, "") in got and (4, "") in got
     none = line_dedup.drop_copied_lines(spark.createDataFrame([], "doc_id long, text string"))
     assert none.collect() == [] and none.columns == ["doc_id", "text", "n_lines", "n_removed"]
+
+
+def test_null_ids_take_part(spark):
+    one, two = ("\n".join(f"{name}{i} of a passage" for i in range(6)) for name in ("one", "two"))
+    rows = [(None, f"own\n{one}"), (5, f"{one}\nown too"), (None, f"{two}\nfirst"), (None, f"{two}\nsecond")]
+    got = line_dedup.drop_copied_lines(spark.createDataFrame(rows, "doc_id long, text string"), 20)
+    texts = sorted((str(r.doc_id), r.text) for r in got.collect())
+    assert ("5", "own too") in texts and ("None", f"own\n{one}") in texts
+    assert sum(two in t for _, t in texts) == 1
+    assert len([t for _, t in texts if t in ("first", "second")]) == 1
