@@ -215,9 +215,9 @@ def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     spans = runs.select(F.col("doc_id").alias("__id"), F.col("seq").alias("__seq"), "from_line", "to_line").groupBy(
         "__id", "__seq").agg(F.collect_list(F.struct("from_line", "to_line")).alias("__runs"))  # at most a text's lines
     kept = [c for c in docs.columns if c not in counts]
-    # Few documents lose lines: their runs are sent to every task while a count shows
-    # that they are few, and the texts stay where they are; else a merge join.
-    side = F.broadcast(spans) if at_most(spans, THIN_ROWS) else spans.hint("merge")
+    # Few documents lose lines: their runs are sent to every task while a count of runs
+    # shows that they are few, and the texts stay where they are; else a merge join.
+    side = F.broadcast(spans) if at_most(runs, THIN_ROWS) else spans.hint("merge")
     joined = (docs.select(*[f"`{c}`" for c in kept]).withColumn("__own", _sequence_id(id_col, text_col))
               .join(side, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__seq")), "left"))
     parts = F.split(F.col(text_col), "\n", -1)

@@ -75,3 +75,12 @@ def test_null_ids_take_part(spark):
     assert ("5", "own too") in texts and ("None", f"own\n{one}") in texts
     assert sum(two in t for _, t in texts) == 1
     assert len([t for _, t in texts if t in ("first", "second")]) == 1
+
+
+def test_many_runs_of_one_document_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "THIN_ROWS", 2)
+    parts = [f"p{i} a b c d e f g" for i in range(3)]
+    df = spark.createDataFrame([(1, "\nx\n".join(parts)), (2, "\ny\n".join(parts))], "doc_id long, text string")
+    got = line_dedup.drop_copied_lines(df, 8)
+    assert "broadcast" not in got._jdf.queryExecution().analyzed().toString().lower()
+    assert {r.doc_id: r.text for r in got.collect()}[2] == "y\ny"
