@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lakeq.llm import (
     html_text,
+    importance,
     jaccard,
     langid,
     learn,
@@ -15,8 +16,10 @@ from lakeq.llm import (
     near_vectors,
     packing,
     quality,
+    suffix_tree,
     topk,
     url_filter,
+    vector_codes,
 )
 
 
@@ -108,9 +111,27 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of all vectors: 8 parts, 16 entries, 6 rounds."""
+    return vector_codes.compress(_table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document; a tenth of those of 20 words or more
+    is drawn towards the benchmark."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), n=1,
+                               buckets=10_000, percent=10, min_words=20, seed=2024)
+
+
+def op13_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, under the unigram base and the suffix tree."""
+    return suffix_tree.score(_table(spark, sf_dir, "documents"), folds=7, held_out=2)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_html_extraction, op3_best_fit_packing, op4_exact_topk, op5_poisson_mixing,
-    op6_ngram_jaccard_join, op7_quality_classifier, op8_embedding_near_dedup, op9_url_filter, op10_language_id)}
+    op6_ngram_jaccard_join, op7_quality_classifier, op8_embedding_near_dedup, op9_url_filter, op10_language_id,
+    op11_vector_codes, op12_importance_resampling, op13_suffix_tree_scores)}
 
 _WEIGHT_CASES = " ".join(f"WHEN '{k}' THEN {v}" for k, v in SOURCE_WEIGHTS.items())
 _RULE_CASES = " ".join(
@@ -120,7 +141,71 @@ _RULE_CASES = " ".join(
 
 _FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 
+# Product codes in SQL: parts, then for each round the assignment and the moved entries.
+_ASSIGNED = """
+a{i} AS MATERIALIZED (
+  SELECT r, part, v, min(d) AS d, arg_min(entry, (d, entry)) AS entry
+  FROM (SELECT p.r, p.part, p.v, c.entry,
+               list_sum(list_transform(list_zip(p.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM parts p JOIN c{i} c ON c.part = p.part) GROUP BY r, part, v)"""
+_MOVED = """
+m{j} AS MATERIALIZED (
+  SELECT part, entry, list(x ORDER BY pos) AS v
+  FROM (SELECT part, entry, pos, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS x
+        FROM (SELECT part, entry, unnest(v)::HUGEINT AS x, generate_subscripts(v, 1) AS pos FROM a{i}) GROUP BY part, entry, pos)
+  GROUP BY part, entry),
+c{j} AS MATERIALIZED (SELECT c.part, c.entry, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN m{j} m
+                      ON m.part = c.part AND m.entry = c.entry)"""
+_ROUNDS = ",".join(_ASSIGNED.format(i=i) + (("," + _MOVED.format(i=i, j=i + 1)) if i < 6 else "") for i in range(7))
+
+# The words, noise and weights of resampling; crc32 by its bitwise rule, per distinct word.
+_LOWERED = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_SAMPLE_WORDS = f"regexp_extract_all({_LOWERED.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
 ORACLE = {
+    "op11_vector_codes": f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT r, part, v[part * len(v) // 8 + 1:(part + 1) * len(v) // 8] AS v FROM kept, range(8) AS t(part)),
+c0 AS MATERIALIZED (SELECT part, r - 1 AS entry, v FROM parts WHERE r <= 16),{_ROUNDS},
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS h FROM c6),
+coded AS (SELECT r, string_agg(printf('%02x', entry::INTEGER), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a6 GROUP BY r)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (r), books
+""",
+    "op12_importance_resampling": f"""
+WITH bytes AS MATERIALIZED (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+              ORDER BY i) AS t FROM range(256) AS x(i)),
+d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, coalesce({_SAMPLE_WORDS}, []) AS w FROM documents),
+dw AS MATERIALIZED (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(w) AS w FROM d) GROUP BY r, w),
+bw AS MATERIALIZED (SELECT w, count(*) AS n FROM (SELECT unnest({_SAMPLE_WORDS}) AS w FROM benchmark) GROUP BY w),
+vocabulary AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+           range(0, octet_length(encode(w))), lambda i: ('0x' || substr(hex(encode(w)), 2 * i + 1, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM dw UNION SELECT w FROM bw), bytes),
+s AS (SELECT bucket, sum(n) AS s FROM dw JOIN vocabulary USING (w) GROUP BY bucket),
+t AS (SELECT bucket, sum(n) AS t FROM bw JOIN vocabulary USING (w) GROUP BY bucket),
+total AS (SELECT (SELECT coalesce(sum(n), 0) FROM dw)::DOUBLE AS s, (SELECT coalesce(sum(n), 0) FROM bw)::DOUBLE AS t),
+gain AS MATERIALIZED (
+  SELECT bucket, floor(1000 * ln((coalesce(t.t, 0)::DOUBLE + 1) * (total.s + 10000)
+                                 / ((s.s::DOUBLE + 1) * (total.t + 10000))))::BIGINT AS g
+  FROM s LEFT JOIN t USING (bucket), total),
+weights AS (SELECT r, sum(dw.n * g)::BIGINT AS weight FROM dw JOIN vocabulary USING (w) JOIN gain USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln((
+           ('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weights USING (r)),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS k, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN k <= 10 * n // 100 THEN k END AS rank
+FROM scored LEFT JOIN ranked USING (r)
+""",
     "op4_exact_topk": f"""
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
            FROM embeddings WHERE {_FINITE}),
