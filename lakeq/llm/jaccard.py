@@ -29,13 +29,28 @@ are written with it, so no signature gathers more entries than there are map
 blocks. Candidate pairs are verified on the whole sets.
 
 For components, each signature's sets are first compared with one of them, then one
-set of each component with one of another; only between sets whose components then
-still differ are all other pairs compared.
+set of each component with one of another. Sets that share a signature but still lie in
+different components (near copies of one text that are not near enough to each other)
+would make pairs with the square of their number, so these are joined by what tells
+them apart. Sets that signatures chain together form a cluster with one of them as
+its centre c, and each set X becomes its difference D(X) from c. As
+``|X ^ Y| = |D(X) ^ D(Y)|``, with h the largest ``|X ^ Y|`` of a link:
+
+* if ``|D(X)| + |D(Y)| <= h``, both are links of c itself, which is tested;
+* otherwise a link shares ``o >= (|D(X)| + |D(Y)| - h) / 2 >= 1`` tokens of the
+  differences. With the differences' tokens ordered rare first within the cluster, the
+  larger difference needs a prefix of h + 1 tokens and the smaller one of h / 2 + 1 to
+  share a token. What all copies have in common is in no difference, what is a copy's
+  own comes first, so prefixes are short and mostly tokens that no other copy has.
+
+Sets that share a prefix token are paired when they are at most ``GROUP``; larger
+groups are compared tile by tile in tasks of bounded size, which return one link for
+each set joined, never the pairs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from typing import NamedTuple
 
@@ -54,6 +69,8 @@ MAX_FREQUENT = 1 << 17       # tokens sent to every task: 1 MB
 BLOCK = 2_000_000            # hashes that a task holds before it passes them on
 RANGE = 1_000_000            # hashes of one hash range, about
 FILTER_BITS = 26             # size of the filter of wanted sets: 8 MB
+GROUP = 48                   # sets that share a difference token and are still paired one by one
+TILE = 256                   # sets of one side of a tile
 
 _U = np.uint64
 
@@ -381,6 +398,134 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(compare, "a long, b long, n_a long, n_b long, n_shared long"))
 
 
+# Difference tokens that the centre has and the set lacks are marked by this constant.
+_MISSING = textvec.MIX[59]
+
+
+def _differences(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
+    """(key, n, cluster, center, n_center, d, tokens): each set's difference from the
+    centre of its cluster. ``members`` (sig, key, n, component, least) lists sets that
+    share signatures; components that share one are of one cluster. The centre is a
+    set of the cluster's largest component."""
+    edges = members.where("component <> least").select(F.col("component").alias("u"), F.col("least").alias("v")).distinct()
+    cluster = scratch.table(components(edges, scratch).select(
+        F.col("node").alias("component"), F.col("component").alias("cluster")), "clusters")
+    listed = scratch.table(members.select("key", "n", "component").distinct().join(cluster, "component"), "listed")
+    center = (listed.groupBy("cluster", "component").agg(F.count("*").alias("size"), F.min("key").alias("key"))
+              .groupBy("cluster").agg(F.max_by("key", F.struct("size", "key")).alias("center")))
+    sets = scratch.table(sets_of(listed.select("key")), "listed-sets")
+    of_center = center.join(sets.select(F.col("key").alias("center"), F.col("tokens").alias("of_center")), "center")
+    rows = (listed.join(sets.hint("merge"), "key").join(of_center.hint("merge"), "cluster")
+            .select("key", "n", "cluster", "center", "tokens", "of_center"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out, n_center = [], []
+            for x, c in zip(b.column(4).to_pylist(), b.column(5).to_pylist()):
+                x, c = np.frombuffer(x, np.uint64), np.frombuffer(c, np.uint64)
+                more, less = np.setdiff1d(x, c, assume_unique=True), np.setdiff1d(c, x, assume_unique=True)
+                out.append(np.concatenate((more, less ^ _MISSING)).view(np.int64))
+                n_center.append(len(c))
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(i) for i in range(4)), pa.array(n_center, pa.int32()),
+                 pa.array([len(x) for x in out], pa.int32()), pa.array(out, pa.list_(pa.int64()))],
+                names=["key", "n", "cluster", "center", "n_center", "d", "tokens"])
+
+    return rows.mapInArrow(run, "key long, n int, cluster long, center long, n_center int, d int, tokens array<long>")
+
+
+def _near_center(apart: DataFrame, percent: int) -> DataFrame:
+    """The sets that link with the centre of their cluster, as links."""
+    near = apart.where((F.col("key") != F.col("center"))
+                       & ((100 + percent) * F.col("d") <= (100 - percent) * (F.col("n") + F.col("n_center"))))
+    first = F.col("key") < F.col("center")
+    n, n_center = F.col("n").cast("long"), F.col("n_center").cast("long")
+    return near.select(
+        F.least("key", "center").alias("a"), F.greatest("key", "center").alias("b"),
+        F.when(first, n).otherwise(n_center).alias("n_a"), F.when(first, n_center).otherwise(n).alias("n_b"),
+        ((n + n_center - F.col("d")) / 2).cast("long").alias("n_shared"))
+
+
+def _prefixes(apart: DataFrame, percent: int) -> DataFrame:
+    """(cluster, token, key, n, d, component, indexed, members): the first tokens of
+    each difference, rare ones of the cluster first, as long as a link must share one;
+    ``indexed`` are those that suffice for the smaller difference. Tokens that no set of
+    another component has take their places in the prefix, but have no rows."""
+    tokens = apart.select("cluster", "key", F.explode("tokens").alias("token"))
+    often = tokens.groupBy("cluster", "token").agg(F.count("*").alias("held")).where("held > 1")
+    rare_first = W.partitionBy("key").orderBy("held", "token")
+    placed = (tokens.join(often, ["cluster", "token"])
+              .withColumn("nth", F.row_number().over(rare_first))
+              .withColumn("common", F.count("*").over(W.partitionBy("key"))))
+    most = F.col("n") * (100 - percent) / percent  # largest |X ^ Y| of a link
+    place = F.col("d") - F.col("common") + F.col("nth")
+    rows = (placed.join(apart.select("key", "n", "d", "component"), "key")
+            .where(place <= F.floor(most) + 1).withColumn("indexed", place <= F.floor(most / 2) + 1))
+    groups = (rows.groupBy("cluster", "token").agg(F.count("*").alias("members"), F.min("component").alias("least"),
+                                                   F.max("component").alias("most"))
+              .where("least <> most").select("cluster", "token", "members"))
+    return rows.join(groups, ["cluster", "token"]).select(
+        "cluster", "token", "key", "n", "d", "component", "indexed", "members")
+
+
+def _prefix_pairs(prefix: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a prefix token."""
+    side = prefix.where("indexed").select("cluster", "token", F.col("key").alias("first"), F.col("n").alias("first_n"),
+                                          F.col("d").alias("first_d"), F.col("component").alias("other"))
+    (a, b), close = _pair("key", "first", percent, "n", "first_n")
+    larger = (F.col("d") > F.col("first_d")) | ((F.col("d") == F.col("first_d")) & (F.col("key") > F.col("first")))
+    near = (100 + percent) * (F.col("d") - F.col("first_d")) <= (100 - percent) * (F.col("n") + F.col("first_n"))
+    return (prefix.join(side, ["cluster", "token"]).where(larger & near & close & (F.col("component") != F.col("other")))
+            .select(a, b).distinct())
+
+
+def _tiled(large: DataFrame, apart: DataFrame, percent: int) -> DataFrame:
+    """Links between the sets of large groups of one prefix token. A group is dealt to
+    tiles of about TILE sets; each task compares two tiles through the overlaps of their
+    differences and returns the links of a spanning forest, at most one a set."""
+    tiles = F.ceil(F.col("members") / TILE).cast("int")
+    own = F.pmod(F.xxhash64("key", "token"), tiles).cast("int")
+    dealt = (large.withColumn("tiles", tiles).withColumn("own", own)
+             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+             .select("cluster", "token", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "key"))
+    rows = dealt.join(apart.select("key", "n", "d", "component", "tokens").hint("merge"), "key")
+
+    def compare(group: pa.Table) -> pa.Table:
+        key, n, d, component = (group[c].to_numpy() for c in ("key", "n", "d", "component"))
+        held = group["tokens"].combine_chunks()
+        flat, row = held.flatten().to_numpy(), np.repeat(np.arange(len(key)), d)
+        token, at, often = np.unique(flat, return_inverse=True, return_counts=True)
+        shared = np.zeros((len(key), len(key)), np.float32)
+        several = often[at] > 1
+        row, at = row[several], np.unique(at[several], return_inverse=True)[1]
+        for low in range(0, int(at.max(initial=-1)) + 1, 4096):
+            part = (at >= low) & (at < low + 4096)
+            marks = np.zeros((len(key), 4096), np.float32)
+            marks[row[part], at[part] - low] = 1
+            shared += marks @ marks.T
+        apart_by = d[:, None] + d[None, :] - 2 * shared.astype(np.int64)
+        total = n[:, None].astype(np.int64) + n[None, :]
+        linked = ((100 + percent) * apart_by <= (100 - percent) * total) & (component[:, None] != component[None, :])
+        out, reached = [], np.zeros(len(key), bool)
+        for start in np.flatnonzero(linked.any(axis=1)).tolist():
+            if reached[start]:
+                continue
+            reached[start] = True
+            todo = [start]
+            while todo:
+                x = todo.pop()
+                for y in np.flatnonzero(linked[x] & ~reached).tolist():
+                    reached[y] = True
+                    todo.append(y)
+                    p, q = (x, y) if key[x] < key[y] else (y, x)
+                    out.append((key[p], key[q], n[p], n[q], (total[p, q] - apart_by[p, q]) // 2))
+        cols = list(zip(*out)) or [()] * 5
+        return pa.table([pa.array([int(v) for v in c], pa.int64()) for c in cols], names=["a", "b", "n_a", "n_b", "n_shared"])
+
+    return (rows.groupBy("cluster", "token", "i", "j").applyInArrow(
+        compare, "a long, b long, n_a long, n_b long, n_shared long").distinct())
+
+
 def _pair(x: str, y: str, percent: int, n_x: str, n_y: str) -> tuple:
     """Ordered pair columns, and the condition that the sizes allow a link."""
     close = 100 * F.least(F.col(n_x), F.col(n_y)) >= percent * F.greatest(F.col(n_x), F.col(n_y))
@@ -459,12 +604,19 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
         met = one.where("component <> least").join(center, "sig").where(close).select(a, b).distinct()
         tested.append(scratch.table(untested(met), "met"))
         found.append(verified(tested[-1], "found1"))
-        # What is left: all pairs between components that share a signature.
+        # What is left: sets of different components that share a signature.
         open_ = unjoined("open2")
-        other = open_.select("sig", F.col("key").alias("first"), F.col("n").alias("first_n"),
-                             F.col("component").alias("other"))
-        rest = open_.join(other, "sig").where(F.col("component") < F.col("other")).where(close).select(a, b).distinct()
-        found.append(verified(untested(rest), "found2"))
+        apart = scratch.table(_differences(open_, lambda keys: _wanted_sets(thin, keys, k), scratch), "differences")
+        found.append(scratch.table(_near_center(apart, percent), "centered"))
+        links = reduce(DataFrame.union, found)
+        part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
+        apart = scratch.table(apart.join(part.withColumnRenamed("node", "key"), "key", "left").withColumn(
+            "component", F.coalesce("component", "key")), "apart")
+        prefix = scratch.table(_prefixes(apart, percent), "prefixes")
+        large = prefix.where(F.col("members") > GROUP)
+        met = _prefix_pairs(prefix.where(F.col("members") <= GROUP), percent)
+        found.append(verified(scratch.table(untested(met), "met2"), "found2"))
+        found.append(scratch.table(_tiled(large, apart, percent), "tiled"))
     links = reduce(DataFrame.union, found)
     part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
     root = scratch.table(profile.join(part.withColumnRenamed("node", "set_key"), "set_key", "left").select(

@@ -112,6 +112,46 @@ def test_large_group_of_near_copies(spark, monkeypatch):
     assert joined.links.count() < 200 * 20
 
 
+def spread_copies(rng, m, changed, words=200):
+    """Near copies of one text, each with its own words at ``changed`` places."""
+    base = [f"b{i}" for i in range(words)]
+    out = []
+    for i in range(m):
+        w = list(base)
+        for at in rng.sample(range(words), changed):
+            w[at] = f"n{rng.randrange(50)}"
+        out.append((i, " ".join(w)))
+    return out
+
+
+@pytest.mark.parametrize("changed,group,tile", [(2, 2, 7), (4, 48, 256), (4, 2, 256)])
+def test_near_copies_with_spread_changes_equal_all_pairs(spark, monkeypatch, changed, group, tile):
+    """Many components, within and beyond the groups that are paired one by one."""
+    monkeypatch.setattr(jaccard, "GROUP", group)
+    monkeypatch.setattr(jaccard, "TILE", tile)
+    rng = random.Random(changed)
+    rows = spread_copies(rng, 90, changed, 100)
+    rows += [(100 + i, t.replace("b", "c")) for i, t in spread_copies(rng, 40, changed + 1, 100)]
+    want, _, _ = expected(rows, 4, 85)
+    got = jaccard.join_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 4, 85)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got.documents.collect()) == want
+
+
+def test_comparisons_grow_with_the_copies(spark, monkeypatch):
+    """Three times the near copies: about three times the pairs that are looked at."""
+    seen = []
+    for name in ("_prefix_pairs", "_prefixes"):
+        def counted(*args, made=getattr(jaccard, name)):
+            out = made(*args)
+            seen.append(out.count())
+            return out
+        monkeypatch.setattr(jaccard, name, counted)
+    for m in (300, 900):
+        df = spark.createDataFrame(spread_copies(random.Random(m), m, 5), "doc_id long, text string")
+        jaccard.join_documents(df.repartition(4), 4, 85)
+    assert seen[2] <= 5 * seen[0] + 1000 and seen[3] <= 5 * seen[1] + 1000, seen
+
+
 def test_first_of_components(spark):
     rows = [(5, "a b c d e f"), (2, "A b c d e f"), (5, "other words in this one text"), (None, "a b c d e f"),
             (7, None), (7, None), (8, ""), (2, "A b c d e f")]
