@@ -39,16 +39,13 @@ def usable(col: str) -> Column:
     return F.col(col).isNotNull() & F.forall(col, lambda x: x.isNotNull() & (F.abs(x) < float("inf")))
 
 
-def _vectors(group: pa.Table, scale: float) -> tuple[np.ndarray, np.ndarray]:
-    """Ids (rising) and quantised vectors of a group; the least of the vectors that
-    share an id stands for it."""
-    ids = group["id"].to_numpy().astype(np.int64)
+def _vectors(group: pa.Table, scale: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids (rising), row keys and quantised vectors of a group."""
+    ids, rows = group["id"].to_numpy().astype(np.int64), group["row"].to_numpy().astype(np.int64)
     flat = group["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     x = np.floor(flat * scale).reshape(len(ids), -1).astype(np.int64)
-    order = np.lexsort((*x.T[::-1], ids))
-    ids, x = ids[order], x[order]
-    new = np.concatenate(([True], ids[1:] != ids[:-1]))
-    return ids[new], x[new]
+    order = np.lexsort((rows, ids))
+    return ids[order], rows[order], x[order]
 
 
 def index_block(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -58,11 +55,11 @@ def index_block(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def search_block(x: np.ndarray, order: np.ndarray, values: np.ndarray, q: np.ndarray, k: int,
-                 own: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and scores of the k best rows (ties to smaller row numbers)."""
+                 own: slice = slice(0, 0)) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and scores of the k best rows but ``own`` (ties to smaller row numbers)."""
     dims, n = order.shape
     rows = np.arange(n)
-    if own is not None:
+    if own.stop > own.start:
         rows = np.delete(rows, own)
     k = min(k, len(rows))
     if not k:
@@ -111,24 +108,34 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
 
     Edge cases: a query's own id is not among its results; vectors that are null,
     empty or hold null or non-finite components, and rows with a null id, take no
-    part; rows that repeat an id count once, with the least of their vectors;
-    only vectors of the query's length are compared; ties go to the smaller id;
-    fewer than k candidates give fewer rows; other columns are not read; empty
-    tables give an empty result.
+    part; rows that repeat an id are candidates, and queries, of their own; only
+    vectors of the query's length are compared; ties go to the smaller id; fewer
+    than k candidates give fewer rows; other columns are not read; empty tables give
+    an empty result. Components so large that a score (with its counter of
+    dimensions) exceeds a long raise ValueError; at 64 dimensions and the scale of
+    256 these are components beyond 65,000.
     """
     scratch = Scratch(base.sparkSession, "topk")
 
     def thin(df: DataFrame) -> DataFrame:
         return df.where(usable(vector_col) & F.col(id_col).isNotNull() & (F.size(vector_col) > 0)).select(
-            F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), F.size(vector_col).alias("dim"))
+            F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"), F.size(vector_col).alias("dim"),
+            F.monotonically_increasing_id().alias("row"))
+
+    def size(df: DataFrame) -> int:
+        most = F.max(F.array_max(F.transform("vector", lambda x: F.abs(x.cast("double")))))
+        n, dim, most = df.agg(F.count("*"), F.max("dim"), most).first()
+        if n and (most * scale + 1) ** 2 * dim * 2.0 ** (dim.bit_length() + 1) >= 2.0**62:
+            raise ValueError(f"components up to {most:g}: scores would not fit a 64-bit integer")
+        return n
 
     rows, asked = thin(base), thin(queries)
-    n, n_queries = rows.count(), asked.count()
+    n, n_queries = size(rows), size(asked)
     blocks, chunks = -(-n // BLOCK_ROWS) or 1, -(-n_queries // CHUNK_QUERIES) or 1
     slabs = -(-chunks // SLAB_CHUNKS)
 
     def build(group: pa.Table) -> pa.Table:
-        ids, x = _vectors(group, scale)
+        ids, _, x = _vectors(group, scale)
         order, values = index_block(x)
         return pa.table({"dim": [x.shape[1]], "block": [group["block"][0].as_py()], "ids": [ids.tobytes()],
                          "vectors": [x.astype(np.int32).tobytes() if np.abs(x).max(initial=0) < 2**31 else x.tobytes()],
@@ -138,18 +145,18 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
                             (c, pa.binary()) for c in ("ids", "vectors", "order", "values"))]))
 
     def bundle(group: pa.Table) -> pa.Table:
-        ids, x = _vectors(group, scale)
+        ids, keys, x = _vectors(group, scale)
         return pa.table({"dim": [x.shape[1]], "slab": [group["chunk"][0].as_py() // SLAB_CHUNKS], "ids": [ids.tobytes()],
-                         "vectors": [x.tobytes()]},
-                        schema=pa.schema([("dim", pa.int32()), ("slab", pa.int32()), ("ids", pa.binary()),
-                                          ("vectors", pa.binary())]))
+                         "rows": [keys.tobytes()], "vectors": [x.tobytes()]},
+                        schema=pa.schema([("dim", pa.int32()), ("slab", pa.int32()), *(
+                            (c, pa.binary()) for c in ("ids", "rows", "vectors"))]))
 
     index = scratch.table(
-        rows.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).groupBy("dim", "block")
+        rows.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).groupBy("dim", "block")
         .applyInArrow(build, "dim int, block int, ids binary, vectors binary, order binary, values binary"), "index")
     packed = scratch.table(
-        asked.withColumn("chunk", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(chunks)).cast("int")).groupBy("dim", "chunk")
-        .applyInArrow(bundle, "dim int, slab int, ids binary, vectors binary"), "queries")
+        asked.withColumn("chunk", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(chunks)).cast("int")).groupBy("dim", "chunk")
+        .applyInArrow(bundle, "dim int, slab int, ids binary, rows binary, vectors binary"), "queries")
 
     def search(block: pa.Table, found: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -160,21 +167,21 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
             x = np.frombuffer(raw, np.int32 if len(raw) == 4 * len(ids) * dims else np.int64).reshape(-1, dims).astype(np.int64)
             order = np.frombuffer(block["order"][0].as_py(), np.int32).reshape(dims, -1)
             values = np.frombuffer(block["values"][0].as_py(), np.int64).reshape(dims, -1)
-            for q_ids, q_raw in zip(found["ids"].to_pylist(), found["vectors"].to_pylist()):
-                q_ids, q_raw = np.frombuffer(q_ids, np.int64), np.frombuffer(q_raw, np.int64).reshape(-1, dims)
-                spot = np.searchsorted(ids, q_ids)
-                for q_id, q, s in zip(q_ids, q_raw, spot):
-                    own = int(s) if s < len(ids) and ids[s] == q_id else None
-                    best, score = search_block(x, order, values, q, k, own)
-                    out += zip([int(q_id)] * len(best), ids[best].tolist(), score.tolist())
-        cols = list(zip(*out)) or [(), (), ()]
-        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("query_id", "vec_id", "score"), cols)})
+            for q_ids, q_rows, q_raw in zip(*(found[c].to_pylist() for c in ("ids", "rows", "vectors"))):
+                q_ids, q_rows = np.frombuffer(q_ids, np.int64), np.frombuffer(q_rows, np.int64)
+                q_raw = np.frombuffer(q_raw, np.int64).reshape(-1, dims)
+                first, last = np.searchsorted(ids, q_ids, "left"), np.searchsorted(ids, q_ids, "right")
+                for q_id, q_row, q, i, j in zip(q_ids.tolist(), q_rows.tolist(), q_raw, first.tolist(), last.tolist()):
+                    best, score = search_block(x, order, values, q, k, slice(i, j))
+                    out += zip([q_row] * len(best), [q_id] * len(best), ids[best].tolist(), score.tolist())
+        cols = list(zip(*out)) or [()] * 4
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("asked", "query_id", "vec_id", "score"), cols)})
 
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = index.withColumn("slab", F.explode(F.sequence(F.lit(0), F.lit(slabs - 1)))).groupBy("dim", "block", "slab")
     right = packed.withColumn("block", every).groupBy("dim", "block", "slab")
-    found = scratch.table(left.cogroup(right).applyInArrow(search, "query_id long, vec_id long, score long"), "found")
+    found = scratch.table(left.cogroup(right).applyInArrow(search, "asked long, query_id long, vec_id long, score long"), "found")
     scratch.finish(found)
-    best = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = W.partitionBy("asked").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
         "query_id", "rank", "vec_id", "score")

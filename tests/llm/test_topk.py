@@ -15,7 +15,7 @@ def test_block_search_equals_sorting_all():
             x[rng.integers(0, n, n // 2)] = x[0]
         q = x[int(rng.integers(0, n))] if rng.random() < 0.7 else np.floor(rng.normal(size=d) * 20).astype(np.int64)
         own = int(rng.integers(0, n)) if rng.random() < 0.5 else None
-        got, score = topk.search_block(x, *topk.index_block(x), q, 5, own)
+        got, score = topk.search_block(x, *topk.index_block(x), q, 5, slice(0, 0) if own is None else slice(own, own + 1))
         rows = np.array([i for i in range(n) if i != own])
         want = rows[np.lexsort((rows, -(x @ q)[rows]))[:5]]
         assert got.tolist() == want.tolist() and score.tolist() == (x @ q)[want].tolist()
@@ -30,15 +30,16 @@ def test_equals_brute_force(spark, monkeypatch, block):
     rows = [(i, rng.normal(size=16).astype(np.float32).tolist()) for i in range(300)]
     rows += [(i, rows[10][1]) for i in range(400, 440)]                       # ties
     rows += [(450, None), (500, [math.nan] * 16), (550, [math.inf] + [0.0] * 15), (600, [None] + [0.0] * 15), (650, []),
-             (None, [1.0] * 16), (700, [1.0, 2.0]), (750, [0.5, -1.0]), rows[50], (800, [0.0] * 16)]
+             (None, [1.0] * 16), (700, [1.0, 2.0]), (750, [0.5, -1.0]), rows[50], (800, [0.0] * 16),
+             (33, [9.0] * 16), (33, rows[34][1]), (100, [2.0] * 16)]              # repeated ids, as candidate and as query
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<float>, score int").repartition(4)
     got = sorted(map(tuple, topk.top_k(df, df.where("vec_id % 50 = 0")).collect()))
-    use = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v in rows
-           if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    use = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v in rows
+           if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q, v in use.items():
+    for q, v in use:
         if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in use.items() if i != q and len(w) == len(v))
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in use if i != q and len(w) == len(v))
             want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:5])]
     assert got == sorted(want)
 
@@ -48,3 +49,9 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(0, [1.0, 2.0])], "vec_id long, embedding array<float>")
     assert topk.top_k(none, none).collect() == [] and topk.top_k(one, one).collect() == []
     assert topk.top_k(one, none).collect() == []
+
+
+def test_components_beyond_a_long_are_refused(spark):
+    df = spark.createDataFrame([(0, [1e30, 1.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    with pytest.raises(ValueError, match="64-bit"):
+        topk.top_k(df, df)
