@@ -102,7 +102,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id",
     classes = scratch.table(
         rows.where("in").withColumns({"h1": same[0], "h2": same[1]}).groupBy("h1", "h2").agg(
             least.alias("id"), F.count("*").alias("copies"), F.first("grp").alias("grp"), F.first("vector").alias("vector"))
-        .withColumn("dim", F.size("vector")), "classes")
+        .withColumn("dim", F.size("vector")).withColumn("class", F.monotonically_increasing_id()), "classes")
 
     # Pivots of the largest groups: their first classes in hash order.
     sizes = classes.groupBy("grp", "dim").agg(F.count("*").alias("n")).where(F.col("n") > CELL_ROWS)
@@ -115,7 +115,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id",
     for g, d, v in zip(*(chosen[c].to_pylist() for c in ("grp", "dim", "vector"))):
         pivots.setdefault((g, d), []).append(v)
     sent = spark.sparkContext.broadcast({key: _unit(pa.array(v), len(v)) for key, v in pivots.items()})
-    group_type, id_type = (rows.schema[c].dataType.simpleString() for c in ("grp", "vec_id"))
+    group_type = rows.schema["grp"].dataType.simpleString()
 
     def assign(batches):
         for b in batches:
@@ -137,16 +137,16 @@ def near_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id",
                 unit += [x[i].tobytes() for i in r]
             t = pa.array(take, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(b[c].take(t) for c in ("grp", "dim", "id", "copies")), pa.array(cell, pa.int32()), pa.array(is_home, pa.bool_()),
-                 pa.array(unit, pa.binary())], names=["grp", "dim", "id", "copies", "cell", "home", "unit"])
+                [*(b[c].take(t) for c in ("grp", "dim", "class", "copies")), pa.array(cell, pa.int32()), pa.array(is_home, pa.bool_()),
+                 pa.array(unit, pa.binary())], names=["grp", "dim", "class", "copies", "cell", "home", "unit"])
 
-    members = scratch.table(classes.select("grp", "dim", "id", "copies", "vector").mapInArrow(
-        assign, f"grp {group_type}, dim int, id {id_type}, copies long, cell int, home boolean, unit binary"), "members")
+    members = scratch.table(classes.select("grp", "dim", "class", "copies", "vector").mapInArrow(
+        assign, f"grp {group_type}, dim int, class long, copies long, cell int, home boolean, unit binary"), "members")
     cell = ["grp", "dim", "cell"]
     tiles = scratch.table(members.groupBy(*cell).agg(F.ceil(F.count("*") / TILE_ROWS).cast("int").alias("tiles")), "tiles")
-    placed = members.join(tiles, cell).withColumn("tile", F.pmod(F.xxhash64("id"), "tiles").cast("int"))
+    placed = members.join(tiles, cell).withColumn("tile", F.pmod(F.xxhash64("class"), "tiles").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    pick = [*cell, "i", "j", "id", "copies", "unit"]
+    pick = [*cell, "i", "j", "class", "copies", "unit"]
     ours = placed.where("home").withColumn("i", F.col("tile")).withColumn("j", other).select(*pick)
     theirs = placed.withColumn("j", F.col("tile")).withColumn("i", other).select(*[F.col(c).alias(c) for c in pick])
     keys = [*cell, "i", "j"]
@@ -155,7 +155,7 @@ def near_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id",
         empty = not (a.num_rows and b.num_rows)
         if not empty:
             x, y = (np.frombuffer(b"".join(t["unit"].to_pylist()), np.float64).reshape(t.num_rows, -1) for t in (a, b))
-            own, others = a["id"].to_numpy(), b["id"].to_numpy()
+            own, others = a["class"].to_numpy(), b["class"].to_numpy()
             linked = np.concatenate([x[i:i + 512] @ y.T >= threshold for i in range(0, len(x), 512)])
             linked &= own[:, None] != others[None]
             n = linked @ b["copies"].to_numpy().astype(np.float64)
@@ -163,22 +163,25 @@ def near_vectors(df: DataFrame, threshold: float = 0.93, id_col: str = "vec_id",
             left, right = where[:len(own)], where[len(own):]
             root = local_components(linked, left, right, len(nodes))
             some = np.flatnonzero(root != np.arange(len(nodes)))
-        kind, number = (a if a.num_rows else b).schema.field("id").type, pa.int64()
+        number = pa.int64()
         return pa.table({
-            "id": pa.array([] if empty else np.concatenate((own, nodes[some])), kind),
+            "class": pa.array([] if empty else np.concatenate((own, nodes[some])), number),
             "links": pa.array([] if empty else np.concatenate((n.astype(np.int64), np.zeros(len(some), np.int64))), number),
-            "root": pa.array([] if empty else [None] * len(own) + nodes[root[some]].tolist(), kind)})
+            "root": pa.array([] if empty else [None] * len(own) + nodes[root[some]].tolist(), number)})
 
     found = scratch.table(
         ours.groupBy(*keys).cogroup(theirs.groupBy(*keys)).applyInArrow(
-            join_tile, f"id {id_type}, links long, root {id_type}"), "found")
-    part = components(found.where("root is not null").select(F.col("id").alias("u"), F.col("root").alias("v")), scratch)
-    result = scratch.table(
-        classes.select("h1", "h2", "id", "copies")
-        .join(found.groupBy("id").agg(F.sum("links").alias("links")), "id", "left")
-        .join(part.withColumnRenamed("node", "id"), "id", "left").select(
-            "h1", "h2", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id")), "result")
+            join_tile, "class long, links long, root long"), "found")
+    part = components(found.where("root is not null").select(F.col("class").alias("u"), F.col("root").alias("v")), scratch)
+    joined = scratch.table(
+        classes.select("h1", "h2", "id", "copies", "class")
+        .join(found.groupBy("class").agg(F.sum("links").alias("links")), "class", "left")
+        .join(part.withColumnRenamed("node", "class"), "class", "left").select(
+            "h1", "h2", "id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+            F.coalesce("component", "class").alias("component")), "joined")
+    # The least id of a component is aggregated before it is joined back.
+    least_of = scratch.table(joined.groupBy("component").agg(F.min("id").alias("component_id")), "least")
+    result = scratch.table(joined.join(least_of, "component").select("h1", "h2", "n_links", "component_id"), "result")
     scratch.finish(result)
     thin = rows.select("vec_id", *[F.when(F.col("in"), h).alias(c) for h, c in zip(same, ("h1", "h2"))])
     return thin.join(result, ["h1", "h2"], "left").select(

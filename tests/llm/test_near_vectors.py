@@ -57,3 +57,10 @@ def test_boundary_copies_cover_all_partners():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert near_vectors.near_vectors(df).collect() == []
+
+
+def test_different_vectors_of_one_id_link(spark):
+    df = spark.createDataFrame([(1, [1.0, 0.0], 0), (1, [1.0, 0.1], 0), (2, [1.0, 0.05], 0), (3, [0.0, 1.0], 0), (3, [0.0, 1.0], 0)],
+                               "vec_id long, embedding array<float>, label int")
+    got = sorted(map(tuple, near_vectors.near_vectors(df).collect()))
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 1, 3, True), (3, 1, 3, True)]
