@@ -31,6 +31,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -63,50 +64,108 @@ _NOT_WORD = (
     "disqus|reply|replies|respond|cookie|cookies|consent|notice|notices|alert|popup|modal|newsletter|subscribe|signup|"
     "share|sharing|social|related|recommended|pagination|pager|toolbar|login|search")
 NOT_CLASS = re.compile(rf"(?:^|[\s_-])(?:{_NOT_WORD})(?:$|[\s_-])")
-# Within an article ids are often made of its headings: only a whole id counts, none of these elements.
+# Within an article ids are often made of its headings: only a whole id counts, and none of a heading.
 NOT_ID = re.compile(rf"\s*(?:{_NOT_WORD})\s*")
-NAMED = frozenset("h1 h2 h3 h4 h5 h6 hgroup section".split())
-
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|$)", re.S)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+# An id that names a list of comments; one with the word elsewhere may be a heading's, so its content tells.
+COMMENTS = re.compile(r"(?:.*[\s_-])?(?:comments?|commentlist|disqus|repl(?:y|ies)|responses?)"
+                      r"(?:[\s_-](?:area|block|box|container|form|list|section|thread|wrap|wrapper))*\s*")
+COMMENT_WORD = re.compile(r"(?:^|[\s_-])(?:comments?|commentlist|disqus|repl(?:y|ies)|responses?)(?:$|[\s_-])")
+# Words of a class that tell for inline elements and paragraphs only when they are a whole class.
+TEXT_BLOCKS = HEADINGS | frozenset("p li dt dd td th blockquote caption figcaption pre".split())
+NOT_TOKEN = re.compile(rf"(?:^|\s)(?:{_NOT_WORD})(?:$|\s)")
+
+# Quotes hold a value only after an equals sign; elsewhere they are characters like others.
+_TOKEN = re.compile(
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]|=\s*(?:\"[^\"]*\"|'[^']*')|=)*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "skip", "chars", "tags", "link_chars", "link_tags", "density", "sum")
+    __slots__ = ("tag", "parent", "children", "skip", "chars", "tags", "link_chars", "link_tags", "density", "sum",
+                 "inside", "scope", "block")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool):
         self.tag, self.parent, self.children, self.skip = tag, parent, [], skip
+        # Within an article or main; the open elements of the nearest scope; the nearest block.
+        self.inside = tag in ("article", "main") or parent is not None and parent.inside
+        self.scope = Counter() if parent is None or tag in SCOPES else parent.scope
+        self.block = tag if parent is None or tag not in INLINE else parent.block
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.sum = 0.0
 
 
-def _excluded(tag: str, attributes: str, in_article: bool) -> bool:
+def _excluded(tag: str, attributes: str, here: Node) -> bool | None:
+    """Does an element below ``here`` hold no content? None: its content tells."""
+    in_article = here.inside
     if tag in NOT_TEXT or tag == "header" and not in_article:
         return True
-    if attributes:
-        for name, *value in _ATTRIBUTE.findall(attributes):
-            name, value = name.lower(), "".join(value).lower()
-            if name == "hidden" or name == "aria-hidden" and value == "true":
-                return True
-            if name == "role" and value in NOT_ROLE:
+    doubt = False
+    for name, *value in _ATTRIBUTE.findall(attributes) if attributes else ():
+        name, value = name.lower(), "".join(value).lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return True
+        if name == "role" and value in NOT_ROLE:
+            return True
+        if name == "id" and in_article:
+            if tag in HEADINGS or tag in ("article", "main"):
+                continue
+            if NOT_ID.fullmatch(value) or COMMENTS.fullmatch(value):
                 return True
-            if name == "id" and in_article:
-                if tag not in NAMED and tag not in ("article", "main") and NOT_ID.fullmatch(value):
-                    return True
-            elif name in ("class", "id") and tag not in ("html", "body", "article", "main") and NOT_CLASS.search(value):
+            doubt = doubt or tag not in INLINE and COMMENT_WORD.search(value) is not None
+        elif name in ("class", "id") and tag not in ("html", "body", "article", "main"):
+            if in_article and tag in INLINE and here.block in TEXT_BLOCKS:
+                continue  # a word or link of a sentence
+            if (NOT_TOKEN if in_article and tag in TEXT_BLOCKS else NOT_CLASS).search(value):
                 return True
-    return False
+    return None if doubt else False
+
+
+def _is_thread(section: Node) -> bool:
+    """Does a section look like readers' comments: two or more dates, authors, entries or fields to fill in?"""
+    signs, stack = 0, [section]
+    while stack and signs < 2:
+        for c in stack.pop().children:
+            if isinstance(c, Node):
+                signs += c.tag in ("time", "article", "form", "textarea", "button", "cite", "footer", "li")
+                stack.append(c)
+    return signs >= 2
 
 
 def parse(page: str) -> Node:
-    """The DOM below an implied body; unclosed and misnested tags end as in browsers."""
+    """The DOM below an implied body; unclosed and misnested tags end as in browsers.
+    Counts of open elements, of the page and of each scope, tell when there is nothing
+    to close, so that no tag looks through all open elements in vain."""
     root = Node("body", None, False)
     here, at, size = root, 0, len(page)
+    open_, doubts = Counter(), []
 
     def text(s: str) -> None:
         if not here.skip and s:
             here.children.append(s)
 
+    def leave(node: Node) -> None:
+        """Close ``node`` and all that is open in it."""
+        nonlocal here
+        while True:
+            last, here = here, here.parent
+            open_[last.tag] -= 1
+            if last.tag not in SCOPES:
+                last.scope[last.tag] -= 1
+            if last is node:
+                return
+
+    def close(names: set[str] | frozenset[str], stop: set[str] | frozenset[str]) -> None:
+        """Close the outermost open element of ``names`` before ``stop``."""
+        node, found = here, None
+        while node is not root and node.tag not in stop:
+            if node.tag in names:
+                found = node
+            node = node.parent
+        if found:
+            leave(found)
+
     while at < size:
         m = _TOKEN.search(page, at)
         if not m:
@@ -118,49 +177,41 @@ def parse(page: str) -> Node:
         if not tag:
             continue
         if m[1]:  # an end tag closes its element and all that is open in it
-            node = here
-            while node is not root and node.tag != tag:
-                if node.tag in SCOPES and tag not in SCOPES:
-                    node = root  # no end of an inline element beyond its block
-                    break
-                node = node.parent
-            if node is not root:
-                here = node.parent
+            # An inline element does not end beyond its block.
+            if open_[tag] if tag in SCOPES else here.scope[tag]:
+                node = here
+                while node.tag != tag:
+                    node = node.parent
+                leave(node)
             continue
         if tag in ("html", "body"):
             continue
         if here.tag == "head" and tag in P_CLOSERS:
-            here = here.parent
-        if tag in P_CLOSERS:
-            _close(root, here, {"p"}, SCOPES, found := [])
-            here = found[0] if found else here
-        if tag in SIBLINGS:
-            _close(root, here, *SIBLINGS[tag], found := [])
-            here = found[0] if found else here
-        inside = here
-        while inside is not root and inside.tag not in ("article", "main"):
-            inside = inside.parent
-        node = Node(tag, here, here.skip or _excluded(tag, m[3], inside is not root))
+            leave(here)
+        if tag in P_CLOSERS and here.scope["p"]:
+            close({"p"}, SCOPES)
+        if tag in SIBLINGS and any(open_[t] for t in SIBLINGS[tag][0]):
+            close(*SIBLINGS[tag])
+        excluded = not here.skip and _excluded(tag, m[3], here)
+        node = Node(tag, here, here.skip or bool(excluded))
+        if excluded is None:
+            doubts.append(node)
         here.children.append(node)
         if tag in RAW:
-            close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             if tag not in NOT_TEXT and not node.skip and tag != "title":
-                node.children.append(page[at:close.start() if close else size])
-            at = close.end() if close else size
+                node.children.append(page[at:end.start() if end else size])
+            at = end.end() if end else size
         elif tag not in VOID and not m[3].rstrip().endswith("/") or tag == "p":
             here = node
+            open_[tag] += 1
+            if tag not in SCOPES:
+                node.scope[tag] += 1
+    for node in doubts:
+        node.skip = _is_thread(node)
     return root
 
 
-def _close(root: Node, here: Node, names: set[str] | frozenset[str], stop: set[str] | frozenset[str], found: list) -> None:
-    """Append the parent of the outermost open element of ``names`` before ``stop``."""
-    node = here
-    while node is not root and node.tag not in stop:
-        if node.tag in names:
-            found[:] = [node.parent]
-        node = node.parent
-
-
 def _add(node: Node) -> None:
     """Characters and tags of a node whose children have theirs."""
     for c in node.children:

@@ -1,6 +1,10 @@
 import re
 import html
 
+import math
+import random
+import time
+
 import pytest
 
 from lakeq.llm import html_text
@@ -109,3 +113,84 @@ def test_null_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, None, None, "x"), (1, "u", "<p>a", "y")], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html_text.extract_text(df).collect()), key=str) == [(1, "u", "a", 1), (1, None, "", 0)]
     assert html_text.extract_text(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<article><p title=it's>Hello world</p><p>don't stop</p></article>", "Hello world\n\ndon't stop"),
+    ('<article><p title=it"s>Hello world</p><p>do"nt stop</p></article>', 'Hello world\n\ndo"nt stop'),
+    ("<p title='a > b'>one</p><p title = \"c > d\">two</p>", "one\n\ntwo"),
+    ("<p>one</p><!--><p>two</p>", "one\n\ntwo"), ("<p>one</p><!---><p>two</p>", "one\n\ntwo"),
+    ("<p>one</p><!-- x --!><p>two</p>", "one\n\ntwo")])
+def test_quotes_and_comments_as_in_browsers(page, text):
+    assert html_text.main_text(page) == text
+
+
+def test_reader_comments_go_and_headed_sections_stay():
+    page = ("<article><p>The text.</p><section id=comments><p>First!</p></section><section id='user-comments'><p>Me too.</p>"
+            "</section><section id='comments-on-the-law'><p>A chapter.</p></section><h2 id='comments'>Heading</h2>"
+            "<section id='replies-by-date'><article><time>1</time>No</article><article>No</article></section>"
+            "<section id='search-and-rescue'><p>Another.</p></section></article>")
+    assert html_text.main_text(page) == "The text.\n\nA chapter.\n\nHeading\n\nAnother."
+
+
+def test_words_of_a_sentence_stay():
+    page = ("<article><p>See the <a class=share href=x>shared results</a> now.</p><p class='side-note'>A note.</p>"
+            "<p class='ad'>Buy.</p><div class='share'><a class=share>Share</a></div></article>")
+    assert html_text.main_text(page) == "See the shared results now.\n\nA note."
+
+
+@pytest.mark.parametrize("page", ["<div>" * 40_000, "<b>" * 40_000, "<b>" * 20_000 + "</i>" * 20_000 + "<h1>x</h1>" * 20_000,
+                                  "<ul>" * 20_000 + "<li>x" * 20_000, '<a x="' * 20_000])
+def test_time_is_linear(page):
+    start = time.perf_counter()
+    html_text.main_text(page + "x")
+    assert time.perf_counter() - start < 8
+
+
+def test_density_sum_and_threshold_by_the_formula():
+    """Every node of random small pages against the formulas, computed from the text."""
+    rng = random.Random(4)
+
+    def make(depth):
+        tag = rng.choice(["div", "p", "a", "span", "section"] if depth else ["div"])
+        inner = [rng.choice(["word " * rng.randint(1, 30), make(depth + 1) if depth < 4 else "x"]) for _ in range(rng.randint(1, 4))]
+        return (tag, inner)
+
+    def markup(node):
+        return node if isinstance(node, str) else f"<{node[0]}>{''.join(map(markup, node[1]))}</{node[0]}>"
+
+    def chars(s):
+        return sum(map(len, s.split()))
+
+    def below(node):
+        return [] if isinstance(node, str) else [c for c in node.children] + [x for c in node.children for x in below(c)]
+
+    def counts(node):
+        links = [c for c in below(node) if not isinstance(c, str) and c.tag == "a"]
+        outer = [c for c in links if not any(c in below(o) for o in links)]
+        text = lambda n: sum(chars(c) for c in below(n) if isinstance(c, str))
+        return text(node), sum(not isinstance(c, str) for c in below(node)), sum(map(text, outer)), len(links)
+
+    for _ in range(40):
+        page = markup(make(0))
+        root = html_text.parse(page)
+        order = html_text._count(root)
+        body_chars, _, body_links, _ = counts(root)
+        for node in order:
+            c, t, lc, lt = counts(node)
+            assert (node.chars, node.tags, node.link_chars, node.link_tags) == (c, t, lc, lt)
+            if c:
+                base = math.log(c / max(c - lc, 1) * lc + max(body_links, 1) / max(body_chars, 1) * c + math.e)
+                want = c / max(t, 1) * max(math.log(c / max(lc, 1) * max(t, 1) / max(lt, 1)) / math.log(max(base, 1.0001)), 0)
+                assert node.density == pytest.approx(want)
+            own = sum(chars(x) for x in node.children if isinstance(x, str))
+            inline = node.tag in html_text.INLINE
+            want = own if inline else own / (1 + t)
+            want += sum(x.sum if x.tag in html_text.INLINE else x.density for x in node.children if not isinstance(x, str))
+            assert node.sum == pytest.approx(want)
+
+        again = html_text.parse(page)
+        chosen = html_text.content(again)
+        blocks = [n for n in [again, *below(again)] if not isinstance(n, str) and n.tag not in html_text.INLINE]
+        most = max(n.sum for n in blocks)
+        assert any(c.sum == most for c in chosen)
