@@ -27,6 +27,18 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.limit(rows + 1).count() <= rows
 
 
+def free_names(df: DataFrame, *names: str) -> tuple[str, ...]:
+    """Each name, with underscores before it until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return tuple(out)
+
+
 class Scratch:
     """Parquet tables under the shared ``spark.checkpoint.dir``.
 

@@ -10,7 +10,9 @@ Two passes: one aggregate over (source, text length), then one shuffle of the
 replicated rows. The hot source is not a shuffle key anywhere: the per-source
 table is broadcast after its row count has been checked (beyond the bound a
 plain join lets AQE split the hot source), and the final shuffle is by a hash of
-the copy.
+the copy. Distributions of small means travel with that table; a source so small
+that its mean exceeds ``SMALL_MEAN`` is inverted per document in Arrow batches, and
+copies are exploded in chunks, so no array grows with a mean.
 """
 
 from __future__ import annotations
@@ -23,7 +25,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeq.llm.common import BROADCAST_ROWS, Scratch
+from lakeq.llm.common import BROADCAST_ROWS, Scratch, free_names
+
+SMALL_MEAN = 200.0  # up to here a distribution is an array of 410 numbers at most, from 0
+CHUNK = 1000        # copies that one array holds
 
 
 def uniform(seed: int, *cols: str) -> Column:
@@ -32,13 +37,32 @@ def uniform(seed: int, *cols: str) -> Column:
     return F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("double") / float(2**52)
 
 
-def poisson_cdf(mean: float) -> list[float]:
-    """P(X <= k) for k = 0, 1, ... until the tail is below double precision."""
+def poisson_cdf(mean: float) -> tuple[int, np.ndarray]:
+    """(first, P(X <= k) for k = first, first + 1, ...) within 12 standard deviations of
+    the mean and 40: below and beyond, the probability is less than double precision."""
     if mean <= 0:
-        return [1.0]
-    k = np.arange(int(mean + 12 * math.sqrt(mean) + 40) + 1)
-    log_factorial = np.concatenate(([0.0], np.cumsum(np.log(k[1:]))))
-    return np.cumsum(np.exp(k * math.log(mean) - mean - log_factorial)).tolist()
+        return 0, np.ones(1)
+    spread = 12 * math.sqrt(mean) + 40
+    first = max(0, int(mean - spread))
+    k = np.arange(first, int(mean + spread) + 1)
+    if first == 0:
+        log_factorial = np.concatenate(([0.0], np.cumsum(np.log(k[1:]))))
+        return 0, np.cumsum(np.exp(k * math.log(mean) - mean - log_factorial))
+    # Outward from the mode, so that no large logarithms cancel.
+    steps = np.concatenate(([0.0], np.cumsum(np.log(mean / k[1:]))))
+    p = np.exp(steps - steps.max())
+    return first, np.cumsum(p) / p.sum()
+
+
+def poisson_count(rate: pd.Series, u: pd.Series) -> pd.Series:
+    """The inverse distribution: how many k have P(X <= k) <= u."""
+    out = np.zeros(len(rate), np.int64)
+    values = rate.to_numpy()
+    for mean in np.unique(values[~np.isnan(values)]):
+        at = values == mean
+        first, cdf = poisson_cdf(float(mean))
+        out[at] = first + np.searchsorted(cdf, u.to_numpy()[at], "right")
+    return pd.Series(out)
 
 
 def source_rates(docs: DataFrame, weights: Mapping[str, float], default_weight: float, budget: float,
@@ -76,20 +100,31 @@ def mix_sources(docs: DataFrame, weights: Mapping[str, float], default_weight: f
     scratch = Scratch(docs.sparkSession, "mix")
     rates = source_rates(docs.select("source", "text"), weights, default_weight, budget, scratch)
 
+    source, cdf, rate, u, n, chunk, order = free_names(
+        docs, "mix_source", "mix_cdf", "mix_rate", "mix_u", "mix_n", "mix_chunk", "mix_order")
+
     def with_cdf(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in parts:
-            yield pd.DataFrame({"mix_source": p["source"], "mix_cdf": [poisson_cdf(m) for m in p["rate"]]})
+            small = [poisson_cdf(m)[1].tolist() if m <= SMALL_MEAN else None for m in p["rate"]]
+            yield pd.DataFrame({source: p["source"], rate: p["rate"], cdf: small})
 
-    table = scratch.table(rates.mapInPandas(with_cdf, "mix_source string, mix_cdf array<double>"), "copies")
+    table = scratch.table(rates.mapInPandas(with_cdf, f"`{source}` string, `{rate}` double, `{cdf}` array<double>"), "copies")
     scratch.finish(table)
     few = table.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    large = table.where(F.col(cdf).isNull()).limit(1).count() > 0
     kept = [f"`{c}`" for c in docs.columns if c not in made]
-    joined = docs.select(*kept).join(F.broadcast(table) if few else table, F.col("source").eqNullSafe(F.col("mix_source")))
-    u = F.col("mix_u")
-    counted = joined.withColumn("mix_u", uniform(seed, id_col)).withColumn(
-        "mix_n", F.size(F.filter("mix_cdf", lambda c: c <= u)).cast("int"))
-    copies = counted.where(F.col("mix_n") > 0).select(
-        *kept, F.col("mix_n").alias(made[1]), F.explode(F.sequence(F.lit(1), F.col("mix_n"))).alias(made[0]))
+    joined = docs.select(*kept).join(F.broadcast(table) if few else table, F.col("source").eqNullSafe(F.col(source)))
+    count = F.size(F.filter(cdf, lambda c: c <= F.col(u)))
+    if large:
+        inverse = F.pandas_udf(poisson_count, "long")
+        count = F.when(F.col(cdf).isNotNull(), count).otherwise(
+            inverse(F.when(F.col(cdf).isNull(), F.col(rate)), F.col(u)))
+    counted = joined.withColumn(u, uniform(seed, id_col)).withColumn(n, count.cast("int"))
+    chunks = counted.where(F.col(n) > 0).select(
+        *kept, n, F.explode(F.sequence(F.lit(0), F.floor((F.col(n) - 1) / CHUNK).cast("int"))).alias(chunk))
+    first = F.col(chunk) * CHUNK + 1
+    copies = chunks.select(*kept, F.col(n).alias(made[1]), F.explode(
+        F.sequence(first, F.least(first + (CHUNK - 1), F.col(n)))).alias(made[0]))
     deal = F.xxhash64(F.lit(seed), F.col(id_col), F.col(f"`{made[0]}`"))
-    return (copies.withColumn("mix_order", deal).repartition("mix_order")
-            .sortWithinPartitions("mix_order").drop("mix_order"))
+    return (copies.withColumn(order, deal).repartition(order)
+            .sortWithinPartitions(order).drop(order))

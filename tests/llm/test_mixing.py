@@ -28,6 +28,28 @@ def test_shares_reach_the_weights(spark):
 
 
 def test_large_means_and_empty_table(spark):
-    cdf = mixing.poisson_cdf(2000.0)
-    assert abs(sum(c <= 0.5 for c in cdf) - 2000) <= 1 and abs(cdf[-1] - 1) < 1e-9
+    for mean in (190.0, 250.0, 2000.0, 6e7):
+        first, cdf = mixing.poisson_cdf(mean)
+        assert abs(first + (cdf <= 0.5).sum() - mean) <= 1 and abs(cdf[-1] - 1) < 1e-9 and len(cdf) < 24 * mean**0.5 + 90
     assert mixing.mix_sources(spark.createDataFrame([], "doc_id long, text string, source string"), {}).collect() == []
+
+
+def test_a_tiny_source_makes_many_copies_in_chunks(spark):
+    rows = [(i, "x" * 1000, "hot") for i in range(300)] + [(900, "tiny text", "tiny"), (901, "small te", "tiny")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = mixing.mix_sources(df, {}, seed=5)
+    rate = brute.rates([(s, t) for _, t, s in rows], {}, 1.0)
+    assert rate["tiny"] > 5 * mixing.CHUNK
+    for doc in (900, 901):
+        copies = sorted(r["copy"] for r in got.where(f"doc_id = {doc}").collect())
+        assert copies == list(range(1, len(copies) + 1)) and abs(len(copies) - rate["tiny"]) < 6 * rate["tiny"] ** 0.5
+
+
+def test_columns_with_the_names_of_steps_stay(spark):
+    names = ["mix_source", "mix_cdf", "mix_rate", "mix_u", "mix_n", "mix_chunk", "mix_order"]
+    df = spark.createDataFrame([(i, "text", "s", *[float(i)] * 7) for i in range(30)],
+                               "doc_id long, text string, source string, " + ", ".join(f"{n} double" for n in names))
+    got = mixing.mix_sources(df, {}, seed=2)
+    assert got.columns == [*df.columns, "n_copies", "copy"]
+    rows = got.collect()
+    assert rows and all(r[n] == float(r.doc_id) for r in rows for n in names)
