@@ -61,7 +61,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeq.llm import textvec
-from lakeq.llm.common import THIN_ROWS, Scratch, at_most, parallelism, text_batches
+from lakeq.llm.common import THIN_ROWS, Scratch, at_most, free_names, parallelism, text_batches
 from lakeq.llm.components import components
 
 FREQUENT_FROM = 16
@@ -639,6 +639,7 @@ def first_of_components(docs: DataFrame, joined: Joined, id_col: str = "doc_id",
     exist, are listed; the list is sent to every task while a count shows that it is
     short, so that the texts are not shuffled, else the join is a merge join."""
     scratch = Scratch(docs.sparkSession, "first")
+    doc, key, own, stays, nth = free_names(docs, "listed_id", "listed_key", "own_key", "stays", "nth")
     rows = joined.documents.where("set_key is not null")
     order = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_key")
     first = rows.groupBy("component_key").agg(F.min(order).alias("first"))
@@ -646,12 +647,12 @@ def first_of_components(docs: DataFrame, joined: Joined, id_col: str = "doc_id",
         rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.first("component_key").alias("component_key"))
         .join(first, "component_key").withColumn("stays", (F.col("first.doc_id").eqNullSafe(F.col("doc_id")))
                                                  & (F.col("first.text_key") == F.col("text_key")))
-        .where("not stays or n > 1").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "stays"), "listed")
+        .where("not stays or n > 1").select(F.col("doc_id").alias(doc), F.col("text_key").alias(key),
+                                            F.col("stays").alias(stays)), "listed")
     side = F.broadcast(listed) if at_most(listed, THIN_ROWS) else listed.hint("merge")
     names = [f"`{c}`" for c in docs.columns]
-    found = docs.withColumn("__own", text_key(text_col)).join(
-        side, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__key")), "left")
-    single = found.where(F.col("stays").isNull()).select(*names)
-    nth = F.row_number().over(W.partitionBy("__id", "__key").orderBy("__own"))
-    repeated = found.where("stays").withColumn("__nth", nth).where("__nth = 1").select(*names)
-    return single.unionByName(repeated)
+    found = docs.withColumn(own, text_key(text_col)).join(
+        side, F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(own) == F.col(key)), "left")
+    single = found.where(F.col(stays).isNull()).select(*names)
+    repeated = found.where(F.col(stays)).withColumn(nth, F.row_number().over(W.partitionBy(doc, key).orderBy(own)))
+    return single.unionByName(repeated.where(F.col(nth) == 1).select(*names))

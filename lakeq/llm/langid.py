@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeq.llm import learn, textvec
-from lakeq.llm.common import text_batches
+from lakeq.llm.common import free_names, text_batches
 
 BITS = 16
 SIZES = (1, 2, 3)
@@ -142,8 +142,9 @@ def identify(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     made = ("lang_pred", "score", "ambiguous")
     keep = [c for c in df.columns if c not in made]
     sent = df.sparkSession.sparkContext.broadcast(model)  # 2**BITS rows of a few numbers
-    prepared = df.select(*[f"`{c}`" for c in keep], F.lower(text_col).alias("__lower"),
-                         F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias("__letters"))
+    lower, letters = free_names(df, "lower_text", "has_letters")
+    prepared = df.select(*[f"`{c}`" for c in keep], F.lower(text_col).alias(lower),
+                         F.coalesce(F.col(text_col).rlike(r"\p{L}"), F.lit(False)).alias(letters))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value

@@ -31,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lakeq.llm import textvec
-from lakeq.llm.common import THIN_ROWS, Scratch, at_most, text_batches
+from lakeq.llm.common import THIN_ROWS, Scratch, at_most, free_names, text_batches
 
 MIN_WORDS = 50
 
@@ -212,18 +212,19 @@ def drop_copied_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str =
     through; an empty table stays empty.
     """
     runs = copied_runs(docs, min_words, id_col, text_col)
-    spans = runs.select(F.col("doc_id").alias("__id"), F.col("seq").alias("__seq"), "from_line", "to_line").groupBy(
-        "__id", "__seq").agg(F.collect_list(F.struct("from_line", "to_line")).alias("__runs"))  # at most a text's lines
+    doc, seq, found, own = free_names(docs, "run_doc", "run_seq", "runs", "own_seq")
+    spans = runs.select(F.col("doc_id").alias(doc), F.col("seq").alias(seq), "from_line", "to_line").groupBy(
+        doc, seq).agg(F.collect_list(F.struct("from_line", "to_line")).alias(found))  # at most a text's lines
     kept = [c for c in docs.columns if c not in counts]
     # Few documents lose lines: their runs are sent to every task while a count of runs
     # shows that they are few, and the texts stay where they are; else a merge join.
     side = F.broadcast(spans) if at_most(runs, THIN_ROWS) else spans.hint("merge")
-    joined = (docs.select(*[f"`{c}`" for c in kept]).withColumn("__own", _sequence_id(id_col, text_col))
-              .join(side, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__own") == F.col("__seq")), "left"))
+    joined = (docs.select(*[f"`{c}`" for c in kept]).withColumn(own, _sequence_id(id_col, text_col))
+              .join(side, F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(own) == F.col(seq)), "left"))
     parts = F.split(F.col(text_col), "\n", -1)
-    stay = F.filter(parts, lambda line, i: ~F.exists("__runs", lambda r: (i >= r["from_line"]) & (i < r["to_line"])))
-    text = F.when(F.col("__runs").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))
+    stay = F.filter(parts, lambda line, i: ~F.exists(found, lambda r: (i >= r["from_line"]) & (i < r["to_line"])))
+    text = F.when(F.col(found).isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))
     n = F.when(F.col(text_col).isNull(), 0).otherwise(F.size(parts))
-    n_stay = F.when(F.col("__runs").isNull(), n).otherwise(F.size(stay))
+    n_stay = F.when(F.col(found).isNull(), n).otherwise(F.size(stay))
     return joined.select(*[text.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept],
                          n.alias(counts[0]), (n - n_stay).alias(counts[1]))

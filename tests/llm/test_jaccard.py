@@ -155,9 +155,10 @@ def test_comparisons_grow_with_the_copies(spark, monkeypatch):
 def test_first_of_components(spark):
     rows = [(5, "a b c d e f"), (2, "A b c d e f"), (5, "other words in this one text"), (None, "a b c d e f"),
             (7, None), (7, None), (8, ""), (2, "A b c d e f")]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS stays", "2 AS nth", "3 AS listed_id")
     kept = jaccard.first_of_components(df, jaccard.join_documents(df))
-    assert sorted(map(tuple, kept.collect()), key=str) == sorted(
+    assert kept.columns == df.columns and {tuple(r)[2:] for r in kept.collect()} == {(1, 2, 3)}
+    assert sorted((tuple(r)[:2] for r in kept.collect()), key=str) == sorted(
         [(2, "A b c d e f"), (5, "other words in this one text"), (7, None), (7, None), (8, "")], key=str)
 
 

@@ -84,3 +84,13 @@ def test_many_runs_of_one_document_are_not_broadcast(spark, monkeypatch):
     got = line_dedup.drop_copied_lines(df, 8)
     assert "broadcast" not in got._jdf.queryExecution().analyzed().toString().lower()
     assert {r.doc_id: r.text for r in got.collect()}[2] == "y\ny"
+
+
+def test_columns_with_the_names_of_steps_stay(spark):
+    text = "\n".join(f"line {i} of a long passage" for i in range(20))
+    df = spark.createDataFrame([(1, text, 1, 2, 3, 4), (2, text, 5, 6, 7, 8)],
+                               "doc_id long, text string, run_doc int, run_seq int, runs int, own_seq int")
+    got = line_dedup.drop_copied_lines(df)
+    assert got.columns == [*df.columns, "n_lines", "n_removed"]
+    assert sorted((r.doc_id, r.run_doc, r.run_seq, r.runs, r.own_seq, r.n_removed) for r in got.collect()) == [
+        (1, 1, 2, 3, 4, 0), (2, 5, 6, 7, 8, 20)]
