@@ -11,20 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeq.llm import jaccard, line_dedup, mixing, packing, quality, queries
-from lakeq.llm.common import Scratch
+from lakeq.llm.common import Scratch, free_names
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
-    scored = quality.score(docs, quality.train(docs, labels), out="__score")
-    return scored.where(F.col("__score") >= quality.KEEP_FROM).select(*docs.columns)
+    score, = free_names(docs, "quality_score")
+    scored = quality.score(docs, quality.train(docs, labels), out=score)
+    return scored.where(F.col(score) >= quality.KEEP_FROM).select(*docs.columns)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of line runs; a document of which no word is left goes."""
-    cleaned = line_dedup.drop_copied_lines(docs, counts=("__lines", "__removed"))
-    changed = F.col("__removed") > 0
+    lines, removed = free_names(docs, "lines", "removed")
+    cleaned = line_dedup.drop_copied_lines(docs, counts=(lines, removed))
+    changed = F.col(removed) > 0
     return (cleaned.where(~changed | F.col("text").rlike(r"\S"))
             .withColumn("n_chars", F.when(changed, F.char_length("text")).otherwise(F.col("n_chars")).cast("long"))
             .select(*docs.columns))
@@ -38,7 +40,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def poisson_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Copies of documents in the target mix of sources, globally shuffled."""
     return mixing.mix_sources(docs, queries.SOURCE_WEIGHTS, seed=queries.MIX_SEED,
-                              made=("__copy", "__copies")).select(*docs.columns)
+                              made=free_names(docs, "copy", "copies")).select(*docs.columns)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,6 +63,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     scratch = Scratch(spark, "pipeline")
-    for name, stage in STAGES:
-        docs = scratch.table(stage(spark, docs, sf_dir), name)
+    for number, (name, stage) in enumerate(STAGES):
+        read, docs = docs, scratch.table(stage(spark, docs, sf_dir), name)
+        if number:  # the stage before is not read again
+            scratch.drop(read)
     return docs
