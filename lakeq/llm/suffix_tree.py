@@ -18,8 +18,8 @@ distinct n-grams, with their counts in training texts, to hash ranges as packed
 arrays; the ranges add them up and send the sums back in the same order. So one
 exchange both counts a level of the tree over the whole corpus and answers each block
 what it needs to score. A hot n-gram is one entry a block. Divergence sums travel the
-same way, as integers, so results don't depend on the blocks. Level by level, only
-extensions of candidate contexts are sent.
+same way, as integers, so results don't depend on the blocks. Beyond pairs of words,
+level by level, only extensions of candidate contexts are sent.
 
 Words are told by 64-bit hashes; longer n-grams by their range and 40 further bits of a
 64-bit hash. Among 10**9 distinct words a collision is expected with probability 0.03;
@@ -148,11 +148,13 @@ class Walk:
         self.block, self.model = block, model
         every = np.arange(len(block.codes))
         self.asks: list[tuple[int, Level, np.ndarray, bool]] = []
-        self.first = Level(block.grams(1, every), model.ranges[1])
+        follows = every[block.place >= 1]
+        one = Level(block.grams(1, every), model.ranges[1])
+        two = Level(block.grams(2, follows), model.ranges[2])
         if 1 not in answers:
-            self.asks.append((1, self.first, block.training, True))
+            self.asks += [(1, one, block.training, True), (2, two, block.training[follows], False)]
             return
-        self.count = self.first.answer(answers[1])
+        self.count = one.answer(answers[1])
         base = (self.count + 1.0) / (model.tokens + model.distinct + 1.0)
         self.base = np.log10(base)
         p = base.copy()
@@ -165,12 +167,12 @@ class Walk:
             at = at[block.place[at] >= order]
             n_context = before[at - 1]
             keep = n_context >= model.min_count
-            at, n_context = at[keep], n_context[keep]
-            level = Level(block.grams(order + 1, at), model.ranges[order + 1])
-            if order + 1 not in answers:
-                self.asks.append((order + 1, level, block.training[at], False))
-                return
-            n = level.answer(answers[order + 1])
+            if order == 1:
+                n = two.answer(answers[2])[keep]
+                at, n_context = at[keep], n_context[keep]
+            else:
+                at, n_context = at[keep], n_context[keep]
+                n = Level(block.grams(order + 1, at), model.ranges[order + 1]).answer(answers[order + 1])
             contexts = Level(block.grams(order, at - 1), model.ranges[order])
             if GAIN + order not in answers:
                 own = block.training[at]
@@ -317,6 +319,8 @@ def score(docs: DataFrame, depth: int = 2, min_count: int = 8, min_gain: float =
     an empty table gives an empty result. A block, and so a task, holds one whole text
     at least: memory grows with the longest text, some 150 bytes a word.
     """
+    if depth < 1:
+        raise ValueError("a suffix tree has contexts of one word at least")
     spark = docs.sparkSession
     text_batches(spark)
     scratch = Scratch(spark, "suffix-tree")
@@ -342,7 +346,7 @@ def score(docs: DataFrame, depth: int = 2, min_count: int = 8, min_gain: float =
     answers = [scratch.table(_answers(blocks.mapInArrow(start, ASKED)), "counts1")]
     totals = [unpack(r["sums"]) for r in answers[0].where("block = -1").select("sums").collect()]  # one row a range
     size_of = (int(sum(t[1] for t in totals)), int(sum(t[0] for t in totals)))
-    model = Model(*setup, *size_of, frozenset({1}))
+    model = Model(*setup, *size_of, frozenset({1, 2}))
 
     def together(run, types: str) -> DataFrame:
         got = answers[0].where("block >= 0")
@@ -350,11 +354,11 @@ def score(docs: DataFrame, depth: int = 2, min_count: int = 8, min_gain: float =
             got = got.union(a)
         return blocks.groupBy("block").cogroup(got.groupBy("block")).applyInArrow(run, types)
 
-    # Each step sends what the last answers allow: counts of the next order and the
-    # divergence sums of the contexts before it.
-    for step in range(1, depth + 2):
+    # Each step sends what the last answers allow: the divergence sums of one more
+    # length of contexts and counts of their extensions.
+    for step in range(1, depth + 1):
         answers.append(scratch.table(_answers(together(_go_on(model), ASKED)), f"step{step}"))
-        model = Model(*setup, *size_of, frozenset([*range(1, min(step, depth) + 2), *range(GAIN + 1, GAIN + step)]))
+        model = Model(*setup, *size_of, frozenset([*range(1, min(step + 1, depth) + 2), *range(GAIN + 1, GAIN + step + 1)]))
     scratch.finish(blocks, *answers)
 
     def finish(block: pa.Table, answered: pa.Table) -> pa.Table:
