@@ -32,9 +32,10 @@ For components, each signature's sets are first compared with one of them, then
 set of each component with one of another. Sets that share a signature but still lie in
 different components (near copies of one text that are not near enough to each other)
 would make pairs with the square of their number, so these are joined by what tells
-them apart. Sets that signatures chain together form a cluster with one of them as
-its centre c, and each set X becomes its difference D(X) from c. As
-``|X ^ Y| = |D(X) ^ D(Y)|``, with h the largest ``|X ^ Y|`` of a link:
+them apart. Sets that share several signatures form a cluster with one of them as its
+centre c, and in clusters of more than ``GROUP`` each set X becomes its difference D(X)
+from c (sets of smaller clusters, and sets far from their centre, are paired by their
+signatures). As ``|X ^ Y| = |D(X) ^ D(Y)|``, with h the largest ``|X ^ Y|`` of a link:
 
 * if ``|D(X)| + |D(Y)| <= h``, both are links of c itself, which is tested;
 * otherwise a link shares ``o >= (|D(X)| + |D(Y)| - h) / 2 >= 1`` tokens of the
@@ -69,7 +70,8 @@ MAX_FREQUENT = 1 << 17       # tokens sent to every task: 1 MB
 BLOCK = 2_000_000            # hashes that a task holds before it passes them on
 RANGE = 1_000_000            # hashes of one hash range, about
 FILTER_BITS = 26             # size of the filter of wanted sets: 8 MB
-GROUP = 48                   # sets that share a difference token and are still paired one by one
+GROUP = 48                   # sets of a cluster, or of a difference token, that are still paired one by one
+SHARED = 3                   # signatures that tell a near copy from a chance meeting
 TILE = 256                   # sets of one side of a tile
 
 _U = np.uint64
@@ -402,20 +404,30 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 _MISSING = textvec.MIX[59]
 
 
-def _differences(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
-    """(key, n, cluster, center, n_center, d, tokens): each set's difference from the
-    centre of its cluster. ``members`` (sig, key, n, component, least) lists sets that
-    share signatures; components that share one are of one cluster. The centre is a
-    set of the cluster's largest component."""
-    edges = members.where("component <> least").select(F.col("component").alias("u"), F.col("least").alias("v")).distinct()
-    cluster = scratch.table(components(edges, scratch).select(
-        F.col("node").alias("component"), F.col("component").alias("cluster")), "clusters")
-    listed = scratch.table(members.select("key", "n", "component").distinct().join(cluster, "component"), "listed")
-    center = (listed.groupBy("cluster", "component").agg(F.count("*").alias("size"), F.min("key").alias("key"))
+def _clusters(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, n, cluster, center) of the sets in clusters of more than GROUP sets.
+    ``members`` (sig, key, n, ...) lists sets that share signatures. A set goes with the
+    first set of SHARED or more of its signatures (fewer may be chance, and would chain
+    families of copies together); the centre is the one that most sets go with."""
+    first = members.groupBy("sig").agg(F.min("key").alias("first"))
+    edges = scratch.table(members.join(first, "sig").where("key <> first").groupBy("key", "first").agg(
+        F.count("*").alias("shared")).where(F.col("shared") >= SHARED).select(
+        F.col("key").alias("u"), F.col("first").alias("v")), "edges")
+    part = scratch.table(components(edges, scratch).select(F.col("node").alias("key"), F.col("component").alias("cluster")),
+                         "clusters")
+    center = (edges.groupBy(F.col("v").alias("key")).agg(F.count("*").alias("size")).join(part, "key")
               .groupBy("cluster").agg(F.max_by("key", F.struct("size", "key")).alias("center")))
-    sets = scratch.table(sets_of(listed.select("key")), "listed-sets")
-    of_center = center.join(sets.select(F.col("key").alias("center"), F.col("tokens").alias("of_center")), "center")
-    rows = (listed.join(sets.hint("merge"), "key").join(of_center.hint("merge"), "cluster")
+    large = part.groupBy("cluster").agg(F.count("*").alias("sets")).where(F.col("sets") > GROUP)
+    return scratch.table(part.join(large, "cluster").join(center, "cluster").join(
+        members.select("key", "n").distinct(), "key").select("key", "n", "cluster", "center"), "clustered")
+
+
+def _differences(clustered: DataFrame, sets: DataFrame) -> DataFrame:
+    """(key, n, cluster, center, n_center, d, tokens): the differences of clustered sets
+    from their centre, of those whose difference is no larger than the set itself."""
+    of_center = clustered.select("cluster", "center").distinct().join(
+        sets.select(F.col("key").alias("center"), F.col("tokens").alias("of_center")), "center").drop("center")
+    rows = (clustered.join(sets.hint("merge"), "key").join(of_center.hint("merge"), "cluster")
             .select("key", "n", "cluster", "center", "tokens", "of_center"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -431,7 +443,8 @@ def _differences(members: DataFrame, sets_of: Callable[[DataFrame], DataFrame],
                  pa.array([len(x) for x in out], pa.int32()), pa.array(out, pa.list_(pa.int64()))],
                 names=["key", "n", "cluster", "center", "n_center", "d", "tokens"])
 
-    return rows.mapInArrow(run, "key long, n int, cluster long, center long, n_center int, d int, tokens array<long>")
+    return rows.mapInArrow(run, "key long, n int, cluster long, center long, n_center int, d int, tokens array<long>"
+                           ).where("d <= n")
 
 
 def _near_center(apart: DataFrame, percent: int) -> DataFrame:
@@ -604,10 +617,22 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
         met = one.where("component <> least").join(center, "sig").where(close).select(a, b).distinct()
         tested.append(scratch.table(untested(met), "met"))
         found.append(verified(tested[-1], "found1"))
-        # What is left: sets of different components that share a signature.
+        # What is left: sets of different components that share a signature. Those of
+        # large clusters are compared by their differences, others (few) pair by pair.
         open_ = unjoined("open2")
-        apart = scratch.table(_differences(open_, lambda keys: _wanted_sets(thin, keys, k), scratch), "differences")
+        scratch.release()
+        clustered = _clusters(open_, scratch)
+        sets = scratch.table(_wanted_sets(thin, clustered.select("key"), k), "clustered-sets")
+        apart = scratch.table(_differences(clustered, sets), "differences")
         found.append(scratch.table(_near_center(apart, percent), "centered"))
+        both = open_.drop("least").join(apart.select("key", "cluster"), "key", "left").withColumn(
+            "cluster", F.coalesce("cluster", "key"))
+        other = both.select("sig", F.col("key").alias("first"), F.col("n").alias("first_n"),
+                            F.col("component").alias("other"), F.col("cluster").alias("other_cluster"))
+        met = both.join(other, "sig").where(F.col("component") < F.col("other")).where(
+            F.col("cluster") != F.col("other_cluster")).where(close).select(a, b).distinct()
+        tested.append(scratch.table(untested(met), "met1"))
+        found.append(verified(tested[-1], "found2"))
         links = reduce(DataFrame.union, found)
         part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
         apart = scratch.table(apart.join(part.withColumnRenamed("node", "key"), "key", "left").withColumn(
@@ -615,7 +640,7 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
         prefix = scratch.table(_prefixes(apart, percent), "prefixes")
         large = prefix.where(F.col("members") > GROUP)
         met = _prefix_pairs(prefix.where(F.col("members") <= GROUP), percent)
-        found.append(verified(scratch.table(untested(met), "met2"), "found2"))
+        found.append(verified(scratch.table(untested(met), "met2"), "found3"))
         found.append(scratch.table(_tiled(large, apart, percent), "tiled"))
     links = reduce(DataFrame.union, found)
     part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)

@@ -357,9 +357,11 @@ def score(docs: DataFrame, depth: int = 2, min_count: int = 8, min_gain: float =
     # Each step sends what the last answers allow: the divergence sums of one more
     # length of contexts and counts of their extensions.
     for step in range(1, depth + 1):
+        scratch.release()
         answers.append(scratch.table(_answers(together(_go_on(model), ASKED)), f"step{step}"))
         model = Model(*setup, *size_of, frozenset([*range(1, min(step + 1, depth) + 2), *range(GAIN + 1, GAIN + step + 1)]))
     scratch.finish(blocks, *answers)
+    scratch.release()
 
     def finish(block: pa.Table, answered: pa.Table) -> pa.Table:
         row = block.select([c for c in block.column_names if c != "ids"]).to_pylist()[0]
