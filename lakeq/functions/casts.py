@@ -25,11 +25,11 @@ def lenient_int(c, type_name: str = "int") -> Column:
     """Integral cast with legacy truncation: '12.7' -> 12, '-1.9' -> -1, '.5' -> 0,
     '.' -> 0; '1e2', '1,000', '+', overflow -> NULL (trap T2).
 
-    Plain integer text takes the direct cast (same result); only text that
-    fails it goes through the regex."""
+    A failing cast costs ten times a pattern, so text with a dot takes the regex at
+    once; all other text takes the direct cast, which trims as the legacy one does."""
     text = _c(c).cast("string")
-    return F.coalesce(text.try_cast(type_name),
-                      F.regexp_replace(text, _INT_SHAPE, "${s}0${d}").try_cast(type_name))
+    dotted = F.regexp_replace(text, _INT_SHAPE, "${s}0${d}").try_cast(type_name)
+    return F.when(F.instr(text, ".") > 0, dotted).otherwise(text.try_cast(type_name))
 
 
 def numeric_text_ok(c) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeq.functions.casts import lenient_double, parse_date
@@ -63,20 +63,35 @@ def date_bounds(df: DataFrame, date_col, fmt: str = "yyyy-MM-dd") -> DataFrame:
     return df.agg(F.min(d).alias("min_date"), F.max(d).alias("max_date"))
 
 
-def missing_dates(df: DataFrame, date_col, by: list[str] | None = None, fmt: str = "yyyy-MM-dd") -> DataFrame:
-    """Calendar days between the first and last observed day with no row.
+def date_gaps(df: DataFrame, date_col, by: list[str] | None = None, fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """U2 as islands and gaps: (by..., gap_from, gap_to, gap_days), the runs of days
+    without a row between a group's first and last day.
 
-    Observed days are reduced map-side to distinct (group, day); the calendar
-    is generated from the bounds, so its size is the date range, not the data.
-    ``by`` gives a per-group calendar (each group's own first..last day)."""
+    Days are reduced to distinct (group, day) before the shuffle, so a hot group is no
+    longer than its calendar; each day is compared with the next one of its group."""
     by = list(by or [])
     d = _day(df, date_col, fmt)
     observed = df.select(*by, d.alias("day")).where(F.col("day").isNotNull()).distinct()
-    bounds = observed.groupBy(*by).agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
-    calendar = bounds.select(*by, F.explode(F.sequence("lo", "hi", F.expr("interval 1 day")))
-                             .alias("missing_date"))
-    return calendar.join(observed.withColumnRenamed("day", "missing_date"),
-                         [*by, "missing_date"], "left_anti")
+    if by:
+        after = observed.withColumn("after", F.lead("day").over(Window.partitionBy(*by).orderBy("day")))
+    else:  # one calendar: its months share the work, each with the first day of the next month that has one
+        month = observed.withColumn("month", F.trunc("day", "month"))
+        first = month.groupBy("month").agg(F.min("day").alias("first"))
+        following = first.select("month", F.lead("first").over(Window.orderBy("month")).alias("following"))
+        after = (month.withColumn("after", F.lead("day").over(Window.partitionBy("month").orderBy("day")))
+                 .join(F.broadcast(following), "month").withColumn("after", F.coalesce("after", "following")))
+    days = F.datediff("after", "day") - 1
+    return after.where(days > 0).select(*by, F.date_add("day", 1).alias("gap_from"),
+                                        F.date_sub("after", 1).alias("gap_to"), days.alias("gap_days"))
+
+
+def missing_dates(df: DataFrame, date_col, by: list[str] | None = None, fmt: str = "yyyy-MM-dd") -> DataFrame:
+    """Calendar days between the first and last observed day with no row.
+
+    Only the gaps are exploded, so the size goes with the result, not with groups times
+    calendar. ``by`` gives a per-group calendar (each group's own first..last day)."""
+    gaps = date_gaps(df, date_col, by, fmt)
+    return gaps.select(*(by or []), F.explode(F.sequence("gap_from", "gap_to", F.expr("interval 1 day"))).alias("missing_date"))
 
 
 def range_violations(df: DataFrame, column: str, min_value=0, max_value=None) -> DataFrame:

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from lakeq.functions.casts import NUMERIC_TEXT_PATTERN as _NUMERIC_RX
 from lakeq.functions.names import quoted as _q
 from lakeq.functions.text import profile_text
+from lakeq.operators.type_lattice import type_state, types_of
 from lakeq.session import ensure_checkpoint_dir
 
 # Fixed value: the type-issue text of the profile.
@@ -148,52 +149,10 @@ def profile_read(df: DataFrame) -> DataFrame:
                       for c in df.columns])
 
 
-_INT_TEXT = r"^[+-]?[0-9]+$"
-_BOOL_TOKENS = ("True", "False", "TRUE", "FALSE", "true", "false")
-
-
-def _text_class(c: str) -> str:
-    """What one text value looks like: integer, long integer (beyond bigint),
-    number, boolean or other. Integers take the cast, only the rest a pattern."""
-    t = f"trim(CAST({_q(c)} AS STRING))"
-    bools = ", ".join(_lit(b) for b in _BOOL_TOKENS)
-    return (f"CASE WHEN {_q(c)} IS NULL THEN NULL WHEN try_cast({t} AS BIGINT) IS NOT NULL THEN 'i' "
-            f"WHEN {t} RLIKE {_lit(_INT_TEXT)} THEN 'l' WHEN {t} RLIKE {_lit(_NUMERIC_RX)} THEN 'n' "
-            f"WHEN {t} IN ({bools}) THEN 'b' ELSE 'o' END")
-
-
 def infer_types(df: DataFrame) -> DataFrame:
-    """The type a data-frame reader would give each text column, decided
-    from all its values in one aggregate: 'bigint' when every value is an
-    integer and none is missing (integers with gaps become 'double'), 'double'
-    when every present value is a number (or none is present), 'boolean' for
-    complete True/False columns, else 'string'. Integers that bigint cannot hold
-    stay text, so that no digit is lost. Non-text columns keep their type."""
-    fields = without_nan(df).schema.fields
-    text = {f.name for f in fields if isinstance(f.dataType, T.StringType)}
-    classes = without_nan(df).selectExpr(*[
-        f"{_text_class(f.name) if f.name in text else _q(f.name) + ' IS NOT NULL'} AS k{i}" for i, f in enumerate(fields)])
-    aggs = {"n": "count(1)"}
-    for i, f in enumerate(fields):
-        if f.name in text:
-            aggs |= {f"nn{i}": f"count(k{i})"} | {f"{x}{i}": f"count_if(k{i} = '{x}')" for x in "ilnb"}
-        else:
-            aggs |= {f"nn{i}": f"count_if(k{i})"}
-    wide = classes.agg(*[F.expr(e).alias(a) for a, e in aggs.items()])
-    long = _stack(wide, [[_lit(f.name), _lit(f.dataType.simpleString()), "n", f"nn{i}"]
-                         + ([f"i{i}", f"l{i}", f"n{i}", f"b{i}"] if f.name in text else ["CAST(NULL AS BIGINT)"] * 4)
-                         for i, f in enumerate(fields)],
-                  ["column_name", "dtype", "n", "nn", "ints", "longs", "nums", "bools"])
-    return long.selectExpr(
-        "column_name", "CAST(nn AS BIGINT) AS non_null_count", "CAST(ints AS BIGINT) AS integer_count",
-        "CAST(ints + longs + nums AS BIGINT) AS numeric_count",
-        """CASE WHEN ints IS NULL THEN dtype
-                WHEN nn = 0 THEN 'double'
-                WHEN longs > 0 THEN 'string'
-                WHEN ints = nn AND nn = n THEN 'bigint'
-                WHEN ints + nums = nn THEN 'double'
-                WHEN bools = nn AND nn = n THEN 'boolean'
-                ELSE 'string' END AS inferred_type""")
+    """The type a data-frame reader would give each text column, decided from all
+    its values in one aggregate (see ``type_lattice``). Other columns keep their type."""
+    return types_of(type_state(without_nan(df)))
 
 
 def apply_inferred_types(df: DataFrame, types: dict[str, str]) -> DataFrame:

@@ -212,6 +212,17 @@ FROM pr""")
     return f"WITH {RAW_TEXT}, {_profile_read_cte()}\n" + "\nUNION ALL\n".join(parts)
 
 
+def _merged_profile() -> str:
+    parts = [f"""SELECT '{name}' AS column_name, 3::BIGINT AS runs, count(*) AS total_rows, count(*) - count({k}) AS missing_count,
+  round(100.0 * (count(*) - count({k})) / count(*), 2)::DOUBLE AS missing_percent,
+  CASE WHEN count({k}) > 0 AND count(DISTINCT {k}) <= 1000 THEN count(DISTINCT {k}) END AS distinct_values,
+  CASE WHEN count({k}) > 0 AND count(DISTINCT {k}) <= 1000 THEN
+    (SELECT max(n) FROM (SELECT count(*) AS n FROM pr WHERE {k} IS NOT NULL GROUP BY {k})) END AS most_frequent_count
+FROM pr""" for k, name in RAW_TEXT_NAMES.items()]
+    return (f"SELECT * FROM (WITH {RAW_TEXT}, {_profile_read_cte()}\n" + "\nUNION ALL\n".join(parts)
+            + f") JOIN (SELECT column_name, inferred_type FROM ({_inferred_types()})) USING (column_name)")
+
+
 def _missing_ranking() -> str:
     parts = [f"SELECT 'lineitem_raw' AS table_name, '{name}' AS column_name, count(*) - count({k}) AS missing_count "
              f"FROM pr" for k, name in RAW_TEXT_NAMES.items()]
@@ -445,8 +456,23 @@ FROM f LEFT JOIN r ON f.customer_key = r.customer_key""",
        p_name || [' "a ""b"', chr(10) || 'next, line', '; é€Ω', ',', ''][p_partkey % 5 + 1] AS p_name
 FROM part""",
     "csv_profile": _csv_profile(),
+    "csv_mixed_encodings": """SELECT CAST(p_partkey AS VARCHAR) AS p_partkey,
+       p_name || ' ' || ['é€Ω', 'é€', 'é' || chr(129)][p_partkey % 3 + 1] AS p_name,
+       ['utf-8', 'cp1252', 'latin1'][p_partkey % 3 + 1] AS encoding
+FROM part""",
+    "merged_profile": _merged_profile(),
+    "date_gaps_by_customer": """WITH obs AS (SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL),
+n AS (SELECT o_custkey, d, lead(d) OVER (PARTITION BY o_custkey ORDER BY d) AS e FROM obs)
+SELECT o_custkey, d + 1 AS gap_from, e - 1 AS gap_to, CAST(e - d - 1 AS INTEGER) AS gap_days FROM n WHERE e - d > 1""",
+    "missing_dates_by_priority": """WITH obs AS (
+  SELECT DISTINCT o_orderpriority, CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderdate IS NOT NULL),
+cal AS (SELECT o_orderpriority, CAST(unnest(generate_series(CAST(min(d) AS TIMESTAMP), CAST(max(d) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE)
+          AS missing_date FROM obs GROUP BY o_orderpriority)
+SELECT * FROM cal WHERE NOT EXISTS (SELECT 1 FROM obs WHERE obs.d = cal.missing_date
+                                    AND obs.o_orderpriority IS NOT DISTINCT FROM cal.o_orderpriority)""",
     "column_catalog": "\nUNION ALL\n".join(
-        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS dtype" for t, cols in SCHEMAS.items() for c, k in cols),
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{k}' AS dtype, count({c}) AS non_null_count FROM {t}"
+        for t, cols in SCHEMAS.items() for c, k in cols),
     "inferred_long_keys": """SELECT CAST('1234567890' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS BIGINT) AS key19,
        '999999999999' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS key21 FROM orders""",
     "typed_numbers": f"""WITH {PART_TEXT}

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from lakeq.contracts import Lineage, TableContract, ValidationRules
 from lakeq.functions.casts import lenient_double
 from lakeq.functions.text import blank_to_null, clean_file_name, na_to_null, whitespace_to_null
-from lakeq.operators import checks, curate, profile, refine, serve, validate
+from lakeq.operators import checks, curate, profile, profile_state, refine, serve, validate
+from lakeq.operators.type_lattice import types_of
 from lakeq.plans.discovery import read_for_profiling
 from lakeq.plans.tables import (
     customer_gaps,
@@ -28,11 +29,12 @@ from lakeq.plans.tables import (
     load,
     orders_long_keys,
     orders_reference,
+    part_by_encoding,
     part_odd_text,
     part_text,
 )
 from lakeq.session import scratch_path
-from lakeq.sources.csv import read_csv_with_fallback
+from lakeq.sources.csv import read_csv_by_file, read_csv_with_fallback
 from lakeq.sources.manifest import last_entries, manifest_records, pending_files
 from lakeq.sources.sinks import publish, read_run, write_partitioned, write_quarantine, write_run, write_table
 
@@ -373,6 +375,45 @@ def csv_roundtrip(spark, sf):
     return read_csv_with_fallback(spark, _written_csv(spark, part_odd_text(spark, sf), "parts"), multi_line=True)[0]
 
 
+def csv_mixed_encodings(spark, sf):
+    """Files of three encodings in one folder, each decoded by its own."""
+    path = scratch_path(spark, "mixed")
+    parts = part_by_encoding(spark, sf)
+    # The byte of the euro sign in Windows-1252 is that of U+0080 in Latin-1.
+    as_cp1252 = F.translate("p_name", "\u20ac", "\u0080")
+    for i, (encoding, name) in enumerate((("UTF-8", F.col("p_name")), ("ISO-8859-1", as_cp1252), ("ISO-8859-1", F.col("p_name")))):
+        (parts.where(F.col("p_partkey").cast("long") % 3 == i).withColumn("p_name", name).write.mode("append")
+         .option("header", True).option("quoteAll", True).option("encoding", encoding).csv(path))
+    return read_csv_by_file(spark, path).select("p_partkey", "p_name", F.col("source_encoding").alias("encoding"))
+
+
+def merged_profile(spark, sf):
+    """C5 + A6-A8 + P22: the profile of three runs from their stored states alone."""
+    raw = profile.profile_read(lineitem_raw(spark, sf))
+    path = scratch_path(spark, "profile-state")
+    for i in range(3):
+        run = raw.where(F.col("` L OrderKey `").cast("long") % 3 == i)
+        profile_state.run_state(run, f"r{i}").write.parquet(f"{path}/state/run_id=r{i}")
+        state = spark.read.parquet(f"{path}/state/run_id=r{i}")
+        profile_state.run_values(run, state, f"r{i}").write.mode("append").parquet(f"{path}/values")
+    states = spark.read.parquet(f"{path}/state/run_id=r0", f"{path}/state/run_id=r1", f"{path}/state/run_id=r2")
+    merged = profile_state.merge_states(states)
+    whole = profile_state.merge_values(states, spark.read.parquet(f"{path}/values"))
+    return profile_state.profile_of(merged, whole).join(types_of(merged), "column_name").select(
+        "column_name", "runs", "total_rows", "missing_count", "missing_percent", "distinct_values", "most_frequent_count",
+        "inferred_type")
+
+
+def date_gaps_by_customer(spark, sf):
+    """The runs of days on which a customer ordered nothing."""
+    return checks.date_gaps(load(spark, sf, "orders"), "o_orderdate", by=["o_custkey"])
+
+
+def missing_dates_by_priority(spark, sf):
+    """Each priority's days without an order."""
+    return checks.missing_dates(load(spark, sf, "orders"), "o_orderdate", by=["o_orderpriority"])
+
+
 def csv_profile(spark, sf):
     """S2 + P15 + P16 + P22 over a CSV file: missing values of each typed column."""
     typed, _, types = read_for_profiling(spark, _written_csv(spark, lineitem_raw(spark, sf), "lineitem"))
@@ -421,7 +462,13 @@ def profile_columns(spark, sf):
 
 
 def column_catalog(spark, sf):
-    return _union([profile.column_catalog(load(spark, sf, t), t) for t in PROFILED])
+    """The catalog of the tables, with the values that each column really holds."""
+    def counted(table: str) -> DataFrame:
+        df = load(spark, sf, table)
+        present = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(df.columns)]).select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("non_null_count")) for i, c in enumerate(df.columns)])))
+        return profile.column_catalog(df, table).join(F.broadcast(present), "column_name")  # one row a column
+    return _union([counted(t) for t in PROFILED]).select("table_name", "column_name", "dtype", "non_null_count")
 
 
 def inferred_long_keys(spark, sf):
@@ -547,6 +594,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "published_fact": published_fact,
     "csv_roundtrip": csv_roundtrip,
     "csv_profile": csv_profile,
+    "csv_mixed_encodings": csv_mixed_encodings,
+    "merged_profile": merged_profile,
+    "date_gaps_by_customer": date_gaps_by_customer,
+    "missing_dates_by_priority": missing_dates_by_priority,
     "column_catalog": column_catalog,
     "inferred_long_keys": inferred_long_keys,
     "typed_numbers": typed_numbers,

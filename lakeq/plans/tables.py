@@ -138,3 +138,11 @@ def customer_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
            .when(_m("c_custkey", 23), F.lit("unknown")).when(_m("c_custkey", 29), F.lit("  "))
            .when(_m("c_custkey", 31), F.lit("-")).otherwise(F.col("c_mktsegment")))
     return c.select("c_custkey", seg.alias("segment_text"))
+
+
+def part_by_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part names that end in characters which tell three encodings apart."""
+    tail = F.array(*[F.lit(x) for x in ("\u00e9\u20ac\u03a9", "\u00e9\u20ac", "\u00e9\u0081")])
+    return load(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("p_partkey"),
+        F.concat("p_name", F.lit(" "), F.element_at(tail, (F.col("p_partkey") % 3 + 1).cast("int"))).alias("p_name"))

@@ -80,3 +80,43 @@ def read_csv_with_fallback(spark: SparkSession, path, encodings=DEFAULT_ENCODING
         names = [n.removeprefix("﻿") if i == 0 else n for i, n in enumerate(names)]
         return raw.select([decode(c).alias(n) for c, n in zip(cols, names)]), encoding
     raise ValueError(f"{path}: its bytes fit none of {', '.join(wanted)}")
+
+
+def read_csv_by_file(spark: SparkSession, path, encodings=DEFAULT_ENCODINGS, multi_line: bool = False,
+                     file_col: str = "source_file", encoding_col: str = "source_encoding") -> DataFrame:
+    """S2 over a folder whose files differ in encoding: the first of ``encodings`` that
+    every byte of a file fits is chosen for that file, and its rows are decoded by it.
+
+    One aggregate by file tests the bytes; its rows (one a file) are joined back to the
+    text by file, so the text is read twice and never shuffled while files are few.
+    Adds the file and its encoding as columns. A file that fits none has a NULL encoding
+    and NULL values, so that the others can still be used; names of columns are taken
+    as UTF-8 where they are, else as the last encoding."""
+    wanted = [e.lower() for e in encodings]
+    unknown = [e for e in wanted if e not in ("utf-8", "cp1252", "latin1")]
+    if unknown:
+        raise ValueError(f"encoding {unknown[0]!r} is not one of {', '.join(DEFAULT_ENCODINGS)}")
+    raw = read_csv_strings(spark, path, "ISO-8859-1", multi_line)
+    cols = {c: F.col(quoted(c)) for c in raw.columns}
+    rows = raw.select(*cols.values(), F.col("_metadata.file_path").alias(file_col))
+    fails = {"utf-8": _any([~F.is_valid_utf8(_as_utf8(c)) for c in cols.values()]),
+             "cp1252": _any([c.rlike(f"[{_CP1252_UNDEFINED}]") for c in cols.values()]), "latin1": F.lit(False)}
+    chosen = F.coalesce(*[F.when(~F.bool_or(fails[e]), F.lit(e)) for e in wanted], F.lit(None).cast("string"))
+    verdicts = rows.groupBy(file_col).agg(chosen.alias(encoding_col))
+    decoded = {"utf-8": _as_utf8, "cp1252": lambda c: F.translate(c, _CP1252_FROM, _CP1252_TO), "latin1": lambda c: c}
+
+    def name(c: str) -> str:
+        data = c.encode("latin-1", "ignore")
+        try:
+            return data.decode("utf-8").removeprefix("\ufeff")
+        except UnicodeDecodeError:
+            return data.decode(wanted[-1])
+
+    def value(c: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for e in wanted:
+            out = F.when(F.col(encoding_col) == e, decoded[e](c)).otherwise(out)
+        return out
+
+    # A side of one row a file: AQE broadcasts it while it is small, else the join shuffles.
+    return rows.join(verdicts, file_col).select(*[value(v).alias(name(c)) for c, v in cols.items()], file_col, encoding_col)
