@@ -65,19 +65,27 @@ def unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(data, t, offset=1).astype(np.int64)
 
 
-def _keys(h: np.ndarray, whole: bool) -> bytes:
-    """Sorted hashes of one range: all 8 bytes, or the 5 below the top 24 bits."""
-    size = slice(0, 8) if whole else slice(0, 5)
-    return np.ascontiguousarray(h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, size]).tobytes()
+def _gaps(values: np.ndarray) -> bytes:
+    """Rising numbers as the first and the gaps between them, in as few bytes as the largest needs."""
+    gaps = np.diff(values, prepend=np.uint64(0))
+    size = max(1, -(-int(gaps.max(initial=0)).bit_length() // 8)) if len(gaps) < 2 else max(
+        1, -(-int(gaps[1:].max()).bit_length() // 8))
+    raw = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return bytes([size]) + raw[:1].tobytes() + np.ascontiguousarray(raw[1:, :size]).tobytes()
 
 
-def _unkeys(data: bytes, whole: bool) -> np.ndarray:
-    if whole:
-        return np.frombuffer(data, "<u8")
-    raw = np.frombuffer(data, np.uint8).reshape(-1, 5)
-    out = np.zeros((len(raw), 8), np.uint8)
-    out[:, :5] = raw
-    return out.reshape(-1).view("<u8")
+def _ungaps(data: bytes) -> np.ndarray:
+    size, first = data[0], np.frombuffer(data[1:9], "<u8")
+    rest = np.frombuffer(data, np.uint8, offset=1 + 8 * len(first)).reshape(-1, size)
+    gaps = np.zeros((len(rest), 8), np.uint8)
+    gaps[:, :size] = rest
+    return np.cumsum(np.concatenate((first, gaps.reshape(-1).view("<u8"))), dtype=np.uint64)
+
+
+def _keys(h: np.ndarray, whole: bool, bits: int) -> bytes:
+    """Sorted hashes of one range, which is their first ``bits``: whole, or the 40 bits
+    that follow (equal ones stay apart, in order)."""
+    return _gaps(h if whole else (h << _U(bits)) >> _U(24))
 
 
 class Block:
@@ -107,7 +115,7 @@ class Level:
 
     def __init__(self, keys: np.ndarray, ranges: int):
         self.distinct, self.inverse = np.unique(keys, return_inverse=True)
-        bits = ranges.bit_length() - 1
+        self.bits = bits = ranges.bit_length() - 1
         edges = np.arange(1, ranges, dtype=np.uint64) << _U(64 - bits) if bits else np.zeros(0, np.uint64)
         self.cut = np.concatenate(([0], np.searchsorted(self.distinct, edges, "left"), [len(self.distinct)]))
 
@@ -117,7 +125,7 @@ class Level:
         np.add.at(sums, self.inverse, values)
         for r in np.flatnonzero(np.diff(self.cut)).tolist():
             a, b = self.cut[r], self.cut[r + 1]
-            yield kind, r, _keys(self.distinct[a:b], whole), pack(sums[a:b])
+            yield kind, r, _keys(self.distinct[a:b], whole, self.bits), pack(sums[a:b])
 
     def answer(self, got: dict[int, bytes]) -> np.ndarray:
         """The answered sums, by position."""
@@ -218,7 +226,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             return pa.RecordBatch.from_arrays([
                 pa.array([number]), pa.array([pa.concat_arrays([i for _, _, i, _ in held]).to_pylist()], pa.list_(ids)),
                 pa.array([np.concatenate([t for _, _, _, t in held]).tobytes()], pa.binary()),
-                pa.array([words.tobytes()], pa.binary()),
+                pa.array([_gaps(words)], pa.binary()),
                 pa.array([shrink(codes.astype(np.int32).tobytes())], pa.binary()),
                 pa.array([per_text.astype(np.int64).tobytes()], pa.binary())],
                 names=["block", "ids", "training", "words", "codes", "per_text"])
@@ -245,7 +253,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
 def _block(row: dict) -> Block:
     codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"]), np.int32)
-    return Block(np.frombuffer(row["words"], np.uint64), codes, np.frombuffer(row["per_text"], np.int64),
+    return Block(_ungaps(row["words"]), codes, np.frombuffer(row["per_text"], np.int64),
                  np.frombuffer(row["training"], bool))
 
 
@@ -267,8 +275,7 @@ def _answers(asked: DataFrame) -> DataFrame:
 
     def add(group: pa.Table) -> pa.Table:
         kind, part = group["kind"][0].as_py(), group["part"][0].as_py()
-        whole = kind in (1, GAIN + 1)
-        keys = [_unkeys(k, whole) for k in group["keys"].to_pylist()]
+        keys = [_ungaps(k) for k in group["keys"].to_pylist()]
         distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
         sums = np.zeros(len(distinct), np.int64)
         np.add.at(sums, inverse, np.concatenate([unpack(s) for s in group["sums"].to_pylist()]))
@@ -327,7 +334,7 @@ def score(docs: DataFrame, depth: int = 2, min_count: int = 8, min_gain: float =
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        is_training(F.col(id_col), folds, held_out).alias("training"))
     blocks = scratch.table(_blocks(thin), "blocks")
-    size = blocks.agg(F.count("*").alias("blocks"), F.sum(F.length("words") / 8).alias("words")).first()
+    size = blocks.agg(F.count("*").alias("blocks"), F.sum(F.length("words") / 6).alias("words")).first()
     least = (2 * parallelism(spark)).bit_length()
 
     def ranges(entries: float) -> int:
@@ -357,11 +364,9 @@ def score(docs: DataFrame, depth: int = 2, min_count: int = 8, min_gain: float =
     # Each step sends what the last answers allow: the divergence sums of one more
     # length of contexts and counts of their extensions.
     for step in range(1, depth + 1):
-        scratch.release()
         answers.append(scratch.table(_answers(together(_go_on(model), ASKED)), f"step{step}"))
         model = Model(*setup, *size_of, frozenset([*range(1, min(step + 1, depth) + 2), *range(GAIN + 1, GAIN + step + 1)]))
     scratch.finish(blocks, *answers)
-    scratch.release()
 
     def finish(block: pa.Table, answered: pa.Table) -> pa.Table:
         row = block.select([c for c in block.column_names if c != "ids"]).to_pylist()[0]
