@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeq.session import scratch_path
@@ -68,12 +66,6 @@ class Scratch:
     def finish(self, *kept: DataFrame) -> None:
         self._delete([p for p in self.paths if p not in {t._scratch_path for t in kept}])
 
-    def release(self) -> None:
-        """Let Spark remove the shuffle files of steps that have been written: its cleaner
-        acts on collected plans, and a driver with little to do seldom collects."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
     def _delete(self, paths: list[str]) -> None:
         jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
         for p in paths:

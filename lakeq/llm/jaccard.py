@@ -28,9 +28,8 @@ that share a signature only the first goes to the signature's range, the others
 are written with it, so no signature gathers more entries than there are map
 blocks. Candidate pairs are verified on the whole sets.
 
-For components, each signature's sets are first compared with one of them, then one
-set of each component with one of another. Sets that share a signature but still lie in
-different components (near copies of one text that are not near enough to each other)
+For components, each signature's sets are first compared with one of them. Sets that
+share a signature but still lie in different components (near copies of one text that are not near enough to each other)
 would make pairs with the square of their number, so these are joined by what tells
 them apart. Sets that share several signatures form a cluster with one of them as its
 centre c, and in clusters of more than ``GROUP`` each set X becomes its difference D(X)
@@ -447,10 +446,13 @@ def _differences(clustered: DataFrame, sets: DataFrame) -> DataFrame:
                            ).where("d <= n")
 
 
+def _links_center(percent: int) -> Column:
+    return (100 + percent) * F.col("d") <= (100 - percent) * (F.col("n") + F.col("n_center"))
+
+
 def _near_center(apart: DataFrame, percent: int) -> DataFrame:
     """The sets that link with the centre of their cluster, as links."""
-    near = apart.where((F.col("key") != F.col("center"))
-                       & ((100 + percent) * F.col("d") <= (100 - percent) * (F.col("n") + F.col("n_center"))))
+    near = apart.where((F.col("key") != F.col("center")) & _links_center(percent))
     first = F.col("key") < F.col("center")
     n, n_center = F.col("n").cast("long"), F.col("n_center").cast("long")
     return near.select(
@@ -606,24 +608,13 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
                      .where("least <> most").select("sig", "least"))
             return scratch.table(members.join(mixed, "sig"), name)
 
-        # One set of each component, by a hash that differs between signatures, with one
-        # of the least component: a set of a large group meets as many of its members
-        # as it has signatures.
-        open_ = unjoined("open1")
-        one = open_.groupBy("sig", "component", "least").agg(
-            F.min(F.struct(F.xxhash64("sig", "key").alias("h"), "key", "n")).alias("one"))
-        one = scratch.table(one.select("sig", "component", "least", "one.key", "one.n"), "one")
-        center = one.where("component = least").select("sig", F.col("key").alias("first"), F.col("n").alias("first_n"))
-        met = one.where("component <> least").join(center, "sig").where(close).select(a, b).distinct()
-        tested.append(scratch.table(untested(met), "met"))
-        found.append(verified(tested[-1], "found1"))
         # What is left: sets of different components that share a signature. Those of
         # large clusters are compared by their differences, others (few) pair by pair.
-        open_ = unjoined("open2")
-        scratch.release()
+        open_ = unjoined("open")
         clustered = _clusters(open_, scratch)
         sets = scratch.table(_wanted_sets(thin, clustered.select("key"), k), "clustered-sets")
-        apart = scratch.table(_differences(clustered, sets), "differences")
+        component = open_.select("key", "component").distinct()
+        apart = scratch.table(_differences(clustered, sets).join(component, "key"), "differences")
         found.append(scratch.table(_near_center(apart, percent), "centered"))
         both = open_.drop("least").join(apart.select("key", "cluster"), "key", "left").withColumn(
             "cluster", F.coalesce("cluster", "key"))
@@ -631,16 +622,16 @@ def join_documents(docs: DataFrame, k: int = 5, percent: int = 80, every_link: b
                             F.col("component").alias("other"), F.col("cluster").alias("other_cluster"))
         met = both.join(other, "sig").where(F.col("component") < F.col("other")).where(
             F.col("cluster") != F.col("other_cluster")).where(close).select(a, b).distinct()
-        tested.append(scratch.table(untested(met), "met1"))
-        found.append(verified(tested[-1], "found2"))
-        links = reduce(DataFrame.union, found)
-        part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
-        apart = scratch.table(apart.join(part.withColumnRenamed("node", "key"), "key", "left").withColumn(
-            "component", F.coalesce("component", "key")), "apart")
+        tested.append(scratch.table(untested(met), "met"))
+        found.append(verified(tested[-1], "found1"))
+        # Links with the centre, already found, leave these sets in its component.
+        centers = component.select(F.col("key").alias("center"), F.col("component").alias("of_center"))
+        apart = scratch.table(apart.join(centers, "center").withColumn("component", F.when(
+            _links_center(percent), F.col("of_center")).otherwise(F.col("component"))), "apart")
         prefix = scratch.table(_prefixes(apart, percent), "prefixes")
         large = prefix.where(F.col("members") > GROUP)
         met = _prefix_pairs(prefix.where(F.col("members") <= GROUP), percent)
-        found.append(verified(scratch.table(untested(met), "met2"), "found3"))
+        found.append(verified(scratch.table(untested(met), "met2"), "found2"))
         found.append(scratch.table(_tiled(large, apart, percent), "tiled"))
     links = reduce(DataFrame.union, found)
     part = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")), scratch)
