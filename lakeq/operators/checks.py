@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeq.functions.casts import lenient_double, parse_date
@@ -63,6 +63,22 @@ def date_bounds(df: DataFrame, date_col, fmt: str = "yyyy-MM-dd") -> DataFrame:
     return df.agg(F.min(d).alias("min_date"), F.max(d).alias("max_date"))
 
 
+def file_bounds(spark: SparkSession, path: str, columns) -> DataFrame:
+    """A13 / A18 from file statistics: row_count, and min_ and max_ of whole-number and date
+    columns, of a Parquet folder whose writer kept them (Spark does). Only the footers
+    are read. The setting for it lives in a session of its own."""
+    own = spark.newSession()
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.sources.useV1SourceList", "")
+    df = own.read.parquet(path)
+    fit = ("tinyint", "smallint", "int", "bigint", "date")
+    unfit = [c for c in columns if dict(df.dtypes)[c] not in fit]
+    if unfit:
+        raise ValueError(f"files hold no exact bounds of {unfit}; take date_bounds or numeric_summary")
+    return df.agg(F.count(F.lit(1)).alias("row_count"), *[
+        f(c).alias(f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))])
+
+
 def date_gaps(df: DataFrame, date_col, by: list[str] | None = None, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """U2 as islands and gaps: (by..., gap_from, gap_to, gap_days), the runs of days
     without a row between a group's first and last day.

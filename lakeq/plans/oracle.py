@@ -7,6 +7,8 @@ DataFrame plans. Decimal sums are cast to DOUBLE at the end on both sides.
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from lakeq.functions.text import NA_TOKENS
 
 NUMERIC_RX = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
@@ -391,6 +393,25 @@ UNION ALL SELECT {STG_COLS.replace('s.', '')}, 'negative_lineitem_amounts' FROM
 UNION ALL SELECT {STG_COLS.replace('s.', '')}, 'unmatched_orders_reference_warning'
 FROM tagged WHERE is_unmatched"""
 
+def _correlation_matrix() -> str:
+    names = ("quantity", "extended_price", "discount", "tax")
+    totals = ", ".join(f"CAST(sum({c}) AS DOUBLE) AS {n}" for n, c in zip(
+        names, ("l_quantity", "l_extendedprice", "l_discount", "l_tax")))
+    pairs = list(combinations((*names, "s_acctbal"), 2))
+    rows = " UNION ALL ".join(f"SELECT '{x}' AS x, '{y}' AS y, count(*) AS n_pairs, round(corr({x}, {y}), 9) AS correlation "
+                              "FROM a" for x, y in pairs)
+    return f"""WITH {MEASURES}, t AS (SELECT l_suppkey, {totals} FROM m GROUP BY l_suppkey),
+a AS (SELECT t.*, s.s_acctbal FROM t JOIN supplier s ON s.s_suppkey = t.l_suppkey)
+{rows}"""
+
+
+SERVED = """served AS (
+  SELECT o.o_orderkey, o.o_custkey, o.o_orderstatus, CAST(o.o_totalprice AS DECIMAL(12,2)) AS o_totalprice,
+    CAST(o.o_orderdate AS DATE) AS o_orderdate, o.o_orderpriority, CAST(year(o.o_orderdate) AS INTEGER) AS order_year,
+    CAST(month(o.o_orderdate) AS INTEGER) AS order_month, c.c_nationkey AS cust_nation, c.c_mktsegment AS cust_segment,
+    c.c_acctbal AS cust_balance
+  FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey)"""
+
 ORACLE: dict[str, str] = {
     "refine_typed": _refine_typed(),
     "cast_loss": _cast_loss(),
@@ -594,4 +615,29 @@ FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc
     "manifest_pending": _manifest_pending(),
     "clean_file_name": f"""WITH p AS (SELECT p_partkey, ' ' || p_brand || '/' || p_name || '\\x ' AS raw_name FROM part)
 SELECT p_partkey, raw_name, {_clean_name('raw_name')} AS file_name FROM p""",
+    "duplicates_across_runs": f"""WITH {STAGED},
+k AS (SELECT l_orderkey, l_linenumber, l_suppkey % 3 AS run, count(*) AS run_copies FROM stg
+      WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL GROUP BY ALL),
+h AS (SELECT *, coalesce(sum(run_copies) OVER w, 0) AS prior_copies, min(run) OVER w AS first_run FROM k
+      WINDOW w AS (PARTITION BY l_orderkey, l_linenumber ORDER BY run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT {STG_COLS}, h.run_copies, CAST(h.prior_copies AS BIGINT) AS prior_copies, 'r' || h.first_run AS first_run,
+       'r' || h.run AS run_id
+FROM stg s JOIN h ON s.l_orderkey = h.l_orderkey AND s.l_linenumber = h.l_linenumber AND s.l_suppkey % 3 = h.run
+WHERE h.run_copies > 1 OR h.prior_copies > 0""",
+    "snapshot_dashboard": f"WITH {SERVED}\nSELECT * FROM served",
+    "snapshot_total_by_customer_month": f"""WITH {SERVED}
+SELECT o_custkey, cust_nation, order_year, order_month, CAST(sum(o_totalprice) AS DOUBLE) AS total_hours
+FROM served GROUP BY o_custkey, cust_nation, order_year, order_month""",
+    "correlation_matrix": _correlation_matrix(),
+    "files_by_content": """WITH l AS (
+  SELECT 'b' || p_partkey % 5 AS dataset, p_partkey || ',' || p_name AS a,
+    CASE WHEN p_partkey % 5 % 2 = 1 THEN p_partkey || ',' || replace(p_name, 'e', 'o') ELSE p_partkey || ',' || p_name END AS b
+  FROM part)
+SELECT dataset, count(*) AS lines, CAST(sum(strlen(b) + 1) AS BIGINT) AS size_bytes,
+       CASE WHEN bool_and(a = b) THEN 'r1' END AS known_run
+FROM l GROUP BY dataset""",
+    "file_bounds": """SELECT count(*) AS row_count, min(o_orderkey) AS min_o_orderkey, max(o_orderkey) AS max_o_orderkey,
+       min(o_custkey) AS min_o_custkey, max(o_custkey) AS max_o_custkey,
+       min(CAST(o_orderdate AS DATE)) AS min_o_orderdate, max(CAST(o_orderdate AS DATE)) AS max_o_orderdate
+FROM orders""",
 }

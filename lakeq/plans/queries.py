@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lakeq.contracts import Lineage, TableContract, ValidationRules
 from lakeq.functions.casts import lenient_double
 from lakeq.functions.text import blank_to_null, clean_file_name, na_to_null, whitespace_to_null
-from lakeq.operators import checks, curate, profile, profile_state, refine, serve, validate
+from lakeq.operators import checks, comoments, curate, key_index, profile, profile_state, refine, serve, validate
 from lakeq.operators.type_lattice import types_of
 from lakeq.plans.discovery import read_for_profiling
 from lakeq.plans.tables import (
@@ -34,6 +34,7 @@ from lakeq.plans.tables import (
     part_text,
 )
 from lakeq.session import scratch_path
+from lakeq.sources import ledger, snapshots
 from lakeq.sources.csv import read_csv_by_file, read_csv_with_fallback
 from lakeq.sources.manifest import last_entries, manifest_records, pending_files
 from lakeq.sources.sinks import publish, read_run, write_partitioned, write_quarantine, write_run, write_table
@@ -79,6 +80,7 @@ GENERIC_FLAG_VALUES = {
 }
 HOURS = {"quantity": "l_quantity", "extended_price": "l_extendedprice", "discount": "l_discount",
          "tax": "l_tax"}
+SERVING_BUCKETS = 32  # of the tables here; larger ones take as many as tasks are to read them
 PROFILED = ("lineitem", "orders", "customer", "part", "supplier", "events")
 DECLARED_KEYS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
@@ -259,6 +261,33 @@ def fact_view_flags(spark, sf):
     return serve.fact_view(docs, _doc_dimension(spark, sf), "doc_id", GENERIC_FLAGS, DOC_FACT_VIEW)
 
 
+def _served_orders(spark, sf):
+    """Orders by month and customers, written in equal buckets and taken from one commit."""
+    orders = _dated(load(spark, sf, "orders")).withColumns({
+        "o_totalprice": F.col("o_totalprice").cast("decimal(12,2)"),
+        "order_year": F.year("o_orderdate"), "order_month": F.month("o_orderdate")})
+    customers = load(spark, sf, "customer").withColumnRenamed("c_custkey", "o_custkey")
+    path = scratch_path(spark, "serving")
+    attempt = snapshots.write_serving(
+        orders, customers, key="o_custkey", fact_name="lakeq_orders", dim_name="lakeq_customers", base=path,
+        attempt=path.rsplit("-", 1)[-1], buckets=SERVING_BUCKETS, partition_cols=("order_year",))
+    snapshots.commit(spark, "lakeq_serving", attempt)
+    served = snapshots.open_snapshot(spark, "lakeq_serving")
+    return snapshots.dashboard(served["lakeq_orders"], served["lakeq_customers"], "o_custkey",
+                               {"cust_nation": "c_nationkey", "cust_segment": "c_mktsegment", "cust_balance": "c_acctbal"})
+
+
+def snapshot_dashboard(spark, sf):
+    """J5 + S12 + S13: the dashboard join over one commit of two bucketed tables."""
+    return _served_orders(spark, sf)
+
+
+def snapshot_total_by_customer_month(spark, sf):
+    """M5 + M6 over the same commit."""
+    return serve.total_by(_served_orders(spark, sf), ["o_custkey", "cust_nation", "order_year", "order_month"],
+                          ["o_totalprice"])
+
+
 def _rounded(df: DataFrame, digits: int, *cols: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in cols})
 
@@ -319,6 +348,18 @@ def corr_load_ratio(spark, sf):
     return _rounded(serve.correlation(pairs, "ratio", "s_acctbal"), 9, "correlation")
 
 
+def correlation_matrix(spark, sf):
+    """J6 + M9: correlations of all pairs of a supplier's measures, from three runs' states."""
+    totals = lineitem_measures(spark, sf).groupBy("l_suppkey").agg(*[
+        F.sum(c).cast("double").alias(name) for name, c in HOURS.items()])
+    aligned = _with_balance(spark, sf, totals)
+    path = scratch_path(spark, "pair-state")
+    for i in range(3):
+        run = aligned.where(F.col("l_suppkey") % 3 == i)
+        write_run(comoments.pair_state(run, [*HOURS, "s_acctbal"]), path, f"r{i}")
+    return _rounded(comoments.correlations(comoments.merge_states(spark.read.parquet(path))), 9, "correlation")
+
+
 def perm_vs_contract(spark, sf):
     out = serve.perm_vs_contract(lineitem_measures(spark, sf), ["l_linestatus"],
                                  ["l_extendedprice"], ["l_discount"], "l_quantity")
@@ -329,6 +370,20 @@ def reference_gap(spark, sf):
     return serve.reference_gap(load(spark, sf, "documents"), "doc_id", load(spark, sf, "labels"), "doc_id")
 
 
+def duplicates_across_runs(spark, sf):
+    """F3 + J1 over runs: each run's rows whose key repeats in it or in an earlier run; a
+    run is added to the index after its check."""
+    staged, path = lineitem_staged(spark, sf), scratch_path(spark, "key-index")
+    index = f"lakeq_keys_{path.rsplit('-', 1)[-1]}"
+    key_index.create_key_index(spark, index, f"{path}/index", {"l_orderkey": "bigint", "l_linenumber": "int"},
+                               SERVING_BUCKETS)
+    for i in range(3):
+        run = staged.where(F.col("l_suppkey") % 3 == i)
+        write_run(key_index.duplicates_against_history(run, index, f"r{i}"), f"{path}/found", f"r{i}")
+        key_index.add_run(run, index, f"r{i}")
+    return spark.read.parquet(f"{path}/found")
+
+
 # ---- lake I/O ---------------------------------------------------------------
 
 def partition_roundtrip(spark, sf):
@@ -442,6 +497,25 @@ def manifest_pending(spark, sf):
     return pending_files(_page_manifest(pages, "r2"), processed)
 
 
+def files_by_content(spark, sf):
+    """Five landed files, published by a run; of the next run's files some have other
+    content of the same size, the rest the same lines in other files."""
+    path = scratch_path(spark, "landed")
+    lines = load(spark, sf, "part").select(
+        "p_partkey", "p_name", F.concat(F.lit("b"), F.col("p_partkey") % 5).alias("dataset"))
+
+    def landed(run: str, name) -> DataFrame:
+        lines.select("dataset", F.concat_ws(",", "p_partkey", name)).repartition(5, "dataset").write.partitionBy(
+            "dataset").text(f"{path}/{run}")
+        return ledger.file_digests(spark, f"{path}/{run}").withColumn("dataset", F.regexp_extract("path", "dataset=([^/]+)", 1))
+    first = landed("r1", F.col("p_name")).withColumns({
+        "refined_run": F.lit("r1"), "at": F.lit(RUN_TS).cast("timestamp")})
+    ledger.record_files(first, f"{path}/ledger", "r1", "published")
+    second = landed("r2", F.when(F.col("p_partkey") % 5 % 2 == 1, F.translate("p_name", "e", "o")).otherwise(F.col("p_name")))
+    return ledger.known_files(second, ledger.read_files(spark, f"{path}/ledger")).select(
+        "dataset", "lines", "size_bytes", "known_run")
+
+
 def manifest_last_entries(spark, sf):
     """Of each host's entries, the last one."""
     entries = _page_manifest(load(spark, sf, "pages"), "r2", pos="page_id")
@@ -536,6 +610,13 @@ def missing_dates(spark, sf):
     return checks.missing_dates(load(spark, sf, "orders"), "o_orderdate")
 
 
+def file_bounds(spark, sf):
+    """A13 + A18: rows and bounds of written orders, from the footers of their files."""
+    orders = _dated(load(spark, sf, "orders")).select("o_orderkey", "o_custkey", "o_orderdate")
+    path = write_run(orders, scratch_path(spark, "bounds"), RUN_ID)
+    return checks.file_bounds(spark, path, ["o_orderkey", "o_custkey", "o_orderdate"])
+
+
 def date_range(spark, sf):
     return checks.date_bounds(load(spark, sf, "orders"), "o_orderdate")
 
@@ -606,4 +687,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reference_gap": reference_gap,
     "manifest_pending": manifest_pending,
     "clean_file_name": clean_file_names,
+    "duplicates_across_runs": duplicates_across_runs,
+    "snapshot_dashboard": snapshot_dashboard,
+    "snapshot_total_by_customer_month": snapshot_total_by_customer_month,
+    "correlation_matrix": correlation_matrix,
+    "files_by_content": files_by_content,
+    "file_bounds": file_bounds,
 }

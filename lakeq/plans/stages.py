@@ -2,13 +2,15 @@
 first failed gate and re-raising it (trap T20).
 
 Paths are plain parameters; every stage reads what the previous one wrote, so
-a stage can be re-run alone after a failure (the stage-level retry of the
-source workflow is the scheduler's job, not this library's).
+a stage can be re-run alone after a failure. ``run_stages(resume=True)`` starts at the
+first stage that a run with the same files has not finished. Only datasets whose file
+has new content are refined; of the others the earlier run's refined rows are used.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import uuid
 from dataclasses import dataclass
 
@@ -18,9 +20,13 @@ from pyspark.sql import functions as F
 from lakeq.contracts import GateError, Lineage
 from lakeq.models import staffing
 from lakeq.operators import curate, refine, serve, validate
-from lakeq.sources import sinks
+from lakeq.sources import ledger, sinks, snapshots
 from lakeq.sources.csv import read_csv_strings
-from lakeq.sources.manifest import pending_files, read_manifest_document, select_dataset_file, write_manifest
+from lakeq.sources.manifest import last_entries, read_manifest_document, select_dataset_file
+
+STAGES = ("refine", "validate", "curate")
+CONTRACTS = {"staffing_hours": staffing.STAFFING, "provider_reference": staffing.PROVIDER}
+SNAPSHOT = "staffing_snapshot"
 
 
 @dataclass(frozen=True)
@@ -43,16 +49,21 @@ class Layout:
         return f"{self.base}/curated/{table}/run_id={run_id}/attempt={attempt}"
 
     @property
-    def processed(self) -> str:
-        return f"{self.base}/processed_files"
+    def files(self) -> str:
+        return f"{self.base}/file_ledger"
+
+    @property
+    def stages(self) -> str:
+        return f"{self.base}/stage_ledger"
 
 
 def refine_stage(spark: SparkSession, manifest_path: str, layout: Layout, run_id: str,
-                 run_ts: dt.datetime) -> dict[str, list[str]]:
-    """S4 -> S1 -> C1 -> S7 for both datasets; returns the contract warnings."""
+                 run_ts: dt.datetime, datasets=tuple(CONTRACTS)) -> dict[str, list[str]]:
+    """S4 -> S1 -> C1 -> S7 for the datasets; returns the contract warnings."""
     manifest = read_manifest_document(spark, manifest_path)
     warnings = {}
-    for dataset, contract in (("staffing_hours", staffing.STAFFING), ("provider_reference", staffing.PROVIDER)):
+    for dataset in datasets:
+        contract = CONTRACTS[dataset]
         rec = select_dataset_file(manifest, dataset)
         raw = read_csv_strings(spark, rec["path"])
         out = refine.refine(raw, contract, Lineage(run_id, dataset, rec["file_name"], run_ts))
@@ -61,22 +72,27 @@ def refine_stage(spark: SparkSession, manifest_path: str, layout: Layout, run_id
     return warnings
 
 
+def _refined(spark: SparkSession, layout: Layout, run_id: str, runs: dict[str, str] | None) -> list[DataFrame]:
+    """Refined staffing and provider rows, each of the run that ``runs`` names (else this one)."""
+    return [sinks.read_run(spark, layout.refined(d), (runs or {}).get(d, run_id)) for d in CONTRACTS]
+
+
 def validate_stage(spark: SparkSession, layout: Layout, run_id: str, run_ts: dt.datetime,
-                   raise_on_failure: bool = True) -> validate.ValidationOutcome:
-    fact = sinks.read_run(spark, layout.refined("staffing_hours"), run_id)
-    ref = sinks.read_run(spark, layout.refined("provider_reference"), run_id)
+                   raise_on_failure: bool = True, runs: dict[str, str] | None = None) -> validate.ValidationOutcome:
+    fact, ref = _refined(spark, layout, run_id, runs)
     return validate.run_validation(fact, ref, staffing.RULES, run_id=run_id, run_ts=run_ts,
                                    quarantine_base=layout.quarantine, summary_path=layout.summary(run_id),
                                    raise_on_failure=raise_on_failure)
 
 
 def curate_stage(spark: SparkSession, layout: Layout, run_id: str, run_ts: dt.datetime,
-                 keep_unreferenced: bool = False, publish: bool = True) -> dict[str, str]:
+                 keep_unreferenced: bool = False, publish: bool = True,
+                 runs: dict[str, str] | None = None) -> dict[str, str]:
     """C3 + C4 with G4 before any write; both tables are written to the fresh
-    directories of this attempt and only then published (trap T19)."""
+    directories of this attempt and only then published (trap T19): each under its
+    name, and both at once in the snapshot's record."""
     attempt = uuid.uuid4().hex[:12]
-    fact = sinks.read_run(spark, layout.refined("staffing_hours"), run_id)
-    ref = sinks.read_run(spark, layout.refined("provider_reference"), run_id)
+    fact, ref = _refined(spark, layout, run_id, runs)
     dim = curate.build_dimension(ref, fact, ref_key="cms_certification_number_ccn", dim_key="provnum",
                                  fact_key="provnum", inferred_attrs=staffing.INFERRED_ATTRS,
                                  carried=staffing.CARRIED, run_id=run_id, run_ts=run_ts,
@@ -90,39 +106,63 @@ def curate_stage(spark: SparkSession, layout: Layout, run_id: str, run_ts: dt.da
     sinks.write_table(dim, dim_path)
     sinks.write_partitioned(fact_out, fact_path, ("work_year", "work_month"))
     if publish:
-        for name, path, parts in (("dim_provider", dim_path, ()),
-                                  ("fact_staffing_daily", fact_path, ("work_year", "work_month"))):
-            sinks.publish(spark, name, path, run_id, partition_cols=parts, attempt=attempt)
+        snapshots.commit(spark, SNAPSHOT, {
+            name: sinks.publish(spark, name, path, run_id, partition_cols=parts, attempt=attempt)
+            for name, path, parts in (("dim_provider", dim_path, ()),
+                                      ("fact_staffing_daily", fact_path, ("work_year", "work_month")))})
     return {"dim_provider": dim_path, "fact_staffing_daily": fact_path}
 
 
-def _processed(spark: SparkSession, layout: Layout) -> DataFrame | None:
-    """The files that earlier runs have processed; None before the first."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(layout.processed)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    return spark.read.schema("dataset string, path string, size_bytes bigint, run_id string").json(layout.processed)
-
-
 def run_stages(spark: SparkSession, manifest_path: str, layout: Layout, run_id: str,
-               run_ts: dt.datetime | None = None) -> dict:
+               run_ts: dt.datetime | None = None, resume: bool = False) -> dict:
     """Refine -> validate -> curate; a failed gate stops the run and is raised.
 
-    S14: when earlier runs have processed every file of the manifest (same dataset,
-    path and size), nothing is done; the result then says ``skipped``. The files
-    of a run count as processed once its tables are published; the same run may
-    be repeated."""
+    S14: files are known by content. When other runs have published every file of the
+    manifest, nothing is done and the result says ``skipped``; datasets whose file they
+    have published are not refined again. The files of a run count as published once
+    its tables are; the same run may be repeated.
+
+    C8: ``resume`` starts at the first stage that this run has not finished for the same
+    files and refined runs; the result's ``started_at`` names it (None: all were done)."""
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    manifest, processed = read_manifest_document(spark, manifest_path), _processed(spark, layout)
-    if processed is not None:
-        others = processed.where(F.col("run_id") != run_id)
-        if not manifest.isEmpty() and pending_files(manifest, others).isEmpty():
-            return {"skipped": True}
-    warnings = refine_stage(spark, manifest_path, layout, run_id, run_ts)
-    outcome = validate_stage(spark, layout, run_id, run_ts)
-    tables = curate_stage(spark, layout, run_id, run_ts)
-    write_manifest(manifest.select("dataset", "path", "size_bytes").withColumn("run_id", F.lit(run_id)), layout.processed)
-    return {"skipped": False, "warnings": warnings, "validation": outcome.counters, "tables": tables}
+    manifest = read_manifest_document(spark, manifest_path)
+    entries = ledger.with_digests(spark, last_entries(manifest).select("dataset", "path", "size_bytes"))
+    others = ledger.read_files(spark, layout.files).where(F.col("run_id") != run_id)
+    known = ledger.known_files(entries, others).collect()  # a row for each dataset of one manifest
+    if known and all(r["known_run"] for r in known):
+        return {"skipped": True}
+    runs = {r["dataset"]: r["refined_run"] for r in known if r["known_run"] and r["refined_run"]}
+    rows = [(r["dataset"], r["path"], r["size_bytes"], r["digest"], runs.get(r["dataset"], run_id), run_ts) for r in known]
+    files = spark.createDataFrame(rows, ledger.FILE_COLUMNS)
+    named = sorted(f"{r[0]} {r[3] or uuid.uuid4().hex} {r[4]}" for r in rows)  # no digest: never the same inputs
+    last = hashlib.sha256("\n".join(named).encode()).hexdigest()
+    done = []
+    if resume:
+        done, last = ledger.finished_stages(spark, layout.stages, run_id, STAGES, last)
+
+    def finish(stage: str, follows: str) -> str:
+        record = uuid.uuid4().hex
+        ledger.record_stage(spark, layout.stages, run_id, stage, record, follows)
+        return record
+
+    out = {"skipped": False, "started_at": next((s for s in STAGES if s not in done), None), "runs": runs,
+           "warnings": {}, "tables": {}}
+    if "refine" not in done:
+        ledger.record_files(files, layout.files, run_id, "pending")
+        out["warnings"] = refine_stage(spark, manifest_path, layout, run_id, run_ts, [d for d in CONTRACTS if d not in runs])
+        ledger.record_files(files, layout.files, run_id, "landed")
+        last = finish("refine", last)
+    if "validate" not in done:
+        out["validation"] = validate_stage(spark, layout, run_id, run_ts, runs=runs).counters
+        last = finish("validate", last)
+    else:
+        summary = spark.read.parquet(layout.summary(run_id)).select("metric_name", "metric_value")
+        out["validation"] = {r["metric_name"]: r["metric_value"] for r in summary.collect()}
+    if "curate" not in done:
+        out["tables"] = curate_stage(spark, layout, run_id, run_ts, runs=runs)
+        ledger.record_files(files, layout.files, run_id, "published")
+        finish("curate", last)
+    return out
 
 
 def dashboard_metrics(spark: SparkSession, fact_table: str = "fact_staffing_daily",

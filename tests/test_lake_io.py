@@ -376,6 +376,44 @@ def test_key_report_files_with_declared_keys(spark, tmp_dir):
     assert got["FY_2024_SNF_VBP_Aggregate_Performance"].key_unique
 
 
+def test_run_stages_refines_only_new_content_and_resumes(spark, tmp_dir, monkeypatch):
+    from lakeq.plans import stages
+    from lakeq.sources import ledger, snapshots
+    prov = [["015009", "Prov A", "Town", "ST", "120", "N", "4"]]
+    mpath = _land(tmp_dir, [_staff_row("015009", "20240401")], prov)
+    layout = Layout(os.path.join(tmp_dir, "lake"))
+    assert run_stages(spark, mpath, layout, "r1", RUN_TS)["started_at"] == "refine"
+    assert run_stages(spark, mpath, layout, "r2", RUN_TS) == {"skipped": True}
+    # a change of equal size: only that dataset is refined, the other's rows are those of r1
+    staffing_file = os.path.join(tmp_dir, "raw", "staffing.csv")
+    size = os.path.getsize(staffing_file)
+    _write_csv(staffing_file, STAFF_HEADER, [_staff_row("015009", "20240402")])
+    assert os.path.getsize(staffing_file) == size
+    # the run dies once validated; it goes on at curation and no stage before is run again
+    with monkeypatch.context() as m:
+        m.setattr(stages, "curate_stage", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("executors lost")))
+        with pytest.raises(RuntimeError):
+            run_stages(spark, mpath, layout, "r3", RUN_TS)
+    states = {(r.run_id, r.dataset, r.state) for r in ledger.read_files(spark, layout.files).collect()}
+    assert ("r3", "staffing_hours", "landed") in states and ("r3", "staffing_hours", "published") not in states
+    assert {r.work_date for r in snapshots.open_snapshot(spark, stages.SNAPSHOT)["fact_staffing_daily"].collect()} == {
+        dt.date(2024, 4, 1)}
+    with monkeypatch.context() as m:
+        for name in ("refine_stage", "validate_stage"):
+            m.setattr(stages, name, lambda *a, **k: pytest.fail("run again"))
+        out = run_stages(spark, mpath, layout, "r3", RUN_TS, resume=True)
+    assert out["started_at"] == "curate" and out["runs"] == {"provider_reference": "r1"}
+    assert out["validation"]["unmatched_staffing_count"] == 0
+    assert not os.path.exists(sinks.run_path(layout.refined("provider_reference"), "r3"))
+    served = snapshots.open_snapshot(spark, stages.SNAPSHOT)
+    assert {r.work_date for r in served["fact_staffing_daily"].collect()} == {dt.date(2024, 4, 2)}
+    assert [r.provider_match_status for r in served["dim_provider"].collect()] == ["matched"]
+    assert run_stages(spark, mpath, layout, "r3", RUN_TS, resume=True)["started_at"] is None
+    # other files under the same run: nothing of it counts as done
+    _write_csv(staffing_file, STAFF_HEADER, [_staff_row("015009", "20240403")])
+    assert run_stages(spark, mpath, layout, "r3", RUN_TS, resume=True)["started_at"] == "refine"
+
+
 def test_run_stages_stops_at_failed_gate(spark, tmp_dir):
     staff = [_staff_row("015009", "20240401", hours="-3")]
     mpath = _land(tmp_dir, staff, [["015009", "Prov A", "Town", "ST", "120", "N", "4"]])
