@@ -80,7 +80,6 @@ GENERIC_FLAG_VALUES = {
 }
 HOURS = {"quantity": "l_quantity", "extended_price": "l_extendedprice", "discount": "l_discount",
          "tax": "l_tax"}
-SERVING_BUCKETS = 32  # of the tables here; larger ones take as many as tasks are to read them
 PROFILED = ("lineitem", "orders", "customer", "part", "supplier", "events")
 DECLARED_KEYS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
@@ -96,6 +95,11 @@ def _dated(df: DataFrame) -> DataFrame:
                       else F.col(f.name) for f in df.schema.fields])
 
 
+def _buckets(spark) -> int:
+    """Buckets of written tables: one for each task of a shuffle, which then writes it alone."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _union(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -270,7 +274,7 @@ def _served_orders(spark, sf):
     path = scratch_path(spark, "serving")
     attempt = snapshots.write_serving(
         orders, customers, key="o_custkey", fact_name="lakeq_orders", dim_name="lakeq_customers", base=path,
-        attempt=path.rsplit("-", 1)[-1], buckets=SERVING_BUCKETS, partition_cols=("order_year",))
+        attempt=path.rsplit("-", 1)[-1], buckets=_buckets(spark), partition_cols=("order_year",))
     snapshots.commit(spark, "lakeq_serving", attempt)
     served = snapshots.open_snapshot(spark, "lakeq_serving")
     return snapshots.dashboard(served["lakeq_orders"], served["lakeq_customers"], "o_custkey",
@@ -376,7 +380,7 @@ def duplicates_across_runs(spark, sf):
     staged, path = lineitem_staged(spark, sf), scratch_path(spark, "key-index")
     index = f"lakeq_keys_{path.rsplit('-', 1)[-1]}"
     key_index.create_key_index(spark, index, f"{path}/index", {"l_orderkey": "bigint", "l_linenumber": "int"},
-                               SERVING_BUCKETS)
+                               _buckets(spark))
     for i in range(3):
         run = staged.where(F.col("l_suppkey") % 3 == i)
         write_run(key_index.duplicates_against_history(run, index, f"r{i}"), f"{path}/found", f"r{i}")
