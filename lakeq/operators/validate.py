@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lakeq.contracts import ContractError, GateError, ValidationRules
 from lakeq.operators.joins import DEFAULT_TARGET_ROWS, key_counts, split_join
+from lakeq.session import scratch_path
 
 _MISSING = "__lq_missing"
 _DUP = "__lq_dup_n"
@@ -224,8 +225,10 @@ def run_validation(fact: DataFrame, ref: DataFrame, rules: ValidationRules, *, r
     """C2 with its writes: quarantine (per table, partitioned by reason, the run's
     directory always overwritten — trap T16), then the summary, then the gate.
 
-    Counters are an aggregate of their own: counters observed in the writes would
-    sit before the shuffle that sizes the files, where a repeated task counts twice.
+    The rules are evaluated once a table: the rows that break one, with their flags, are
+    written to the scratch folder, and quarantine and counters are taken from them; the
+    row counts come from the input. Counters observed in the writes would sit before the
+    shuffle that sizes the files, where a repeated task counts twice.
 
     ``mode='fail'`` (parity) raises on critical issues; ``mode='drop'`` (trap
     T18) writes the same evidence and returns the clean fact rows instead."""
@@ -237,10 +240,15 @@ def run_validation(fact: DataFrame, ref: DataFrame, rules: ValidationRules, *, r
         if not df.take(1):  # G2: one-row probe, before any write
             raise GateError(f"table {label} has no rows, nothing to validate")
     tf, tr = tag_fact(fact, ref, rules), tag_reference(ref, rules)
-    write_quarantine(quarantine_rows(tf, run_id, run_ts), quarantine_base, rules.fact_label, run_id)
-    write_quarantine(quarantine_rows(tr, run_id, run_ts), quarantine_base, rules.ref_label, run_id)
-    values = {r.metric_name: r.metric_value for r in counters(tf, tr, rules).collect()}
     spark = fact.sparkSession
+    found = []
+    for tagged, label in ((tf, rules.fact_label), (tr, rules.ref_label)):
+        path = scratch_path(spark, f"findings-{label}")
+        tagged.where(F.size(REASONS) > 0).write.parquet(path)
+        found.append(spark.read.schema(tagged.schema).parquet(path))
+        write_quarantine(quarantine_rows(found[-1], run_id, run_ts), quarantine_base, label, run_id)
+    values = {r.metric_name: r.metric_value for r in counters(*found, rules).collect()}
+    values |= {f"{rules.fact_label}_row_count": fact.count(), f"{rules.ref_label}_row_count": ref.count()}
     rows = [(m, int(values[m]), s) for m, s in summary_layout(rules)]
     summary_df = spark.createDataFrame(rows, "metric_name string, metric_value bigint, severity string")
     summary_df.coalesce(1).write.mode("overwrite").parquet(summary_path)

@@ -174,7 +174,8 @@ def dashboard_metrics(spark: SparkSession, fact_table: str = "fact_staffing_dail
     resident day against that rate; without it M9 is left out."""
     fact, dim = spark.table(fact_table), spark.table(dim_table)
     by_type = {t[4:]: t for t in staffing.TOTAL_HOUR_COLUMNS}
-    joined = serve.dashboard(fact, dim, "provnum", {**staffing.DASHBOARD_ATTRS, "state": "state"})
+    # the dimension has one row a provider, so months are summed first and the join sees the sums only
+    months = serve.total_by(fact, ["provnum", "work_year", "work_month"], staffing.TOTAL_HOUR_COLUMNS)
     ratios = serve.load_ratio(fact, "provnum", staffing.TOTAL_HOUR_COLUMNS, F.sum("mdscensus"))
     official = dim.where(F.col("provider_match_status") == "matched")
     m9 = {} if readmissions is None else {"load_vs_readmission": serve.correlation(  # J6, M9
@@ -188,8 +189,7 @@ def dashboard_metrics(spark: SparkSession, fact_table: str = "fact_staffing_dail
         "rating_in_out": serve.rating_by_flag(dim, "provnum", "provider_resides_in_hospital",
                                               "overall_rating"),                                       # M3 M4
         "total_by_provider": serve.total_by(fact, ["provnum"], staffing.TOTAL_HOUR_COLUMNS),           # M5
-        "total_by_provider_state_month": serve.total_by(
-            joined, ["provnum", "state", "work_year", "work_month"], staffing.TOTAL_HOUR_COLUMNS),    # M6
+        "total_by_provider_state_month": serve.dashboard(months, dim, "provnum", {"state": "state"}),   # M6
         "lowest_staffed": serve.bottom_k(ratios, "ratio", ["provnum"], k),                             # M8
         "perm_vs_contract": serve.perm_vs_contract(fact, ["provnum"], staffing.EMP_HOUR_COLUMNS,
                                                    staffing.CTR_HOUR_COLUMNS, "mdscensus"),           # M10
