@@ -64,14 +64,16 @@ def split_join(big: DataFrame, side: DataFrame, keys, how: str = "left", counts:
     s, h = [f"__lq_s{i}" for i in range(len(keys))], [f"__lq_h{i}" for i in range(len(keys))]
     hot = _renamed(hot_keys(counts if counts is not None else key_counts(big, keys), keys, target_rows), keys, "__lq_h")
     side = _renamed(side, keys, "__lq_s").withColumn(_HIT, F.lit(True))
-    hot_side = side.join(F.broadcast(hot), _equal(s, h), "left_semi")  # MAX_HOT rows at most
+    # MAX_HOT rows at most; a semi-join would move below an aggregated side and read its input once more
+    hot_side = side.join(F.broadcast(hot), _equal(s, h)).drop(*h)
     hot_rows = hot.join(F.broadcast(hot_side), _equal(h, s), "left").select(
         *h, F.struct(_HIT, *payload).alias(_HOT))
     rows = [F.col(quoted(c)) for c in big.columns]
     spread = big.join(F.broadcast(hot_rows), _equal(keys, h), "left").select(
         *rows, _HOT, F.when(F.col(_HOT).isNotNull(), F.spark_partition_id() + 1).otherwise(0).alias(_TASK))
-    # always 0, but not a constant: a constant would be taken out of the join key
-    side = side.withColumn(_NO_TASK, F.pmod(F.hash(*s), F.lit(1)))
+    # always 0, but not a constant: a constant would be taken out of the join key. It is never NULL
+    # either: a test for NULL would move below the counts, which are shuffled once for all uses
+    side = side.withColumn(_NO_TASK, F.hash(*s).bitwiseAND(F.lit(0)))
     joined = spread.join(side, _equal(keys, s) & (F.col(_TASK) == F.col(_NO_TASK)), "left")
     if how == "inner":
         joined = joined.where(F.coalesce(F.col(f"{_HOT}.{_HIT}"), F.col(_HIT), F.lit(False)))

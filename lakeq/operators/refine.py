@@ -74,3 +74,23 @@ def cast_loss(raw: DataFrame, contract: TableContract) -> DataFrame:
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("bigint").alias("cast_loss"))
         for c in present
     ])))
+
+
+def contract_report(raw: DataFrame, contract: TableContract) -> DataFrame:
+    """P5 as rows: each contract column with its type, whether the data has it, the rows
+    with text before and a value after the cast, and the warning where it is absent
+    (both counts are then NULL). One aggregate over the raw scan."""
+    clean = cleaned(raw)
+    warnings = dict(zip([c for c in contract.columns if c not in clean.columns],
+                        contract_warnings(clean.columns, contract)))
+    counts = [F.count(F.lit(1)).alias("__lq_rows")]
+    for i, (c, t) in enumerate(contract.columns.items()):
+        if c not in warnings:
+            counts += [F.count(c).alias(f"__lq_text{i}"), F.count(lenient_cast(F.col(c), t)).alias(f"__lq_value{i}")]
+    none = F.lit(None).cast("bigint")
+    return clean.agg(*counts).select("__lq_rows", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.lit(t).alias("type"), F.lit(c not in warnings).alias("in_data"),
+                 (none if c in warnings else F.col(f"__lq_text{i}")).alias("with_text"),
+                 (none if c in warnings else F.col(f"__lq_value{i}")).alias("with_value"),
+                 F.lit(warnings.get(c)).cast("string").alias("warning"))
+        for i, (c, t) in enumerate(contract.columns.items())]))).withColumnRenamed("__lq_rows", "row_count")

@@ -251,6 +251,20 @@ def _cast_loss() -> str:
     return f"WITH {RAW}, {TYPED}\n" + "\nUNION ALL ".join(parts)
 
 
+def _contract_columns() -> str:
+    cols = [("l_orderkey", "string", "c_orderkey", "t_orderkey"), ("l_partkey", "bigint", "c_partkey", "t_partkey"),
+            ("l_suppkey", "int", "c_suppkey", "t_suppkey"), ("line_number", "int", "c_line", "t_line"),
+            ("quantity", "decimal(10,2)", "c_qty", "t_qty"), ("extended_price", "decimal(10,2)", "c_price", "t_price"),
+            ("discount", "decimal(10,2)", "c_disc", "t_disc"), ("tax", "decimal(4,2)", "c_tax", "t_tax"),
+            ("return_flag", "string", "c_flag", "c_flag"), ("ship_date", "string", "c_ship", "c_ship")]
+    parts = [f"SELECT count(*) AS row_count, '{n}' AS column_name, '{t}' AS type, true AS in_data, "
+             f"count({c}) AS with_text, count({v}) AS with_value, CAST(NULL AS VARCHAR) AS warning FROM typed"
+             for n, t, c, v in cols]
+    parts.append("SELECT count(*), 'commit_date', 'string', false, NULL, NULL, "
+                 "'lineitem_raw: no column ''commit_date'' in the data, so it is not cast' FROM typed")
+    return f"WITH {RAW}, {TYPED}\n" + "\nUNION ALL ".join(parts)
+
+
 def _null_tokens() -> str:
     tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
     return f"""WITH c AS (
@@ -640,4 +654,36 @@ FROM l GROUP BY dataset""",
        min(o_custkey) AS min_o_custkey, max(o_custkey) AS max_o_custkey,
        min(CAST(o_orderdate AS DATE)) AS min_o_orderdate, max(CAST(o_orderdate AS DATE)) AS max_o_orderdate
 FROM orders""",
+    "contract_columns": _contract_columns(),
+    "run_stamps": """SELECT 'r1' AS run_id, 'lineitem' AS dataset_name, 'r1.csv' AS source_file_name,
+       '2024-07-01 00:00:00' AS stamp, count(*) AS row_count FROM lineitem
+UNION ALL SELECT 'r2', 'lineitem', 'r2.csv', '2024-07-02 06:30:00', count(*) FROM lineitem
+WHERE l_returnflag = 'R' AND l_orderkey % 11 <> 0""",
+    "gate_outcomes": f"""WITH {TAGGED},
+c AS (SELECT CAST(sum(metric_value) AS BIGINT) AS n FROM metrics WHERE severity = 'critical')
+SELECT 'landed' AS scenario, 'GateError' AS outcome, n AS critical_total FROM c
+UNION ALL SELECT 'no_key_column', 'ContractError', NULL
+UNION ALL SELECT 'no_rows', 'GateError', NULL
+UNION ALL SELECT 'drop', 'passed', n FROM c
+UNION ALL SELECT 'clean', 'passed', 0""",
+    "stage_ledger": """WITH d AS (
+  SELECT l_suppkey, count(*) AS lines, sum(l_quantity) AS q FROM lineitem GROUP BY l_suppkey, CAST(l_shipdate AS DATE)),
+p AS (SELECT s_suppkey FROM supplier WHERE s_suppkey % 7 <> 0),
+n AS (SELECT count(*) AS days, count(DISTINCT l_suppkey) AS providers,
+             count(*) FILTER (WHERE lines % 3 = 0 AND q > 0) AS negative,
+             count(*) FILTER (WHERE l_suppkey NOT IN (SELECT s_suppkey FROM p)) AS unmatched,
+             (SELECT count(*) FROM p) AS listed FROM d),
+r AS (SELECT 'r1' AS run_id, negative AS bad, n.* FROM n UNION ALL SELECT 'r2', 0, n.* FROM n)
+SELECT run_id, 'refine' AS stage, 'staffing_hours_rows' AS metric, days AS value, true AS finished FROM r
+UNION ALL SELECT run_id, 'refine', 'provider_reference_rows', listed, true FROM r
+UNION ALL SELECT run_id, 'validate', 'staffing_row_count', days, run_id = 'r2' FROM r
+UNION ALL SELECT run_id, 'validate', 'provider_row_count', listed, run_id = 'r2' FROM r
+UNION ALL SELECT run_id, 'validate', 'bad_staffing_required_count', 0, run_id = 'r2' FROM r
+UNION ALL SELECT run_id, 'validate', 'bad_provider_required_count', 0, run_id = 'r2' FROM r
+UNION ALL SELECT run_id, 'validate', 'staffing_duplicate_count', 0, run_id = 'r2' FROM r
+UNION ALL SELECT run_id, 'validate', 'provider_duplicate_count', 0, run_id = 'r2' FROM r
+UNION ALL SELECT run_id, 'validate', 'negative_hours_count', bad, run_id = 'r2' FROM r
+UNION ALL SELECT run_id, 'validate', 'unmatched_staffing_count', unmatched, run_id = 'r2' FROM r
+UNION ALL SELECT run_id, 'curate', 'fact_staffing_daily_rows', days, true FROM r WHERE run_id = 'r2'
+UNION ALL SELECT run_id, 'curate', 'dim_provider_rows', providers, true FROM r WHERE run_id = 'r2'""",
 }

@@ -13,12 +13,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeq.contracts import Lineage, TableContract, ValidationRules
+from lakeq.contracts import ContractError, GateError, Lineage, TableContract, ValidationRules
 from lakeq.functions.casts import lenient_double
 from lakeq.functions.text import blank_to_null, clean_file_name, na_to_null, whitespace_to_null
 from lakeq.operators import checks, comoments, curate, key_index, profile, profile_state, refine, serve, validate
 from lakeq.operators.type_lattice import types_of
 from lakeq.plans.discovery import read_for_profiling
+from lakeq.plans.stages import Layout, run_stages
 from lakeq.plans.tables import (
     customer_gaps,
     customer_tokens,
@@ -32,11 +33,13 @@ from lakeq.plans.tables import (
     part_by_encoding,
     part_odd_text,
     part_text,
+    provider_raw,
+    staffing_raw,
 )
 from lakeq.session import scratch_path
 from lakeq.sources import ledger, snapshots
 from lakeq.sources.csv import read_csv_by_file, read_csv_with_fallback
-from lakeq.sources.manifest import last_entries, manifest_records, pending_files
+from lakeq.sources.manifest import last_entries, manifest_records, pending_files, write_manifest_document
 from lakeq.sources.sinks import publish, read_run, write_partitioned, write_quarantine, write_run, write_table
 
 RUN_ID = "r1"
@@ -116,6 +119,25 @@ def cast_loss(spark, sf):
     return refine.cast_loss(lineitem_raw(spark, sf), LINEITEM_CONTRACT)
 
 
+def contract_columns(spark, sf):
+    """P5: the contract's columns against the landed file, which lacks one of them."""
+    return refine.contract_report(lineitem_raw(spark, sf), LINEITEM_CONTRACT)
+
+
+def run_stamps(spark, sf):
+    """Rows of each run and file by the stamp of their run, read back from two runs."""
+    path = scratch_path(spark, "stamped")
+    for run, day in (("r1", "2024-07-01 00:00:00"), ("r2", "2024-07-02 06:30:00")):
+        raw = lineitem_raw(spark, sf)
+        if run == "r2":
+            raw = raw.where(F.col("`Return Flag`") == "R")
+        write_run(refine.refine(raw, LINEITEM_CONTRACT, Lineage.fixed(run, "lineitem", f"{run}.csv", day)).df, path, run)
+    runs = reduce(DataFrame.unionByName, [read_run(spark, path, run) for run in ("r1", "r2")])
+    return runs.groupBy("run_id", "dataset_name", "source_file_name",
+                        F.date_format("ingest_ts_utc", "yyyy-MM-dd HH:mm:ss").alias("stamp")).agg(
+        F.count(F.lit(1)).alias("row_count"))
+
+
 def null_tokens(spark, sf):
     c = customer_tokens(spark, sf)
     t = F.col("segment_text")
@@ -192,6 +214,65 @@ def validation_run(spark, sf):
     return spark.read.parquet(f"{base}/summary")
 
 
+def gate_outcomes(spark, sf):
+    """How validation ends for the landed rows, the same without a key column,
+    without rows, and for the rows that break no critical rule."""
+    fact, ref = lineitem_staged(spark, sf), orders_reference(spark, sf)
+    one_each = ref.where(F.col("o_orderkey").isNotNull()).dropDuplicates(["o_orderkey"])
+    base, outcomes = scratch_path(spark, "gates"), []
+
+    def run(name: str, rows: DataFrame, reference: DataFrame, mode: str = "fail"):
+        done, end, critical = None, "passed", None
+        try:
+            done = validate.run_validation(rows, reference, LINEITEM_RULES, run_id=name, run_ts=RUN_TS, mode=mode,
+                                           quarantine_base=f"{base}/quarantine", summary_path=f"{base}/{name}")
+        except (ContractError, GateError) as e:
+            end = type(e).__name__
+        if ledger.path_exists(spark, f"{base}/{name}"):
+            critical = spark.read.parquet(f"{base}/{name}").where("severity = 'critical'").agg(
+                F.sum("metric_value")).first()[0]
+        outcomes.append((name, end, critical))
+        return done
+    run("landed", fact, ref)
+    run("no_key_column", fact.drop("l_linenumber"), ref)
+    run("no_rows", fact.where("l_quantity IS NULL AND l_quantity IS NOT NULL"), ref)
+    run("clean", run("drop", fact, ref, "drop").clean, one_each)
+    return spark.createDataFrame(outcomes, "scenario string, outcome string, critical_total bigint")
+
+
+def stage_ledger(spark, sf):
+    """Two runs of refine, validate, curate. The first has negative hours and ends at the
+    gate; the second finishes. What each stage left, and whether the ledger has it as done."""
+    base = scratch_path(spark, "stages")
+    layout, provider = Layout(base), f"{base}/raw/provider"
+    provider_raw(spark, sf).write.option("header", True).csv(provider)
+    reports = []
+    for run, negative in (("r1", True), ("r2", False)):
+        staffing = f"{base}/raw/{run}"
+        staffing_raw(spark, sf, negative).write.option("header", True).csv(staffing)
+        entries = spark.createDataFrame([(run, "landing", d, path, path, path, 0, n) for n, (d, path) in enumerate(
+            (("staffing_hours", staffing), ("provider_reference", provider)))],
+            "run_id string, source string, dataset string, file_id string, file_name string, path string, "
+            "size_bytes bigint, pos bigint")
+        write_manifest_document(entries, f"{base}/manifest/{run}", RUN_TS)
+        try:
+            tables = run_stages(spark, f"{base}/manifest/{run}", layout, run, Lineage.fixed(run, "", "", RUN_TS).run_ts,
+                                publish=False)["tables"]
+        except GateError:
+            tables = {}
+        refined = {d: read_run(spark, layout.refined(d), run) for d in ("staffing_hours", "provider_reference")}
+        curated = {t: spark.read.parquet(path) for t, path in tables.items()}
+        reports += [df.agg(F.count(F.lit(1)).alias("value")).select(
+            F.lit(run).alias("run_id"), F.lit(stage).alias("stage"), F.lit(f"{name}_rows").alias("metric"), "value")
+            for stage, frames in (("refine", refined), ("curate", curated)) for name, df in frames.items()]
+        reports.append(spark.read.parquet(layout.summary(run)).select(
+            F.lit(run).alias("run_id"), F.lit("validate").alias("stage"), F.col("metric_name").alias("metric"),
+            F.col("metric_value").alias("value")))
+    done = ledger.read_stages(spark, layout.stages).withColumn("finished", F.lit(True))
+    return reduce(DataFrame.unionByName, reports).join(done, ["run_id", "stage"], "left").withColumn(
+        "finished", F.coalesce("finished", F.lit(False)))
+
+
 # ---- curate ---------------------------------------------------------------
 
 def _doc_dimension(spark, sf):
@@ -697,4 +778,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "correlation_matrix": correlation_matrix,
     "files_by_content": files_by_content,
     "file_bounds": file_bounds,
+    "contract_columns": contract_columns,
+    "run_stamps": run_stamps,
+    "gate_outcomes": gate_outcomes,
+    "stage_ledger": stage_ledger,
 }

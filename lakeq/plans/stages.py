@@ -114,13 +114,14 @@ def curate_stage(spark: SparkSession, layout: Layout, run_id: str, run_ts: dt.da
 
 
 def run_stages(spark: SparkSession, manifest_path: str, layout: Layout, run_id: str,
-               run_ts: dt.datetime | None = None, resume: bool = False) -> dict:
+               run_ts: dt.datetime | None = None, resume: bool = False, publish: bool = True) -> dict:
     """Refine -> validate -> curate; a failed gate stops the run and is raised.
 
     S14: files are known by content. When other runs have published every file of the
     manifest, nothing is done and the result says ``skipped``; datasets whose file they
     have published are not refined again. The files of a run count as published once
-    its tables are; the same run may be repeated.
+    its tables are; the same run may be repeated. ``publish=False`` writes the tables
+    without putting them into the catalog; its files stay landed.
 
     C8: ``resume`` starts at the first stage that this run has not finished for the same
     files and refined runs; the result's ``started_at`` names it (None: all were done)."""
@@ -159,8 +160,9 @@ def run_stages(spark: SparkSession, manifest_path: str, layout: Layout, run_id:
         summary = spark.read.parquet(layout.summary(run_id)).select("metric_name", "metric_value")
         out["validation"] = {r["metric_name"]: r["metric_value"] for r in summary.collect()}
     if "curate" not in done:
-        out["tables"] = curate_stage(spark, layout, run_id, run_ts, runs=runs)
-        ledger.record_files(files, layout.files, run_id, "published")
+        out["tables"] = curate_stage(spark, layout, run_id, run_ts, runs=runs, publish=publish)
+        if publish:
+            ledger.record_files(files, layout.files, run_id, "published")
         finish("curate", last)
     return out
 

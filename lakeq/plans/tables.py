@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeq.models.staffing import HOUR_COLUMNS
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
@@ -146,3 +148,28 @@ def part_by_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("p_partkey"),
         F.concat("p_name", F.lit(" "), F.element_at(tail, (F.col("p_partkey") % 3 + 1).cast("int"))).alias("p_name"))
+
+
+def staffing_raw(spark: SparkSession, sf_dir: str, negative: bool) -> DataFrame:
+    """A staffing file of all-text columns, one row per supplier and ship day; with
+    ``negative``, days whose number of lines is a multiple of three have negative hours."""
+    days = load(spark, sf_dir, "lineitem").groupBy("l_suppkey", F.to_date("l_shipdate").alias("day")).agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("quantity"), F.sum("l_linenumber").alias("numbers"))
+    sign = F.when(F.lit(negative) & (F.col("lines") % 3 == 0), -1).otherwise(1)
+    hours = {"hrs_rn": sign * F.col("quantity"), "hrs_cna": F.col("numbers")}
+    number = F.lpad(F.col("l_suppkey").cast("string"), 9, "0")
+    return days.select(
+        number.alias("PROVNUM"), F.concat(F.lit("Supplier "), number).alias("PROVNAME"), F.lit("Town").alias("CITY"),
+        F.lit("ST").alias("STATE"), F.lit("County").alias("COUNTY_NAME"), F.lit("001").alias("COUNTY_FIPS"),
+        F.lit("2024Q2").alias("CY_Qtr"), F.date_format("day", "yyyyMMdd").alias("WorkDate"),
+        F.col("lines").cast("string").alias("MDScensus"),
+        *[hours.get(c, F.lit(0)).cast("decimal(12,2)").cast("string").alias(c) for c in HOUR_COLUMNS])
+
+
+def provider_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A provider file of all-text columns: the suppliers but for every seventh."""
+    return load(spark, sf_dir, "supplier").where("s_suppkey % 7 <> 0").select(
+        F.lpad(F.col("s_suppkey").cast("string"), 9, "0").alias("CMS Certification Number (CCN)"),
+        F.col("s_name").alias("Provider Name"), F.lit("Town").alias("City/Town"), F.lit("ST").alias("State"),
+        (F.col("s_nationkey") + 50).cast("string").alias("Number of Certified Beds"),
+        F.lit("N").alias("Provider Resides in Hospital"), F.lit("4").alias("Overall Rating"))

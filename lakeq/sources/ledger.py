@@ -90,6 +90,11 @@ def record_stage(spark: SparkSession, base: str, run_id: str, stage: str, record
         f"{base.rstrip('/')}/run_id={run_id}/stage={stage}")
 
 
+def read_stages(spark: SparkSession, base: str) -> DataFrame:
+    """(run_id, stage) of every stage that a run has finished."""
+    return spark.read.schema("run_id string, stage string").json(base).select("run_id", "stage")
+
+
 def finished_stages(spark: SparkSession, base: str, run_id: str, stages, inputs: str) -> tuple[list[str], str]:
     """The leading stages of a run that are done for these inputs, and the last record's id.
     A record counts only if it builds on the record before it, so what followed an

@@ -130,3 +130,26 @@ def test_range_filter_pushed_to_scan(spark):
     plan = _plan(checks.range_violations(load(spark, SF, "customer"), "c_acctbal", 0, 9000))
     pushed = [line for line in plan.splitlines() if "PushedFilters" in line]
     assert pushed and any("c_acctbal" in line for line in pushed)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_large_side_is_read_once_beside_its_counts(spark, hot):
+    """Counts of the keys and the join: two reads, whether there are hot keys or not."""
+    li = load(spark, SF, "lineitem")
+    df = checks.duplicate_key_rows(li, ["l_suppkey", "l_linenumber"], target_rows=100 if hot else 10**9)
+    # without hot keys their empty branch is cut off, and with it the counts' first mention
+    assert _executed(df).count("FileScan parquet") == (2 if hot else 1)
+
+
+def test_validation_evaluates_its_rules_once(spark, monkeypatch):
+    """All that run_validation writes or counts comes from one written table of findings each."""
+    from lakeq.operators import validate
+    read = []
+    real = validate.quarantine_rows
+    monkeypatch.setattr(validate, "quarantine_rows", lambda df, *a: read.append(_plan(df)) or real(df, *a))
+    counted = []
+    real_counters = validate.counters
+    monkeypatch.setattr(validate, "counters", lambda *a: counted.append(real_counters(*a)) or counted[0])
+    QUERIES["validation_run"](spark, SF)
+    assert len(read) == 2 and all("Join" not in p and "Exchange" not in p for p in read)
+    assert "Join" not in _plan(counted[0])
