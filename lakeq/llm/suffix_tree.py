@@ -47,39 +47,69 @@ UNIT = 1 << 16            # divergence sums are integers, in units of 1 / UNIT n
 END = np.uint64(0x9E3779B97F4A7C15)  # hash of the end token
 
 _U = np.uint64
-_NARROW = (np.uint8, np.uint16, np.uint32)
+
+
+_COMPRESSOR, _DECOMPRESSOR = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _shrink(data: bytes) -> bytes:
+    return _COMPRESSOR.compress(data)
+
+
+def _grow(data: bytes) -> bytes:
+    return _DECOMPRESSOR.decompress(data)
+
+
+def _planes(values: np.ndarray, size: int) -> bytes:
+    """The lowest ``size`` bytes of each number, compressed: all lowest bytes, then all second
+    ones and so on, as high bytes are alike and most counts are small, whatever the largest is."""
+    return _shrink(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes())
+
+
+def _numbers(data: bytes, size: int) -> np.ndarray:
+    rows = np.frombuffer(_grow(data), np.uint8).reshape(size, -1)
+    out = np.zeros((rows.shape[1], 8), np.uint8)
+    out[:, :size] = rows.T
+    return out.reshape(-1).view("<u8")
+
+
+def _bytes(most: int) -> int:
+    return max(1, -(-most.bit_length() // 8))
 
 
 def pack(values: np.ndarray) -> bytes:
-    """Integers in the narrowest type, the first byte telling which."""
-    if len(values) and values.min() >= 0:
-        most = int(values.max())
-        for i, t in enumerate(_NARROW):
-            if most <= np.iinfo(t).max:
-                return bytes([i]) + values.astype(t).tobytes()
-    return bytes([9]) + values.astype(np.int64).tobytes()
+    """Integers in as few bytes as the largest needs; the first byte tells how many, and
+    whether (8 more) some are below 0."""
+    if not len(values):
+        return b""
+    signed = bool(values.min() < 0)
+    # numbers below 0 become odd ones, the others even ones, so that small ones stay short
+    coded = ((values << 1) ^ (values >> 63)).view(np.uint64) if signed else values
+    size = _bytes(int(coded.max()))
+    return bytes([size + 8 * signed]) + _planes(coded, size)
 
 
 def unpack(data: bytes) -> np.ndarray:
-    t = _NARROW[data[0]] if data[0] < len(_NARROW) else np.int64
-    return np.frombuffer(data, t, offset=1).astype(np.int64)
+    if not data:
+        return np.zeros(0, np.int64)
+    signed, size = divmod(data[0] - 1, 8)
+    out = _numbers(data[1:], size + 1)
+    return (out >> _U(1)).astype(np.int64) ^ -(out & _U(1)).astype(np.int64) if signed else out.astype(np.int64)
 
 
 def _gaps(values: np.ndarray) -> bytes:
-    """Rising numbers as the first and the gaps between them, in as few bytes as the largest needs."""
-    gaps = np.diff(values, prepend=np.uint64(0))
-    size = max(1, -(-int(gaps.max(initial=0)).bit_length() // 8)) if len(gaps) < 2 else max(
-        1, -(-int(gaps[1:].max()).bit_length() // 8))
-    raw = gaps.astype("<u8").view(np.uint8).reshape(-1, 8)
-    return bytes([size]) + raw[:1].tobytes() + np.ascontiguousarray(raw[1:, :size]).tobytes()
+    """Rising numbers as the first and the gaps between them."""
+    if not len(values):
+        return b""
+    size = _bytes(int(np.diff(values).max(initial=0)))
+    return bytes([size]) + values[:1].astype("<u8").tobytes() + _planes(np.diff(values), size)
 
 
 def _ungaps(data: bytes) -> np.ndarray:
-    size, first = data[0], np.frombuffer(data[1:9], "<u8")
-    rest = np.frombuffer(data, np.uint8, offset=1 + 8 * len(first)).reshape(-1, size)
-    gaps = np.zeros((len(rest), 8), np.uint8)
-    gaps[:, :size] = rest
-    return np.cumsum(np.concatenate((first, gaps.reshape(-1).view("<u8"))), dtype=np.uint64)
+    if not data:
+        return np.zeros(0, np.uint64)
+    first = np.frombuffer(data, "<u8", count=1, offset=1)
+    return np.cumsum(np.concatenate((first, _numbers(data[9:], data[0]))), dtype=np.uint64)
 
 
 def _keys(h: np.ndarray, whole: bool, bits: int) -> bytes:
@@ -214,7 +244,6 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        shrink = zstandard.ZstdCompressor(level=1).compress
         held: list = []
         size = 0
 
@@ -227,7 +256,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 pa.array([number]), pa.array([pa.concat_arrays([i for _, _, i, _ in held]).to_pylist()], pa.list_(ids)),
                 pa.array([np.concatenate([t for _, _, _, t in held]).tobytes()], pa.binary()),
                 pa.array([_gaps(words)], pa.binary()),
-                pa.array([shrink(codes.astype(np.int32).tobytes())], pa.binary()),
+                pa.array([_shrink(codes.astype(np.int32).tobytes())], pa.binary()),
                 pa.array([per_text.astype(np.int64).tobytes()], pa.binary())],
                 names=["block", "ids", "training", "words", "codes", "per_text"])
 
@@ -252,7 +281,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
 
 
 def _block(row: dict) -> Block:
-    codes = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["codes"]), np.int32)
+    codes = np.frombuffer(_grow(row["codes"]), np.int32)
     return Block(_ungaps(row["words"]), codes, np.frombuffer(row["per_text"], np.int64),
                  np.frombuffer(row["training"], bool))
 
@@ -334,7 +363,7 @@ def score(docs: DataFrame, depth: int = 2, min_count: int = 8, min_gain: float =
     thin = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                        is_training(F.col(id_col), folds, held_out).alias("training"))
     blocks = scratch.table(_blocks(thin), "blocks")
-    size = blocks.agg(F.count("*").alias("blocks"), F.sum(F.length("words") / 6).alias("words")).first()
+    size = blocks.agg(F.count("*").alias("blocks"), F.sum(F.length("words") / 5).alias("words")).first()
     least = (2 * parallelism(spark)).bit_length()
 
     def ranges(entries: float) -> int:
