@@ -63,11 +63,15 @@ def _grow(data: bytes) -> bytes:
 def _planes(values: np.ndarray, size: int) -> bytes:
     """The lowest ``size`` bytes of each number, compressed: all lowest bytes, then all second
     ones and so on, as high bytes are alike and most counts are small, whatever the largest is."""
+    if size == 1:
+        return _shrink(values.astype(np.uint8).tobytes())
     return _shrink(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes())
 
 
 def _numbers(data: bytes, size: int) -> np.ndarray:
     rows = np.frombuffer(_grow(data), np.uint8).reshape(size, -1)
+    if size == 1:
+        return rows[0].astype("<u8")
     out = np.zeros((rows.shape[1], 8), np.uint8)
     out[:, :size] = rows.T
     return out.reshape(-1).view("<u8")
@@ -98,18 +102,27 @@ def unpack(data: bytes) -> np.ndarray:
 
 
 def _gaps(values: np.ndarray) -> bytes:
-    """Rising numbers as the first and the gaps between them."""
+    """Rising numbers as the first and the gaps between them. Only the highest byte of a
+    gap is worth compressing, the others are as good as random."""
     if not len(values):
         return b""
-    size = _bytes(int(np.diff(values).max(initial=0)))
-    return bytes([size]) + values[:1].astype("<u8").tobytes() + _planes(np.diff(values), size)
+    gaps = np.diff(values)
+    size = _bytes(int(gaps.max(initial=0)))
+    raw = gaps.astype("<u8", copy=False).view(np.uint8).reshape(-1, 8)
+    return (bytes([size]) + values[:1].astype("<u8").tobytes() + raw[:, :size - 1].tobytes()
+            + _shrink(raw[:, size - 1].tobytes()) + len(gaps).to_bytes(4, "little"))
 
 
 def _ungaps(data: bytes) -> np.ndarray:
     if not data:
         return np.zeros(0, np.uint64)
-    first = np.frombuffer(data, "<u8", count=1, offset=1)
-    return np.cumsum(np.concatenate((first, _numbers(data[9:], data[0]))), dtype=np.uint64)
+    size, first = data[0], np.frombuffer(data, "<u8", count=1, offset=1)
+    n = int.from_bytes(data[-4:], "little")
+    low = 9 + n * (size - 1)
+    gaps = np.zeros((n, 8), np.uint8)
+    gaps[:, :size - 1] = np.frombuffer(data, np.uint8, count=n * (size - 1), offset=9).reshape(n, size - 1)
+    gaps[:, size - 1] = np.frombuffer(_grow(data[low:-4]), np.uint8)
+    return np.cumsum(np.concatenate((first, gaps.reshape(-1).view("<u8"))), dtype=np.uint64)
 
 
 def _keys(h: np.ndarray, whole: bool, bits: int) -> bytes:
