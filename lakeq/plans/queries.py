@@ -83,6 +83,7 @@ GENERIC_FLAG_VALUES = {
 }
 HOURS = {"quantity": "l_quantity", "extended_price": "l_extendedprice", "discount": "l_discount",
          "tax": "l_tax"}
+LANDED_ROWS = 500_000  # of a compressed text file
 PROFILED = ("lineitem", "orders", "customer", "part", "supplier", "events")
 DECLARED_KEYS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey"], "customer": ["c_custkey"],
@@ -103,6 +104,12 @@ def _buckets(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _land_csv(df: DataFrame, path: str) -> None:
+    """Text files with a header, compressed. A reader cannot split such a file, so none
+    is longer than a task should read."""
+    df.write.option("header", True).option("compression", "gzip").option("maxRecordsPerFile", LANDED_ROWS).csv(path)
+
+
 def _union(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
@@ -245,11 +252,11 @@ def stage_ledger(spark, sf):
     gate; the second finishes. What each stage left, and whether the ledger has it as done."""
     base = scratch_path(spark, "stages")
     layout, provider = Layout(base), f"{base}/raw/provider"
-    provider_raw(spark, sf).write.option("header", True).csv(provider)
+    _land_csv(provider_raw(spark, sf), provider)
     reports = []
     for run, negative in (("r1", True), ("r2", False)):
         staffing = f"{base}/raw/{run}"
-        staffing_raw(spark, sf, negative).write.option("header", True).csv(staffing)
+        _land_csv(staffing_raw(spark, sf, negative), staffing)
         entries = spark.createDataFrame([(run, "landing", d, path, path, path, 0, n) for n, (d, path) in enumerate(
             (("staffing_hours", staffing), ("provider_reference", provider)))],
             "run_id string, source string, dataset string, file_id string, file_name string, path string, "

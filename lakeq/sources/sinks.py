@@ -43,16 +43,20 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_quarantine(rows: DataFrame, base: str, table: str, run_id: str) -> str:
+def write_quarantine(rows: DataFrame, base: str, table: str, run_id: str, rebalance: bool = True) -> str:
     """Quarantined rows of one table and run, partitioned by reason.
 
     The run's directory is always overwritten, also with no rows, so an old bad
     row cannot outlive a clean rerun (trap T16); reason and run live in the path
-    only (trap T15)."""
+    only (trap T15).
+
+    ``rebalance`` as in S8: a few right-sized files per reason, not one per task and
+    reason. Rows scanned from written files need none, as the scan sizes the tasks."""
     path = f"{base.rstrip('/')}/{table}/run_id={run_id}"
-    # rebalanced like S8: a few right-sized files per reason, not one per task and reason
-    (rows.drop("run_id").hint("rebalance", "quarantine_reason")
-     .write.mode("overwrite").partitionBy("quarantine_reason").parquet(path))
+    rows = rows.drop("run_id")
+    if rebalance:
+        rows = rows.hint("rebalance", "quarantine_reason")
+    (rows.write.mode("overwrite").partitionBy("quarantine_reason").parquet(path))
     return path
 
 

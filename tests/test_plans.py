@@ -153,3 +153,34 @@ def test_validation_evaluates_its_rules_once(spark, monkeypatch):
     QUERIES["validation_run"](spark, SF)
     assert len(read) == 2 and all("Join" not in p and "Exchange" not in p for p in read)
     assert "Join" not in _plan(counted[0])
+
+
+def test_validation_shuffles_no_key_counts_beside_the_rows(spark):
+    """The rows, the reference's keys and the rows of each reference key: three exchanges."""
+    from lakeq.operators import validate
+    from lakeq.plans.queries import LINEITEM_RULES
+    from lakeq.plans.tables import lineitem_staged, orders_reference
+    tagged = validate.tag_fact(lineitem_staged(spark, SF), orders_reference(spark, SF), LINEITEM_RULES)
+    assert sum("Exchange" in line and "Broadcast" not in line and "Reused" not in line
+               for line in _executed(tagged).splitlines()) <= 3
+
+
+def test_quarantine_of_a_run_is_written_from_its_findings_without_a_shuffle(spark, monkeypatch):
+    from lakeq.sources import sinks
+    asked, real = [], sinks.write_quarantine
+    monkeypatch.setattr(sinks, "write_quarantine", lambda *a, **k: asked.append(k.get("rebalance")) or real(*a, **k))
+    QUERIES["validation_run"](spark, SF)
+    assert asked == [False, False]
+
+
+def test_landed_text_is_compressed_in_files_of_bounded_length(spark, monkeypatch, tmp_path):
+    from lakeq.plans import queries
+    monkeypatch.setattr(queries, "LANDED_ROWS", 50)
+    monkeypatch.setattr(queries, "scratch_path", lambda _, name: str(tmp_path / name))
+    rows = QUERIES["stage_ledger"](spark, SF).collect()
+    refined = {(r.run_id, r.metric): r.value for r in rows if r.stage == "refine"}
+    for run in ("r1", "r2"):
+        files = sorted((tmp_path / "stages" / "raw" / run).glob("part-*"))
+        assert files and all(f.name.endswith(".csv.gz") for f in files)
+        lines = [spark.read.text(str(f)).count() - 1 for f in files]
+        assert max(lines) <= 50 and sum(lines) == refined[run, "staffing_hours_rows"]

@@ -117,3 +117,20 @@ def test_split_join_with_null_keys_and_map_columns(spark):
     assert out.count() == 81 and out.where("v = 1").count() == 50 and out.where("k IS NULL AND v IS NULL").count() == 30
     both = split_join(big, spark.createDataFrame([("k", 1), (None, 2)], "k string, v int"), ["k"], "inner", target_rows=10)
     assert both.where("v = 2").count() == 30 and both.count() == 80
+
+
+def test_tags_equal_counting_by_hand_with_and_without_hot_keys(spark):
+    """Copies, NULL keys and unmatched rows; hot reference keys, NULL among them, go another way."""
+    from collections import Counter
+    rows = [(k, n % 3, 1.0) for k in (1, 2) for n in range(40)] + [(None, n % 2, 1.0) for n in range(30)]
+    rows += [(k, None, -1.0) for k in (1, 2, 3)] + [(k, k, 1.0) for k in range(3, 20)] + [(5, 5, 1.0), (None, None, 1.0)]
+    fact = spark.createDataFrame(rows, "l_orderkey long, l_linenumber long, l_quantity double").repartition(4)
+    ref = spark.createDataFrame([(k,) for k in (2, 4, 5, 5, 6, None)], "o_orderkey long")
+    counts = Counter((k, n) for k, n, _ in rows)
+    want = Counter()
+    for k, n, q in rows:
+        copies = counts[k, n] if None not in (k, n) and counts[k, n] > 1 else None
+        want[k, n, q, k is None or n is None, copies, q < 0, k not in (2, 4, 5, 6)] += 1
+    for target in (10**6, 20, 1):
+        tagged = validate.tag_fact(fact, ref, LINEITEM_RULES, target_rows=target)
+        assert Counter(tuple(r)[:7] for r in tagged.collect()) == want
