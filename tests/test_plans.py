@@ -165,6 +165,16 @@ def test_validation_shuffles_no_key_counts_beside_the_rows(spark):
                for line in _executed(tagged).splitlines()) <= 3
 
 
+def test_drop_mode_reads_its_clean_rows_and_the_reference_from_written_tables(spark, monkeypatch):
+    from lakeq.operators import validate
+    plans, real = {}, validate.run_validation
+    monkeypatch.setattr(validate, "run_validation", lambda rows, ref, rules, run_id, **k: plans.update(
+        {run_id: _plan(rows) + _plan(ref)}) or real(rows, ref, rules, run_id=run_id, **k))
+    QUERIES["gate_outcomes"](spark, SF)
+    assert len(plans) == 5
+    assert "Exchange" not in plans["clean"] and "Join" not in plans["clean"]
+
+
 def test_quarantine_of_a_run_is_written_from_its_findings_without_a_shuffle(spark, monkeypatch):
     from lakeq.sources import sinks
     asked, real = [], sinks.write_quarantine
