@@ -7,9 +7,12 @@ positive query component, from the bottom for a negative one). An impact is
 counted from the least contribution in its dimension, so impacts are never
 negative. A query processes the posting segments of all dimensions by falling
 impact level; after each level a row has a proven lower and upper score. When
-few rows can still be among the k best, that is the proof to stop, and these
-rows are rescored exactly; otherwise it goes on, in the end over all postings.
-No step approximates.
+few rows can still be among the k best, or these have fewer components than there
+are postings left, that is the proof to stop, and these rows are rescored exactly;
+otherwise it goes on, in the end over all postings. No step approximates.
+
+Every query meets every row of its length, so the work is their product; blocks and
+slabs bound what a task holds.
 
 Queries meet blocks by an equi-join on (length, block, slab of queries), each
 group of bounded size; every block returns its k best rows of a query, and the k
@@ -31,7 +34,7 @@ CHUNK_QUERIES = 256    # queries packed into a row
 SLAB_CHUNKS = 32       # such rows that meet a block at a time
 SCALE = 256
 FEW = 64               # possible members at which rescoring takes over
-FALL = 4               # ratio of successive impact levels
+FALL = 16              # ratio of successive impact levels; above the first one bounds tell little
 
 
 def usable(col: str) -> Column:
@@ -91,7 +94,8 @@ def search_block(x: np.ndarray, order: np.ndarray, values: np.ndarray, q: np.nda
             upper = total + (wide.sum() - met) * max(level - 1, 0) + span[~wide].sum()
             floor = np.partition(total[rows], len(rows) - k)[len(rows) - k]
             possible = rows[upper[rows] >= floor]
-            if len(possible) <= max(FEW, 2 * k):
+            # rescoring reads fewer numbers than the postings that are left
+            if len(possible) <= max(FEW, 2 * k) or len(possible) * dims < n * dims - int(at.sum()):
                 rows = possible
                 break
         else:
@@ -165,7 +169,7 @@ def top_k(base: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec_id
             raw = block["vectors"][0].as_py()
             dims = block["dim"][0].as_py()
             x = np.frombuffer(raw, np.int32 if len(raw) == 4 * len(ids) * dims else np.int64).reshape(-1, dims).astype(np.int64)
-            order = np.frombuffer(block["order"][0].as_py(), np.int32).reshape(dims, -1)
+            order = np.frombuffer(block["order"][0].as_py(), np.int32).reshape(dims, -1).astype(np.intp)
             values = np.frombuffer(block["values"][0].as_py(), np.int64).reshape(dims, -1)
             for q_ids, q_rows, q_raw in zip(*(found[c].to_pylist() for c in ("ids", "rows", "vectors"))):
                 q_ids, q_rows = np.frombuffer(q_ids, np.int64), np.frombuffer(q_rows, np.int64)

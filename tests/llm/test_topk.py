@@ -21,6 +21,25 @@ def test_block_search_equals_sorting_all():
         assert got.tolist() == want.tolist() and score.tolist() == (x @ q)[want].tolist()
 
 
+def test_rescoring_takes_over_when_it_reads_less_than_the_postings_left():
+    class Counted(np.ndarray):
+        read = 0
+
+        def __getitem__(self, key):
+            out = super().__getitem__(key)
+            Counted.read += out.size
+            return out
+    rng = np.random.default_rng(3)
+    x = np.floor(rng.normal(size=(8192, 64)) * 32).astype(np.int64)
+    order, values = topk.index_block(x)
+    for i in range(10):
+        got, score = topk.search_block(x, order.view(Counted), values, x[i], 5, slice(i, i + 1))
+        rows = np.delete(np.arange(len(x)), i)
+        want = rows[np.lexsort((rows, -(x @ x[i])[rows]))[:5]]
+        assert got.tolist() == want.tolist() and score.tolist() == (x @ x[i])[want].tolist()
+    assert Counted.read < 0.85 * 10 * x.size
+
+
 @pytest.mark.parametrize("block", [8192, 70])
 def test_equals_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "BLOCK_ROWS", block)
