@@ -51,10 +51,11 @@ class Scratch:
         self.spark, self.base, self.n = spark, scratch_path(spark, name), 0
         self.paths: list[str] = []
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
+    def table(self, df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        """``by``: a column with a folder for each value."""
         self.n += 1
         path = f"{self.base}/{self.n:03d}-{name}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*[by] if by else []).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         self.paths.append(path)
