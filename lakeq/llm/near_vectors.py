@@ -173,7 +173,7 @@ class Links:
                     passed &= np.arange(i, i + len(product))[:, None] < np.arange(j, j + product.shape[1])
                 rows, cols = np.divmod(np.flatnonzero(passed), passed.shape[1])
                 if len(rows) > 1024:
-                    some = np.unique(rows), np.unique(cols)
+                    some = np.flatnonzero(passed.any(1)), np.flatnonzero(passed.any(0))
                     if 16 * len(rows) > len(some[0]) * len(some[1]):
                         self._dense(passed, *some, i, j)
                         continue
